@@ -52,32 +52,43 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Col
     within a key (append a unique id when the first column has ties). Null
     keys form their own group, as in ``groupBy``.
     """
-    if how not in _COMBINE:
-        raise ValueError(f"unsupported running aggregate: {how}")
-    keys, order = list(keys), list(order)
-    agg = _COMBINE[how]
-    if how == "count":
-        v = F.lit(1).cast("long")
-    else:
-        v = F.col(value) if isinstance(value, str) else value
+    return running_many(df, keys, order, [(value, how, out)], inclusive, block_size)
+
 
-    base = df.withColumn("_blk", block_of(df, order[0], block_size)).withColumn("_v", v)
+def running_many(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 specs: Sequence[tuple[Column | str | None, str, str]], inclusive: bool = True,
+                 block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """Several running aggregates ``(value, how, out)`` over one shuffle."""
+    keys, order = list(keys), list(order)
+    vals, aggs = [], []
+    for i, (value, how, out) in enumerate(specs):
+        if how not in _COMBINE:
+            raise ValueError(f"unsupported running aggregate: {how}")
+        if how == "count":
+            v = F.lit(1).cast("long")
+        else:
+            v = F.col(value) if isinstance(value, str) else value
+        vals.append(v.alias(f"_v{i}"))
+        aggs.append((_COMBINE[how], f"_v{i}", out))
+
+    base = df.withColumn("_blk", block_of(df, order[0], block_size)).select("*", *vals)
 
     # 1. per-block totals (map-side partial aggregate, output is #keys x #blocks)
-    totals = base.groupBy(*keys, "_blk").agg(agg("_v").alias("_bt"))
-    # 2. exclusive prefix over earlier blocks of the same key
+    totals = base.groupBy(*keys, "_blk").agg(*[a(v).alias(v) for a, v, _ in aggs])
+    # 2. exclusive prefix over earlier blocks of the same key; one carry row per block
     wk = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.withColumn("_v", agg("_bt").over(wk))
-             .where(F.col("_v").isNotNull())
-             .select(*keys, "_blk", "_v", F.lit(0).alias("_mk")))
+    carry = (totals.select(*keys, "_blk", *[a(v).over(wk).alias(v) for a, v, _ in aggs])
+             .where(F.greatest(*[F.col(v).isNotNull() for _, v, _ in aggs]) if len(aggs) > 1
+                    else F.col(aggs[0][1]).isNotNull())
+             .withColumn("_mk", F.lit(0)))
     # 3. carry row first, then the block's own rows
     rows = base.withColumn("_mk", F.lit(1))
     both = rows.unionByName(carry, allowMissingColumns=True)
     end = Window.currentRow if inclusive else -1
     wb = (Window.partitionBy(*keys, "_blk").orderBy("_mk", *order)
           .rowsBetween(Window.unboundedPreceding, end))
-    res = both.withColumn(out, agg("_v").over(wb)).where(F.col("_mk") == 1)
-    return res.drop("_blk", "_v", "_mk")
+    res = both.select("*", *[a(v).over(wb).alias(o) for a, v, o in aggs]).where(F.col("_mk") == 1)
+    return res.drop("_blk", "_mk", *[v for _, v, _ in aggs])
 
 
 def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",

@@ -1,4 +1,11 @@
 """Named queries over the driver's tables and the end-to-end jobs built on them."""
 
-from tidewater.plans import keyed_queries, text_queries, window_queries  # noqa: F401
+from tidewater.plans import (  # noqa: F401
+    change_queries,
+    dashboard,
+    join_queries,
+    keyed_queries,
+    text_queries,
+    window_queries,
+)
 from tidewater.plans.registry import ORACLES, QUERIES, table  # noqa: F401

@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """Local session for tests and the bench; clusters pass their own session."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
