@@ -3,6 +3,8 @@
 from tidewater.plans import (  # noqa: F401
     change_queries,
     dashboard,
+    io_queries,
+    jobs,
     join_queries,
     keyed_queries,
     text_queries,
