@@ -24,9 +24,21 @@ DEFAULTS = {
 }
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _export_package_path() -> None:
+    """Python workers import the package through ``PYTHONPATH`` (local mode).
+    On a cluster ship it with ``spark-submit --py-files``."""
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *parts])
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tidewater", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; clusters pass their own session."""
+    _export_package_path()
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
