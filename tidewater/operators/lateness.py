@@ -36,10 +36,15 @@ def with_watermark_audit(df: DataFrame, seq: str, event_time: str, delay_seconds
 
 
 def classify(df: DataFrame, seq: str, event_time: str, window_seconds: int, delay_seconds: int,
-             lateness_seconds: int, out: str = "lateness",
+             lateness_seconds: int, out: str = "lateness", prior_max=None,
              block_size: int = scan.DEFAULT_BLOCK) -> DataFrame:
-    """Add ``window_start``, ``window_end`` and the lateness class ``out``."""
+    """Add ``window_start``, ``window_end`` and the lateness class ``out``.
+
+    ``prior_max`` carries the running max of earlier micro-batches in.
+    """
     m = scan.running(df, [], [seq], F.col(event_time), how="max", out="_max", block_size=block_size)
+    if prior_max is not None:
+        m = m.withColumn("_max", F.greatest(F.col("_max"), F.lit(prior_max).cast(df.schema[event_time].dataType)))
     ws = bucket_start(event_time, window_seconds)
     we = ws + seconds(window_seconds)
     mark = F.col("_max") - seconds(delay_seconds)
