@@ -108,7 +108,10 @@ class CountWindow(StatefulProcessor):
                 if n % self.slide == 0:
                     yield _row(self.schema, key[0], n, float(sum(buf)))
         self.count.update((n,))
-        self.buf.put([(v,) for v in buf])
+        if buf:
+            self.buf.put([(v,) for v in buf])
+        else:
+            self.buf.clear()  # the state store rejects empty lists
 
     def close(self) -> None:
         pass
@@ -148,6 +151,8 @@ class OrderTimeout(StatefulProcessor):
         now = expiredTimerInfo.getExpiryTimeInMs()
         done = []
         for (order_id,), (created, reviewed) in self.pending.iterator():
+            if created > now:
+                continue  # not placed yet at this timer's time (rows of one batch arrive together)
             if reviewed:
                 done.append((order_id, "already_reviewed"))
             elif now - created >= self.interval:
