@@ -86,3 +86,21 @@ def test_running_sum_exact_decimals(spark):
     df = spark.createDataFrame([(1, "a", 0.1), (2, "a", 0.2), (3, "a", 0.3)], "seq long, k string, v double")
     out = keyed.running_sum(df, "k", "seq", "v", block_size=1).orderBy("seq").collect()
     assert [r.running for r in out] == [0.1, 0.3, 0.6]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=ROWS, block=st.sampled_from([1, 2, 5]), fanout=st.sampled_from([1, 2, 3]),
+       depth=st.sampled_from([0, 1, 2]))
+def test_recursive_prefix_any_fanout(spark, rows, block, fanout, depth):
+    """The per-key prefix over block totals is itself blocked (recursively)."""
+    old = scan.FANOUT, scan.MAX_DEPTH
+    scan.FANOUT, scan.MAX_DEPTH = fanout, depth
+    try:
+        df, pdf = _frame(spark, rows)
+        out = scan.running_many(df, ["k"], ["seq"], [("v", "sum", "s"), ("v", "min", "m")],
+                                block_size=block).toPandas().sort_values("seq")
+    finally:
+        scan.FANOUT, scan.MAX_DEPTH = old
+    g = pdf.sort_values("seq").groupby("k")["v"]
+    assert list(out["s"]) == list(g.cumsum())
+    assert list(out["m"]) == list(g.cummin())

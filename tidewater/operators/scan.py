@@ -5,13 +5,17 @@ task. With a handful of keys (five event types, one global watermark) that is a
 third of the data in one task. The scan here splits each key into *blocks* of
 the ordering column and works in three steps:
 
-1. ``groupBy(key, block)`` totals -- partial aggregation, a tiny shuffle;
-2. an exclusive prefix over those totals per key (rows = blocks, not input rows);
+1. ``groupBy(key, block)`` totals -- partial aggregation, a small shuffle;
+2. an exclusive prefix over those totals per key. This is the same problem on
+   a table that is ``block`` times smaller, so it recurses once (blocks of
+   ``FANOUT`` blocks) before a plain per-key window over the few remaining rows;
 3. the prefix is unioned back as one *carry* row per (key, block) that sorts
    before the real rows, and a window over ``(key, block)`` finishes the scan.
 
-Every window task holds at most one block of one key, whatever the skew.
-Step 3 is the only full shuffle of the input.
+Every window task holds at most one block of one key, whatever the skew, and
+a badly chosen block width only costs a bigger (still split) totals table.
+Step 3 is the only full-size shuffle; the input is read twice (totals, rows),
+the price of any two-pass distributed scan, still cheaper than materialising.
 """
 
 from __future__ import annotations
@@ -21,12 +25,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Width of a block in units of the first ordering column. For dense row ids
-# this bounds a window task to ~4M rows; time columns are measured in micros.
-DEFAULT_BLOCK = 1 << 22
+# Block width in units of the first ordering column (None = pick by type):
+# dense ids -> 4M ids; timestamps -> 1 hour; dates -> 7 days.
+DEFAULT_BLOCK = None
+ID_BLOCK = 1 << 22
 HOUR_MICROS = 3_600_000_000
+FANOUT = 4096
+MAX_DEPTH = 1
 
 _COMBINE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+_MERGE = {"sum": "sum", "count": "sum", "max": "max", "min": "min"}
 
 
 def _as_long(df: DataFrame, c: str) -> Column:
@@ -38,13 +46,23 @@ def _as_long(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("long")
 
 
-def block_of(df: DataFrame, order_col: str, block_size: int) -> Column:
-    return F.floor(_as_long(df, order_col) / F.lit(block_size)).cast("long")
+def default_block(df: DataFrame, c: str) -> int:
+    dt = df.schema[c].dataType.typeName()
+    if dt in ("timestamp", "timestamp_ntz"):
+        return HOUR_MICROS
+    if dt == "date":
+        return 7
+    return ID_BLOCK
+
+
+def block_of(df: DataFrame, order_col: str, block_size: int | None) -> Column:
+    size = block_size or default_block(df, order_col)
+    return F.floor(_as_long(df, order_col) / F.lit(size)).cast("long")
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column | str | None,
             how: str = "sum", out: str = "running", inclusive: bool = True,
-            block_size: int = DEFAULT_BLOCK) -> DataFrame:
+            block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """Add ``out`` = aggregate ``how`` of ``value`` over the rows of the same key
     up to (``inclusive``) or before the current row in ``order``.
 
@@ -57,9 +75,10 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Col
 
 def running_many(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  specs: Sequence[tuple[Column | str | None, str, str]], inclusive: bool = True,
-                 block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                 block_size: int | None = DEFAULT_BLOCK, _depth: int = 0) -> DataFrame:
     """Several running aggregates ``(value, how, out)`` over one shuffle."""
     keys, order = list(keys), list(order)
+    blk, mk = f"_blk{_depth}", f"_mk{_depth}"
     vals, aggs = [], []
     for i, (value, how, out) in enumerate(specs):
         if how not in _COMBINE:
@@ -68,30 +87,36 @@ def running_many(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             v = F.lit(1).cast("long")
         else:
             v = F.col(value) if isinstance(value, str) else value
-        vals.append(v.alias(f"_v{i}"))
-        aggs.append((_COMBINE[how], f"_v{i}", out))
-
-    base = df.withColumn("_blk", block_of(df, order[0], block_size)).select("*", *vals)
-
-    # 1. per-block totals (map-side partial aggregate, output is #keys x #blocks)
-    totals = base.groupBy(*keys, "_blk").agg(*[a(v).alias(v) for a, v, _ in aggs])
-    # 2. exclusive prefix over earlier blocks of the same key; one carry row per block
-    wk = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (totals.select(*keys, "_blk", *[a(v).over(wk).alias(v) for a, v, _ in aggs])
-             .where(F.greatest(*[F.col(v).isNotNull() for _, v, _ in aggs]) if len(aggs) > 1
-                    else F.col(aggs[0][1]).isNotNull())
-             .withColumn("_mk", F.lit(0)))
+        name = f"_v{_depth}_{i}"
+        vals.append(v.alias(name))
+        aggs.append((how, name, out))
+
+    base = df.withColumn(blk, block_of(df, order[0], block_size)).select("*", *vals)
+
+    # 1. per-block totals (map-side partial aggregate)
+    totals = base.groupBy(*keys, blk).agg(*[_COMBINE[h](v).alias(v) for h, v, _ in aggs])
+    # 2. exclusive prefix of the totals over earlier blocks of the same key
+    if _depth < MAX_DEPTH:
+        sub = [(v, _MERGE[h], f"_p{_depth}_{i}") for i, (h, v, _) in enumerate(aggs)]
+        pref = running_many(totals, keys, [blk], sub, inclusive=False, block_size=FANOUT, _depth=_depth + 1)
+        prefix_cols = [F.col(f"_p{_depth}_{i}").alias(v) for i, (_, v, _) in enumerate(aggs)]
+        carry = pref.select(*keys, blk, *prefix_cols)
+    else:
+        wk = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        carry = totals.select(*keys, blk, *[_COMBINE[_MERGE[h]](v).over(wk).alias(v) for h, v, _ in aggs])
+    present = [F.col(v).isNotNull() for _, v, _ in aggs]
+    carry = carry.where(F.greatest(*present) if len(present) > 1 else present[0]).withColumn(mk, F.lit(0))
     # 3. carry row first, then the block's own rows
-    rows = base.withColumn("_mk", F.lit(1))
+    rows = base.withColumn(mk, F.lit(1))
     both = rows.unionByName(carry, allowMissingColumns=True)
     end = Window.currentRow if inclusive else -1
-    wb = (Window.partitionBy(*keys, "_blk").orderBy("_mk", *order)
+    wb = (Window.partitionBy(*keys, blk).orderBy(mk, *order)
           .rowsBetween(Window.unboundedPreceding, end))
-    res = both.select("*", *[a(v).over(wb).alias(o) for a, v, o in aggs]).where(F.col("_mk") == 1)
-    return res.drop("_blk", "_mk", *[v for _, v, _ in aggs])
+    res = both.select("*", *[_COMBINE[h](v).over(wb).alias(o) for h, v, o in aggs]).where(F.col(mk) == 1)
+    return res.drop(blk, mk, *[v for _, v, _ in aggs])
 
 
 def row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "rn",
-               block_size: int = DEFAULT_BLOCK) -> DataFrame:
+               block_size: int | None = DEFAULT_BLOCK) -> DataFrame:
     """1-based position of each row within its key (a running count)."""
     return running(df, keys, order, None, how="count", out=out, block_size=block_size)

@@ -77,7 +77,7 @@ def session_stream(df: DataFrame, ts: str, gap: str, keys, aggs: Sequence[Column
 
 
 def count_tumbling(df: DataFrame, keys, seq: str, size: int, aggs: Sequence[Column],
-                   block_size: int = scan.DEFAULT_BLOCK) -> DataFrame:
+                   block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """``countWindow(size)``: consecutive groups of ``size`` rows per key in
     arrival order; an incomplete tail never fires (W4)."""
     keys = _keys(keys)
@@ -89,7 +89,7 @@ def count_tumbling(df: DataFrame, keys, seq: str, size: int, aggs: Sequence[Colu
 
 
 def count_sliding(df: DataFrame, keys, seq: str, size: int, slide: int, value: Column,
-                  out: str, block_size: int = scan.DEFAULT_BLOCK) -> DataFrame:
+                  out: str, block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """``countWindow(size, slide)``: on every ``slide``-th row of a key, aggregate
     the last *up to* ``size`` rows (W5).
 

@@ -135,7 +135,7 @@ def _rolling(spark, sf, bucket_fn, name):
     ev = table(spark, sf, "events")
     path = scratch_path(spark, name)
     line = pair_text(F.col("event_id"), F.col("event_type"), ":::")
-    sinks.write_rolling(ev, line, bucket_fn(F.col("ts")), path, max_records_per_file=2000)
+    sinks.write_rolling(ev, line, bucket_fn(F.col("ts")), path, max_records_per_file=2000, time_col="ts")
     return sinks.read_rolling(spark, path)
 
 

@@ -40,7 +40,8 @@ def timeout_review(orders: DataFrame, user: str, order: str, created: str, revie
                           F.lit(None).cast(timers.schema["fire"].dataType).alias("fire"),
                           "order_id", "reviewed")
     both = timers.unionByName(pending, allowMissingColumns=True).withColumn("_rev", -micros_of("t"))
-    nxt = scan.running(both, ["user_id"], ["_rev", "kind"], F.col("fire"), how="min", out="first_fire")
+    nxt = scan.running(both, ["user_id"], ["_rev", "kind"], F.col("fire"), how="min", out="first_fire",
+                       block_size=24 * scan.HOUR_MICROS)
     res = nxt.where(F.col("kind") == 1).select(
         "user_id", "order_id",
         F.when(F.col("reviewed"), F.lit("already_reviewed")).otherwise(F.lit("auto_good")).alias("action"),

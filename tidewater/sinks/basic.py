@@ -43,9 +43,18 @@ def bucket_daily(ts: Column | str) -> Column:
 
 
 def write_rolling(df: DataFrame, line: Column, bucket: Column, path: str,
-                  max_records_per_file: int = 1_000_000, fmt: str = "text") -> None:
+                  max_records_per_file: int = 1_000_000, fmt: str = "text",
+                  time_col: str | None = None, tasks: int | None = None) -> None:
     """Rolling, bucketed row-format files (K3/K4) for a bounded frame: one folder
-    per bucket (``dt=...``), files rolled by size via ``maxRecordsPerFile``."""
+    per bucket (``dt=...``), files rolled by size via ``maxRecordsPerFile``.
+
+    With ``time_col`` the rows are first range-partitioned on it: every task
+    writes a contiguous run of buckets (few open files per task, all tasks in
+    parallel), and a busy bucket is still split over several tasks.
+    """
+    if time_col is not None:
+        n = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, time_col)
     out = df.select(line.alias("value"), bucket.alias("dt"))
     (out.write.mode("append").partitionBy("dt").option("maxRecordsPerFile", max_records_per_file)
      .format(fmt).save(path))
@@ -95,14 +104,22 @@ class KeyedUpsertSink:
                   .select(F.lit(self.hash).alias("hash"), "field", "_r.value", "_r.seq"))
         latest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
-    def state(self) -> DataFrame:
+    def state(self, since_batch: int | None = None) -> DataFrame:
+        """Current value per field; ``since_batch`` skips batches older than a compaction."""
         log = self.spark.read.parquet(self.path)
+        if since_batch is not None:
+            log = log.where(F.col("batch") >= since_batch)
         last = F.max_by(F.col("value"), F.struct("batch", "seq"))
         return log.groupBy("hash", "field").agg(last.alias("value"))
 
     def compact(self, batch_id: int) -> None:
+        """Write the full state as batch ``batch_id``; later reads can start there
+        (``state(since_batch=batch_id)``). The full state is cut from the log's
+        lineage by being written out first."""
         st = self.state().withColumn("seq", F.lit(0).cast("long"))
-        st.write.mode("overwrite").parquet(f"{self.path}-compact/batch={batch_id}")
+        staged = f"{self.path}-staged-{batch_id}"
+        st.write.mode("overwrite").parquet(staged)
+        self.spark.read.parquet(staged).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
 
 def create_table(df: DataFrame, name: str, path: str) -> None:

@@ -33,7 +33,7 @@ from tidewater.operators import lateness, scan
 class LateWindowSum:
     def __init__(self, root: str, keys: Sequence[str], seq: str, event_time: str, value: str,
                  window_seconds: int, delay_seconds: int, lateness_seconds: int,
-                 block_size: int = scan.DEFAULT_BLOCK):
+                 block_size: int | None = scan.DEFAULT_BLOCK):
         self.root = root.rstrip("/")
         self.keys, self.seq, self.et, self.value = list(keys), seq, event_time, value
         self.window_s, self.delay_s, self.lateness_s = window_seconds, delay_seconds, lateness_seconds
