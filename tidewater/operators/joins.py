@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.timecols import MICROS, bucket_start, micros_of
+from tidewater.functions.timecols import MICROS, bucket_start, micros_of, seconds
 
 # Largest side we hint for broadcast: well under executor memory at scale.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
@@ -74,8 +74,10 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, le
     last = F.floor((rm - F.lit(lo)) / F.lit(width)).cast("long")
     rb = right.withColumn("_bucket", F.explode(F.sequence(first, last)))
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in on] + [F.col("l._bucket") == F.col("r._bucket")]
-    lt, rt = micros_of(F.col(f"l.{left_ts}")), micros_of(F.col(f"r.{right_ts}"))
-    cond.append(rt.between(lt + F.lit(lo), lt + F.lit(hi)))
+    # range on the time columns themselves, so a stream-stream join can derive
+    # state eviction from the watermarks of both sides
+    lt, rt = F.col(f"l.{left_ts}"), F.col(f"r.{right_ts}")
+    cond += [rt >= lt + seconds(lower_seconds), rt <= lt + seconds(upper_seconds)]
     return lb.alias("l").join(rb.alias("r"), cond, "inner")
 
 

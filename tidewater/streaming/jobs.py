@@ -57,3 +57,66 @@ def enrich_each_batch(load_dim: Callable[[SparkSession], DataFrame], on, how: st
         dim = load_dim(batch.sparkSession)
         sink(joins.enrich(batch, dim, on, how), batch_id)
     return handle
+
+
+def with_ingestion_time(df: DataFrame, out: str = "ingest_ts", delay: str = "0 seconds") -> DataFrame:
+    """Wall-clock timestamps with a zero-delay watermark (E3): the reference's
+    processing-time windows and joins, expressed as event time over arrival time."""
+    return df.withColumn(out, F.current_timestamp()).withWatermark(out, delay)
+
+
+def window_join_stream(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str,
+                       size_seconds: int, delay: str) -> DataFrame:
+    """Stream-stream window join (J1): watermark both sides, join on
+    ``(key, window_start)``; the redundant ``|l.ts - r.ts| < size`` bound lets
+    Spark evict join state once the watermark passes."""
+    from tidewater.functions.timecols import seconds
+    j = joins.window_join(left.withWatermark(left_ts, delay), right.withWatermark(right_ts, delay),
+                          on, left_ts, right_ts, size_seconds)
+    lt, rt = F.col(f"l.{left_ts}"), F.col(f"r.{right_ts}")
+    return j.where((rt > lt - seconds(size_seconds)) & (rt < lt + seconds(size_seconds)))
+
+
+def interval_join_stream(left: DataFrame, right: DataFrame, on, left_ts: str, right_ts: str,
+                         lower_seconds: int, upper_seconds: int, delay: str) -> DataFrame:
+    """Stream-stream interval join (J2), state bounded by both watermarks."""
+    return joins.interval_join(left.withWatermark(left_ts, delay), right.withWatermark(right_ts, delay),
+                               on, left_ts, right_ts, lower_seconds, upper_seconds)
+
+
+def union_distinct_stream(*streams: DataFrame, ts: str, delay: str, keys=None) -> DataFrame:
+    """SQL ``UNION`` on streams (U2) with bounded state.
+
+    Whole rows (event time included) are de-duplicated: copies of one event
+    reaching the union through several inputs are always within the delay of
+    each other, so this is exact for them and the state is evicted by the
+    watermark. ``keys`` de-duplicates on a subset instead (a repeat after the
+    delay then passes again); a global distinct needs unbounded state
+    (``dropDuplicates`` without a watermark)."""
+    from tidewater.operators.routing import union_all
+    merged = union_all(*[s.withWatermark(ts, delay) for s in streams])
+    return merged.dropDuplicatesWithinWatermark(list(keys) if keys else merged.columns)
+
+
+class RowWriter:
+    """``RichSinkFunction`` (open / invoke / close) for ``writeStream.foreach``.
+
+    ``open_fn(partition_id, epoch_id)`` returns a connection-like object,
+    ``invoke_fn(conn, row)`` writes one row, ``close_fn(conn, error)`` releases it.
+    Prefer ``foreachBatch`` with a bulk writer; this is for clients without one.
+    """
+
+    def __init__(self, open_fn, invoke_fn, close_fn=None):
+        self.open_fn, self.invoke_fn, self.close_fn = open_fn, invoke_fn, close_fn
+        self.conn = None
+
+    def open(self, partition_id, epoch_id):
+        self.conn = self.open_fn(partition_id, epoch_id)
+        return True
+
+    def process(self, row):
+        self.invoke_fn(self.conn, row)
+
+    def close(self, error):
+        if self.close_fn is not None:
+            self.close_fn(self.conn, error)
