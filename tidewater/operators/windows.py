@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import bucket_end, bucket_start, seconds
 from tidewater.operators import scan
+from tidewater.operators.joins import broadcast_if_small
 
 
 def _keys(keys) -> list[str]:
@@ -147,7 +148,9 @@ def day_to_date_by_tick(df: DataFrame, ts: str, category: str, value: Column,
     ticks = (per_tick.groupBy("day_start").agg(F.min("tick").alias("_a"), F.max("tick").alias("_b"))
              .select("day_start", F.explode(F.sequence("_a", "_b", step)).alias("tick")))
     firsts = per_tick.groupBy("day_start", "category").agg(F.min("tick").alias("_first"))
-    grid = (ticks.join(firsts, "day_start")
+    # ticks has (days x ticks per day) rows: broadcast it (size-checked) so the
+    # categories of one day are not hashed into one task by the join key
+    grid = (firsts.join(broadcast_if_small(ticks), "day_start")
             .where(F.col("tick") >= F.col("_first")).drop("_first"))
     filled = grid.join(per_tick, ["day_start", "tick", "category"], "left")
     w = (Window.partitionBy("day_start", "category").orderBy("tick")

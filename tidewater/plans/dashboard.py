@@ -27,9 +27,9 @@ def top3(totals: DataFrame) -> DataFrame:
 
 
 def grand_totals(totals: DataFrame) -> DataFrame:
-    g = ranking.group_total(totals, ["day_start", "tick"], "total", "grand_total")
-    n = totals.groupBy("day_start", "tick").agg(F.count(F.lit(1)).alias("n_categories"))
-    return g.join(n, ["day_start", "tick"])
+    return totals.groupBy("day_start", "tick").agg(
+        ranking.round_half_up(F.sum(F.col("total").cast("decimal(18,2)"))).cast("double").alias("grand_total"),
+        F.count(F.lit(1)).alias("n_categories"))
 
 
 _TOTALS = "with dd as (" + DAY_TO_DATE_SQL + ")"
