@@ -68,17 +68,24 @@ def refire(classified: DataFrame, keys: Sequence[str], seq: str, value: str, out
     re-firing per accepted late row (``fire_no`` 1, 2, ...) carrying the
     updated window sum and the id of the row that triggered it. A window whose
     rows were all late first fires on its first late row.
+
+    All on-time rows of a window arrive before its late ones (the watermark
+    only grows), so one running sum over the accepted rows, per (key, window)
+    in arrival order, is the re-firing value at a late row and the on-time
+    total at the window's last on-time row: a single scan, one pass of input.
     """
     keys = list(keys)
     wkeys = [*keys, "window_start", "window_end"]
-    v = F.col(value).cast("decimal(18,2)")
-    on = (classified.where(F.col(col) == ON_TIME).groupBy(*wkeys).agg(F.sum(v).alias("_on")))
-    late = classified.where(F.col(col) == LATE).withColumn("_v", v)
-    late = scan.running_many(late, [*keys, "window_start"], [seq],
-                             [("_v", "sum", "_cs"), (None, "count", "fire_no")], block_size=block_size)
-    late = late.join(on, wkeys, "left")
-    first = on.select(*wkeys, F.lit(0).cast("long").alias("fire_no"),
-                      F.lit(None).cast("long").alias("trigger_id"), F.col("_on").cast("double").alias(out))
-    again = late.select(*wkeys, "fire_no", F.col(seq).cast("long").alias("trigger_id"),
-                        (F.coalesce("_on", F.lit(0)) + F.col("_cs")).cast("double").alias(out))
-    return first.unionByName(again)
+    is_late = F.col(col) == LATE
+    accepted = classified.where(F.col(col) != TOO_LATE).withColumn("_v", F.col(value).cast("decimal(18,2)"))
+    run = scan.running_many(accepted, [*keys, "window_start"], [seq],
+                            [("_v", "sum", "_cum"), (F.when(is_late, 1).otherwise(0), "sum", "_late_no")],
+                            block_size=block_size)
+    # one aggregate, one pass over the scan output: each late row is its own group
+    # (its re-firing); a window's on-time rows form one group whose value is the
+    # running sum at its last on-time row (max_by combines map-side).
+    trigger = F.when(is_late, F.col(seq)).cast("long")
+    out_rows = (run.groupBy(*wkeys, trigger.alias("trigger_id"))
+                .agg(F.max_by(F.col("_cum"), F.col(seq)).alias("_val"), F.max("_late_no").alias("_n")))
+    return out_rows.select(*wkeys, F.col("_n").cast("long").alias("fire_no"), "trigger_id",
+                           F.col("_val").cast("double").alias(out))

@@ -18,7 +18,8 @@ def top_k(df: DataFrame, group: Sequence[str] | str, order: Sequence[Column], k:
     """Top ``k`` rows per group by ``order`` (ties broken by the later order columns)."""
     group = [group] if isinstance(group, str) else list(group)
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    ranked = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("long"))
 
 
 def round_half_up(c: Column, scale: int = 2) -> Column:

@@ -48,6 +48,15 @@ def union_all(*dfs: DataFrame) -> DataFrame:
     return res
 
 
+def union_filtered(df: DataFrame, *conds: Column) -> DataFrame:
+    """``UNION ALL`` of several filtered views of *one* input, in one read: each
+    row is emitted once per condition it satisfies (same result as unioning
+    ``df.where(c)`` for every ``c``, without scanning ``df`` once per branch)."""
+    hits = F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conds)])
+    return (df.select("*", F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("_branch"))
+            .drop("_branch"))
+
+
 def union_distinct(*dfs: DataFrame) -> DataFrame:
     """SQL ``UNION``: duplicates removed (U2). Spark de-duplicates map-side first."""
     return union_all(*dfs).distinct()

@@ -6,14 +6,14 @@ third of the data in one task. The scan here splits each key into *blocks* of
 the ordering column and works in three steps:
 
 1. ``groupBy(key, block)`` totals -- partial aggregation, a small shuffle;
-2. an exclusive prefix over those totals per key. This is the same problem on
-   a table that is ``block`` times smaller, so it recurses once (blocks of
-   ``FANOUT`` blocks) before a plain per-key window over the few remaining rows;
+2. an exclusive prefix over those totals per key: a window over the key's
+   block totals (range / width rows, not input rows). The same scan can be
+   applied to the totals recursively (``MAX_DEPTH``, blocks of ``FANOUT``
+   blocks) when an ordering range is extreme;
 3. the prefix is unioned back as one *carry* row per (key, block) that sorts
    before the real rows, and a window over ``(key, block)`` finishes the scan.
 
-Every window task holds at most one block of one key, whatever the skew, and
-a badly chosen block width only costs a bigger (still split) totals table.
+Every window task holds at most one block of one key, whatever the skew.
 Step 3 is the only full-size shuffle; the input is read twice (totals, rows),
 the price of any two-pass distributed scan, still cheaper than materialising.
 """
@@ -31,7 +31,10 @@ DEFAULT_BLOCK = None
 ID_BLOCK = 1 << 22
 HOUR_MICROS = 3_600_000_000
 FANOUT = 4096
-MAX_DEPTH = 1
+# Levels of blocking applied to the block totals themselves. 0: one window per
+# key over its block totals (#blocks = range / width rows, independent of the
+# row count); raise it only for extreme ranges -- each level re-reads the input.
+MAX_DEPTH = 0
 
 _COMBINE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
 _MERGE = {"sum": "sum", "count": "sum", "max": "max", "min": "min"}

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import bucket_end, bucket_start, seconds
 from tidewater.operators import scan
-from tidewater.operators.joins import broadcast_if_small
 
 
 def _keys(keys) -> list[str]:
@@ -136,8 +135,11 @@ def day_to_date_by_tick(df: DataFrame, ts: str, category: str, value: Column,
     """Day-to-date total per category at every tick (W8 with a continuous trigger).
 
     The reference fires every tick for every category already seen that day,
-    even without new rows. Rows are first aggregated to (day, tick, category);
-    the dense grid is built only on that small table (days x ticks x categories).
+    even without new rows. Ticks of a day run from its first to its last tick
+    with data. One scan: rows are aggregated to (day, tick, category); then, on
+    that small table only, a running total per (day, category), the next tick
+    with data (``lead``) and the day's last tick give the span each total holds
+    for, and ``explode(sequence(...))`` fills the ticks in between.
     Output: ``day_start``, ``tick`` (tick end), ``category``, ``total`` (double).
     """
     per_tick = (df.groupBy(bucket_start(ts, 86400, day_offset_seconds).alias("day_start"),
@@ -145,15 +147,12 @@ def day_to_date_by_tick(df: DataFrame, ts: str, category: str, value: Column,
                            F.col(category).alias("category"))
                 .agg(F.sum(value).alias("_s")))
     step = seconds(tick_seconds)
-    ticks = (per_tick.groupBy("day_start").agg(F.min("tick").alias("_a"), F.max("tick").alias("_b"))
-             .select("day_start", F.explode(F.sequence("_a", "_b", step)).alias("tick")))
-    firsts = per_tick.groupBy("day_start", "category").agg(F.min("tick").alias("_first"))
-    # ticks has (days x ticks per day) rows: broadcast it (size-checked) so the
-    # categories of one day are not hashed into one task by the join key
-    grid = (firsts.join(broadcast_if_small(ticks), "day_start")
-            .where(F.col("tick") >= F.col("_first")).drop("_first"))
-    filled = grid.join(per_tick, ["day_start", "tick", "category"], "left")
-    w = (Window.partitionBy("day_start", "category").orderBy("tick")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return filled.select("day_start", "tick", "category",
-                         F.sum(F.coalesce("_s", F.lit(0))).over(w).cast("double").alias("total"))
+    by_cat = Window.partitionBy("day_start", "category").orderBy("tick")
+    spans = per_tick.select(
+        "day_start", "category", "tick",
+        F.sum("_s").over(by_cat.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_total"),
+        F.lead("tick").over(by_cat).alias("_next"),
+        F.max("tick").over(Window.partitionBy("day_start")).alias("_last"))
+    until = F.coalesce(F.col("_next") - step, F.col("_last"))
+    return spans.select("day_start", F.explode(F.sequence("tick", until, step)).alias("tick"),
+                        "category", F.col("_total").cast("double").alias("total"))

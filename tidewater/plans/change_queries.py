@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import changelog, lateness
+from tidewater.operators import changelog, lateness, routing
 from tidewater.plans.registry import query, table
 
 HAVING_COUNT = 60
@@ -45,7 +45,7 @@ select true as flag, user_id, event_type, min(event_id) as event_id from (
 """)
 def changelog_distinct(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
-    both = ev.where(F.col("value") > 50).unionByName(ev.where(F.col("value") > 20)).drop("value")
+    both = routing.union_filtered(ev, F.col("value") > 50, F.col("value") > 20).drop("value")
     return changelog.distinct_changelog(both, ["user_id", "event_type"], "event_id")
 
 

@@ -54,7 +54,8 @@ def src_kafka_json(spark, sf):
 
 @query("sink_kafka_encode", """
 select cast(user_id as varchar) as key,
-       json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type, 'value', value) as value
+       cast(json_object('event_id', event_id, 'user_id', user_id, 'event_type', event_type, 'value', value)
+            as varchar) as value
 from events
 """)
 def sink_kafka_encode(spark, sf):
@@ -65,7 +66,8 @@ def sink_kafka_encode(spark, sf):
 
 
 @query("sink_kafka_json", """
-select json_object('user_id', user_id, 'page_id', event_id, 'status', event_type) as value from events
+select cast(json_object('user_id', user_id, 'page_id', event_id, 'status', event_type) as varchar) as value
+from events
 """)
 def sink_kafka_json(spark, sf):
     """``insert into output_kafka select *`` with JSON format, round-robin partitioner."""
@@ -217,8 +219,8 @@ def map_format_pairs(spark, sf):
 
 @query("row_to_json", """
 select o_orderkey,
-       json_object('o_custkey', o_custkey, 'o_orderkey', o_orderkey, 'o_orderpriority', o_orderpriority,
-                   'o_orderstatus', o_orderstatus) as json
+       cast(json_object('o_custkey', o_custkey, 'o_orderkey', o_orderkey, 'o_orderpriority', o_orderpriority,
+                        'o_orderstatus', o_orderstatus) as varchar) as json
 from orders
 """)
 def row_to_json(spark, sf):

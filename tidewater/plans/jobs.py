@@ -34,12 +34,13 @@ def timeout_review(orders: DataFrame, user: str, order: str, created: str, revie
     iv = seconds(interval_seconds)
     base = orders.select(F.col(user).alias("user_id"), F.col(order).alias("order_id"),
                          F.col(created).alias("created"), F.col(reviewed).alias("reviewed"))
-    timers = base.select("user_id", (F.col("created") + iv).alias("t"), F.lit(0).alias("kind"),
-                         (F.col("created") + iv).alias("fire"))
-    pending = base.select("user_id", F.col("created").alias("t"), F.lit(1).alias("kind"),
-                          F.lit(None).cast(timers.schema["fire"].dataType).alias("fire"),
-                          "order_id", "reviewed")
-    both = timers.unionByName(pending, allowMissingColumns=True).withColumn("_rev", -micros_of("t"))
+    # each order yields its timer row (kind 0) and its own row (kind 1), from one read
+    fire = F.col("created") + iv
+    both = base.select("user_id", "order_id", "reviewed", F.explode(F.array(
+        F.struct(fire.alias("t"), F.lit(0).alias("kind"), fire.alias("fire")),
+        F.struct(F.col("created").alias("t"), F.lit(1).alias("kind"), F.lit(None).cast(
+            base.schema["created"].dataType).alias("fire")))).alias("_e")) \
+        .select("user_id", "order_id", "reviewed", "_e.*").withColumn("_rev", -micros_of("t"))
     nxt = scan.running(both, ["user_id"], ["_rev", "kind"], F.col("fire"), how="min", out="first_fire",
                        block_size=24 * scan.HOUR_MICROS)
     res = nxt.where(F.col("kind") == 1).select(
@@ -90,7 +91,7 @@ def json_filter_etl(frame: DataFrame, schema: T.StructType, status_col: str, kee
 
 
 @query("etl_json_filter", f"""
-select json_object('user_id', user_id, 'page_id', event_id, 'status', event_type) as value
+select cast(json_object('user_id', user_id, 'page_id', event_id, 'status', event_type) as varchar) as value
 from events where event_type = '{STATUS_KEPT}'
 """)
 def etl_json_filter(spark, sf):

@@ -69,21 +69,20 @@ _UNION_PARTS = ("select user_id, event_type from events where value > 50",
                 "select user_id, event_type from events where value > 20")
 
 
-def _union_inputs(spark, sf):
+def _union_of_views(spark, sf):
+    """Both union inputs are filtered views of ``events``: read it once."""
     ev = table(spark, sf, "events").select("user_id", "event_type", "value")
-    a = ev.where(F.col("value") > 50).drop("value")
-    b = ev.where(F.col("value") > 20).drop("value")
-    return a, b
+    return routing.union_filtered(ev, F.col("value") > 50, F.col("value") > 20).drop("value")
 
 
 @query("union_all", " union all ".join(_UNION_PARTS))
 def union_all(spark, sf):
-    return routing.union_all(*_union_inputs(spark, sf))
+    return _union_of_views(spark, sf)
 
 
 @query("union_distinct", " union ".join(_UNION_PARTS))
 def union_distinct(spark, sf):
-    return routing.union_distinct(*_union_inputs(spark, sf))
+    return _union_of_views(spark, sf).distinct()
 
 
 @query("side_output_split", """
@@ -91,10 +90,8 @@ select case when event_id % 2 = 0 then 'even' else 'odd' end as tag, event_id, v
 """)
 def side_output_split(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "value")
-    outs = routing.split_by_tag(ev, routing.parity_tag("event_id"), {"even": 0, "odd": 1})
-    assert set(outs) == {"main", "even", "odd"}
-    return routing.union_all(*[outs[t].withColumn("tag", F.lit(t)) for t in ("even", "odd")]) \
-        .select("tag", "event_id", "value")
+    # every side output in one frame, one read (split_by_tag gives the separate views)
+    return routing.tag_rows(ev, routing.parity_tag("event_id")).select("tag", "event_id", "value")
 
 
 @query("connect_comap", """
