@@ -68,3 +68,49 @@ def test_wordcount_cli(spark, tmpdir_path):
     out = f"{tmpdir_path}/out"
     wordcount_job.main(["--input", src, "--output", out, "--files", "2"])
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["(hadoop,3)", "(itcast,4)", "(spark,2)"]
+
+
+def test_session_and_sliding_streams_match_batch_closed(spark, sf, tmpdir_path):
+    import datetime as dt
+    from tidewater.operators import windows
+    ev = _events(spark, sf, f"{tmpdir_path}/in")
+    s = _stream(spark, ev.schema, f"{tmpdir_path}/in")
+    aggs = [F.count(F.lit(1)).alias("n")]
+    sess = windows.session_stream(s.withWatermark("ts", "1 hour"), "ts", "10 hours", "user_id", aggs)
+    got = run_available_now(sess, "ss_" + uuid.uuid4().hex[:6])
+    exp = windows.session(ev, "ts", 36000, "user_id", aggs, seq="event_id")
+    max_ts = ev.agg(F.max("ts")).first()[0]
+    closed = {(r.user_id, r.session_start, r.n) for r in exp.collect()
+              if r.session_end <= max_ts - dt.timedelta(hours=1)}
+    streamed = {(r.user_id, r.session_start, r.n) for r in got}
+    assert closed and closed <= streamed
+    slid = run_available_now(jobs.windowed_sum_stream(s, "ts", "10 hours", "1 hour", "user_id", "value",
+                                                      slide="5 hours"), "sl_" + uuid.uuid4().hex[:6])
+    batch = jobs.windowed_sum_stream(ev, "ts", "10 hours", "1 hour", "user_id", "value", slide="5 hours")
+    closed = sorted(map(tuple, [r for r in batch.collect() if r.window_end <= max_ts - dt.timedelta(hours=1)]))
+    assert sorted(map(tuple, slid)) == closed
+
+
+def test_day_totals_stream_update_mode(spark, sf, tmpdir_path):
+    ev = _events(spark, sf, f"{tmpdir_path}/in")
+    s = _stream(spark, ev.schema, f"{tmpdir_path}/in")
+    got = run_available_now(jobs.day_totals_stream(s, "ts", "event_type", "value"), "dt_" + uuid.uuid4().hex[:6],
+                            mode="update")
+    final = {}
+    for r in got:  # the last update per (day, category) is its total
+        final[(r.window_start, r.event_type)] = r.total
+    exp = jobs.day_totals_stream(ev, "ts", "event_type", "value").collect()
+    assert final == {(r.window_start, r.event_type): r.total for r in exp}
+
+
+def test_rate_orders_source(spark, tmpdir_path):
+    from tidewater.sources import basic as sources
+    q = (sources.rate_orders(spark, rows_per_second=20).writeStream.format("memory")
+         .queryName("rate_" + uuid.uuid4().hex[:6]).option("checkpointLocation", f"{tmpdir_path}/ck")
+         .trigger(processingTime="200 milliseconds").start())
+    try:
+        q.awaitTermination(3)
+    finally:
+        q.stop()
+    rows = spark.table(q.name).collect()
+    assert rows and all(0 <= r.user_id < 3 and 0 <= r.money <= 100 for r in rows)
