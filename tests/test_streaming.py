@@ -1,7 +1,6 @@
 """Stream/batch parity, stateful processors, recovery and exactly-once output."""
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -239,3 +238,13 @@ def test_dashboard_stream_matches_batch_ticks(spark, sf, tmpdir_path):
     g_exp = dashboard.grand_totals(exp).select("tick", "grand_total").collect()
     assert sorted(map(tuple, h.read(spark, "grand").select("tick", "grand_total").collect())) == \
         sorted(map(tuple, g_exp))
+
+
+def test_running_sum_stream_exact_matches_batch(spark, sf, tmpdir_path):
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type", "value")
+    src = _batches_by_id(spark, ev, f"{tmpdir_path}/in", 3)
+    s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    got = run_available_now(processors.running_stream(s, "event_type", "event_id", "value", "sum",
+                                                      key_type="string"), _name())
+    exp = keyed.running_sum(ev, "event_type", "event_id", "value").collect()
+    assert sorted((r.event_id, r.result) for r in got) == sorted((r.event_id, r.running) for r in exp)

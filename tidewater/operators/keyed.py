@@ -8,7 +8,7 @@ Running aggregates go through :mod:`tidewater.operators.scan`.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +80,6 @@ class Accumulator:
     """
     parts: Mapping[str, Column]
     result: Callable[[Mapping[str, Column]], Column]
-    extra: dict = field(default_factory=dict)
 
 
 def aggregate(df: DataFrame, keys: Sequence[str] | str, acc: Accumulator, out: str) -> DataFrame:

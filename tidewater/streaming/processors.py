@@ -9,6 +9,7 @@ provider, set in :mod:`tidewater.session`) and is checkpointed with the query.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -33,17 +34,28 @@ class RunningAggregate(StatefulProcessor):
     """
 
     def __init__(self, key: str, seq: str, value: str | None, how: str = "sum", changelog: bool = False,
-                 schema: str = ""):
+                 schema: str = "", exact_scale: int | None = 2):
         self.key, self.seq, self.value, self.how, self.changelog = key, seq, value, how, changelog
         self.schema = schema
+        # sums are kept as decimals (money to the cent, as the batch form) unless exact_scale is None
+        self.exact = exact_scale if how == "sum" else None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "acc double")
+        state_type = f"decimal(38,{self.exact})" if self.exact is not None else "double"
+        self.acc = handle.getValueState("acc", f"acc {state_type}")
+
+    def _value(self, r):
+        if self.how == "count":
+            return 1.0
+        v = r[self.value]
+        if self.exact is not None and v is not None:
+            return Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-self.exact))
+        return v
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         cur = self.acc.get()[0] if self.acc.exists() else None
         for r in _sorted(rows, self.seq):
-            v = 1.0 if self.how == "count" else r[self.value]
+            v = self._value(r)
             old = cur
             if cur is None:
                 cur = v
@@ -55,11 +67,11 @@ class RunningAggregate(StatefulProcessor):
                 cur = cur + v
             if self.changelog:
                 if old is not None:
-                    yield _row(self.schema, r[self.seq], 0, False, key[0], old)
-                yield _row(self.schema, r[self.seq], 1, True, key[0], cur)
+                    yield _row(self.schema, r[self.seq], 0, False, key[0], float(old))
+                yield _row(self.schema, r[self.seq], 1, True, key[0], float(cur))
             else:
                 yield _row(self.schema, key[0], r[self.seq],
-                           None if self.how == "count" else r[self.value], cur)
+                           None if self.how == "count" else r[self.value], float(cur))
         self.acc.update((cur,))
 
     def close(self) -> None:

@@ -94,16 +94,22 @@ class IdempotentBatchSink:
 
     Each micro-batch is written to ``path/batch=<id>`` with overwrite, so a
     batch replayed after a failure replaces its earlier partial output instead
-    of duplicating it. ``seq`` numbers the rows within a batch, giving every
-    record the idempotency key ``(batch, seq)`` for external systems.
+    of duplicating it. ``with_key=True`` adds ``batch_id`` and ``seq`` columns,
+    the idempotency key ``(batch_id, seq)`` an external system can upsert on.
     """
 
-    def __init__(self, path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
+    def __init__(self, path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
+                 with_key: bool = False):
         self.path = path.rstrip("/")
         self.transform = transform
+        self.with_key = with_key
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         out = self.transform(batch) if self.transform else batch
+        if self.with_key:
+            # (batch_id, seq) identifies a record across replays of the same batch
+            out = out.select(F.lit(batch_id).cast("long").alias("batch_id"),
+                             F.monotonically_increasing_id().alias("seq"), "*")
         out.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
     def read(self, spark: SparkSession) -> DataFrame:
