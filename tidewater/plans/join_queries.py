@@ -55,14 +55,19 @@ def broadcast_enrich(spark, sf):
 
 
 @query("lookup_enrich_default", """
-select o_orderkey, o_custkey, coalesce(c.c_name, '未知') as c_name
-from orders left join (select * from customer where c_custkey % 7 <> 0) c on o_custkey = c.c_custkey
+select d.doc_id, coalesce(l.label, '未知') as label
+from documents d
+left join (select doc_id, case when quality = 1 then 'good' else 'poor' end as label from labels) l
+  on d.doc_id = l.doc_id
 """)
 def lookup_enrich_default(spark, sf):
-    """Customers whose key is a multiple of 7 are missing from the lookup table."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    cust = table(spark, sf, "customer").where(F.pmod("c_custkey", F.lit(7)) != 0)
-    return joins.lookup_enrich(orders, cust, "o_custkey", "c_custkey", "c_name", "c_name")
+    """Each document's quality label looked up in ``labels``, which covers only
+    some documents: a miss gets the reference's fallback name."""
+    docs = table(spark, sf, "documents").select("doc_id")
+    labels = table(spark, sf, "labels").select(
+        F.col("doc_id").alias("label_doc"),
+        F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("poor")).alias("label"))
+    return joins.lookup_enrich(docs, labels, "doc_id", "label_doc", "label", "label")
 
 
 _UNION_PARTS = ("select user_id, event_type from events where value > 50",
