@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import formats
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -46,9 +48,11 @@ def word_ones(df: DataFrame, col: str = "value", out: str = "word", sep: str = "
 def tuple_text(*cols: Column | str) -> Column:
     """Tuple rendering ``(a,b)`` as written by ``writeAsText`` (K2)."""
     parts = [_c(c).cast("string") for c in cols]
+    if len(parts) == 2:
+        return F.format_string(formats.TUPLE_FORMAT, *parts)
     return F.concat(F.lit("("), F.concat_ws(",", *parts), F.lit(")"))
 
 
-def pair_text(key: Column | str, value: Column | str, sep: str = ":::") -> Column:
+def pair_text(key: Column | str, value: Column | str, sep: str = formats.PAIR_SEPARATOR) -> Column:
     """``key + sep + value`` (P10): ``word:::count`` and ``word:count``."""
     return F.concat(_c(key).cast("string"), F.lit(sep), _c(value).cast("string"))

@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import formats
 from tidewater.functions.timecols import MICROS, bucket_start, micros_of, seconds
 
 # Largest side we hint for broadcast: well under executor memory at scale.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
-MISSING_NAME = "未知"  # fixed value: the reference's fallback name for a failed lookup
+MISSING_NAME = formats.MISSING_NAME  # fallback name of a failed lookup
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.functions import formats
 from tidewater.functions.timecols import bucket_end, bucket_start, seconds
 from tidewater.operators import scan
 
@@ -111,21 +112,21 @@ def count_sliding(df: DataFrame, keys, seq: str, size: int, slide: int, value: C
 
 
 def window_contents(df: DataFrame, ts: str, size: str, key: str, seq: str,
-                    time_fmt: str = "HH:mm:ss") -> DataFrame:
+                    time_fmt: str = formats.TIME_FORMAT) -> DataFrame:
     """``window.apply``: whole window contents per key and window.
 
     ``contents`` follows the reference's printout
-    ``key:<k>,窗口开始结束:[<start>~<end>),属于该窗口的事件时间:[t1, t2, ...]``
-    with times sorted by (ts, seq) so the list is deterministic.
+    (:data:`tidewater.functions.formats.WINDOW_CONTENTS_FORMAT`) with the
+    times sorted by (ts, seq) so the list is deterministic.
     """
     items = F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(seq).alias("s"))))
     g = flatten_window(df.groupBy(F.window(ts, size).alias("window"), key)
                        .agg(items.alias("_items")))
     times = F.transform("_items", lambda x: F.date_format(x["t"], time_fmt))
-    text = F.concat(
-        F.lit("key:"), F.col(key).cast("string"), F.lit(",窗口开始结束:["),
-        F.date_format("window_start", time_fmt), F.lit("~"), F.date_format("window_end", time_fmt),
-        F.lit("),属于该窗口的事件时间:["), F.array_join(times, ", "), F.lit("]"))
+    as_list = F.concat(F.lit("["), F.array_join(times, ", "), F.lit("]"))  # Java List.toString
+    text = F.format_string(formats.WINDOW_CONTENTS_FORMAT, F.col(key).cast("string"),
+                           F.date_format("window_start", time_fmt), F.date_format("window_end", time_fmt),
+                           as_list)
     return g.select("window_start", "window_end", key, F.size("_items").cast("long").alias("n"),
                     text.alias("contents"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions import formats
 from tidewater.operators import keyed, ranking, windows
 from tidewater.plans.registry import query, table
 from tidewater.plans.window_queries import DAY_TO_DATE_SQL
@@ -64,8 +65,8 @@ from gt
 """)
 def dashboard_totals(spark, sf):
     g = grand_totals(category_totals(table(spark, sf, "events")))
-    line = F.concat(F.lit("时间: "), F.date_format("tick", "yyyy-MM-dd HH:mm:ss"),
-                    F.lit(" 总金额 :"), F.col("grand_total").cast("string"))
+    line = F.format_string(formats.DASHBOARD_TOTAL_FORMAT, F.date_format("tick", formats.DATETIME_FORMAT),
+                           F.col("grand_total").cast("string"))
     return g.select("tick", "grand_total", line.alias("line"))
 
 
@@ -75,5 +76,5 @@ from ranked where rank <= 3 group by tick
 """)
 def dashboard_top3(spark, sf):
     t = top3(category_totals(table(spark, sf, "events")))
-    text = F.concat(F.lit("分类:"), F.col("category"), F.lit(" 金额:"), F.col("total").cast("string"))
+    text = F.format_string(formats.DASHBOARD_TOP_FORMAT, F.col("category"), F.col("total").cast("string"))
     return ranking.ranked_text(t, "tick", "rank", text, "top3")

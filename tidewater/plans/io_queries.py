@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions import records
+from tidewater.functions import formats, records
 from tidewater.functions.text import pair_text
 from tidewater.operators import keyed, partitioning
 from tidewater.plans.registry import query, table
@@ -165,7 +165,7 @@ def sink_keyed_upsert(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "ts", "user_id")
     running = keyed.running_sum(ev.withColumn("one", F.lit(1)), "user_id", "event_id", "one",
                                 out="cnt", exact_scale=None)
-    sink = sinks.KeyedUpsertSink(spark, scratch_path(spark, "wcresult"), "wcresult")
+    sink = sinks.KeyedUpsertSink(spark, scratch_path(spark, "wcresult"), formats.UPSERT_HASH)
     cut = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
     for batch_id, part in enumerate((running.where(cut), running.where(~cut))):
         sink.upsert(part, "user_id", "cnt", "event_id", batch_id)
@@ -213,8 +213,8 @@ from events group by event_type
 """)
 def map_format_pairs(spark, sf):
     c = keyed.keyed_count(table(spark, sf, "events"), "event_type", "n")
-    return c.select("event_type", pair_text("event_type", "n", ":::").alias("pair3"),
-                    pair_text("event_type", "n", ":").alias("pair1"))
+    return c.select("event_type", pair_text("event_type", "n", formats.PAIR_SEPARATOR).alias("pair3"),
+                    pair_text("event_type", "n", formats.PAIR_SEPARATOR_SHORT).alias("pair1"))
 
 
 @query("row_to_json", """

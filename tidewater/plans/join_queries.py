@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewater.functions import formats
 from tidewater.operators import joins, routing
 from tidewater.plans.registry import query, table
 
@@ -108,5 +109,5 @@ def connect_comap(spark, sf):
     region, nation = table(spark, sf, "region"), table(spark, sf, "nation")
     return routing.connect_map(
         region, nation,
-        lambda d: F.concat(F.lit("String:"), F.col("r_name")),
-        lambda d: F.concat(F.lit("Long:"), F.col("n_nationkey").cast("string")))
+        lambda d: F.concat(F.lit(formats.CONNECT_STRING_PREFIX), F.col("r_name")),
+        lambda d: F.concat(F.lit(formats.CONNECT_LONG_PREFIX), F.col("n_nationkey").cast("string")))

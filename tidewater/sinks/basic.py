@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions import formats
 from tidewater.functions.text import tuple_text
 
 
@@ -34,12 +35,12 @@ def write_tuples(df: DataFrame, cols: Sequence[str], path: str, files: int = 1)
 
 def bucket_hourly(ts: Column | str) -> Column:
     """Default bucket of the older streaming file sink: ``yyyy-MM-dd--HH`` (K4)."""
-    return F.date_format(ts, "yyyy-MM-dd--HH")
+    return F.date_format(ts, formats.HOUR_BUCKET_FORMAT)
 
 
 def bucket_daily(ts: Column | str) -> Column:
     """Bucket assigner ``yyyy-MM-dd`` (K3)."""
-    return F.date_format(ts, "yyyy-MM-dd")
+    return F.date_format(ts, formats.DAY_BUCKET_FORMAT)
 
 
 def write_rolling(df: DataFrame, line: Column, bucket: Column, path: str,
