@@ -99,3 +99,36 @@ def test_catalog_self_append(spark, tmpdir_path):
     spark.catalog.refreshTable("tw_person_test")
     assert sources.catalog_table(spark, "tw_person_test").count() == 4
     spark.sql("DROP TABLE tw_person_test")
+
+
+def test_poll_jdbc_reemits_full_table(spark, tmpdir_path):
+    from tidewater.streaming.recovery import IdempotentBatchSink
+    url = _derby(spark, tmpdir_path)
+    sinks.jdbc_append(sources.inline(spark, [("tony", 18), ("tony2", 18)], "name string, age int"),
+                      url, "t_student", DERBY)
+    sink = IdempotentBatchSink(f"{tmpdir_path}/polls")
+    q = sources.poll_jdbc(spark, url, "select id, name, age from t_student", sink, f"{tmpdir_path}/ck",
+                          interval="300 milliseconds", props=DERBY)
+    try:
+        q.awaitTermination(3)
+    finally:
+        q.stop()
+    polls = sink.read(spark).groupBy("poll").count().collect()
+    assert len(polls) >= 2 and all(r["count"] == 2 for r in polls)
+
+
+def test_remote_lookup_bounded_batches_and_default(spark):
+    import time
+    from tidewater.operators.lookup import remote_lookup
+    names = {1: "服装", 2: "图书", 3: "家电"}
+
+    def fetch(keys):
+        if 5 in keys:
+            time.sleep(2)  # this batch times out
+        return {k: names[k] for k in keys if k in names}
+
+    facts = spark.createDataFrame([(i % 6,) for i in range(60)], "cid long")
+    got = remote_lookup(facts.where("cid != 5"), "cid", fetch, "name", batch_size=2, max_in_flight=3)
+    assert {(r.cid, r.name) for r in got.collect()} == {(0, "未知"), (1, "服装"), (2, "图书"), (3, "家电"), (4, "未知")}
+    slow = remote_lookup(facts.where("cid = 5"), "cid", fetch, "name", timeout=0.2, on_missing="null")
+    assert {r.name for r in slow.collect()} == {None}

@@ -96,6 +96,19 @@ def jdbc_snapshots(spark: SparkSession, url: str, query: str, interval: str = "5
     return ticks, snapshot
 
 
+def poll_jdbc(spark: SparkSession, url: str, query: str, sink, checkpoint: str, interval: str = "5 seconds",
+              props: dict | None = None):
+    """Start the polling JDBC source (S8): every ``interval`` the whole result of
+    ``query`` is read and handed to ``sink(snapshot, batch_id)``. Returns the
+    running query."""
+    ticks, snapshot = jdbc_snapshots(spark, url, query, interval, props)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        sink(snapshot(batch, batch_id), batch_id)
+    return (ticks.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())
+
+
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     """External-catalog table scan."""
     return spark.table(name)
