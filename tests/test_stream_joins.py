@@ -134,3 +134,17 @@ def test_idempotent_sink_keys(spark, tmpdir_path):
     sink(df, 3)  # replay
     rows = sink.read(spark).collect()
     assert len(rows) == 5 and {r.batch_id for r in rows} == {3} and len({r.seq for r in rows}) == 5
+
+
+def test_rolling_file_stream_sink(spark, sf, tmpdir_path):
+    from tidewater.functions.text import pair_text
+    from tidewater.sinks import basic as sinks
+    ev = _events(spark, sf, f"{tmpdir_path}/in")
+    s = _stream(spark, ev.schema, f"{tmpdir_path}/in")
+    w = sinks.rolling_stream(s, pair_text("event_id", "event_type"), sinks.bucket_daily("ts"), f"{tmpdir_path}/out",
+                             f"{tmpdir_path}/ck", max_records_per_file=50)
+    w.trigger(availableNow=True).start().awaitTermination()
+    got = sinks.read_rolling(spark, f"{tmpdir_path}/out")
+    assert got.count() == ev.count()
+    days = {r.dt for r in got.select("dt").distinct().collect()}
+    assert days == {r.d for r in ev.select(F.date_format("ts", "yyyy-MM-dd").alias("d")).distinct().collect()}
