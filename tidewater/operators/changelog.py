@@ -31,12 +31,14 @@ def aggregate_changelog(df: DataFrame, keys: Sequence[str] | str, seq: str, valu
     ``flag``, keys, ``out``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if how in ("sum", "count"):
+    if how == "count":
+        cur = scan.running(df, keys, [seq], None, how="count", out="_new", block_size=block_size)
+        old = F.when(F.col("_new") > 1, F.col("_new") - 1)
+    elif how == "sum":
         # previous result = current minus this row's contribution; none for a key's first row
-        cur = scan.running_many(df, keys, [seq], [(value, how, "_new"), (None, "count", "_pos")],
+        cur = scan.running_many(df, keys, [seq], [(value, "sum", "_new"), (None, "count", "_pos")],
                                 block_size=block_size)
-        step = F.lit(1) if how == "count" else F.col(value)
-        old = F.when(F.col("_pos") > 1, F.col("_new") - step)
+        old = F.when(F.col("_pos") > 1, F.col("_new") - F.col(value))
     else:
         cur = scan.running(df, keys, [seq], value, how=how, out="_new", block_size=block_size)
         cur = scan.running(cur, keys, [seq], value, how=how, out="_old", inclusive=False,
