@@ -19,6 +19,8 @@ from tidewater.plans.registry import query, table
 from tidewater.session import scratch_path
 from tidewater.sinks import basic as sinks
 from tidewater.sources import basic as sources
+from tidewater.streaming import jobs as stream_jobs
+from tidewater.streaming.recovery import IdempotentBatchSink, JobConfig, latest_per_key
 
 EVENT_JSON_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -97,6 +99,40 @@ def src_sequence(spark, sf):
     return sources.sequence(spark, b["a"], b["b"]).where(F.col("value") > 10)
 
 
+def documents_as_text(spark, sf, path: str, files: int = 4) -> str:
+    """Write each document's text as text files (its newlines become lines)."""
+    table(spark, sf, "documents").select("text").repartition(files).write.mode("overwrite").text(path)
+    return path
+
+
+_LINES_SQL = "select unnest(string_split(text, chr(10))) as value from documents"
+
+
+@query("src_text", _LINES_SQL)
+def src_text(spark, sf):
+    """``readTextFile``: one row per line of files written from ``documents``."""
+    return sources.text(spark, documents_as_text(spark, sf, scratch_path(spark, "documents-text")))
+
+
+@query("stream_wordcount", f"""
+select word, cast(count(*) as bigint) as n from (
+  select unnest(string_split(rtrim(value, ' '), ' ')) as word
+  from ({_LINES_SQL}) where not (value <> '' and rtrim(value, ' ') = '')
+) group by word
+""")
+def stream_wordcount(spark, sf):
+    """Word count over a line stream (S4 -> A2 in update mode -> K8): files
+    arrive one per micro-batch, each batch's updated counts go to an
+    idempotent per-batch sink, and the final count is the latest update."""
+    src = documents_as_text(spark, sf, scratch_path(spark, "lines"))
+    sink = IdempotentBatchSink(scratch_path(spark, "wordcount-updates"))
+    lines = sources.text_stream(spark, src, max_files_per_trigger=1)
+    cfg = JobConfig(checkpoint_location=scratch_path(spark, "wordcount-ckpt"), available_now=True)
+    q = cfg.apply(stream_jobs.word_counts_stream(lines).writeStream.outputMode("update").foreachBatch(sink)).start()
+    q.awaitTermination()
+    return latest_per_key(sink.read(spark), "word", "n")
+
+
 @query("src_view", "select r_regionkey, r_name from region")
 def src_view(spark, sf):
     return sources.view(table(spark, sf, "region"), "region_view", ["r_regionkey", "r_name"])
