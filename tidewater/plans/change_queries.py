@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import changelog, lateness, routing
 from tidewater.plans.registry import query, table
+from tidewater.session import scratch_path
+from tidewater.streaming.late_windows import LateWindowSum
 
 HAVING_COUNT = 60
 
@@ -104,7 +106,7 @@ def late_side_output(spark, sf):
     return side.select("event_id", "user_id", "event_time", "value")
 
 
-@query("late_refire", JITTER_SQL + """,
+_LATE_REFIRE_SQL = JITTER_SQL + """,
 ontime as (
   select user_id, window_start, window_end, sum(cast(value as decimal(18,2))) as s
   from c where lateness = 'on_time' group by all),
@@ -120,11 +122,34 @@ union all
 select l.user_id, l.window_start, l.window_end, l.fire_no, l.event_id as trigger_id,
        cast(coalesce(o.s, 0) + l.cs as double) as value_sum
 from late l left join ontime o on l.user_id = o.user_id and l.window_start = o.window_start
-""")
+"""
+
+
+@query("late_refire", _LATE_REFIRE_SQL)
 def late_refire(spark, sf):
     return lateness.refire(classified(spark, sf), ["user_id"], "event_id", "value")
 
 
+ARRIVAL_SLICES = 4
+
+
+@query("stream_late_refire", _LATE_REFIRE_SQL)
+def stream_late_refire(spark, sf):
+    """The incremental engine (:class:`LateWindowSum`, what ``foreachBatch``
+    runs per micro-batch) fed the disorder fixture in arrival slices of
+    contiguous ids: state, watermark and outputs carried between slices through
+    the shared checkpoint folder, then end of input. Equals the batch result."""
+    j = jittered_events(spark, sf)
+    engine = LateWindowSum(scratch_path(spark, "late-windows"), ["user_id"], "event_id", "event_time",
+                           "value", WINDOW_S, DELAY_S, LATENESS_S)
+    lo, hi = j.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (hi - lo) // ARRIVAL_SLICES + 1
+    for i in range(ARRIVAL_SLICES):
+        engine(j.where((F.col("event_id") >= lo + i * step) & (F.col("event_id") < lo + (i + 1) * step)), i)
+    engine.flush(spark, ARRIVAL_SLICES)
+    return engine.results(spark)
+
+
 @query("lateness_classes", JITTER_SQL + """
 select lateness, count(*) as n from c group by lateness
 """)

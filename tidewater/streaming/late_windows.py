@@ -39,6 +39,7 @@ class LateWindowSum:
         self.window_s, self.delay_s, self.lateness_s = window_seconds, delay_seconds, lateness_seconds
         self.block_size = block_size
         self.wkeys = [*self.keys, "window_start", "window_end"]
+        self._last: tuple[int, object] | None = None  # (batch id, max event time) written last
 
     # ------------------------------------------------------------------ storage
     def _path(self, kind: str, batch_id: int | None = None) -> str:
@@ -61,10 +62,13 @@ class LateWindowSum:
     # ------------------------------------------------------------------ batch
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = self._previous(spark, batch_id)
-        prior_max = None
-        if prev is not None:
-            prior_max = spark.read.parquet(self._path("wm", prev)).first()["m"]
+        if self._last is not None and self._last[0] == batch_id - 1:
+            prev, prior_max = self._last  # same process, next batch: skip re-reading the marker
+        else:  # first batch of this process (start or restart): read what was persisted
+            prev = self._previous(spark, batch_id)
+            prior_max = None
+            if prev is not None:
+                prior_max = spark.read.parquet(self._path("wm", prev)).first()["m"]
         v = F.col(self.value).cast("decimal(18,2)")
         rows = batch.select(*self.keys, self.seq, self.et, v.alias("_v")).persist()
         try:
@@ -74,8 +78,15 @@ class LateWindowSum:
 
     def _process(self, spark, rows, batch_id, prev, prior_max):
         et_type = rows.schema[self.et].dataType
+        # one micro-batch is bounded: cache its classified rows for the four outputs
         cls = lateness.classify(rows, self.seq, self.et, self.window_s, self.delay_s, self.lateness_s,
-                                prior_max=prior_max, block_size=self.block_size)
+                                prior_max=prior_max, block_size=self.block_size).persist()
+        try:
+            self._emit(spark, rows, cls, batch_id, prev, prior_max, et_type)
+        finally:
+            cls.unpersist()
+
+    def _emit(self, spark, rows, cls, batch_id, prev, prior_max, et_type):
         on = cls.where(F.col("lateness") == lateness.ON_TIME)
         late = cls.where(F.col("lateness") == lateness.LATE)
         side = cls.where(F.col("lateness") == lateness.TOO_LATE)
@@ -125,6 +136,7 @@ class LateWindowSum:
             *self.wkeys, F.lit(0).cast("long").alias("fire_no"), F.lit(None).cast("long").alias("trigger_id"),
             F.col("on_sum").cast("double").alias("value_sum"))
         new_state = merged.withColumn("fired", F.col("fired") | fires_now).where(keep)
+        merged.persist()
 
         first.unionByName(refire).write.mode("overwrite").parquet(self._path("out", batch_id))
         side.select(*self.keys, self.seq, self.et, F.col("_v").cast("double").alias(self.value)) \
@@ -132,6 +144,8 @@ class LateWindowSum:
         new_state.write.mode("overwrite").parquet(self._path("state", batch_id))
         spark.createDataFrame([(new_max,)], f"m {et_type.simpleString()}") \
             .write.mode("overwrite").parquet(self._path("wm", batch_id))
+        merged.unpersist()
+        self._last = (batch_id, new_max)
 
     # ------------------------------------------------------------------ end of input
     def flush(self, spark: SparkSession, final_batch_id: int) -> None:
