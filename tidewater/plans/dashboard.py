@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tidewater.functions import formats
 from tidewater.operators import keyed, ranking, windows
 from tidewater.plans.registry import query, table
+from tidewater.session import scratch_path
+from tidewater.streaming.dashboard_stream import DashboardStream
 from tidewater.plans.window_queries import DAY_TO_DATE_SQL
 
 TOP_K = 3
@@ -78,3 +80,25 @@ def dashboard_top3(spark, sf):
     t = top3(category_totals(table(spark, sf, "events")))
     text = F.format_string(formats.DASHBOARD_TOP_FORMAT, F.col("category"), F.col("total").cast("string"))
     return ranking.ranked_text(t, "tick", "rank", text, "top3")
+
+
+SLICE_SECONDS = 10 * 86400  # arrival slices of ten days, cut on hour boundaries
+
+
+@query("stream_dashboard", _TOTALS + f"""
+select day_start, tick, category, total from dd
+where tick in (
+  select time_bucket(interval '1 hour', max(ts), timestamp '1970-01-01') + interval '1 hour'
+  from events group by floor(epoch(ts) / {SLICE_SECONDS}))
+""")
+def stream_dashboard(spark, sf):
+    """The live dashboard handler (:class:`DashboardStream`, one call per
+    micro-batch) fed ``events`` in arrival slices; each call is one tick. Its
+    output equals the batch day-to-date grid at those ticks."""
+    ev = table(spark, sf, "events").select("ts", "event_type", "value")
+    part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / SLICE_SECONDS)
+    slices = sorted(r[0] for r in ev.select(part.alias("p")).distinct().collect())
+    handler = DashboardStream(scratch_path(spark, "dashboard"), "ts", "event_type", "value")
+    for batch_id, p in enumerate(slices):
+        handler(ev.where(part == p), batch_id)
+    return handler.read(spark, "totals").select("day_start", "tick", "category", "total")
