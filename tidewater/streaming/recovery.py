@@ -21,9 +21,18 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 class JobConfig:
     """Checkpoint settings of a streaming job.
 
-    ``interval`` is the micro-batch trigger: every batch commits offsets and
-    state, so it is also the checkpoint interval. The checkpoint folder must
-    be in shared storage; it survives ``stop()``, which gives "retain on cancel".
+    How the reference's settings map onto Structured Streaming:
+
+    * checkpoint every N ms -> ``interval``: each micro-batch commits its
+      offsets and state, so the trigger interval is the checkpoint interval;
+    * minimum pause between checkpoints, one concurrent checkpoint -> implied:
+      micro-batches run one after another, never overlapping;
+    * tolerated checkpoint failures / restart strategy -> :class:`RestartPolicy`
+      with :func:`run_with_restart`;
+    * retain on cancel -> the checkpoint folder (shared storage) survives
+      ``stop()``; a restart with the same folder resumes;
+    * exactly once -> replayable source + idempotent sink (:class:`IdempotentBatchSink`);
+    * bounded input (BATCH mode) -> ``available_now=True``.
     """
     checkpoint_location: str
     interval: str = "1 second"
