@@ -55,11 +55,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings the operators need without overriding the cluster's."""
     for k, v in DEFAULTS.items():
-        if k == "spark.sql.session.timeZone":
-            # Timestamps in the data are zone-less; the library computes in UTC.
-            spark.conf.set(k, v)
-        elif spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
+        try:
+            if k == "spark.sql.session.timeZone":
+                # Timestamps in the data are zone-less; the library computes in UTC.
+                spark.conf.set(k, v)
+            elif spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - a static or locked setting stays as the cluster has it
+            pass
     checkpoint_root(spark)
     return spark
 
@@ -70,12 +73,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
     unset (unit tests) a fresh local folder is chosen.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 
