@@ -220,17 +220,17 @@ def filter_contains(spark, sf):
 
 @query("sql_filter_status", f"{EVENTS_ALL} where event_type = 'purchase'")
 def sql_filter_status(spark, sf):
-    table(spark, sf, "events").createOrReplaceTempView("events")
-    return spark.sql(f"{EVENTS_ALL} where event_type = 'purchase'")
+    table(spark, sf, "events").createOrReplaceTempView("tw_events")
+    return spark.sql(EVENTS_ALL.replace("from events", "from tw_events") + " where event_type = 'purchase'")
 
 
 @query("sql_project_date", """
 select user_id, event_type, value, strftime(ts, '%Y-%m-%d') as tp from events where value > 2
 """)
 def sql_project_date(spark, sf):
-    table(spark, sf, "events").createOrReplaceTempView("events")
+    table(spark, sf, "events").createOrReplaceTempView("tw_events")
     return spark.sql("""select user_id, event_type, value, date_format(ts, 'yyyy-MM-dd') as tp
-                        from events where value > 2""")
+                        from tw_events where value > 2""")
 
 
 @query("parse_csv_records", """

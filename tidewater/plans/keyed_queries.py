@@ -46,10 +46,10 @@ select event_type, cast(sum(cast(value as decimal(18,2))) as double) as total
 from events group by event_type
 """)
 def sql_group_sum(spark, sf):
-    table(spark, sf, "events").createOrReplaceTempView("events")
+    table(spark, sf, "events").createOrReplaceTempView("tw_events")
     return spark.sql("""
         select event_type, cast(sum(cast(value as decimal(18,2))) as double) as total
-        from events group by event_type""")
+        from tw_events group by event_type""")
 
 
 @query("having_equals", """

@@ -158,11 +158,11 @@ select user_id, {B5} as window_start, {B5} + interval '5 hours' as window_end,
 from events group by all
 """)
 def sql_tumble_stats(spark, sf):
-    table(spark, sf, "events").createOrReplaceTempView("events")
+    table(spark, sf, "events").createOrReplaceTempView("tw_events")
     return spark.sql("""
         select user_id, window.start as window_start, window.end as window_end,
                count(*) as n, max(value) as max_value, min(value) as min_value
-        from events group by user_id, window(ts, '5 hours')""")
+        from tw_events group by user_id, window(ts, '5 hours')""")
 
 
 @query("dsl_tumble_stats", f"""
