@@ -162,3 +162,11 @@ def test_interval_join_bounds_inclusive(spark):
         .withColumn("ts", base + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("off")))
     got = joins.interval_join(left, right, "k", "ts", "ts", -2, 1).select("r.off").collect()
     assert sorted(r.off for r in got) == [-2, 0, 1]
+
+
+def test_random_orders_ranges(spark):
+    ids = spark.range(2000)
+    rows = sources.random_orders(ids).collect()
+    assert len({r.order_id for r in rows}) == 2000
+    assert {r.user_id for r in rows} == {0, 1, 2}
+    assert min(r.money for r in rows) >= 0 and max(r.money for r in rows) <= 100

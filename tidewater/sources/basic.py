@@ -59,6 +59,18 @@ def generated_orders(ids: DataFrame, id_col: str = "id", ts: Column | None = Non
         (ts if ts is not None else F.current_timestamp()).alias("create_time"))
 
 
+def random_orders(ids: DataFrame, seed: int = 42, ts: Column | None = None, users: int = 3,
+                  money_mod: int = 101) -> DataFrame:
+    """The generator as the reference writes it (S7): UUID order id, uniform
+    user in ``[0, users)`` and money in ``[0, money_mod)``. Seeded ``rand`` is
+    reproducible for a fixed partitioning; ``uuid()`` is not."""
+    return ids.select(
+        F.expr("uuid()").alias("order_id"),
+        F.floor(F.rand(seed) * users).cast("int").alias("user_id"),
+        F.floor(F.rand(seed + 1) * money_mod).cast("int").alias("money"),
+        (ts if ts is not None else F.current_timestamp()).alias("create_time"))
+
+
 def rate_orders(spark: SparkSession, rows_per_second: int = 2, partitions: int = 2) -> DataFrame:
     """Unbounded order stream: the rate source (S7 at 1 row/s per subtask, 2 subtasks)."""
     rate = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
