@@ -63,10 +63,10 @@ def main():
         "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     sc = spark.sparkContext
     ev = spark.read.parquet(f"{a.sf}/events.parquet")
-    copies = spark.range(a.copies).withColumnRenamed("id", "copy")
     span = ev.agg(F.max("event_id")).first()[0] + 1
     # a third of the rows belong to user 0; copies keep ids unique and ordered
-    skewed = (ev.join(F.broadcast(copies)).select(
+    copies = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(a.copies - 1))))
+    skewed = (copies.select(
         (F.col("copy") * span + F.col("event_id")).alias("event_id"),
         F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(0)).otherwise(F.col("user_id")).alias("user_id"),
         "value"))
