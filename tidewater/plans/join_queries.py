@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import formats
 from tidewater.operators import joins, routing
+from tidewater.functions.timecols import as_event_time
 from tidewater.plans.registry import query, table
+from tidewater.plans.window_queries import FILES_PER_SLICE, write_arrival_slices
+from tidewater.session import scratch_path
+from tidewater.streaming import jobs as stream_jobs
+from tidewater.streaming.recovery import IdempotentBatchSink
 
 B10 = "time_bucket(interval '10 hours', ts, timestamp '1970-01-01')"
 
@@ -15,14 +20,18 @@ def purchases(ev):
     return ev.where(F.col("event_type") == "purchase")
 
 
-@query("window_join", f"""
+_WINDOW_JOIN_SQL = f"""
 with l as (select *, {B10} as b from events),
      r as (select *, {B10} as b from events where event_type = 'purchase')
 select l.b as window_start, l.b + interval '10 hours' as window_end, l.user_id,
        l.event_id as l_event_id, r.event_id as r_event_id,
        cast(cast(l.value as decimal(18,2)) * cast(r.value as decimal(18,2)) as double) as amount
 from l join r on l.user_id = r.user_id and l.b = r.b
-""")
+"""
+
+
+@query("window_join", _WINDOW_JOIN_SQL)
+
 def window_join(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     j = joins.window_join(ev, purchases(ev), "user_id", "ts", "ts", 10 * 3600)
@@ -31,12 +40,16 @@ def window_join(spark, sf):
                     F.col("r.event_id").alias("r_event_id"), amount.cast("double").alias("amount"))
 
 
-@query("interval_join", """
+_INTERVAL_JOIN_SQL = """
 select l.event_id as l_event_id, r.event_id as r_event_id, l.user_id, l.ts as l_ts, r.ts as r_ts
 from events l join events r
   on l.user_id = r.user_id and r.event_type = 'purchase'
  and r.ts between l.ts - interval '2 hours' and l.ts + interval '1 hours'
-""")
+"""
+
+
+@query("interval_join", _INTERVAL_JOIN_SQL)
+
 def interval_join(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
     j = joins.interval_join(ev, purchases(ev), "user_id", "ts", "ts", -2 * 3600, 3600)
@@ -111,3 +124,46 @@ def connect_comap(spark, sf):
         region, nation,
         lambda d: F.concat(F.lit(formats.CONNECT_STRING_PREFIX), F.col("r_name")),
         lambda d: F.concat(F.lit(formats.CONNECT_LONG_PREFIX), F.col("n_nationkey").cast("string")))
+
+
+def _event_streams(spark, sf):
+    """``events`` arriving in slices, read as two streams (all events, purchases)."""
+    ev = as_event_time(table(spark, sf, "events"), "ts").select("event_id", "ts", "user_id", "event_type", "value")
+    src = write_arrival_slices(ev, scratch_path(spark, "events-arrival"), "event_id")
+
+    def stream():
+        return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(f"{src}/*")
+    return stream(), purchases(stream())
+
+
+def _run_stream(spark, df, name):
+    sink = IdempotentBatchSink(scratch_path(spark, name))
+    (df.writeStream.outputMode("append").foreachBatch(sink)
+     .option("checkpointLocation", scratch_path(spark, name + "-ckpt")).trigger(availableNow=True).start()
+     .awaitTermination())
+    return sink.read(spark).drop("batch")
+
+
+@query("stream_window_join", _WINDOW_JOIN_SQL)
+def stream_window_join(spark, sf):
+    """Stream-stream window join (J1 in a stream): both sides watermarked,
+    joined on (user, 10 h window); join state is evicted by the watermarks."""
+    left, right = _event_streams(spark, sf)
+    j = stream_jobs.window_join_stream(left, right, "user_id", "ts", "ts", 10 * 3600, "1 hour")
+    amount = F.col("l.value").cast("decimal(18,2)") * F.col("r.value").cast("decimal(18,2)")
+    out = j.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                   F.col("window_end").cast("timestamp_ntz").alias("window_end"), "user_id",
+                   F.col("l.event_id").alias("l_event_id"), F.col("r.event_id").alias("r_event_id"),
+                   amount.cast("double").alias("amount"))
+    return _run_stream(spark, out, "window-join-out")
+
+
+@query("stream_interval_join", _INTERVAL_JOIN_SQL)
+def stream_interval_join(spark, sf):
+    """Stream-stream interval join (J2 in a stream), state bounded by both watermarks."""
+    left, right = _event_streams(spark, sf)
+    j = stream_jobs.interval_join_stream(left, right, "user_id", "ts", "ts", -2 * 3600, 3600, "1 hour")
+    out = j.select(F.col("l.event_id").alias("l_event_id"), F.col("r.event_id").alias("r_event_id"),
+                   F.col("l.user_id").alias("user_id"), F.col("l.ts").cast("timestamp_ntz").alias("l_ts"),
+                   F.col("r.ts").cast("timestamp_ntz").alias("r_ts"))
+    return _run_stream(spark, out, "interval-join-out")
