@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from tidewater.plans import ORACLES, QUERIES
 from tools.check import TABLES, digest
 
-ORACLES = oracle_sql()
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
