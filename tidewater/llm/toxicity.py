@@ -214,7 +214,7 @@ def choose_terms(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int)
     for s in sorted(good, key=lambda s: (len(s), s)):
         if any(s.startswith(c) for c in chosen if not c.endswith(END)):
             continue
-        if s.endswith(END) or not any(x != s and x.startswith(s) and good[x] >= 0.95 * good[s] for x in good):
+        if s.endswith(END) or not any(x != s and x.startswith(s) and good[x] >= 0.8 * good[s] for x in good):
             chosen.append(s)
     return sorted(chosen, key=lambda s: (-good[s], s))[:MAX_TERMS]
 
