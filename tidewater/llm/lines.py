@@ -1,14 +1,17 @@
 """Line deduplication: equal normalised units across a corpus keep their first occurrence.
 
-Units are lines or paragraphs. Each is normalised (case and white space), hashed to 128
+Units are lines (or paragraphs) and, inside them, pieces: sentences, cut further after
+words picked by their own hash, so that a passage that stands in the middle of other text gives the same
+pieces wherever it stands. Each unit is normalised (case and white space), hashed to 128
 bits, and the digests are grouped globally; of every digest the occurrence that comes first
-by ``(rank, offset)`` stays. Only digests, ids and offsets are shuffled, never text; the
+by ``(id, offset)`` stays. Only digests, ids and offsets are shuffled, never text; the
 grouping combines on the map side, so a line that is in every document is one row a task.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import xxhash
@@ -18,57 +21,88 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import map_texts, materialise
 
 UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+")}
-
-
-def normalise(unit: str) -> str:
-    return " ".join(unit.casefold().split())
-
-
-def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int) -> DataFrame:
-    """(doc_id, start, end, hi, lo): one row per distinct unit of a document and place."""
-    pattern = UNITS[unit]
-
+#: Shorter units always stay.
+MIN_LINE_WORDS = 3
+MIN_PIECE_WORDS = 6
+#: One word in so many ends a piece; so does the end of a sentence.
+CUT = 12
+_WORD = re.compile(r"\S+")
+
+
+def pieces(words: list[tuple[int, int, str]]) -> Iterator[list[tuple[int, int, str]]]:
+    """``words`` (start, end, case-folded) cut after sentence ends and words picked by their hash."""
+    at = 0
+    for i, (_, _, w) in enumerate(words):
+        if w[-1] in ".!?" or zlib.crc32(w.encode("utf-8", "surrogatepass")) % CUT == 0:
+            yield words[at:i + 1]
+            at = i + 1
+    if at < len(words):
+        yield words[at:]
+
+
+def units_of(text: str | None, unit: str = "line", min_words: int = MIN_LINE_WORDS,
+             min_piece: int = MIN_PIECE_WORDS) -> Iterator[tuple[int, int, int, str]]:
+    """(whole's start, start, end, normalised text) of each unit; wholes have equal starts
+    and are marked by a leading space in their text, so they never equal a piece."""
+    for m in UNITS[unit].finditer(text or ""):
+        words = [(w.start() + m.start(), w.end() + m.start(), w[0].casefold()) for w in _WORD.finditer(m[0])]
+        if len(words) >= min_words:
+            yield m.start(), m.start(), m.end(), " " + " ".join(w[2] for w in words)
+        parts = list(pieces(words)) if len(words) > min_piece else []
+        run: list[tuple[int, int, str]] = []
+        for p in parts if len(parts) > 1 else []:
+            # Short pieces are joined until they are long enough; a long one starts the count anew.
+            run = p if len(p) >= min_piece else run + p
+            if len(run) >= min_piece:
+                yield m.start(), run[0][0], run[-1][1], " ".join(w[2] for w in run)
+                run = []
+
+
+def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int, min_piece: int) -> DataFrame:
+    """``doc_id, whole, start, end, piece, hi, lo``: one row per unit."""
     def make():
         def fn(doc_id, text) -> Iterator[tuple]:
-            for m in pattern.finditer(text or ""):
-                words = m[0].casefold().split()
-                if len(words) >= min_words:
-                    h = xxhash.xxh3_128_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
-                    yield doc_id, m.start(), m.end(), (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
+            for whole, start, end, norm in units_of(text, unit, min_words, min_piece):
+                h = xxhash.xxh3_128_intdigest(norm.encode("utf-8", "surrogatepass"))
+                yield doc_id, whole, start, end, norm[0] != " ", (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
         return fn
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, [id_col], text_col, f"{id_col} {kind}, start int, end int, hi long, lo long", make)
+    return map_texts(docs, [id_col], text_col,
+                     f"{id_col} {kind}, whole int, start int, end int, piece boolean, hi long, lo long", make)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-            min_words: int = 1) -> DataFrame:
-    """The occurrences to remove: ``doc_id, start, end, kept_doc_id, kept_start, copies``.
+            min_words: int = MIN_LINE_WORDS, min_piece: int = MIN_PIECE_WORDS) -> DataFrame:
+    """The occurrences to remove: ``doc_id, start, end, piece, kept_doc_id, kept_start, copies``.
 
     One row for every unit that isn't the first of its digest by (id, start): its place in
     its own document (code points, end exclusive), the place of the one that stays, and how
-    many times the unit occurs. Units of fewer than ``min_words`` words (blank ones have
-    none) always stay. Null and empty texts have no units. Ids order the corpus, null first;
-    rows that share an id count as one document's text given twice, so the later copy's
-    units go by the same offsets. An empty table gives no rows. Other columns are ignored.
+    many times the unit occurs. Pieces of a line that goes whole have no rows of their own, so
+    places never overlap. Wholes of fewer than ``min_words`` words and pieces of fewer than
+    ``min_piece`` always stay. Null and empty texts have no units. Ids order the corpus,
+    null first. Rows that share an id share its places: units at equal offsets of both are
+    one occurrence. An empty table gives no rows. Other columns are ignored.
     """
-    units = materialise(docs.sparkSession, unit_digests(docs, id_col, text_col, unit, min_words), "units")
+    units = materialise(docs.sparkSession, unit_digests(docs, id_col, text_col, unit, min_words, min_piece), "units")
     place = F.struct(F.col(id_col), F.col("start"))
     groups = (units.groupBy("hi", "lo").agg(F.min(place).alias("kept"), F.count("*").alias("copies")).where("copies > 1")
               .select("hi", "lo", F.col("kept").getField(id_col).alias("kept_doc_id"),
                       F.col("kept.start").alias("kept_start"), "copies"))
     # Digests are unique on the right, so a hot digest only lengthens the left side, which Spark may split.
     same = F.col(id_col).eqNullSafe(F.col("kept_doc_id")) & (F.col("start") == F.col("kept_start"))
-    return units.join(groups, ["hi", "lo"]).where(~same).select(
-        id_col, "start", "end", "kept_doc_id", "kept_start", "copies")
+    found = materialise(docs.sparkSession, units.join(groups, ["hi", "lo"]).where(~same).drop("hi", "lo"), "repeats")
+    lines = found.where("NOT piece").select(F.col(id_col).alias("_id"), F.col("whole").alias("_whole")).distinct()
+    inside = found.where("piece").join(lines, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("whole") == F.col("_whole")), "left_anti")
+    return found.where("NOT piece").unionByName(inside).select(id_col, "start", "end", "piece", "kept_doc_id", "kept_start", "copies")
 
 
 def without(text: Column, cuts: Column) -> Column:
     """``text`` without the ``cuts``, an array of (start, end) sorted by start."""
     ends = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: c["end"]))
     starts = F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.length(text)))
-    pieces = F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a))
-    return F.array_join(pieces, "")
+    parts = F.zip_with(ends, starts, lambda a, b: F.substring(text, a + 1, b - a))
+    return F.array_join(parts, "")
 
 
 def remove(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

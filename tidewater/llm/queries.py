@@ -120,13 +120,4 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l
 SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, c = vec_id AS kept
 FROM v JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = vec_id
 LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON k.a = vec_id""",
-    "op4_line_dedup": r"""
-WITH RECURSIVE p AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(generate_series(1, len(string_split(text, chr(10))))) AS no FROM p),
-o AS (SELECT doc_id, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY no) - length(line) - 1 AS start FROM u),
-n AS (SELECT doc_id, CAST(start AS INTEGER) AS start, CAST(start + length(line) AS INTEGER) AS "end",
-             array_to_string(regexp_extract_all(lower(replace(line, 'ß', 'ss')), '[^\s]+'), ' ') AS unit FROM o),
-f AS (SELECT *, first_value(doc_id) OVER w AS kept_doc_id, first_value(start) OVER w AS kept_start, count(*) OVER (PARTITION BY unit) AS copies
-      FROM n WHERE unit <> '' WINDOW w AS (PARTITION BY unit ORDER BY doc_id, start))
-SELECT doc_id, start, "end", kept_doc_id, kept_start, copies FROM f WHERE NOT (doc_id = kept_doc_id AND start = kept_start)""",
 }
