@@ -89,7 +89,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uni
     groups = (units.groupBy("hi", "lo").agg(F.min(place).alias("kept"), F.count("*").alias("copies")).where("copies > 1")
               .select("hi", "lo", F.col("kept").getField(id_col).alias("kept_doc_id"),
                       F.col("kept.start").alias("kept_start"), "copies"))
-    # Digests are unique on the right, so a hot digest only lengthens the left side, which Spark may split.
+    # As a table of its own, so that both sides of the join are plain shuffles: digests are unique
+    # on the right, a hot digest only lengthens the left side, and Spark splits that.
+    groups = materialise(docs.sparkSession, groups, "groups")
     same = F.col(id_col).eqNullSafe(F.col("kept_doc_id")) & (F.col("start") == F.col("kept_start"))
     found = materialise(docs.sparkSession, units.join(groups, ["hi", "lo"]).where(~same).drop("hi", "lo"), "repeats")
     lines = found.where("NOT piece").select(F.col(id_col).alias("_id"), F.col("whole").alias("_whole")).distinct()
