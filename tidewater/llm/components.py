@@ -29,10 +29,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     cur = materialise(spark, both.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     while not _is_forest_of_stars(cur):
         near = cur.unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # Tables of their own, so that Spark may split the side of a node with many edges.
         low = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = near.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = near.join(materialise(spark, low, "low"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialise(spark, large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialise(spark, large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = materialise(spark, small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(

@@ -196,7 +196,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     rows = classes.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
     buckets = rows.groupBy("band", "key").agg(F.min(F.struct("id", "n")).alias("first"), F.count("*").alias("m")).where("m > 1")
-    members = materialise(spark, rows.join(buckets.drop("m"), ["band", "key"]), "buckets")
+    # A table of its own, so that Spark may split the side of a bucket with many classes.
+    buckets = materialise(spark, buckets.drop("m"), "first-of-bucket")
+    members = materialise(spark, rows.join(buckets, ["band", "key"]), "buckets")
     fits = 100 * F.least("n", "first.n") >= SIMILARITY * F.greatest("n", "first.n")
     pairs = members.where((F.col("id") != F.col("first.id")) & fits).select(F.col("id").alias("a"), F.col("first.id").alias("b")).distinct()
 
@@ -207,9 +209,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = materialise(spark, _confirmed(pairs, sets).unionAll(shared), "links")
     labels = connected_components(links)
     more = materialise(spark, _compare_open_buckets(members, labels, sets), "more-links")
-    merged = connected_components(more).select(F.col("node").alias("component"), F.col("component").alias("root"))
-    labels = labels.join(merged, "component", "full").select(
-        F.coalesce("node", "component").alias("rep"), F.coalesce("root", "component").alias("component_id"))
+    merged = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+    labels = merged.select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
 
     known = classes.select(*digest, "rep").join(labels, "rep", "left").select(
         *digest, F.coalesce("component_id", "rep").alias("component_id"))
