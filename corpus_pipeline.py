@@ -13,6 +13,12 @@ from tidewater.session import configure, scratch_path
 TOXIC = 0.7
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the ids in ``gone``, whatever columns they have."""
+    same = F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id"))
+    return docs.alias("docs").join(gone.select("doc_id").distinct().alias("gone"), same, "left_anti")
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go. The model learns from the labels of ``docs``."""
     configure(spark)
@@ -24,16 +30,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
     configure(spark)
-    gone = minmax.components(docs).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return _without(docs, minmax.components(docs).where("NOT kept"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
     configure(spark)
     found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.where("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return _without(docs, found.where("contaminated"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

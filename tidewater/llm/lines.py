@@ -111,7 +111,8 @@ def remove(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", text_col
     """``docs`` without the units of ``removed`` (from :func:`repeats`). All rows and columns stay.
 
     What a document loses is gathered for each document, at most its own units."""
-    cuts = removed.groupBy(F.col(id_col).alias("_cut_id")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_cuts"))
-    joined = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("_cut_id")), "left")
-    text = F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(without(F.col(text_col), F.col("_cuts")))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    cuts = removed.groupBy(id_col).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    joined = docs.alias("docs").join(cuts.alias("gone"), F.col(f"docs.{id_col}").eqNullSafe(F.col(f"gone.{id_col}")), "left")
+    text, lost = F.col(f"docs.{text_col}"), F.col("gone.cuts")
+    text = F.when(lost.isNull(), text).otherwise(without(text, lost)).alias(text_col)
+    return joined.select(*[text if c == text_col else F.col(f"docs.`{c}`") for c in docs.columns])
