@@ -19,6 +19,7 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 SEPARATORS_SQL = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 U64 = np.uint64
+BATCH_ROWS = 512
 
 
 def alnum_words(text: str | None) -> list[bytes]:
@@ -70,6 +71,14 @@ class HashBits:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Send at most ``rows`` rows at a time to Python. Spark's 10,000 suit numbers; as many
+    whole texts, in the JVM and twice in the worker, are hundreds of megabytes a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, schema: str | T.StructType,
               make: Callable[[], Callable[..., Iterator[tuple]]], slice_rows: int = 256) -> DataFrame:
     """``mapInArrow`` over ``keep + [text]``: ``make()`` is called once per task and
@@ -78,6 +87,7 @@ def map_texts(df: DataFrame, keep: list[str], text: str, schema: str | T.StructT
     Output leaves the worker after every ``slice_rows`` inputs, so a task holds one
     Arrow batch and the output of one slice, whatever the partition's size.
     """
+    small_batches(df.sparkSession)
     df = df.select(*[F.col(c) for c in [*keep, text]])
     out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     from pyspark.sql.pandas.types import to_arrow_schema

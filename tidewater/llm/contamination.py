@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import HashBits, alnum_words, map_texts, materialise, signed, word_hashes
+from tidewater.llm.common import HashBits, alnum_words, map_texts, materialise, signed, small_batches, word_hashes
 
 WINDOW = 13
 #: A document is contaminated if at least one word in SHARE is hit.
@@ -146,6 +146,7 @@ def _term_counts(docs: DataFrame, text_col: str, keep: HashBits) -> DataFrame:
         if counts:
             yield out()
 
+    small_batches(docs.sparkSession)
     return docs.select(text_col).mapInArrow(run, schema).groupBy("term").agg(F.sum("n").alias("n"))
 
 
