@@ -10,10 +10,10 @@ from tidewater.sources import basic as sources
 
 
 def test_wordcount_lines4(spark):
-    lines = sources.inline(spark, [("itcast hadoop spark",), ("itcast hadoop spark",),
-                                   ("itcast hadoop",), ("itcast",)], "value string")
+    lines = sources.inline(spark, [("lemon hadoop spark",), ("lemon hadoop spark",),
+                                   ("lemon hadoop",), ("lemon",)], "value string")
     counts = {r.word: r.n for r in keyed.keyed_count(tokens(lines), "word", "n").collect()}
-    assert counts == {"itcast": 4, "hadoop": 3, "spark": 2}
+    assert counts == {"lemon": 4, "hadoop": 3, "spark": 2}
 
 
 def test_text_file_source(spark, tmpdir_path):
@@ -109,12 +109,12 @@ def test_side_output_parity(spark):
 
 
 def test_connect_comap(spark):
-    names = sources.inline(spark, [("hadoop",), ("spark",), ("flink",)], "value string")
+    names = sources.inline(spark, [("hadoop",), ("spark",), ("storm",)], "value string")
     longs = sources.inline(spark, [(1,), (2,), (3,)], "value long")
     got = routing.connect_map(names, longs, lambda d: F.concat(F.lit("String:"), F.col("value")),
                               lambda d: F.concat(F.lit("Long:"), F.col("value").cast("string")))
     assert sorted(r.value for r in got.collect()) == sorted(
-        ["String:hadoop", "String:spark", "String:flink", "Long:1", "Long:2", "Long:3"])
+        ["String:hadoop", "String:spark", "String:storm", "Long:1", "Long:2", "Long:3"])
 
 
 def test_sequences(spark):

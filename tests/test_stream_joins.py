@@ -64,10 +64,10 @@ def test_union_distinct_stream(spark, sf, tmpdir_path):
 def test_wordcount_cli(spark, tmpdir_path):
     src = f"{tmpdir_path}/words.txt"
     with open(src, "w") as f:
-        f.write("itcast hadoop spark\nitcast hadoop spark\nitcast hadoop\nitcast\n")
+        f.write("lemon hadoop spark\nlemon hadoop spark\nlemon hadoop\nlemon\n")
     out = f"{tmpdir_path}/out"
     wordcount_job.main(["--input", src, "--output", out, "--files", "2"])
-    assert sorted(r.value for r in spark.read.text(out).collect()) == ["(hadoop,3)", "(itcast,4)", "(spark,2)"]
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["(hadoop,3)", "(lemon,4)", "(spark,2)"]
 
 
 def test_session_and_sliding_streams_match_batch_closed(spark, sf, tmpdir_path):

@@ -94,12 +94,12 @@ def value_string(frame: DataFrame) -> DataFrame:
     return frame.select(F.col("value").cast("string").alias("value"))
 
 
-def kafka_writer_options(bootstrap: str, topic: str, exactly_once_prefix: str | None = None) -> dict:
-    """Options for ``df.write.format("kafka")`` / ``writeStream.format("kafka")``."""
-    opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic}
-    if exactly_once_prefix:
-        opts["kafka.transactional.id"] = exactly_once_prefix
-    return opts
+def kafka_writer_options(bootstrap: str, topic: str) -> dict:
+    """Options for ``df.write.format("kafka")`` / ``writeStream.format("kafka")``.
+
+    Spark's writer delivers at least once and opens no transactions; for exactly once,
+    write keyed records that the consumer upserts."""
+    return {"kafka.bootstrap.servers": bootstrap, "topic": topic}
 
 
 def kafka_reader_options(bootstrap: str, topic: str, starting: str = "latest",

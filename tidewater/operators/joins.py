@@ -2,8 +2,8 @@
 
 Interval joins are turned into equi-joins on ``(key, time bucket)`` plus a
 range filter, so a busy key is split by time instead of pairing all its rows
-in one task. Broadcasts are hinted only when the optimizer's size estimate is
-under a bound; otherwise Spark (and AQE at runtime) picks the join.
+in one task. No side is hinted for broadcast: Spark picks by its own statistics, and
+adaptive execution again by the sizes it has measured.
 """
 
 from __future__ import annotations
@@ -16,30 +16,9 @@ from pyspark.sql import functions as F
 from tidewater.functions import formats
 from tidewater.functions.timecols import MICROS, bucket_start, micros_of, seconds
 
-# Largest side we hint for broadcast: well under executor memory at scale.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
 MISSING_NAME = formats.MISSING_NAME  # fallback name of a failed lookup
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (None when unavailable)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
-    except Exception:  # noqa: BLE001 - estimate is advisory only
-        return None
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only behind a size check; unknown or large sizes fall back
-    to a shuffle join (AQE may still broadcast once real sizes are known)."""
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
 def window_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, left_ts: str,
                 right_ts: str, size_seconds: int) -> DataFrame:
     """Inner join of rows sharing the key *and* the tumbling window.
@@ -82,22 +61,20 @@ def interval_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str, le
     return lb.alias("l").join(rb.alias("r"), cond, "inner")
 
 
-def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str | Column, how: str = "inner",
-           broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def enrich(facts: DataFrame, dim: DataFrame, on: Sequence[str] | str | Column, how: str = "inner") -> DataFrame:
     """Broadcast-state enrichment (J3): each fact row joined to the current dim.
 
     ``how="inner"`` drops unknown keys (the reference cannot look them up);
     ``"left"`` keeps them with nulls.
     """
-    return facts.join(broadcast_if_small(dim, broadcast_limit), on, how)
+    return facts.join(dim, on, how)
 
 
 def lookup_enrich(facts: DataFrame, dim: DataFrame, key: str, dim_key: str, name: str,
-                  out: str, on_missing: str = "default", default: str = MISSING_NAME,
-                  broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+                  out: str, on_missing: str = "default", default: str = MISSING_NAME) -> DataFrame:
     """Async lookup enrichment as a join (J4): every fact row is kept; a missing
     id gets ``default`` (client A's timeout value) or null (client B)."""
     d = dim.select(F.col(dim_key).alias("_lk"), F.col(name).alias("_lname"))
-    joined = facts.join(broadcast_if_small(d, broadcast_limit), F.col(key) == F.col("_lk"), "left")
+    joined = facts.join(d, F.col(key) == F.col("_lk"), "left")
     value = F.coalesce(F.col("_lname"), F.lit(default)) if on_missing == "default" else F.col("_lname")
     return joined.withColumn(out, value).drop("_lk", "_lname")

@@ -2,18 +2,19 @@
 
 When the dimension can be read as a table, use :func:`tidewater.operators.joins.lookup_enrich`
 (a join). When it can only be *asked* (an HTTP/RPC/DB point lookup), each task
-deduplicates its keys, sends them in batches through a bounded thread pool
-(``max_in_flight`` requests at a time, like the reference's async capacity)
-and waits at most ``timeout`` seconds per batch; keys that time out, fail or
-are not found get ``default`` (the reference's client A) or null (client B).
-Rows stay in their partition: no shuffle, and one request per distinct key
-per task, not per row.
+deduplicates the keys of each Arrow batch, sends them in batches of ``batch_size``,
+``max_in_flight`` at a time (the reference's async capacity), and waits at most
+``timeout`` seconds for these; keys that time out or are not found get ``default`` (the
+reference's client A) or null (client B). A call that fails fails the task, which Spark
+retries: an error is no missing key. Rows stay in their partition: no shuffle.
 """
 
 from __future__ import annotations
 
+import queue
+import threading
+import time
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor, TimeoutError as FutureTimeout
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,15 +38,29 @@ def remote_lookup(df: DataFrame, key: str, fetch: Callable[[list], Mapping], out
     def ask(keys: list) -> dict:
         found: dict = {}
         batches = [keys[i:i + batch_size] for i in range(0, len(keys), batch_size)]
-        with ThreadPoolExecutor(max_workers=max_in_flight) as pool:
-            futures = [pool.submit(fetch, b) for b in batches]
-            for fut in futures:
+        for lo in range(0, len(batches), max_in_flight):
+            wave = batches[lo:lo + max_in_flight]
+            # Daemon threads: a call that never returns holds neither the task nor the worker's end.
+            answers: queue.Queue = queue.Queue()
+            for b in wave:
+                threading.Thread(target=call, args=(b, answers), daemon=True).start()
+            deadline = time.monotonic() + timeout
+            for _ in wave:
                 try:
-                    found.update(fut.result(timeout=timeout) or {})
-                except (FutureTimeout, Exception):  # noqa: BLE001 - a failed batch falls back
-                    continue
+                    answer, error = answers.get(timeout=max(0.0, deadline - time.monotonic()))
+                except queue.Empty:
+                    break
+                if error is not None:
+                    raise error
+                found.update(answer or {})
         return found
 
+    def call(keys: list, answers: queue.Queue) -> None:
+        try:
+            answers.put((fetch(keys), None))
+        except BaseException as e:  # noqa: BLE001 - raised again in the task
+            answers.put((None, e))
+
     def run(batches: Iterable[pd.DataFrame]):
         for pdf in batches:
             keys = [k for k in pd.unique(pdf[key]) if k is not None]

@@ -90,11 +90,14 @@ select day_start, tick, category, total from dd
 where tick in (
   select time_bucket(interval '1 hour', max(ts), timestamp '1970-01-01') + interval '1 hour'
   from events group by floor(epoch(ts) / {SLICE_SECONDS}))
+union all
+select day_start, day_start + interval '1 day' as tick, category, arg_max(total, tick) as total
+from dd where day_start < (select max(day_start) from dd) group by day_start, category
 """)
 def stream_dashboard(spark, sf):
     """The live dashboard handler (:class:`DashboardStream`, one call per
     micro-batch) fed ``events`` in arrival slices; each call is one tick. Its
-    output equals the batch day-to-date grid at those ticks."""
+    output is the batch day-to-date grid at those ticks, and every day's closing total."""
     ev = table(spark, sf, "events").select("ts", "event_type", "value")
     part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / SLICE_SECONDS)
     slices = sorted(r[0] for r in ev.select(part.alias("p")).distinct().collect())

@@ -293,7 +293,7 @@ def partition_suite(spark, sf):
         "shuffle": partitioning.shuffle(ev, 4),
         "rebalance": partitioning.rebalance(ev, 4),
         "rescale": partitioning.rescale(ev, 4),
-        "custom": partitioning.custom(ev, 4, F.lit(0)),
+        "custom": partitioning.custom(ev, 4, F.pmod(F.col("user_id"), F.lit(4))),
         "key_by": partitioning.key_by(ev, 4, "user_id"),
     }
     parts = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("mode"), "n") for m, d in modes.items()]

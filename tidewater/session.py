@@ -7,6 +7,7 @@ handed and only fills in settings that are still unset (tests, laptops).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -70,8 +71,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset (unit tests) a fresh local folder is chosen.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset in
+    local mode (unit tests, laptops) a fresh local folder is chosen; a cluster without it raises.
     """
     try:
         sc = spark.sparkContext
@@ -81,6 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if sc is not None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -98,12 +101,3 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path

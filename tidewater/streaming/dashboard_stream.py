@@ -3,10 +3,11 @@
 Each micro-batch is one tick of the reference's continuous trigger. The
 handler keeps the day-to-date total per (day, category) as state, and at the
 tick emits *every* category seen that day (not only those that changed), the
-top-3 categories and the grand total rounded half-up. Spark rejects a second
+top-3 categories and the grand total rounded half-up. A batch that spans days tells each
+of them: the newest at its tick, earlier ones at their end, with the closing total. Spark rejects a second
 aggregation over an update-mode aggregate, so the chain runs inside
 ``foreachBatch``; each output and the state are written under ``batch=<id>``
-(replay-safe), and the state keeps only the open day, so it stays small.
+(replay-safe), and the state keeps a few days, so it stays small.
 
 The tick's clock is event time (end of the hour of the batch's newest row) so
 runs repeat; ``clock="processing"`` stamps the batch's wall-clock time instead.
@@ -14,13 +15,16 @@ runs repeat; ``clock="processing"`` stamps the batch's wall-clock time instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import bucket_end, bucket_start
 from tidewater.operators import ranking
+from tidewater.streaming.recovery import first_read
 
 TOP_K = 3
+#: Days whose totals stay in the state, so that late rows still correct them.
+KEEP_DAYS = 7
 
 
 class DashboardStream:
@@ -34,9 +38,8 @@ class DashboardStream:
         return f"{self.root}/{kind}" + ("" if batch_id is None else f"/batch={batch_id}")
 
     def _previous_state(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            log = spark.read.parquet(self._path("state"))
-        except Exception:  # noqa: BLE001 - first batch
+        log = first_read(lambda: spark.read.parquet(self._path("state")))
+        if log is None:
             return None
         prev = log.where(F.col("batch") < batch_id).agg(F.max("batch")).first()[0]
         return None if prev is None else spark.read.parquet(self._path("state", prev))
@@ -48,22 +51,30 @@ class DashboardStream:
         newest = rows.agg(F.max("ts").alias("m")).first()["m"]
         if newest is None:
             return
-        clock = F.lit(newest).cast(rows.schema["ts"].dataType)
-        day = bucket_start(clock, 86400, self.offset)
-        tick = bucket_end(clock, self.tick_s) if self.clock == "event" else F.current_timestamp()
-
+        kind = rows.schema["ts"].dataType
         sums = (rows.groupBy(bucket_start("ts", 86400, self.offset).alias("day_start"), "category")
-                .agg(F.sum("price").alias("s")))
+                .agg(F.sum("price").alias("s")).withColumn("touched", F.lit(True)).withColumn("open", F.lit(False)))
         prev = self._previous_state(spark, batch_id)
         if prev is not None:
-            sums = prev.unionByName(sums)
-        state = (sums.groupBy("day_start", "category").agg(F.sum("s").cast("decimal(28,2)").alias("s"))
-                 .where(F.col("day_start") >= day))  # closed days leave the state
-        state.write.mode("overwrite").parquet(self._path("state", batch_id))
-        state = spark.read.parquet(self._path("state", batch_id))
+            sums = prev.withColumn("touched", F.lit(False)).unionByName(sums)
+        state = sums.groupBy("day_start", "category").agg(
+            F.sum("s").cast("decimal(28,2)").alias("s"), F.max("touched").alias("touched"), F.max("open").alias("open"))
+        # Days and categories only: the state is small, whatever the batch.
+        last = state.agg(F.max("day_start").alias("d")).first()["d"]
+        day = F.lit(last).cast(kind)
+        state = state.withColumn("live", F.col("day_start") == day)
+        state.write.mode("overwrite").parquet(self._path("days", batch_id))
+        state = spark.read.parquet(self._path("days", batch_id))
+        since = day - F.expr(f"INTERVAL {KEEP_DAYS} DAYS")
+        (state.where(F.col("day_start") >= since).select("day_start", "category", "s", F.col("live").alias("open"))
+         .write.mode("overwrite").parquet(self._path("state", batch_id)))
 
-        current = state.where(F.col("day_start") == day).select(
-            "day_start", tick.alias("tick"), "category", F.col("s").cast("double").alias("total"))
+        # Every day with new rows is told, and a day that was open and is no longer: its closing total.
+        days = Window.partitionBy("day_start")
+        told = state.withColumn("tell", F.max(F.col("touched") | (F.col("open") & ~F.col("live"))).over(days)).where("tell")
+        now = bucket_end(F.lit(newest).cast(kind), self.tick_s) if self.clock == "event" else F.current_timestamp().cast(kind)
+        tick = F.when(F.col("live"), now).otherwise((F.col("day_start") + F.expr("INTERVAL 1 DAY")).cast(kind))
+        current = told.select("day_start", tick.alias("tick"), "category", F.col("s").cast("double").alias("total"))
         current.write.mode("overwrite").parquet(self._path("totals", batch_id))
         top = ranking.top_k(current, "tick", [F.col("total").desc(), F.col("category")], TOP_K)
         top.write.mode("overwrite").parquet(self._path("top", batch_id))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import seconds
 from tidewater.operators import lateness, scan
+from tidewater.streaming.recovery import first_read
 
 
 class LateWindowSum:
@@ -47,9 +48,8 @@ class LateWindowSum:
 
     def _previous(self, spark: SparkSession, batch_id: int) -> int | None:
         """Latest batch strictly before ``batch_id`` that wrote a watermark."""
-        try:
-            marks = spark.read.parquet(self._path("wm"))
-        except Exception:  # noqa: BLE001 - nothing written yet
+        marks = first_read(lambda: spark.read.parquet(self._path("wm")))
+        if marks is None:
             return None
         row = marks.where(F.col("batch") < batch_id).agg(F.max("batch").alias("b")).first()
         return None if row is None or row["b"] is None else int(row["b"])

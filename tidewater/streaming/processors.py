@@ -8,8 +8,10 @@ provider, set in :mod:`tidewater.session`) and is checkpointed with the query.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from decimal import Decimal
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,9 +22,14 @@ def _sorted(rows, seq: str):
     return sorted(rows, key=lambda r: r[seq])
 
 
+@lru_cache(maxsize=64)
+def _names(schema: str) -> tuple[str, ...]:
+    """Column names of a schema text; commas inside a type's brackets do not part columns."""
+    return tuple(f.strip().split(" ")[0] for f in re.split(r",(?![^(<]*[)>])", schema))
+
+
 def _row(schema: str, *values) -> Row:
-    names = [f.strip().split(" ")[0] for f in schema.split(",")]
-    return Row(**dict(zip(names, values)))
+    return Row(**dict(zip(_names(schema), values, strict=True)))
 
 
 class RunningAggregate(StatefulProcessor):
@@ -57,7 +64,9 @@ class RunningAggregate(StatefulProcessor):
         for r in _sorted(rows, self.seq):
             v = self._value(r)
             old = cur
-            if cur is None:
+            if v is None:
+                pass  # aggregates ignore nulls
+            elif cur is None:
                 cur = v
             elif self.how == "max":
                 cur = max(cur, v)
@@ -68,11 +77,12 @@ class RunningAggregate(StatefulProcessor):
             if self.changelog:
                 if old is not None:
                     yield _row(self.schema, r[self.seq], 0, False, key[0], float(old))
-                yield _row(self.schema, r[self.seq], 1, True, key[0], float(cur))
+                yield _row(self.schema, r[self.seq], 1, True, key[0], None if cur is None else float(cur))
             else:
                 yield _row(self.schema, key[0], r[self.seq],
-                           None if self.how == "count" else r[self.value], float(cur))
-        self.acc.update((cur,))
+                           None if self.how == "count" else r[self.value], None if cur is None else float(cur))
+        if cur is not None:
+            self.acc.update((cur,))
 
     def close(self) -> None:
         pass

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -73,14 +73,19 @@ class RestartPolicy:
 def run_with_restart(start: Callable[[], StreamingQuery], policy: RestartPolicy,
                      timeout: float | None = None, sleep=time.sleep, clock=time.monotonic) -> tuple[StreamingQuery, int]:
     """Run ``start()`` (which must restart the *same* query from its checkpoint)
-    until it ends cleanly; on failure restart per ``policy``.
+    until it ends cleanly; on failure restart per ``policy``. A query that still runs
+    after ``timeout`` seconds is stopped and ``TimeoutError`` is raised.
     Returns the last query and the number of restarts."""
     restarts = 0
     failures: deque[float] = deque()
     while True:
         q = start()
         try:
-            q.awaitTermination(timeout) if timeout else q.awaitTermination()
+            if timeout is None:
+                q.awaitTermination()
+            elif not q.awaitTermination(timeout):
+                q.stop()
+                raise TimeoutError(f"the query still ran after {timeout} s")
             return q, restarts
         except StreamingQueryException:
             now = clock()
@@ -98,6 +103,17 @@ def run_with_restart(start: Callable[[], StreamingQuery], policy: RestartPolicy,
             sleep(policy.delay_seconds)
 
 
+def first_read(read):
+    """``read()``, or None if nothing was ever written there. Any other error is raised:
+    state that can't be read must not pass for a fresh start."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 class IdempotentBatchSink:
     """Exactly-once output for ``foreachBatch`` (K8).
 
