@@ -9,7 +9,7 @@ from pyspark.sql import Row
 from tidewater import session
 from tidewater.operators.lookup import remote_lookup
 from tidewater.streaming.dashboard_stream import DashboardStream
-from tidewater.streaming.processors import RunningAggregate, _row
+from tidewater.streaming.processors import RunningAggregate, _names, _row
 from tidewater.streaming.recovery import RestartPolicy, first_read, run_with_restart
 
 
@@ -82,7 +82,7 @@ def test_a_cluster_needs_a_shared_folder():
 
 
 def test_running_aggregate_takes_nulls_and_decimal_columns():
-    assert _row("k string, total decimal(18,2), m map<string,int>", "a", 1, 2) == Row(k="a", total=1, m=2)
+    assert _row(_names("k string, total decimal(18,2), m map<string,int>"), "a", 1, 2) == Row(k="a", total=1, m=2)
 
     class State:
         value = None

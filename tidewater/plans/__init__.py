@@ -7,6 +7,7 @@ from tidewater.plans import (  # noqa: F401
     jobs,
     join_queries,
     keyed_queries,
+    stream_queries,
     text_queries,
     window_queries,
 )

@@ -9,27 +9,30 @@ provider, set in :mod:`tidewater.session`) and is checkpointed with the query.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from decimal import Decimal
-from functools import lru_cache
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
+# Workers need no copy of this module: the processors travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _sorted(rows, seq: str):
     return sorted(rows, key=lambda r: r[seq])
 
 
-@lru_cache(maxsize=64)
 def _names(schema: str) -> tuple[str, ...]:
     """Column names of a schema text; commas inside a type's brackets do not part columns."""
     return tuple(f.strip().split(" ")[0] for f in re.split(r",(?![^(<]*[)>])", schema))
 
 
-def _row(schema: str, *values) -> Row:
-    return Row(**dict(zip(_names(schema), values, strict=True)))
+def _row(names: tuple[str, ...], *values) -> Row:
+    return Row(**dict(zip(names, values, strict=True)))
 
 
 class RunningAggregate(StatefulProcessor):
@@ -43,7 +46,7 @@ class RunningAggregate(StatefulProcessor):
     def __init__(self, key: str, seq: str, value: str | None, how: str = "sum", changelog: bool = False,
                  schema: str = "", exact_scale: int | None = 2):
         self.key, self.seq, self.value, self.how, self.changelog = key, seq, value, how, changelog
-        self.schema = schema
+        self.names = _names(schema)
         # sums are kept as decimals (money to the cent, as the batch form) unless exact_scale is None
         self.exact = exact_scale if how == "sum" else None
 
@@ -76,10 +79,10 @@ class RunningAggregate(StatefulProcessor):
                 cur = cur + v
             if self.changelog:
                 if old is not None:
-                    yield _row(self.schema, r[self.seq], 0, False, key[0], float(old))
-                yield _row(self.schema, r[self.seq], 1, True, key[0], None if cur is None else float(cur))
+                    yield _row(self.names, r[self.seq], 0, False, key[0], float(old))
+                yield _row(self.names, r[self.seq], 1, True, key[0], None if cur is None else float(cur))
             else:
-                yield _row(self.schema, key[0], r[self.seq],
+                yield _row(self.names, key[0], r[self.seq],
                            None if self.how == "count" else r[self.value], None if cur is None else float(cur))
         if cur is not None:
             self.acc.update((cur,))
@@ -109,7 +112,7 @@ class CountWindow(StatefulProcessor):
     """
 
     def __init__(self, seq: str, value: str, size: int, slide: int | None = None, schema: str = ""):
-        self.seq, self.value, self.size, self.slide, self.schema = seq, value, size, slide, schema
+        self.seq, self.value, self.size, self.slide, self.names = seq, value, size, slide, _names(schema)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n bigint")
@@ -123,12 +126,12 @@ class CountWindow(StatefulProcessor):
             buf.append(r[self.value])
             if self.slide is None:
                 if len(buf) == self.size:
-                    yield _row(self.schema, key[0], n, float(sum(buf)))
+                    yield _row(self.names, key[0], n, float(sum(buf)))
                     buf = []
             else:
                 buf = buf[-self.size:]
                 if n % self.slide == 0:
-                    yield _row(self.schema, key[0], n, float(sum(buf)))
+                    yield _row(self.names, key[0], n, float(sum(buf)))
         self.count.update((n,))
         if buf:
             self.buf.put([(v,) for v in buf])
