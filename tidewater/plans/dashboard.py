@@ -90,7 +90,7 @@ select day_start, tick, category, total from dd
 where tick in (
   select time_bucket(interval '1 hour', max(ts), timestamp '1970-01-01') + interval '1 hour'
   from events group by floor(epoch(ts) / {SLICE_SECONDS}))
-union all
+union
 select day_start, day_start + interval '1 day' as tick, category, arg_max(total, tick) as total
 from dd where day_start < (select max(day_start) from dd) group by day_start, category
 """)

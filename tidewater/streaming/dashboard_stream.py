@@ -66,14 +66,16 @@ class DashboardStream:
         state.write.mode("overwrite").parquet(self._path("days", batch_id))
         state = spark.read.parquet(self._path("days", batch_id))
         since = day - F.expr(f"INTERVAL {KEEP_DAYS} DAYS")
-        (state.where(F.col("day_start") >= since).select("day_start", "category", "s", F.col("live").alias("open"))
+        now = bucket_end(F.lit(newest).cast(kind), self.tick_s) if self.clock == "event" else F.current_timestamp().cast(kind)
+        day_end = (F.col("day_start") + F.expr("INTERVAL 1 DAY")).cast(kind)
+        still = F.col("live") & (now < day_end)  # a tick at the day's end is its closing total already
+        (state.where(F.col("day_start") >= since).select("day_start", "category", "s", still.alias("open"))
          .write.mode("overwrite").parquet(self._path("state", batch_id)))
 
         # Every day with new rows is told, and a day that was open and is no longer: its closing total.
         days = Window.partitionBy("day_start")
         told = state.withColumn("tell", F.max(F.col("touched") | (F.col("open") & ~F.col("live"))).over(days)).where("tell")
-        now = bucket_end(F.lit(newest).cast(kind), self.tick_s) if self.clock == "event" else F.current_timestamp().cast(kind)
-        tick = F.when(F.col("live"), now).otherwise((F.col("day_start") + F.expr("INTERVAL 1 DAY")).cast(kind))
+        tick = F.when(F.col("live"), now).otherwise(day_end)
         current = told.select("day_start", tick.alias("tick"), "category", F.col("s").cast("double").alias("total"))
         current.write.mode("overwrite").parquet(self._path("totals", batch_id))
         top = ranking.top_k(current, "tick", [F.col("total").desc(), F.col("category")], TOP_K)
