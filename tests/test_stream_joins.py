@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from conftest import run_available_now
 from tidewater.functions.timecols import as_event_time
-from tidewater.operators import joins, routing
+from tidewater.operators import joins, keyed, routing
 from tidewater.plans import wordcount_job
 from tidewater.streaming import jobs
 
 
 def _events(spark, sf, path):
     ev = as_event_time(spark.read.parquet(f"{sf}/events.parquet"), "ts") \
-        .select("event_id", "ts", "user_id", "event_type", "value")
+        .select("event_id", "ts", "user_id", "event_type", keyed.exact("value").alias("value"))
     lo, hi = ev.agg(F.min("event_id"), F.max("event_id")).first()
     n, step = 4, (hi - lo) // 4 + 1
     for i in range(n):  # contiguous id ranges = time order, as a stream would deliver them
@@ -128,12 +128,14 @@ def test_ingestion_time_windows(spark, tmpdir_path):
 
 def test_idempotent_sink_keys(spark, tmpdir_path):
     from tidewater.streaming.recovery import IdempotentBatchSink
-    sink = IdempotentBatchSink(f"{tmpdir_path}/out", with_key=True)
-    df = spark.range(5)
-    sink(df, 3)
-    sink(df, 3)  # replay
+    sink = IdempotentBatchSink(f"{tmpdir_path}/out", key=["id"])
+    sink(spark.range(5).repartition(3), 3)
+    before = {r.id: r.record_key for r in sink.read(spark).collect()}
+    sink(spark.range(5).orderBy(F.col("id").desc()).coalesce(1), 3)  # a replay in another order
     rows = sink.read(spark).collect()
-    assert len(rows) == 5 and {r.batch_id for r in rows} == {3} and len({r.seq for r in rows}) == 5
+    assert {r.id: r.record_key for r in rows} == before and len(rows) == len(set(before.values())) == 5
+    sink(spark.range(5), 4)
+    assert len({r.record_key for r in sink.read(spark).collect()}) == 10
 
 
 def test_rolling_file_stream_sink(spark, sf, tmpdir_path):

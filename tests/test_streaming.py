@@ -32,8 +32,7 @@ def test_running_max_stream_matches_batch(spark, sf, tmpdir_path):
     ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type", "value")
     src = _batches_by_id(spark, ev, f"{tmpdir_path}/in", 4)
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    got = run_available_now(processors.running_stream(s, "event_type", "event_id", "value", "max",
-                                                      key_type="string"), _name())
+    got = run_available_now(processors.running_stream(s, "event_type", "event_id", "value", "max"), _name())
     exp = keyed.running_max(ev, "event_type", "event_id", "value").collect()
     assert sorted((r.event_id, r.result) for r in got) == sorted((r.event_id, r.max_so_far) for r in exp)
 
@@ -65,7 +64,7 @@ def test_count_windows_stream_match_batch(spark, sf, tmpdir_path):
 
 
 def test_late_windows_stream_matches_batch(spark, sf, tmpdir_path):
-    j = change_queries.jittered_events(spark, sf)
+    j = change_queries.jittered_events(spark, sf).withColumn("value", keyed.exact("value"))
     src = _batches_by_id(spark, j, f"{tmpdir_path}/in", 5)
     s = spark.readStream.schema(j.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     h = LateWindowSum(f"{tmpdir_path}/late", ["user_id"], "event_id", "event_time", "value", 3600, 1800, 1800)
@@ -74,7 +73,7 @@ def test_late_windows_stream_matches_batch(spark, sf, tmpdir_path):
     q.awaitTermination()
     h.flush(spark, 1_000_000)
     cols = ["user_id", "window_start", "window_end", "fire_no", "trigger_id", "value_sum"]
-    exp = lateness.refire(change_queries.classified(spark, sf), ["user_id"], "event_id", "value")
+    exp = lateness.refire(change_queries.classified(spark, sf).withColumn("value", keyed.exact("value")), ["user_id"], "event_id", "value")
     assert sorted(map(tuple, h.results(spark).select(*cols).collect())) == \
         sorted(map(tuple, exp.select(*cols).collect()))
     side_exp = change_queries.late_side_output(spark, sf)
@@ -94,7 +93,8 @@ def test_late_windows_replay_is_idempotent(spark, sf, tmpdir_path):
 
 
 def test_tumbling_stream_parity_closed_windows(spark, sf, tmpdir_path):
-    ev = as_event_time(spark.read.parquet(f"{sf}/events.parquet"), "ts").select("event_id", "ts", "user_id", "value")
+    ev = (as_event_time(spark.read.parquet(f"{sf}/events.parquet"), "ts")
+          .select("event_id", "ts", "user_id", keyed.exact("value").alias("value")))
     src = _batches_by_id(spark, ev, f"{tmpdir_path}/in", 4)
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
     got = run_available_now(jobs.windowed_sum_stream(s, "ts", "5 hours", "3 hours", "user_id", "value"), _name())
@@ -215,7 +215,7 @@ def test_dashboard_stream_matches_batch_ticks(spark, sf, tmpdir_path):
     from tidewater.functions.timecols import bucket_end
     from tidewater.plans import dashboard
     from tidewater.streaming.dashboard_stream import DashboardStream
-    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "event_type", "value")
+    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "event_type", keyed.exact("value").alias("value"))
     # batches end on hour boundaries, so a tick has seen every row of its hour
     part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / (80 * 3600))
     parts = sorted(r[0] for r in ev.select(part).distinct().collect())
@@ -250,7 +250,73 @@ def test_running_sum_stream_exact_matches_batch(spark, sf, tmpdir_path):
     ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type", "value")
     src = _batches_by_id(spark, ev, f"{tmpdir_path}/in", 3)
     s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    got = run_available_now(processors.running_stream(s, "event_type", "event_id", "value", "sum",
-                                                      key_type="string"), _name())
-    exp = keyed.running_sum(ev, "event_type", "event_id", "value").collect()
-    assert sorted((r.event_id, r.result) for r in got) == sorted((r.event_id, r.running) for r in exp)
+    exact = s.withColumn("value", keyed.exact("value"))
+    got = run_available_now(processors.running_stream(exact, "event_type", "event_id", "value", "sum"), _name())
+    exp = keyed.running_sum(ev, "event_type", "event_id", "value", exact_scale=2).collect()
+    assert sorted((r.event_id, float(r.result)) for r in got) == sorted((r.event_id, r.running) for r in exp)
+
+
+def test_keyed_streams_take_nulls_strings_and_decimals(spark, tmpdir_path):
+    from decimal import Decimal as D
+    schema = "k string, seq bigint, v decimal(10,3)"
+    rows = [("a", 1, D("1.005")), ("a", 2, None), ("b", 3, None), ("a", 4, D("2.000")), ("b", 5, D("-1.500"))]
+    src = stream_files(spark, [rows[:3], rows[3:]], schema, f"{tmpdir_path}/in")
+
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+    got = run_available_now(processors.running_stream(stream(), "k", "seq", "v", "sum"), _name())
+    assert sorted((r.seq, r.result) for r in got) == [
+        (1, D("1.005")), (2, D("1.005")), (3, None), (4, D("3.005")), (5, D("-1.500"))]
+    got = run_available_now(processors.running_stream(stream(), "k", "seq", "v", "max", changelog=True), _name())
+    assert sorted((r.seq, r.change_seq, r.flag, r.result) for r in got if r.k == "a") == [
+        (1, 1, True, D("1.005")), (2, 0, False, D("1.005")), (2, 1, True, D("1.005")),
+        (4, 0, False, D("1.005")), (4, 1, True, D("2.000"))]
+    got = run_available_now(processors.count_window_stream(stream(), "k", "seq", "v", 2, 1), _name())
+    assert sorted((r.k, r.fire_at, r.value_sum) for r in got if r.k == "a") == [
+        ("a", 1, D("1.005")), ("a", 2, D("1.005")), ("a", 3, D("2.000"))]
+
+
+def test_order_timeout_string_ids_and_processing_time(spark, tmpdir_path):
+    import time
+    now = int(time.time() * 1000)
+    schema = "user string, ordr string, created_ms bigint, reviewed boolean"
+    src = stream_files(spark, [[("u1", "o1", now, False), ("u1", "o2", now, True)]], schema, f"{tmpdir_path}/in")
+    s = spark.readStream.schema(schema).parquet(f"{src}/*")
+    out = processors.order_timeout_stream(s, "user", "ordr", "created_ms", "reviewed", 1000, event_time=False)
+    name = _name()
+    q = (out.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", f"{tmpdir_path}/ck").trigger(processingTime="500 milliseconds").start())
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table(name).count() < 2:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = sorted((r.user_id, r.order_id, r.action) for r in spark.table(name).collect())
+    assert got == [("u1", "o1", "auto_good"), ("u1", "o2", "already_reviewed")]
+
+
+def test_failure_between_write_and_commit_keeps_one_copy(spark, tmpdir_path):
+    """Rows of a batch are written, the job dies before the commit: readers don't see the
+    batch, and its replay after the restart leaves one copy under the same keys."""
+    src = stream_files(spark, [[("a", 1)], [("b", 2), ("c", 3)], [("d", 4)]], "k string, n int", f"{tmpdir_path}/in")
+    seen = []
+
+    class Dying(IdempotentBatchSink):
+        def _commit(self, session, batch_id, done):
+            if batch_id == 1 and not seen:
+                seen.append(sorted(r.k for r in self.read(session).collect()))
+                raise RuntimeError("lost before the commit")
+            super()._commit(session, batch_id, done)
+
+    sink = Dying(f"{tmpdir_path}/out", key=["k"])
+
+    def start():
+        s = spark.readStream.schema("k string, n int").option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
+        cfg = JobConfig(checkpoint_location=f"{tmpdir_path}/ck", available_now=True)
+        return cfg.apply(s.writeStream.foreachBatch(sink)).start()
+
+    _, restarts = run_with_restart(start, RestartPolicy.failure_rate(2, 60, 0.1))
+    rows = sink.read(spark).collect()
+    assert restarts == 1 and seen == [["a"]]
+    assert sorted(r.k for r in rows) == ["a", "b", "c", "d"] and len({r.record_key for r in rows}) == 4

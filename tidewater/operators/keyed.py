@@ -39,8 +39,9 @@ def keyed_count(df: DataFrame, keys: Sequence[str] | str, out: str = "n") -> Dat
 
 
 def running_sum(df: DataFrame, key: Sequence[str] | str, seq: str, value: str, out: str = "running",
-                exact_scale: int | None = 2, block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
-    """Running total per input record in arrival order (A2, STREAMING ``keyBy.sum``)."""
+                exact_scale: int | None = None, block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+    """Running total per input record in arrival order (A2, STREAMING ``keyBy.sum``).
+    ``exact_scale`` sums decimals of that scale instead of the values as they are."""
     keys = [key] if isinstance(key, str) else list(key)
     v = exact(value, exact_scale) if exact_scale is not None else F.col(value)
     res = scan.running(df, keys, [seq], v, how="sum", out=out, block_size=block_size)
@@ -55,11 +56,19 @@ def running_max(df: DataFrame, key: Sequence[str] | str, seq: str, value: str, o
 
 
 def max_by_row(df: DataFrame, key: str, value: str, seq: str) -> DataFrame:
-    """Whole row holding the maximum ``value`` per key; ties go to first arrival (A4)."""
-    cols = df.columns
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]),
-                    F.struct(F.col(value), (-F.col(seq)).alias("_neg_seq")))
-    return df.groupBy(F.col(key).alias("_k")).agg(best.alias("_r")).select("_r.*")
+    """Whole row holding the maximum ``value`` per key; ties go to first arrival (A4).
+
+    ``seq`` must be unique within a key. The best value per key, then the first ``seq`` that
+    has it, are plain numbers that combine map-side in fixed-width buffers; only then are
+    the winning rows fetched. Rows of a null key form their own group, rows of a null value
+    win only where a key has no other.
+    """
+    k, best = F.col(key), F.col("_best")
+    top = df.groupBy(k.alias("_k")).agg(F.max(value).alias("_best"))
+    ties = df.select(k, F.col(value), F.col(seq)).join(
+        top, k.eqNullSafe(F.col("_k")) & F.col(value).eqNullSafe(best), "left_semi")
+    first = ties.groupBy(k.alias("_k")).agg(F.min(seq).alias("_seq"))
+    return df.join(first, k.eqNullSafe(F.col("_k")) & (F.col(seq) == F.col("_seq")), "left_semi")
 
 
 def reduce_sum(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
@@ -90,15 +99,16 @@ def aggregate(df: DataFrame, keys: Sequence[str] | str, acc: Accumulator, out: s
     return parts.select(*keys, acc.result(merged).alias(out))
 
 
-def price_sum_accumulator(price: str) -> Accumulator:
-    """The dashboard's incremental price sum, kept exact to the cent."""
-    return Accumulator({"total": F.sum(exact(price))}, lambda p: p["total"].cast("double"))
+def price_sum_accumulator(price: str, exact_scale: int | None = None) -> Accumulator:
+    """The dashboard's incremental price sum; ``exact_scale`` as in :func:`keyed_sum`."""
+    v = F.col(price) if exact_scale is None else exact(price, exact_scale)
+    return Accumulator({"total": F.sum(v)}, lambda p: p["total"].cast("double"))
 
 
 def sum_carry_first(df: DataFrame, keys: Sequence[str], value: str, seq: str,
                     carried: Sequence[str], out: str) -> DataFrame:
     """POJO field sum: ``value`` summed, other fields keep the first element's values (A10)."""
-    aggs = [F.sum(exact(value)).cast("double").alias(out)]
+    aggs = [F.sum(value).cast("double").alias(out)]
     aggs += [F.min_by(F.col(c), F.col(seq)).alias(c) for c in carried]
     return df.groupBy(*keys).agg(*aggs)
 

@@ -72,12 +72,13 @@ def refire(classified: DataFrame, keys: Sequence[str], seq: str, value: str, out
     All on-time rows of a window arrive before its late ones (the watermark
     only grows), so one running sum over the accepted rows, per (key, window)
     in arrival order, is the re-firing value at a late row and the on-time
-    total at the window's last on-time row: a single scan, one pass of input.
+    total at the window's last on-time row: a single scan, one pass of input. Values are
+    summed as they are: give decimals for sums exact to the cent.
     """
     keys = list(keys)
     wkeys = [*keys, "window_start", "window_end"]
     is_late = F.col(col) == LATE
-    accepted = classified.where(F.col(col) != TOO_LATE).withColumn("_v", F.col(value).cast("decimal(18,2)"))
+    accepted = classified.where(F.col(col) != TOO_LATE).withColumn("_v", F.col(value))
     run = scan.running_many(accepted, [*keys, "window_start"], [seq],
                             [("_v", "sum", "_cum"), (F.when(is_late, 1).otherwise(0), "sum", "_late_no")],
                             block_size=block_size)

@@ -32,7 +32,7 @@ def group_total(df: DataFrame, group: Sequence[str] | str, value: str, out: str,
     """Sum per group, rounded half-up to ``scale`` places, as a double."""
     group = [group] if isinstance(group, str) else list(group)
     return df.groupBy(*group).agg(
-        round_half_up(F.sum(F.col(value).cast("decimal(18,2)")), scale).cast("double").alias(out))
+        round_half_up(F.sum(value), scale).cast("double").alias(out))
 
 
 def ranked_text(df: DataFrame, group: Sequence[str] | str, rank_col: str, text: Column,

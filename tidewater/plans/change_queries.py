@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import changelog, lateness, routing
+from tidewater.operators import changelog, keyed, lateness, routing
+from tidewater.plans.arrival import arriving, run_batches
 from tidewater.plans.registry import query, table
 from tidewater.session import scratch_path
 from tidewater.streaming.late_windows import LateWindowSum
@@ -127,27 +128,34 @@ from late l left join ontime o on l.user_id = o.user_id and l.window_start = o.w
 
 @query("late_refire", _LATE_REFIRE_SQL)
 def late_refire(spark, sf):
-    return lateness.refire(classified(spark, sf), ["user_id"], "event_id", "value")
+    rows = classified(spark, sf).withColumn("value", keyed.exact("value"))
+    return lateness.refire(rows, ["user_id"], "event_id", "value")
 
 
-ARRIVAL_SLICES = 4
+def _late_windows(spark, sf, name: str) -> LateWindowSum:
+    """The disorder fixture through :class:`LateWindowSum` as a stream, to the end of the input."""
+    rows = jittered_events(spark, sf).withColumn("value", keyed.exact("value"))
+    engine = LateWindowSum(scratch_path(spark, name), ["user_id"], "event_id", "event_time", "value",
+                           WINDOW_S, DELAY_S, LATENESS_S)
+    run_batches(spark, arriving(spark, rows, "event_id", name)(), engine, name)
+    engine.flush(spark, engine.last_batch + 1)
+    return engine
 
 
 @query("stream_late_refire", _LATE_REFIRE_SQL)
 def stream_late_refire(spark, sf):
-    """The incremental engine (:class:`LateWindowSum`, what ``foreachBatch``
-    runs per micro-batch) fed the disorder fixture in arrival slices of
-    contiguous ids: state, watermark and outputs carried between slices through
-    the shared checkpoint folder, then end of input. Equals the batch result."""
-    j = jittered_events(spark, sf)
-    engine = LateWindowSum(scratch_path(spark, "late-windows"), ["user_id"], "event_id", "event_time",
-                           "value", WINDOW_S, DELAY_S, LATENESS_S)
-    lo, hi = j.agg(F.min("event_id"), F.max("event_id")).first()
-    step = (hi - lo) // ARRIVAL_SLICES + 1
-    for i in range(ARRIVAL_SLICES):
-        engine(j.where((F.col("event_id") >= lo + i * step) & (F.col("event_id") < lo + (i + 1) * step)), i)
-    engine.flush(spark, ARRIVAL_SLICES)
-    return engine.results(spark)
+    """Allowed lateness in a stream: state, watermark and outputs carried from micro-batch
+    to micro-batch through the shared checkpoint folder. Equals the batch result."""
+    return _late_windows(spark, sf, "late-windows").results(spark)
+
+
+@query("stream_late_side_output", JITTER_SQL + """
+select event_id, user_id, event_time, value from c where lateness = 'too_late'
+""")
+def stream_late_side_output(spark, sf):
+    """Rows too late for any window, from the stream's side output."""
+    side = _late_windows(spark, sf, "late-side").side_output(spark)
+    return side.select("event_id", "user_id", "event_time", F.col("value").cast("double").alias("value"))
 
 
 @query("lateness_classes", JITTER_SQL + """

@@ -98,7 +98,7 @@ def stream_dashboard(spark, sf):
     """The live dashboard handler (:class:`DashboardStream`, one call per
     micro-batch) fed ``events`` in arrival slices; each call is one tick. Its
     output is the batch day-to-date grid at those ticks, and every day's closing total."""
-    ev = table(spark, sf, "events").select("ts", "event_type", "value")
+    ev = table(spark, sf, "events").select("ts", "event_type", keyed.exact("value").alias("value"))
     part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / SLICE_SECONDS)
     slices = sorted(r[0] for r in ev.select(part.alias("p")).distinct().collect())
     handler = DashboardStream(scratch_path(spark, "dashboard"), "ts", "event_type", "value")

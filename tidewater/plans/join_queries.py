@@ -8,7 +8,7 @@ from tidewater.functions import formats
 from tidewater.operators import joins, routing
 from tidewater.functions.timecols import as_event_time
 from tidewater.plans.registry import query, table
-from tidewater.plans.window_queries import FILES_PER_SLICE, write_arrival_slices
+from tidewater.plans.arrival import arriving, run_batches
 from tidewater.session import scratch_path
 from tidewater.streaming import jobs as stream_jobs
 from tidewater.streaming.recovery import IdempotentBatchSink
@@ -129,18 +129,13 @@ def connect_comap(spark, sf):
 def _event_streams(spark, sf):
     """``events`` arriving in slices, read as two streams (all events, purchases)."""
     ev = as_event_time(table(spark, sf, "events"), "ts").select("event_id", "ts", "user_id", "event_type", "value")
-    src = write_arrival_slices(ev, scratch_path(spark, "events-arrival"), "event_id")
-
-    def stream():
-        return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES_PER_SLICE).parquet(f"{src}/*")
+    stream = arriving(spark, ev, "event_id", "events")
     return stream(), purchases(stream())
 
 
 def _run_stream(spark, df, name):
     sink = IdempotentBatchSink(scratch_path(spark, name))
-    (df.writeStream.outputMode("append").foreachBatch(sink)
-     .option("checkpointLocation", scratch_path(spark, name + "-ckpt")).trigger(availableNow=True).start()
-     .awaitTermination())
+    run_batches(spark, df, sink, name)
     return sink.read(spark).drop("batch")
 
 

@@ -18,7 +18,7 @@ from events
 """)
 def running_sum(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return keyed.running_sum(ev, "event_type", "event_id", "value", out="running_value")
+    return keyed.running_sum(ev, "event_type", "event_id", "value", out="running_value", exact_scale=2)
 
 
 @query("running_max", """
@@ -67,7 +67,7 @@ from events group by event_type
 """)
 def custom_aggregate(spark, sf):
     ev = table(spark, sf, "events")
-    return keyed.aggregate(ev, "event_type", keyed.price_sum_accumulator("value"), "total")
+    return keyed.aggregate(ev, "event_type", keyed.price_sum_accumulator("value", 2), "total")
 
 
 @query("window_sum_carry_first", """
@@ -80,7 +80,7 @@ select time_bucket(interval '5 hours', ts, timestamp '1970-01-01') as window_sta
 from events group by all
 """)
 def window_sum_carry_first(spark, sf):
-    ev = table(spark, sf, "events")
+    ev = table(spark, sf, "events").withColumn("value", keyed.exact("value"))
     g = keyed.sum_carry_first(ev, [F.window("ts", "5 hours").alias("window"), "user_id"], "value",
                               "event_id", ["event_id", "event_type"], "value_sum")
     return windows.flatten_window(g)

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import as_event_time, as_ntz
 from tidewater.operators import keyed, windows
+from tidewater.plans.arrival import run_stream
 from tidewater.plans.registry import query, table
-from tidewater.session import scratch_path
-from tidewater.streaming.recovery import IdempotentBatchSink
 
 SUM = "cast(sum(cast(value as decimal(18,2))) as double)"
 B5 = "time_bucket(interval '5 hours', ts, timestamp '1970-01-01')"
@@ -178,22 +177,6 @@ def dsl_tumble_stats(spark, sf):
         n_rows(), F.max("value").alias("max_value"), F.min("value").alias("min_value")])
 
 
-STREAM_SLICES, FILES_PER_SLICE = 4, 4
-
-
-def write_arrival_slices(df, path: str, seq: str, slices: int = STREAM_SLICES,
-                         files: int = FILES_PER_SLICE) -> str:
-    """Write ``df`` as it would arrive: ``slices`` consecutive ranges of ``seq``,
-    one after the other, each as ``files`` range-partitioned files (read back one
-    slice per micro-batch with ``maxFilesPerTrigger = files``)."""
-    lo, hi = df.agg(F.min(seq), F.max(seq)).first()
-    step = (hi - lo) // slices + 1
-    for i in range(slices):
-        part = df.where((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
-        part.repartitionByRange(files, seq).write.mode("overwrite").parquet(f"{path}/slice={i:04d}")
-    return path
-
-
 @query("stream_sessions", f"""
 with a as (
   select user_id, ts, value, event_id,
@@ -214,12 +197,8 @@ def stream_sessions(spark, sf):
     watermark passes its end, so the result is every session closed by the
     final watermark of the input."""
     ev = as_event_time(table(spark, sf, "events"), "ts").select("event_id", "ts", "user_id", "value")
-    src = write_arrival_slices(ev, scratch_path(spark, "events-arrival"), "event_id")
-    stream = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", FILES_PER_SLICE)
-              .parquet(f"{src}/*").withWatermark("ts", "1 hour"))
-    sessions = windows.session_stream(stream, "ts", "10 hours", "user_id", [value_sum(), n_rows()])
-    sink = IdempotentBatchSink(scratch_path(spark, "sessions-out"))
-    q = (sessions.writeStream.outputMode("append").foreachBatch(sink)
-         .option("checkpointLocation", scratch_path(spark, "sessions-ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return as_ntz(sink.read(spark).drop("batch"), "session_start", "session_end")
+    out = run_stream(
+        spark, ev, "event_id",
+        lambda s: windows.session_stream(s.withWatermark("ts", "1 hour"), "ts", "10 hours", "user_id",
+                                         [value_sum(), n_rows()]), "sessions")
+    return as_ntz(out, "session_start", "session_end")

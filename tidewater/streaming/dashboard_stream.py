@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import bucket_end, bucket_start
 from tidewater.operators import ranking
+from tidewater.streaming.processors import sum_type, type_of
 from tidewater.streaming.recovery import first_read
 
 TOP_K = 3
@@ -47,7 +48,7 @@ class DashboardStream:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.select(F.col(self.ts).alias("ts"), F.col(self.category).alias("category"),
-                            F.col(self.price).cast("decimal(18,2)").alias("price"))
+                            F.col(self.price).alias("price"))
         newest = rows.agg(F.max("ts").alias("m")).first()["m"]
         if newest is None:
             return
@@ -58,7 +59,7 @@ class DashboardStream:
         if prev is not None:
             sums = prev.withColumn("touched", F.lit(False)).unionByName(sums)
         state = sums.groupBy("day_start", "category").agg(
-            F.sum("s").cast("decimal(28,2)").alias("s"), F.max("touched").alias("touched"), F.max("open").alias("open"))
+            F.sum("s").cast(sum_type(type_of(rows, "price"))).alias("s"), F.max("touched").alias("touched"), F.max("open").alias("open"))
         # Days and categories only: the state is small, whatever the batch.
         last = state.agg(F.max("day_start").alias("d")).first()["d"]
         day = F.lit(last).cast(kind)

@@ -32,7 +32,7 @@ def windowed_sum_stream(events: DataFrame, ts: str, size: str, delay: str, keys,
     """Event-time tumbling/sliding sums with a watermark (W1, W2, W6); append mode
     emits each window once the watermark passes its end."""
     wm = events.withWatermark(ts, delay)
-    agg = [F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("value_sum")]
+    agg = [F.sum(value).cast("double").alias("value_sum")]
     if slide:
         return windows.sliding(wm, ts, size, slide, keys, agg)
     return windows.tumbling(wm, ts, size, keys, agg)
@@ -45,7 +45,7 @@ def day_totals_stream(sales: DataFrame, ts: str, category: str, price: str, dela
     day = F.window(ts, "1 day", "1 day", "16 hours")
     return windows.flatten_window(
         wm.groupBy(day.alias("window"), category)
-        .agg(F.sum(F.col(price).cast("decimal(18,2)")).cast("double").alias("total")))
+        .agg(F.sum(price).cast("double").alias("total")))
 
 
 def enrich_each_batch(load_dim: Callable[[SparkSession], DataFrame], on, how: str,

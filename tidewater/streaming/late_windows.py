@@ -16,7 +16,8 @@ Everything a batch writes is a function of the previous batch's state and the
 batch itself, and each folder is overwritten as a whole, so a replayed batch
 (after a failure) gives the same result: exactly once. The state holds only
 windows inside the lateness horizon, so it is bounded by time, not history.
-All folders live under a root in the shared checkpoint directory.
+All folders live under a root in the shared checkpoint directory. Values are summed
+as they are: give decimals for sums exact to the cent.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import seconds
 from tidewater.operators import lateness, scan
+from tidewater.streaming.processors import sum_type, type_of
 from tidewater.streaming.recovery import first_read
 
 
@@ -42,6 +44,11 @@ class LateWindowSum:
         self.wkeys = [*self.keys, "window_start", "window_end"]
         self._last: tuple[int, object] | None = None  # (batch id, max event time) written last
 
+    @property
+    def last_batch(self) -> int:
+        """Id of the batch written last by this process, -1 before the first."""
+        return -1 if self._last is None else self._last[0]
+
     # ------------------------------------------------------------------ storage
     def _path(self, kind: str, batch_id: int | None = None) -> str:
         return f"{self.root}/{kind}" + ("" if batch_id is None else f"/batch={batch_id}")
@@ -69,8 +76,7 @@ class LateWindowSum:
             prior_max = None
             if prev is not None:
                 prior_max = spark.read.parquet(self._path("wm", prev)).first()["m"]
-        v = F.col(self.value).cast("decimal(18,2)")
-        rows = batch.select(*self.keys, self.seq, self.et, v.alias("_v")).persist()
+        rows = batch.select(*self.keys, self.seq, self.et, F.col(self.value).alias("_v")).persist()
         try:
             self._process(spark, rows, batch_id, prev, prior_max)
         finally:
@@ -87,6 +93,7 @@ class LateWindowSum:
             cls.unpersist()
 
     def _emit(self, spark, rows, cls, batch_id, prev, prior_max, et_type):
+        total = sum_type(type_of(rows, "_v"))
         on = cls.where(F.col("lateness") == lateness.ON_TIME)
         late = cls.where(F.col("lateness") == lateness.LATE)
         side = cls.where(F.col("lateness") == lateness.TOO_LATE)
@@ -94,9 +101,9 @@ class LateWindowSum:
         batch_on = on.groupBy(*self.wkeys).agg(F.sum("_v").alias("b_on_sum"), F.count(F.lit(1)).alias("b_on_cnt"))
         batch_late = late.groupBy(*self.wkeys).agg(F.sum("_v").alias("b_late_sum"),
                                                    F.count(F.lit(1)).alias("b_n_late"))
-        template = (batch_on.select(*self.wkeys, F.col("b_on_sum").cast("decimal(28,2)").alias("on_sum"),
+        template = (batch_on.select(*self.wkeys, F.col("b_on_sum").cast(total).alias("on_sum"),
                                     F.col("b_on_cnt").alias("on_cnt"),
-                                    F.col("b_on_sum").cast("decimal(28,2)").alias("late_sum"),
+                                    F.col("b_on_sum").cast(total).alias("late_sum"),
                                     F.col("b_on_cnt").alias("n_late"), F.lit(False).alias("fired")))
         state = self._state(spark, prev, template)
 
@@ -113,11 +120,11 @@ class LateWindowSum:
         merged = (state.join(batch_on, self.wkeys, "full").join(batch_late, self.wkeys, "full")
                   .select(*self.wkeys,
                           (F.coalesce("on_sum", F.lit(0)) + F.coalesce("b_on_sum", F.lit(0)))
-                          .cast("decimal(28,2)").alias("on_sum"),
+                          .cast(total).alias("on_sum"),
                           (F.coalesce("on_cnt", F.lit(0)) + F.coalesce("b_on_cnt", F.lit(0)))
                           .cast("long").alias("on_cnt"),
                           (F.coalesce("late_sum", F.lit(0)) + F.coalesce("b_late_sum", F.lit(0)))
-                          .cast("decimal(28,2)").alias("late_sum"),
+                          .cast(total).alias("late_sum"),
                           (F.coalesce("n_late", F.lit(0)) + F.coalesce("b_n_late", F.lit(0)))
                           .cast("long").alias("n_late"),
                           F.coalesce("fired", F.lit(False)).alias("fired")))
@@ -139,7 +146,7 @@ class LateWindowSum:
         merged.persist()
 
         first.unionByName(refire).write.mode("overwrite").parquet(self._path("out", batch_id))
-        side.select(*self.keys, self.seq, self.et, F.col("_v").cast("double").alias(self.value)) \
+        side.select(*self.keys, self.seq, self.et, F.col("_v").alias(self.value)) \
             .write.mode("overwrite").parquet(self._path("side", batch_id))
         new_state.write.mode("overwrite").parquet(self._path("state", batch_id))
         spark.createDataFrame([(new_max,)], f"m {et_type.simpleString()}") \

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
-from decimal import Decimal
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
@@ -36,36 +35,26 @@ def _row(names: tuple[str, ...], *values) -> Row:
 
 
 class RunningAggregate(StatefulProcessor):
-    """Per-record running ``sum``/``max``/``count`` of a key (A2, A5), or its
+    """Per-record running ``sum``/``max``/``min``/``count`` of a key (A2, A5), or its
     retract changelog (C1): ``(false, old)`` then ``(true, new)`` per record.
 
+    The state has the result's type. Null values change nothing, as in the batch form.
     Output rows: ``key, seq, value, result`` -- or with ``changelog=True``
     ``seq, change_seq, flag, key, result``.
     """
 
     def __init__(self, key: str, seq: str, value: str | None, how: str = "sum", changelog: bool = False,
-                 schema: str = "", exact_scale: int | None = 2):
+                 schema: str = "", state_type: str = "double"):
         self.key, self.seq, self.value, self.how, self.changelog = key, seq, value, how, changelog
-        self.names = _names(schema)
-        # sums are kept as decimals (money to the cent, as the batch form) unless exact_scale is None
-        self.exact = exact_scale if how == "sum" else None
+        self.names, self.state_type = _names(schema), state_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        state_type = f"decimal(38,{self.exact})" if self.exact is not None else "double"
-        self.acc = handle.getValueState("acc", f"acc {state_type}")
-
-    def _value(self, r):
-        if self.how == "count":
-            return 1.0
-        v = r[self.value]
-        if self.exact is not None and v is not None:
-            return Decimal(repr(float(v))).quantize(Decimal(1).scaleb(-self.exact))
-        return v
+        self.acc = handle.getValueState("acc", f"acc {self.state_type}")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         cur = self.acc.get()[0] if self.acc.exists() else None
         for r in _sorted(rows, self.seq):
-            v = self._value(r)
+            v = 1 if self.how == "count" else r[self.value]
             old = cur
             if v is None:
                 pass  # aggregates ignore nulls
@@ -79,11 +68,10 @@ class RunningAggregate(StatefulProcessor):
                 cur = cur + v
             if self.changelog:
                 if old is not None:
-                    yield _row(self.names, r[self.seq], 0, False, key[0], float(old))
-                yield _row(self.names, r[self.seq], 1, True, key[0], None if cur is None else float(cur))
+                    yield _row(self.names, r[self.seq], 0, False, key[0], old)
+                yield _row(self.names, r[self.seq], 1, True, key[0], cur)
             else:
-                yield _row(self.names, key[0], r[self.seq],
-                           None if self.how == "count" else r[self.value], None if cur is None else float(cur))
+                yield _row(self.names, key[0], r[self.seq], None if self.how == "count" else r[self.value], cur)
         if cur is not None:
             self.acc.update((cur,))
 
@@ -91,15 +79,31 @@ class RunningAggregate(StatefulProcessor):
         pass
 
 
+def sum_type(value_type: str) -> str:
+    """Type a running sum of ``value_type`` is kept in: decimals get the widest precision."""
+    scale = re.fullmatch(r"decimal\(\d+,\s*(\d+)\)", value_type)
+    if scale:
+        return f"decimal(38,{scale[1]})"
+    return "bigint" if value_type in ("tinyint", "smallint", "int", "bigint") else "double"
+
+
+def type_of(df: DataFrame, col: str) -> str:
+    return df.schema[col].dataType.simpleString()
+
+
 def running_stream(df: DataFrame, key: str, seq: str, value: str | None, how: str = "sum",
-                   changelog: bool = False, key_type: str = "bigint", value_type: str = "double") -> DataFrame:
-    """Streaming form of the running aggregates; output mode ``append``."""
+                   changelog: bool = False) -> DataFrame:
+    """Streaming form of the running aggregates; output mode ``append``. Types follow the
+    input's: cast ``value`` to a decimal beforehand for sums exact to the cent."""
+    value_type = "bigint" if value is None else type_of(df, value)
+    result = {"count": "bigint", "sum": sum_type(value_type)}.get(how, value_type)
+    k, s = f"{key} {type_of(df, key)}", f"{seq} {type_of(df, seq)}"
     if changelog:
-        schema = f"{seq} bigint, change_seq int, flag boolean, {key} {key_type}, result double"
+        schema = f"{s}, change_seq int, flag boolean, {k}, result {result}"
     else:
-        schema = f"{key} {key_type}, {seq} bigint, value {value_type}, result double"
+        schema = f"{k}, {s}, value {value_type}, result {result}"
     return df.groupBy(key).transformWithState(
-        RunningAggregate(key, seq, value, how, changelog, schema), schema, "Append", "None")
+        RunningAggregate(key, seq, value, how, changelog, schema, result), schema, "Append", "None")
 
 
 class CountWindow(StatefulProcessor):
@@ -108,15 +112,23 @@ class CountWindow(StatefulProcessor):
     A counter and the last ``size`` values (list state) per key. Tumbling
     (``slide is None``): emit when ``size`` rows are collected, then clear.
     Sliding: on every ``slide``-th row emit the sum of the last up-to-``size`` rows.
+    Null values count as rows and add nothing; a window of nulls alone sums to null.
     Output: ``key, fire_at (row number), value_sum``.
     """
 
-    def __init__(self, seq: str, value: str, size: int, slide: int | None = None, schema: str = ""):
+    def __init__(self, seq: str, value: str, size: int, slide: int | None = None, schema: str = "",
+                 value_type: str = "double"):
         self.seq, self.value, self.size, self.slide, self.names = seq, value, size, slide, _names(schema)
+        self.value_type = value_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n bigint")
-        self.buf = handle.getListState("buf", "v double")
+        self.buf = handle.getListState("buf", f"v {self.value_type}")
+
+    @staticmethod
+    def _total(buf):
+        known = [v for v in buf if v is not None]
+        return sum(known[1:], known[0]) if known else None
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         n = self.count.get()[0] if self.count.exists() else 0
@@ -126,12 +138,12 @@ class CountWindow(StatefulProcessor):
             buf.append(r[self.value])
             if self.slide is None:
                 if len(buf) == self.size:
-                    yield _row(self.names, key[0], n, float(sum(buf)))
+                    yield _row(self.names, key[0], n, self._total(buf))
                     buf = []
             else:
                 buf = buf[-self.size:]
                 if n % self.slide == 0:
-                    yield _row(self.names, key[0], n, float(sum(buf)))
+                    yield _row(self.names, key[0], n, self._total(buf))
         self.count.update((n,))
         if buf:
             self.buf.put([(v,) for v in buf])
@@ -143,9 +155,11 @@ class CountWindow(StatefulProcessor):
 
 
 def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int,
-                        slide: int | None = None, key_type: str = "bigint") -> DataFrame:
-    schema = f"{key} {key_type}, fire_at bigint, value_sum double"
-    return df.groupBy(key).transformWithState(CountWindow(seq, value, size, slide, schema), schema, "Append", "None")
+                        slide: int | None = None) -> DataFrame:
+    value_type = type_of(df, value)
+    schema = f"{key} {type_of(df, key)}, fire_at bigint, value_sum {sum_type(value_type)}"
+    return df.groupBy(key).transformWithState(
+        CountWindow(seq, value, size, slide, schema, value_type), schema, "Append", "None")
 
 
 class OrderTimeout(StatefulProcessor):
@@ -158,12 +172,13 @@ class OrderTimeout(StatefulProcessor):
     Output: ``user_id, order_id, action, action_ms``.
     """
 
-    def __init__(self, order: str, created_ms: str, reviewed: str, interval_ms: int):
+    def __init__(self, order: str, created_ms: str, reviewed: str, interval_ms: int, order_type: str = "string"):
         self.order, self.created, self.reviewed, self.interval = order, created_ms, reviewed, interval_ms
+        self.order_type = order_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "order_id bigint", "created bigint, reviewed boolean")
+        self.pending = handle.getMapState("pending", f"order_id {self.order_type}", "created bigint, reviewed boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         for r in rows:
@@ -193,7 +208,8 @@ class OrderTimeout(StatefulProcessor):
 def order_timeout_stream(df: DataFrame, user: str, order: str, created_ms: str, reviewed: str,
                          interval_ms: int, event_time: bool = True) -> DataFrame:
     """Event-time timers (input must carry ``withWatermark``), else processing time."""
-    schema = "user_id bigint, order_id bigint, action string, action_ms bigint"
-    proc = OrderTimeout(order, created_ms, reviewed, interval_ms)
+    order_type = type_of(df, order)
+    schema = f"user_id {type_of(df, user)}, order_id {order_type}, action string, action_ms bigint"
+    proc = OrderTimeout(order, created_ms, reviewed, interval_ms, order_type)
     mode = "EventTime" if event_time else "ProcessingTime"
     return df.groupBy(user).transformWithState(proc, schema, "Append", mode)

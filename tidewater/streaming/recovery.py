@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import time
 from collections import deque
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,26 +119,44 @@ class IdempotentBatchSink:
 
     Each micro-batch is written to ``path/batch=<id>`` with overwrite, so a
     batch replayed after a failure replaces its earlier partial output instead
-    of duplicating it. ``with_key=True`` adds ``batch_id`` and ``seq`` columns,
-    the idempotency key ``(batch_id, seq)`` an external system can upsert on.
+    of duplicating it. A batch counts once ``path.commits`` names it, which is written
+    after its rows: a reader never sees a half-written batch. A replay takes the name
+    back first.
+
+    ``key`` names columns that identify a record within a batch; the column ``record_key``
+    is then a digest of the batch id and these columns. It doesn't depend on how a replay
+    orders or splits its rows, so an external system can upsert on it.
     """
 
     def __init__(self, path: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                 with_key: bool = False):
+                 key: Sequence[str] | None = None, partition_by: Sequence[str] = ()):
         self.path = path.rstrip("/")
         self.transform = transform
-        self.with_key = with_key
+        self.key = list(key) if key else None
+        self.partition_by = list(partition_by)
+
+    def _mark(self, batch_id: int | None = None) -> str:
+        return f"{self.path}.commits" + ("" if batch_id is None else f"/batch={batch_id}")
+
+    def _commit(self, spark: SparkSession, batch_id: int, done: bool) -> None:
+        spark.range(1).select(F.lit(done).alias("done")).write.mode("overwrite").parquet(self._mark(batch_id))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         out = self.transform(batch) if self.transform else batch
-        if self.with_key:
-            # (batch_id, seq) identifies a record across replays of the same batch
-            out = out.select(F.lit(batch_id).cast("long").alias("batch_id"),
-                             F.monotonically_increasing_id().alias("seq"), "*")
-        out.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        if self.key:
+            parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in self.key]
+            out = out.withColumn("record_key", F.sha2(F.to_json(F.array(F.lit(str(batch_id)), *parts)), 256))
+        if first_read(lambda: spark.read.parquet(self._mark(batch_id))) is not None:
+            self._commit(spark, batch_id, False)
+        out.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/batch={batch_id}")
+        self._commit(spark, batch_id, True)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        """Rows of the committed batches, with their ``batch``."""
+        rows = spark.read.option("basePath", self.path).parquet(f"{self.path}/batch=*")
+        marks = first_read(lambda: spark.read.parquet(self._mark()))
+        return rows.limit(0) if marks is None else rows.join(marks.where("done"), "batch", "left_semi")
 
 
 def latest_per_key(updates: DataFrame, key: str, value: str, order=("batch",)) -> DataFrame:
