@@ -31,7 +31,7 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 
 
 @pytest.mark.parametrize("name", ["running_sum", "running_max", "changelog_group_sum", "count_tumbling",
-                                  "count_sliding", "session_sum", "watermark_audit", "late_refire",
+                                  "count_sliding", "watermark_audit", "late_refire",
                                   "order_timeout_review"])
 def test_full_data_windows_are_blocked(spark, sf, name):
     """Every window over input rows partitions by (key..., block), never by the key alone."""
@@ -43,6 +43,17 @@ def test_full_data_windows_are_blocked(spark, sf, name):
     assert all("_blk0" in parts for parts in full), (name, full)
 
 
+def test_sessions_shuffle_the_rows_once(spark, sf):
+    df = QUERIES["session_sum"](spark, sf)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    full = set(re.findall(r"(?<!Reused)Exchange hashpartitioning\(user_id#\d+L?, _blk#\d+L?", final))
+    assert len(full) == 1 and "ReusedExchange" in final
+    rows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[_t#", final)
+    assert rows and all("_blk" in parts for parts in rows)
+
+
 def test_interval_join_keys_on_time_bucket(spark, sf):
     plan = _plan(spark, sf, "interval_join")
     assert re.search(r"\[user_id#\d+L?, _bucket#\d+L?\]", plan)

@@ -84,7 +84,7 @@ def test_lateness_classes_partition_input(spark, sf):
 
 def test_running_sum_exact_decimals(spark):
     df = spark.createDataFrame([(1, "a", 0.1), (2, "a", 0.2), (3, "a", 0.3)], "seq long, k string, v double")
-    out = keyed.running_sum(df, "k", "seq", "v", block_size=1).orderBy("seq").collect()
+    out = keyed.running_sum(df, "k", "seq", "v", exact_scale=2, block_size=1).orderBy("seq").collect()
     assert [r.running for r in out] == [0.1, 0.3, 0.6]
 
 

@@ -9,7 +9,7 @@ ingestion-time column here (Spark SQL windows are event time only).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,7 +52,8 @@ def session(df: DataFrame, ts: str, gap_seconds: int, keys, aggs: Sequence[Colum
 
     Output: keys, ``session_start`` (first ts), ``session_end`` (last ts + gap)
     and ``aggs``. Built from two blocked scans so one busy key never sits in a
-    single task (``session_window`` would cluster each key into one task).
+    single task (``session_window`` would cluster each key into one task);
+    :func:`session_merged` needs one shuffle of the rows where the aggregates merge.
     For streams use :func:`session_stream`.
     """
     keys = _keys(keys)
@@ -68,6 +69,44 @@ def session(df: DataFrame, ts: str, gap_seconds: int, keys, aggs: Sequence[Colum
     return res.drop("_sid")
 
 
+def session_merged(df: DataFrame, ts: str, gap_seconds: int, keys, parts: Mapping[str, tuple[str, Column | str | None]],
+                   block_size: int = 24 * scan.HOUR_MICROS) -> DataFrame:
+    """Session windows as :func:`session`, in one shuffle of the rows, for aggregates that merge.
+
+    ``parts`` maps an output name to ``(how, column)`` with ``how`` one of sum, count, max, min.
+    Every (key, block of time) is cut into sessions and aggregated in place. A session that is
+    neither the first nor the last of its block is whole; the two at the edges, a few rows for
+    each block, are merged with those of the neighbouring blocks. Rows of a null time are in
+    no session.
+    """
+    keys, gap = _keys(keys), seconds(gap_seconds)
+    merge = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+    values = [F.lit(1).cast("long") if how == "count" else F.col(c) if isinstance(c, str) else c
+              for how, c in parts.values()]
+    rows = df.where(F.col(ts).isNotNull()).select(
+        *keys, F.col(ts).alias("_t"), scan.block_of(df, ts, block_size).alias("_blk"),
+        *[v.alias(f"_v{i}") for i, v in enumerate(values)])
+    aggs = [merge[how](f"_v{i}").alias(f"_v{i}") for i, (how, _) in enumerate(parts.values())]
+
+    def opens(time: str, before: str, w) -> Column:
+        prev = F.lag(before).over(w)
+        return F.when(prev.isNull() | (F.col(time) > prev + gap), 1).otherwise(0)
+
+    in_block = Window.partitionBy(*keys, "_blk")
+    by_time = in_block.orderBy("_t")
+    local = (rows.withColumn("_new", opens("_t", "_t", by_time))
+             .withColumn("_no", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy(*keys, "_blk", "_no").agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"), *aggs)
+             .withColumn("_edge", (F.col("_no") == 1) | F.lead("_no").over(in_block.orderBy("_no")).isNull()))
+    by_block = Window.partitionBy(*keys).orderBy("_blk", "_no")
+    joined = (local.where("_edge").withColumn("_new", opens("_from", "_to", by_block))
+              .withColumn("_sid", F.sum("_new").over(by_block.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy(*keys, "_sid").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"), *aggs))
+    return local.where(~F.col("_edge")).drop("_blk", "_no", "_edge").unionByName(joined.drop("_sid")).select(
+        *keys, F.col("_from").alias("session_start"), (F.col("_to") + gap).alias("session_end"),
+        *[F.col(f"_v{i}").alias(name) for i, name in enumerate(parts)])
+
+
 def session_stream(df: DataFrame, ts: str, gap: str, keys, aggs: Sequence[Column]) -> DataFrame:
     """Streaming session windows: Spark's ``session_window`` (append mode only)."""
     sw = F.session_window(ts, gap).alias("session")

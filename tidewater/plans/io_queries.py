@@ -8,7 +8,9 @@ return what a reader sees there afterwards.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,10 +101,18 @@ def src_sequence(spark, sf):
     return sources.sequence(spark, b["a"], b["b"]).where(F.col("value") > 10)
 
 
-def documents_as_text(spark, sf, path: str, files: int = 4) -> str:
-    """Write each document's text as text files (its newlines become lines)."""
-    table(spark, sf, "documents").select("text").repartition(files).write.mode("overwrite").text(path)
-    return path
+BYTES_PER_FILE = 128 << 20
+MAX_FILES_PER_BATCH = 4096
+
+
+def documents_as_text(spark, sf, path: str) -> int:
+    """Write each document's text as text files (its newlines become lines); the number of
+    files follows from the size of the texts and is returned."""
+    texts = table(spark, sf, "documents").select("text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    files = max(4, -(-size // BYTES_PER_FILE))
+    texts.repartition(files).write.mode("overwrite").text(path)
+    return files
 
 
 _LINES_SQL = "select unnest(string_split(text, chr(10))) as value from documents"
@@ -111,7 +121,9 @@ _LINES_SQL = "select unnest(string_split(text, chr(10))) as value from documents
 @query("src_text", _LINES_SQL)
 def src_text(spark, sf):
     """``readTextFile``: one row per line of files written from ``documents``."""
-    return sources.text(spark, documents_as_text(spark, sf, scratch_path(spark, "documents-text")))
+    path = scratch_path(spark, "documents-text")
+    documents_as_text(spark, sf, path)
+    return sources.text(spark, path)
 
 
 @query("stream_wordcount", f"""
@@ -122,11 +134,12 @@ select word, cast(count(*) as bigint) as n from (
 """)
 def stream_wordcount(spark, sf):
     """Word count over a line stream (S4 -> A2 in update mode -> K8): files
-    arrive one per micro-batch, each batch's updated counts go to an
+    arrive a quarter of them per micro-batch (4,096 at most), each batch's updated counts go to an
     idempotent per-batch sink, and the final count is the latest update."""
-    src = documents_as_text(spark, sf, scratch_path(spark, "lines"))
+    src = scratch_path(spark, "lines")
+    files = documents_as_text(spark, sf, src)
     sink = IdempotentBatchSink(scratch_path(spark, "wordcount-updates"))
-    lines = sources.text_stream(spark, src, max_files_per_trigger=1)
+    lines = sources.text_stream(spark, src, max_files_per_trigger=min(-(-files // 4), MAX_FILES_PER_BATCH))
     cfg = JobConfig(checkpoint_location=scratch_path(spark, "wordcount-ckpt"), available_now=True)
     q = cfg.apply(stream_jobs.word_counts_stream(lines).writeStream.outputMode("update").foreachBatch(sink)).start()
     q.awaitTermination()
@@ -173,7 +186,7 @@ def _rolling(spark, sf, bucket_fn, name):
     ev = table(spark, sf, "events")
     path = scratch_path(spark, name)
     line = pair_text(F.col("event_id"), F.col("event_type"), ":::")
-    sinks.write_rolling(ev, line, bucket_fn(F.col("ts")), path, max_records_per_file=2000, time_col="ts")
+    sinks.write_rolling(ev, line, bucket_fn(F.col("ts")), path, max_records_per_file=1_000_000, time_col="ts")
     return sinks.read_rolling(spark, path)
 
 
@@ -272,7 +285,7 @@ def partition_custom(spark, sf):
 
 
 @query("partition_suite", """
-select mode, n from (
+select mode, n, cast(0 as bigint) as misplaced from (
   select 'broadcast' as mode, 4 * count(*) as n from events union all
   select 'forward', count(*) from events union all
   select 'shuffle', count(*) from events union all
@@ -282,22 +295,52 @@ select mode, n from (
   select 'key_by', count(*) from events)
 """)
 def partition_suite(spark, sf):
-    """Rows delivered downstream under each partitioning mode, n = 4 tasks.
+    """Rows that reach the next stage under each partitioning mode, and what a wrong
+    partitioner would misplace:
+
+    * broadcast: copies of a replica number in more than one task, or two numbers in one
+    * forward: rows in another task than before
+    * shuffle: tasks further than eight standard deviations from an equal share
+    * rebalance: tasks further from an equal share than one row for each task that sends
+    * rescale: earlier tasks whose rows were torn apart
+    * custom: rows in another task than the key names
+    * key_by: keys in more than one task
 
     ``global()`` (all rows to one task) is left out on purpose: it is only
     meant for small bounded inputs and is covered by the unit tests."""
-    ev = table(spark, sf, "events").select("event_id", "user_id")
-    modes = {
-        "broadcast": partitioning.replicate(ev, 4),
-        "forward": partitioning.forward(ev),
-        "shuffle": partitioning.shuffle(ev, 4),
-        "rebalance": partitioning.rebalance(ev, 4),
-        "rescale": partitioning.rescale(ev, 4),
-        "custom": partitioning.custom(ev, 4, F.pmod(F.col("user_id"), F.lit(4))),
-        "key_by": partitioning.key_by(ev, 4, "user_id"),
-    }
-    parts = [d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("mode"), "n") for m, d in modes.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ev = table(spark, sf, "events").select("event_id", "user_id").withColumn("sender", F.spark_partition_id())
+    one = F.count(F.lit(1)).alias("n")
+
+    def placed(df, *cols):
+        return partitioning.with_task_id(df, "task").groupBy(*cols, "task").agg(one)
+
+    def report(mode, groups, wrong):
+        return groups.agg(F.sum("n").alias("n"), wrong.cast("long").alias("misplaced")).select(
+            F.lit(mode).alias("mode"), "n", "misplaced")
+
+    def split(groups, col):
+        return groups.groupBy(col).agg(F.sum("n").alias("n"), (F.count(F.lit(1)) > 1).cast("long").alias("torn"))
+
+    def uneven(groups, slack):
+        share = F.sum("n") / n
+        far = F.greatest(F.max("n") - share, share - F.when(F.count(F.lit(1)) < n, 0).otherwise(F.min("n")))
+        return F.when(far > slack(share), 1).otherwise(0)
+
+    copies = placed(partitioning.replicate(ev, 4), "replica")
+    rebalanced = placed(partitioning.rebalance(ev, n), "sender").groupBy("task").agg(
+        F.sum("n").alias("n"), F.collect_set("sender").alias("senders"))
+    forward = placed(partitioning.forward(ev), "sender")
+    custom = placed(partitioning.custom(ev, n, F.col("user_id")), "user_id")
+    mixed = placed(partitioning.shuffle(ev, n))
+    parts = [
+        report("broadcast", copies, F.count(F.lit(1)) - F.least(F.countDistinct("replica"), F.countDistinct("task"))),
+        report("forward", forward, F.sum(F.when(F.col("sender") != F.col("task"), F.col("n")).otherwise(0))),
+        report("shuffle", mixed, uneven(mixed, lambda share: 8 * F.sqrt(share) + 1)),
+        report("rebalance", rebalanced, uneven(rebalanced, lambda share: F.max(F.size("senders")))),
+        report("rescale", split(placed(partitioning.rescale(ev, n), "sender"), "sender"), F.sum("torn")),
+        report("custom", custom,
+               F.sum(F.when(F.pmod("user_id", F.lit(n)) != F.col("task"), F.col("n")).otherwise(0))),
+        report("key_by", split(placed(partitioning.key_by(ev, n, "user_id"), "user_id"), "user_id"), F.sum("torn")),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import keyed, windows
+from tidewater.operators import keyed, partitioning, windows
 from tidewater.plans.registry import query, table
 
 DEC = "cast({} as decimal(18,2))"
@@ -86,8 +86,23 @@ def window_sum_carry_first(spark, sf):
     return windows.flatten_window(g)
 
 
-@query("partition_skew_report")
+@query("partition_skew_report", """
+select 'before' as phase, count(*) as n, null::boolean as even from events where value > 10
+union all
+select 'after', count(*), true from events where value > 10
+""")
 def partition_skew_report(spark, sf):
-    """Per-task row counts after a selective filter and a rebalance to 4 tasks."""
-    ev = table(spark, sf, "events").where(F.col("value") > 10)
-    return keyed.partition_counts(ev.repartition(4))
+    """Rows of the tasks after a selective filter, and after a rebalance of what it left: no two
+    tasks may then differ by more than one row for each task that sends. How the filter's
+    own tasks differ depends on the files, so ``even`` is null before."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = table(spark, sf, "events").where(F.col("value") > 10).select("value")
+    phases = [keyed.partition_counts(kept).withColumn("sent", F.lit(True)),
+              keyed.partition_counts(partitioning.rebalance(kept, n)).withColumn("sent", F.lit(False))]
+    sent, got = F.when(F.col("sent"), F.col("n")), F.when(~F.col("sent"), F.col("n"))
+    least = F.when(F.count(got) < n, 0).otherwise(F.min(got))
+    facts = phases[0].unionByName(phases[1]).agg(
+        F.sum(sent).alias("before"), F.sum(got).alias("after"), (F.max(got) - least <= F.count(sent)).alias("even"))
+    return facts.select(F.inline(F.array(
+        F.struct(F.lit("before").alias("phase"), F.col("before").alias("n"), F.lit(None).cast("boolean").alias("even")),
+        F.struct(F.lit("after").alias("phase"), F.col("after").alias("n"), F.col("even").alias("even")))))

@@ -60,7 +60,9 @@ from b group by user_id, sid
 """)
 def session_sum(spark, sf):
     ev = table(spark, sf, "events")
-    return windows.session(ev, "ts", 10 * 3600, "user_id", [value_sum(), n_rows()], seq="event_id")
+    out = windows.session_merged(ev, "ts", 10 * 3600, "user_id",
+                                 {"value_sum": ("sum", keyed.exact("value")), "n": ("count", None)})
+    return out.withColumn("value_sum", F.col("value_sum").cast("double"))
 
 
 @query("count_tumbling", """
