@@ -5,8 +5,9 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from tidewater import plans
 
-QUERIES = queries()
+QUERIES = {name: q for name, q in queries().items() if name in plans.QUERIES}
 PYTHON_NODES = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas",
                 "PythonUDF", "MapInArrow")
 

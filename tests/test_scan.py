@@ -1,6 +1,7 @@
 """Blocked scan = plain window, for any block size (property tests)."""
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -104,3 +105,44 @@ def test_recursive_prefix_any_fanout(spark, rows, block, fanout, depth):
     g = pdf.sort_values("seq").groupby("k")["v"]
     assert list(out["s"]) == list(g.cumsum())
     assert list(out["m"]) == list(g.cummin())
+
+
+def test_planned_blocks_hold_their_budget(spark):
+    """Dense, sparse and bursty order columns, one key with a third of the rows."""
+    n, budget = 30_000, 1_000
+    i = F.col("id")
+    orders = {
+        "dense": i,
+        "sparse": i * (1 << 23),
+        "hot hour": F.when(i % 3 == 0, i * 1_000_000).otherwise(F.lit(5_000_000_000) + i),
+        "negative": i * 997 - 40_000_000,
+    }
+    for name, seq in orders.items():
+        df = spark.range(n).select(seq.alias("seq"), F.when(i % 3 == 0, "hot").otherwise((i % 50).cast("string")).alias("k"),
+                                   (i % 11).alias("v"))
+        blocks = scan.plan_blocks(df, "seq", budget, bins=256)
+        sized = df.groupBy(scan.block_of(df, "seq", blocks).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("seq").alias("lo"), F.max("seq").alias("hi")).orderBy("b").collect()
+        assert max(r.n for r in sized) <= 2 * budget and len(sized) >= n // budget, name
+        assert all(a.hi < b.lo for a, b in zip(sized, sized[1:])), name
+        out = scan.running(df, ["k"], ["seq"], "v", out="s", block_size=blocks).toPandas().sort_values("seq")
+        assert list(out["s"]) == list(out.groupby("k")["v"].cumsum()), name
+
+
+def test_planned_blocks_of_nothing_and_nulls(spark):
+    df = spark.createDataFrame([(None, 1), (3, 2), (None, 4), (7, 8)], "seq long, v long")
+    assert scan.plan_blocks(df.limit(0), "seq") == scan.Blocks()
+    assert scan.plan_blocks(df.where("seq is null"), "seq", 1) == scan.Blocks()
+    blocks = scan.plan_blocks(df, "seq", 1)
+    got = df.select("seq", scan.block_of(df, "seq", blocks).alias("b")).collect()
+    assert [r.b for r in got if r.seq is None] == [None, None] and len({r.b for r in got if r.seq}) == 2
+
+
+@pytest.mark.parametrize("name", ["running_sum", "running_max", "changelog_group_sum", "count_tumbling", "count_sliding",
+                                  "session_sum", "watermark_audit", "late_refire", "order_timeout_review"])
+def test_ordered_queries_over_many_blocks(spark, sf, name, monkeypatch):
+    """The same answer whether the table is one block or dozens."""
+    from tidewater.plans import QUERIES
+    one = sorted(map(str, QUERIES[name](spark, sf).collect()))
+    monkeypatch.setattr(scan, "ROWS_PER_BLOCK", 40)
+    assert sorted(map(str, QUERIES[name](spark, sf).collect())) == one

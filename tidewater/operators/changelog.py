@@ -24,7 +24,7 @@ def _change(seq: str, n: int, flag: bool, keys: Sequence[str], value: Column, ou
 
 def aggregate_changelog(df: DataFrame, keys: Sequence[str] | str, seq: str, value: str | None,
                         how: str = "count", out: str = "value",
-                        block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                        block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """Changelog of ``groupBy(keys).agg(how(value))`` fed in ``seq`` order.
 
     Output columns: ``seq``, ``change_seq`` (0 retract, 1 add within one input),
@@ -50,7 +50,7 @@ def aggregate_changelog(df: DataFrame, keys: Sequence[str] | str, seq: str, valu
 
 
 def count_changelog(df: DataFrame, keys: Sequence[str] | str, seq: str, out: str = "cnt",
-                    block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                    block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """Changelog of a running count per key: old = new - 1, none for the first row."""
     return aggregate_changelog(df, keys, seq, None, "count", out, block_size)
 

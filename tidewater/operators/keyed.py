@@ -39,7 +39,7 @@ def keyed_count(df: DataFrame, keys: Sequence[str] | str, out: str = "n") -> Dat
 
 
 def running_sum(df: DataFrame, key: Sequence[str] | str, seq: str, value: str, out: str = "running",
-                exact_scale: int | None = None, block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                exact_scale: int | None = None, block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """Running total per input record in arrival order (A2, STREAMING ``keyBy.sum``).
     ``exact_scale`` sums decimals of that scale instead of the values as they are."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -49,7 +49,7 @@ def running_sum(df: DataFrame, key: Sequence[str] | str, seq: str, value: str, o
 
 
 def running_max(df: DataFrame, key: Sequence[str] | str, seq: str, value: str, out: str = "max_so_far",
-                block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """(key, current, max so far) per record (A5, ValueState running max)."""
     keys = [key] if isinstance(key, str) else list(key)
     return scan.running(df, keys, [seq], F.col(value), how="max", out=out, block_size=block_size)

@@ -28,7 +28,7 @@ ON_TIME, LATE, TOO_LATE = "on_time", "late", "too_late"
 
 
 def with_watermark_audit(df: DataFrame, seq: str, event_time: str, delay_seconds: int,
-                         out: str = "watermark", block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                         out: str = "watermark", block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """Per row, the watermark after it arrives: ``max event time so far - delay - 1 ms``."""
     m = scan.running(df, [], [seq], F.col(event_time), how="max", out="_max", block_size=block_size)
     wm = F.col("_max") - seconds(delay_seconds) - F.expr("INTERVAL '0.001' SECOND")
@@ -37,7 +37,7 @@ def with_watermark_audit(df: DataFrame, seq: str, event_time: str, delay_seconds
 
 def classify(df: DataFrame, seq: str, event_time: str, window_seconds: int, delay_seconds: int,
              lateness_seconds: int, out: str = "lateness", prior_max=None,
-             block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+             block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """Add ``window_start``, ``window_end`` and the lateness class ``out``.
 
     ``prior_max`` carries the running max of earlier micro-batches in.
@@ -61,7 +61,7 @@ def late_split(classified: DataFrame, col: str = "lateness") -> dict[str, DataFr
 
 
 def refire(classified: DataFrame, keys: Sequence[str], seq: str, value: str, out: str = "value_sum",
-           col: str = "lateness", block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+           col: str = "lateness", block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """Window results with allowed lateness.
 
     One row per on-time firing (``fire_no`` 0: sum of on-time rows), then one

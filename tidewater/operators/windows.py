@@ -46,7 +46,7 @@ def sliding(df: DataFrame, ts: str, size: str, slide: str, keys, aggs: Sequence[
 
 
 def session(df: DataFrame, ts: str, gap_seconds: int, keys, aggs: Sequence[Column],
-            seq: str | None = None, block_size: int = 24 * scan.HOUR_MICROS) -> DataFrame:
+            seq: str | None = None, block_size: int | scan.Blocks = 24 * scan.HOUR_MICROS) -> DataFrame:
     """Session windows per key (W3): a row more than ``gap`` after the previous
     row of its key opens a new session; rows exactly ``gap`` apart merge.
 
@@ -70,7 +70,7 @@ def session(df: DataFrame, ts: str, gap_seconds: int, keys, aggs: Sequence[Colum
 
 
 def session_merged(df: DataFrame, ts: str, gap_seconds: int, keys, parts: Mapping[str, tuple[str, Column | str | None]],
-                   block_size: int = 24 * scan.HOUR_MICROS) -> DataFrame:
+                   block_size: int | scan.Blocks = 24 * scan.HOUR_MICROS) -> DataFrame:
     """Session windows as :func:`session`, in one shuffle of the rows, for aggregates that merge.
 
     ``parts`` maps an output name to ``(how, column)`` with ``how`` one of sum, count, max, min.
@@ -117,7 +117,7 @@ def session_stream(df: DataFrame, ts: str, gap: str, keys, aggs: Sequence[Column
 
 
 def count_tumbling(df: DataFrame, keys, seq: str, size: int, aggs: Sequence[Column],
-                   block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                   block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """``countWindow(size)``: consecutive groups of ``size`` rows per key in
     arrival order; an incomplete tail never fires (W4)."""
     keys = _keys(keys)
@@ -129,7 +129,7 @@ def count_tumbling(df: DataFrame, keys, seq: str, size: int, aggs: Sequence[Colu
 
 
 def count_sliding(df: DataFrame, keys, seq: str, size: int, slide: int, value: Column,
-                  out: str, block_size: int | None = scan.DEFAULT_BLOCK) -> DataFrame:
+                  out: str, block_size: int | scan.Blocks | None = scan.DEFAULT_BLOCK) -> DataFrame:
     """``countWindow(size, slide)``: on every ``slide``-th row of a key, aggregate
     the last *up to* ``size`` rows (W5).
 

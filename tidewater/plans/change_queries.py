@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import changelog, keyed, lateness, routing
+from tidewater.operators import changelog, keyed, lateness, routing, scan
 from tidewater.plans.arrival import arriving, run_batches
 from tidewater.plans.registry import query, table
 from tidewater.session import scratch_path
@@ -26,7 +26,7 @@ ch as (
 
 def user_count_changes(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "user_id")
-    return changelog.count_changelog(ev, "user_id", "event_id", out="cnt")
+    return changelog.count_changelog(ev, "user_id", "event_id", out="cnt", block_size=scan.plan_blocks(ev, "event_id"))
 
 
 @query("changelog_group_sum", _RUNNING_COUNT + "select * from ch")
@@ -79,9 +79,10 @@ def jittered_events(spark, sf):
     return ev.withColumn("event_time", F.col("ts") - shift).drop("ts")
 
 
-def classified(spark, sf):
-    return lateness.classify(jittered_events(spark, sf), "event_id", "event_time",
-                             WINDOW_S, DELAY_S, LATENESS_S)
+def classified(spark, sf, blocks=None):
+    ev = jittered_events(spark, sf)
+    return lateness.classify(ev, "event_id", "event_time", WINDOW_S, DELAY_S, LATENESS_S,
+                             block_size=blocks or scan.plan_blocks(ev, "event_id"))
 
 
 @query("watermark_audit", """
@@ -96,7 +97,8 @@ from j
 """)
 def watermark_audit(spark, sf):
     ev = jittered_events(spark, sf).drop("value")
-    return lateness.with_watermark_audit(ev, "event_id", "event_time", DELAY_S)
+    return lateness.with_watermark_audit(ev, "event_id", "event_time", DELAY_S,
+                                         block_size=scan.plan_blocks(ev, "event_id"))
 
 
 @query("late_side_output", JITTER_SQL + """
@@ -128,8 +130,9 @@ from late l left join ontime o on l.user_id = o.user_id and l.window_start = o.w
 
 @query("late_refire", _LATE_REFIRE_SQL)
 def late_refire(spark, sf):
-    rows = classified(spark, sf).withColumn("value", keyed.exact("value"))
-    return lateness.refire(rows, ["user_id"], "event_id", "value")
+    blocks = scan.plan_blocks(table(spark, sf, "events"), "event_id")
+    rows = classified(spark, sf, blocks).withColumn("value", keyed.exact("value"))
+    return lateness.refire(rows, ["user_id"], "event_id", "value", block_size=blocks)
 
 
 def _late_windows(spark, sf, name: str) -> LateWindowSum:

@@ -28,7 +28,8 @@ def timeout_review(orders: DataFrame, user: str, order: str, created: str, revie
     ``auto_good``. So an unreviewed order acts at its own timer, and a reviewed
     one at the user's first timer firing at or after its creation. That "next
     timer" is a running min over the user's timers in reverse time order,
-    computed with the blocked scan (no user is gathered in one task).
+    computed with the blocked scan, whose blocks are planned from the timers' times
+    (no user is gathered in one task).
     Output: user_id, order_id, action, action_time (only actions up to ``as_of``).
     """
     iv = seconds(interval_seconds)
@@ -42,7 +43,7 @@ def timeout_review(orders: DataFrame, user: str, order: str, created: str, revie
             base.schema["created"].dataType).alias("fire")))).alias("_e")) \
         .select("user_id", "order_id", "reviewed", "_e.*").withColumn("_rev", -micros_of("t"))
     nxt = scan.running(both, ["user_id"], ["_rev", "kind"], F.col("fire"), how="min", out="first_fire",
-                       block_size=24 * scan.HOUR_MICROS)
+                       block_size=scan.plan_blocks(both, "_rev"))
     res = nxt.where(F.col("kind") == 1).select(
         "user_id", "order_id",
         F.when(F.col("reviewed"), F.lit("already_reviewed")).otherwise(F.lit("auto_good")).alias("action"),

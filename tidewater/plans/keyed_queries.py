@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import keyed, partitioning, windows
+from tidewater.operators import keyed, partitioning, scan, windows
 from tidewater.plans.registry import query, table
 
 DEC = "cast({} as decimal(18,2))"
@@ -18,7 +18,8 @@ from events
 """)
 def running_sum(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return keyed.running_sum(ev, "event_type", "event_id", "value", out="running_value", exact_scale=2)
+    return keyed.running_sum(ev, "event_type", "event_id", "value", out="running_value", exact_scale=2,
+                             block_size=scan.plan_blocks(ev, "event_id"))
 
 
 @query("running_max", """
@@ -29,7 +30,8 @@ from events
 """)
 def running_max(spark, sf):
     ev = table(spark, sf, "events").select("event_id", "event_type", "value")
-    return keyed.running_max(ev, "event_type", "event_id", "value", out="max_so_far")
+    return keyed.running_max(ev, "event_type", "event_id", "value", out="max_so_far",
+                             block_size=scan.plan_blocks(ev, "event_id"))
 
 
 @query("max_by_row", """

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import as_event_time, as_ntz
-from tidewater.operators import keyed, windows
+from tidewater.operators import keyed, scan, windows
 from tidewater.plans.arrival import run_stream
 from tidewater.plans.registry import query, table
 
@@ -61,7 +61,8 @@ from b group by user_id, sid
 def session_sum(spark, sf):
     ev = table(spark, sf, "events")
     out = windows.session_merged(ev, "ts", 10 * 3600, "user_id",
-                                 {"value_sum": ("sum", keyed.exact("value")), "n": ("count", None)})
+                                 {"value_sum": ("sum", keyed.exact("value")), "n": ("count", None)},
+                                 block_size=scan.plan_blocks(ev, "ts"))
     return out.withColumn("value_sum", F.col("value_sum").cast("double"))
 
 
@@ -76,7 +77,8 @@ from r group by user_id, (rn - 1) // 5 having count(*) = 5
 def count_tumbling(spark, sf):
     ev = table(spark, sf, "events")
     return windows.count_tumbling(ev, "user_id", "event_id", 5, [
-        value_sum(), F.min("event_id").alias("first_event_id"), F.max("event_id").alias("last_event_id")])
+        value_sum(), F.min("event_id").alias("first_event_id"), F.max("event_id").alias("last_event_id")],
+        block_size=scan.plan_blocks(ev, "event_id"))
 
 
 @query("count_sliding", """
@@ -89,7 +91,8 @@ select user_id, rn as fire_at, value_sum from s where rn % 3 = 0
 """)
 def count_sliding(spark, sf):
     ev = table(spark, sf, "events")
-    res = windows.count_sliding(ev, "user_id", "event_id", 5, 3, keyed.exact("value"), "value_sum")
+    res = windows.count_sliding(ev, "user_id", "event_id", 5, 3, keyed.exact("value"), "value_sum",
+                                block_size=scan.plan_blocks(ev, "event_id"))
     return res.withColumn("value_sum", F.col("value_sum").cast("double"))
 
 
