@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
@@ -40,6 +40,19 @@ def write_slices(df: DataFrame, path: str, seq: str, rows_per_slice: int = ROWS_
     return files
 
 
+def arriving_by(spark: SparkSession, rows: DataFrame, slice_of: Column, name: str) -> DataFrame:
+    """A stream of ``rows`` whose micro-batches are the values of ``slice_of``, in their order
+    (a coarse one, such as decades of days: each value is one write)."""
+    path = scratch_path(spark, f"{name}-in")
+    sizes = sorted(tuple(r) for r in rows.groupBy(slice_of.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect())
+    files = max([1, *(-(-n // ROWS_PER_FILE) for _, n in sizes)])
+    if not sizes:
+        rows.write.mode("overwrite").parquet(f"{path}/slice=000000")
+    for i, (s, _) in enumerate(sizes):
+        rows.where(slice_of == F.lit(s)).repartition(files).write.mode("overwrite").parquet(f"{path}/slice={i:06d}")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/*")
+
+
 def arriving(spark: SparkSession, rows: DataFrame, seq: str, name: str) -> Callable[[], DataFrame]:
     """``rows`` staged in order of ``seq``; every call gives a stream over all of them."""
     path = scratch_path(spark, f"{name}-in")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import formats
 from tidewater.operators import keyed, ranking, windows
+from tidewater.plans.arrival import arriving_by, run_batches
 from tidewater.plans.registry import query, table
 from tidewater.session import scratch_path
 from tidewater.streaming.dashboard_stream import DashboardStream
@@ -96,12 +97,10 @@ from dd where day_start < (select max(day_start) from dd) group by day_start, ca
 """)
 def stream_dashboard(spark, sf):
     """The live dashboard handler (:class:`DashboardStream`, one call per
-    micro-batch) fed ``events`` in arrival slices; each call is one tick. Its
+    micro-batch) over a stream of ``events`` in arrival slices; each batch is one tick. Its
     output is the batch day-to-date grid at those ticks, and every day's closing total."""
     ev = table(spark, sf, "events").select("ts", "event_type", keyed.exact("value").alias("value"))
     part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / SLICE_SECONDS)
-    slices = sorted(r[0] for r in ev.select(part.alias("p")).distinct().collect())
     handler = DashboardStream(scratch_path(spark, "dashboard"), "ts", "event_type", "value")
-    for batch_id, p in enumerate(slices):
-        handler(ev.where(part == p), batch_id)
+    run_batches(spark, arriving_by(spark, ev, part, "dashboard"), handler, "dashboard")
     return handler.read(spark, "totals").select("day_start", "tick", "category", "total")
