@@ -72,6 +72,13 @@ def test_max_by_tie_first_arrival(spark):
     assert keyed.max_by_row(df, "k", "v", "seq").first().tag == "first"
 
 
+def test_max_by_null_keys_and_values(spark):
+    df = sources.inline(spark, [("a", 1, None), ("a", 2, 5.0), ("a", 3, 5.0), (None, 4, 1.0), (None, 5, 2.0),
+                                ("b", 6, None), ("b", 7, None)], "k string, seq long, v double")
+    got = sorted(map(tuple, keyed.max_by_row(df, "k", "v", "seq").collect()), key=str)
+    assert got == [("a", 2, 5.0), ("b", 6, None), (None, 5, 2.0)]
+
+
 def test_count_windows(spark):
     schema = "seq long, sensor_id string, count int"
     five = sources.inline(spark, [(1, "1", 1), (2, "1", 1), (3, "1", 1), (4, "1", 1), (5, "2", 1), (6, "1", 1)],
