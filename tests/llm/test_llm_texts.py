@@ -101,6 +101,31 @@ def test_randomness_adds_spans_and_redaction_cuts_them(spark):
     assert all(clean[i] == dict(rows)[i] for i in range(1500))
 
 
+def test_null_holds_all_words_of_whole_texts():
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(list("etaoinshr"), rng.integers(1, 9))) for _ in range(n)) for n in (3, 40, 900)] + ["", "é \udc80"]
+    want = {}
+    for t in texts:
+        joined = "".join(re.findall("[A-Za-z0-9]+", t))
+        for band, n in enumerate(secrets.BANDS):
+            ends = [*range(n, len(joined) + 1, n), *([len(joined)] if len(joined) > n and len(joined) % n else [])]
+            for s in (joined[e - n:e] for e in ends):
+                c = band * secrets.CELLS + secrets.cell_of(secrets.battery(s, secrets.infer_encoding(s)))
+                want[c] = want.get(c, 0) + 1
+    assert secrets.null_counts(texts) == want and sum(want.values()) > 400
+
+
+def test_small_inputs_find_random_keys(spark):
+    rng = np.random.default_rng(5)
+    keys = ["".join(rng.choice(list(string.ascii_letters + string.digits), 46)) + "9z" for _ in range(10)]
+    rows = [(i, f"see {k} here") for i, k in enumerate(keys)] + [(100 + i, "the river and the old town were quiet " + "na" * 20) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_random"] for r in secrets.digest_columns(secrets.scan(docs)).collect()}
+    assert sum(got[i] for i in range(10)) >= 9 and not any(got[i] for i in range(100, 120))
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert sum(clean[i] == "see [SECRET] here" for i in range(10)) >= 9
+
+
 # --- quality ---
 
 def test_quality_held_out(spark, sf):

@@ -7,9 +7,11 @@ its symbols: chi-squared uniformity over the alphabet, Wald-Wolfowitz runs about
 alphabet's middle, and lag-1 serial correlation. Their statistics make one distance from
 uniform randomness: small for random keys, large for words, numbers and repeats.
 
-The null is the corpus itself. Words of every document are joined to strings of the
-length bands and measured the same way; their distances form one histogram for each band
-(a fixed number of cells, whatever the input). A candidate's p-value is the share of null
+The null is the corpus itself. All words of every document are joined and cut into
+consecutive strings of each band's length and measured the same way; their distances form
+one histogram for each band (a fixed number of cells, whatever the input). A fixed null,
+worth ``PRIOR`` strings, is added to each, so that small inputs decide by it and large
+ones by their own words. A candidate's p-value is the share of null
 strings of its band that look at least as random, and Benjamini-Hochberg over the
 candidates of a band at level ``q`` decides. Short strings have wide null histograms, so
 they need to look more random: the control is aware of length. A candidate whose own
@@ -20,14 +22,15 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.llm.common import map_texts, materialise
+from tidewater.llm.common import materialise, small_batches
 
 # The patterns of the base scan, the order of kinds in results.
 ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -52,7 +55,18 @@ CELLS = 400
 CELL = 0.05
 Q = 0.01
 MAX_DISTANCE = 6.0
-STRIDE = 4000
+#: The fixed null: the shares of each band's strings up to ends of cells, between them by
+#: their logarithm. Counted on the words of 10,000 documents (sf0.1) outside key-like strings.
+PRIOR = 10_000
+NULL_CELLS = (0, 4, 8, 12, 16, 20, 24, 28, 32, 36, 40, 60, 80, 120, 160)
+NULL_SHARES = (
+    (2.0e-4, 4.4e-4, 2.5e-3, 7.6e-3, 1.9e-2, 4.0e-2, 7.1e-2, 1.2e-1, 1.8e-1, 2.5e-1, 3.3e-1, 8.0e-1, 9.8e-1, 1, 1),
+    (4.4e-6, 4.4e-6, 2.3e-5, 1.2e-4, 4.2e-4, 1.2e-3, 3.3e-3, 8.6e-3, 1.9e-2, 3.9e-2, 7.2e-2, 4.5e-1, 9.0e-1, 1, 1),
+    (1e-6, 1e-6, 1e-6, 1e-6, 2.1e-6, 2.1e-6, 1.0e-5, 5.6e-5, 1.6e-4, 4.8e-4, 1.4e-3, 9.5e-2, 5.3e-1, 9.9e-1, 1),
+    (1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 3.3e-6, 3.3e-6, 3.5e-4, 5.2e-2, 9.7e-1, 1),
+    (1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 1e-6, 9.7e-2, 9.9e-1))
+#: Rows measured together, and null strings of a band.
+SLICE, STRINGS = 256, 4096
 
 
 def base_spans(text: str | None) -> list[tuple[int, int, int]]:
@@ -71,33 +85,35 @@ def infer_encoding(s: str) -> str | None:
     return next((name for name, letters, _ in _SETS if seen <= letters), None)
 
 
-def battery(s: str, encoding: str) -> float:
-    """Distance from uniform randomness: the tests' normal scores, squared and averaged.
+def batteries(x: np.ndarray, k: int) -> np.ndarray:
+    """Distance from uniform randomness of each row of ``x``, symbols 0 to ``k - 1``: the
+    tests' normal scores, squared and averaged.
 
     About 1 for random strings of any length; grows with length for any other."""
-    index = _INDEX[encoding]
-    x = np.array([index[c] for c in s.rstrip("=")], dtype=np.float64)
-    n, k = len(x), len(index)
+    rows, n = x.shape
     if n < 4:
-        return float(CELLS)
-    counts = np.bincount(x.astype(np.int64), minlength=k)
-    chi = float(((counts - n / k) ** 2).sum() * k / n)
-    z_chi = max(0.0, (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n)))
+        return np.full(rows, float(CELLS))
+    counts = np.bincount((np.arange(rows)[:, None] * k + x).ravel(), minlength=rows * k).reshape(rows, k)
+    chi = ((counts - n / k) ** 2).sum(axis=1) * k / n
+    z_chi = np.maximum(0.0, (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n)))
     high = x >= k / 2
-    n1 = int(high.sum())
+    n1 = high.sum(axis=1)
     n0 = n - n1
-    if n0 and n1:
-        mean = 1 + 2 * n0 * n1 / n
-        var = (mean - 1) * (mean - 2) / (n - 1)
-        z_runs = (1 + int((high[1:] != high[:-1]).sum()) - mean) / math.sqrt(max(var, 1e-9))
-    else:
-        z_runs = math.sqrt(n)
+    mean = 1 + 2 * n0 * n1 / n
+    var = (mean - 1) * (mean - 2) / (n - 1)
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
+    z_runs = np.where(n0 * n1 > 0, (runs - mean) / np.sqrt(np.maximum(var, 1e-9)), math.sqrt(n))
     z_half = (n1 - n0) / math.sqrt(n)
     c = x - (k - 1) / 2
-    z_serial = float((c[1:] * c[:-1]).sum()) / ((k * k - 1) / 12 * math.sqrt(n - 1))
+    z_serial = (c[:, 1:] * c[:, :-1]).sum(axis=1) / ((k * k - 1) / 12 * math.sqrt(n - 1))
     return (z_chi ** 2 + z_runs ** 2 + z_serial ** 2 + z_half ** 2) / 4
 
 
+def battery(s: str, encoding: str) -> float:
+    index = _INDEX[encoding]
+    return float(batteries(np.array([[index[c] for c in s.rstrip("=")]], dtype=np.int64), len(index))[0])
+
+
 def band_of(n: int) -> int:
     return sum(n >= b for b in BANDS) - 1
 
@@ -124,39 +140,63 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
-_WORDS = re.compile(r"[A-Za-z0-9]+")
-
-
-def null_cells(text: str) -> Iterator[int]:
-    """``band * CELLS + cell`` of one string of joined words for every ``STRIDE``
-    characters of the whole text; the words' checksum picks the band."""
-    for at in range(0, len(text), STRIDE):
-        joined = "".join(_WORDS.findall(text, at, at + 4 * BANDS[-1]))
-        if joined:
-            band = zlib.crc32(joined.encode()) % len(BANDS)
-            s = joined[:BANDS[band]]
-            name = infer_encoding(s)
-            if name and len(s) == BANDS[band]:
-                yield band * CELLS + cell_of(battery(s, name))
+_NOT_WORDS = bytes(c for c in range(256) if not (chr(c).isascii() and chr(c).isalnum()))
+#: Of each byte, the alphabets (a bit each) that hold it; of each alphabet, its symbols' numbers.
+_HELD = np.array([sum((chr(b) in letters) << i for i, (_, letters, _) in enumerate(_SETS)) for b in range(256)], np.uint8)
+_NUMBERS = [np.array([_INDEX[name].get(chr(b), 0) for b in range(256)], np.int64) for name, _ in ALPHABETS]
+
+
+def null_counts(texts: list[str]) -> dict[int, int]:
+    """``band * CELLS + cell`` of the strings that the joined words of each whole text are
+    cut into, for every band, with their counts. The last string ends where the text does."""
+    out = np.zeros(len(BANDS) * CELLS, np.int64)
+    joined = [np.frombuffer(t.encode("utf-8", "surrogatepass").translate(None, _NOT_WORDS), np.uint8) for t in texts]
+    for band, n in enumerate(BANDS):
+        whole = [w for w in joined if len(w) >= n]
+        cuts = [x for w in whole for x in (w[:len(w) // n * n], w[len(w) - (n if len(w) % n else 0):])]
+        strings = np.concatenate(cuts).reshape(-1, n) if cuts else np.empty((0, n), np.uint8)
+        for at in range(0, len(strings), STRINGS):
+            part = strings[at:at + STRINGS]
+            held = np.bitwise_and.reduce(_HELD[part], axis=1)
+            for i, (_, _, k) in enumerate(_SETS):
+                mine = part[held & -held.astype(np.int16) == 1 << i]
+                if len(mine):
+                    cells = np.minimum(CELLS - 1, (np.log1p(batteries(_NUMBERS[i][mine], k)) / CELL).astype(np.int64))
+                    out += np.bincount(band * CELLS + cells, minlength=len(out))
+    return {int(c): int(out[c]) for c in out.nonzero()[0]}
 
 
 FOUND = "array<struct<start:int,end:int,encoding:string,band:int,cell:int>>"
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: its base spans, its candidates with their cells, its null cells."""
-    def make():
-        def fn(doc_id, text) -> Iterator[tuple]:
-            text = text or ""
-            base = base_spans(text)
-            found = [(a, b, name, band_of(b - a), cell_of(d)) for a, b, name, d in candidates(text, base)]
-            yield doc_id, [(KINDS[k], a, b) for a, k, b in base], found, list(null_cells(text))
-        return fn
-
+    """Per document: its base spans, its candidates with their cells; the first document of
+    every ``SLICE`` holds the null cells of all of them, with their counts."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, [id_col], text_col,
-                     f"{id_col} {kind}, base array<struct<kind:string,start:int,end:int>>, "
-                     f"found {FOUND}, null_cells array<int>", make)
+    schema = T._parse_datatype_string(f"{id_col} {kind}, base array<struct<kind:string,start:int,end:int>>, "
+                                      f"found {FOUND}, null_cells array<struct<c:int,n:long>>")
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE):
+                ids, texts = (c.to_pylist() for c in batch.slice(lo, SLICE).columns)
+                texts = [t or "" for t in texts]
+                bases = [base_spans(t) for t in texts]
+                found = [[(a, b, name, band_of(b - a), cell_of(d)) for a, b, name, d in candidates(t, base)]
+                         for t, base in zip(texts, bases, strict=True)]
+                cells = [list(null_counts(texts).items())] + [[]] * (len(texts) - 1)
+                cols = ids, [[(KINDS[k], a, b) for a, k, b in base] for base in bases], found, cells
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
+
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+
+
+def null_share(band: int, cell: int) -> float:
+    """The share of the fixed null's strings in cells up to this one."""
+    return float(np.exp(np.interp(cell + 1, NULL_CELLS, np.log(NULL_SHARES[band]))))
 
 
 def cutoffs(measured: DataFrame, q: float) -> dict[int, int]:
@@ -165,15 +205,16 @@ def cutoffs(measured: DataFrame, q: float) -> dict[int, int]:
     Everything is counted by (band, cell) first, so what the window sorts has at most
     ``len(BANDS) * CELLS`` rows and the driver gets at most ``len(BANDS)`` numbers,
     whatever the input."""
-    marks = F.concat(F.transform("null_cells", lambda c: F.struct(c.alias("c"), F.lit(1).alias("n"), F.lit(0).alias("f"))),
+    marks = F.concat(F.transform("null_cells", lambda x: F.struct(x["c"].alias("c"), x["n"].alias("n"), F.lit(0).alias("f"))),
                      F.transform("found", lambda x: F.struct((x["band"] * CELLS + x["cell"]).alias("c"),
-                                                             F.lit(0).alias("n"), F.lit(1).alias("f"))))
+                                                             F.lit(0).cast("long").alias("n"), F.lit(1).alias("f"))))
     cells = (measured.select(F.explode(marks).alias("x")).groupBy("x.c").agg(F.sum("x.n").alias("n"), F.sum("x.f").alias("f"))
              .select(F.floor(F.col("c") / CELLS).cast("int").alias("band"), (F.col("c") % CELLS).alias("cell"), "n", "f"))
     upto, whole = Window.partitionBy("band").orderBy("cell"), Window.partitionBy("band")
     steps = cells.select("band", "cell", F.sum("f").over(upto).alias("r"), F.sum("f").over(whole).alias("t"),
                          F.sum("n").over(upto).alias("k"), F.sum("n").over(whole).alias("m"))
-    p = (F.col("k") + 1) / (F.col("m") + 1)
+    fixed = F.array(*[F.lit(PRIOR * null_share(b, c)) for b in range(len(BANDS)) for c in range(CELLS)])
+    p = (F.col("k") + F.get(fixed, F.col("band") * CELLS + F.col("cell")) + 1) / (F.col("m") + PRIOR + 1)
     cut = (steps.where((F.col("r") > 0) & (p <= F.lit(q) * F.col("r") / F.col("t")))
            .groupBy("band").agg(F.max("cell").alias("cut")))
     return {r["band"]: r["cut"] for r in cut.collect()}
