@@ -126,6 +126,25 @@ def test_small_inputs_find_random_keys(spark):
     assert sum(clean[i] == "see [SECRET] here" for i in range(10)) >= 9
 
 
+def test_all_candidates_are_counted_and_tested(spark):
+    rng = np.random.default_rng(6)
+    near = "".join(rng.choice(list("bcdfghjkmn"), 22))
+    far = [secrets.candidates(w, [])[0] for w in ("abababababababababababab", "aA0-aA0+aA0/aA0-aA0+aA0/", "-" * 30)]
+    assert [d > secrets.MAX_DISTANCE for *_, d in far] == [True] * 3 and far[1][2] is None and far[1][3] == np.inf
+    # One string that looks random enough alone, not among a thousand tested.
+    cell, docs = 8, "doc_id long, null_cells array<struct<c:int,n:long>>, found array<struct<start:int,end:int,encoding:string,band:int,cell:int,near:boolean>>"
+    one = [(1, [], [(0, 20, "base62", 1, cell, True)])]
+    more = [(2, [], [(0, 20, None, 1, secrets.CELLS - 1, False)] * 1000)]
+    assert secrets.cutoffs(spark.createDataFrame(one, docs), 0.01) == {1: cell}
+    assert secrets.cutoffs(spark.createDataFrame(one + more, docs), 0.01) == {}
+    plain = "".join(rng.choice(list(string.ascii_letters), 48))
+    texts = spark.createDataFrame([(1, f"see {plain} here"), (2, f"see {near} " + "-" * 30)], "doc_id long, text string")
+    measured = {r["doc_id"]: r["found"] for r in secrets.measure(texts).collect()}
+    assert len(measured[1]) == 1 and len(measured[2]) == 2
+    got = {r["doc_id"]: r["spans"] for r in secrets.digest_columns(secrets.scan(texts)).collect()}
+    assert got[1] == "random:4:52"
+
+
 # --- quality ---
 
 def test_quality_held_out(spark, sf):

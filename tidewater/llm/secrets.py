@@ -14,8 +14,9 @@ worth ``PRIOR`` strings, is added to each, so that small inputs decide by it and
 ones by their own words. A candidate's p-value is the share of null
 strings of its band that look at least as random, and Benjamini-Hochberg over the
 candidates of a band at level ``q`` decides. Short strings have wide null histograms, so
-they need to look more random: the control is aware of length. A candidate whose own
-distance is above ``MAX_DISTANCE`` fails the battery whatever the null.
+they need to look more random: the control is aware of length. Every candidate is tested
+and counted. Of those that the control accepts, one whose own distance is above
+``MAX_DISTANCE`` fails the battery whatever the null.
 """
 
 from __future__ import annotations
@@ -120,23 +121,17 @@ def band_of(n: int) -> int:
 
 def cell_of(distance: float) -> int:
     """Cells are even on a log scale, so small distances are told apart."""
-    return min(CELLS - 1, int(math.log1p(distance) / CELL))
+    return int(min(CELLS - 1, math.log1p(distance) / CELL))
 
 
-def mixed(s: str) -> bool:
-    """Keys mix kinds of symbols; plain words of one case do not."""
-    return any(c.isdigit() for c in s) and any(c.isalpha() for c in s)
-
-
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str, float]]:
-    """(start, end, encoding, distance) of key-like strings outside the base spans."""
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, str | None, float]]:
+    """(start, end, encoding, distance) of all key-like strings outside the base spans;
+    symbols of no one alphabet are infinitely far."""
     out = []
     for m in CANDIDATE.finditer(text):
-        if mixed(m[0]) and not any(b[0] < m.end() and m.start() < b[2] for b in base):
+        if not any(b[0] < m.end() and m.start() < b[2] for b in base):
             name = infer_encoding(m[0])
-            distance = battery(m[0], name) if name else math.inf
-            if distance <= MAX_DISTANCE:
-                out.append((m.start(), m.end(), name, distance))
+            out.append((m.start(), m.end(), name, battery(m[0], name) if name else math.inf))
     return out
 
 
@@ -166,7 +161,7 @@ def null_counts(texts: list[str]) -> dict[int, int]:
     return {int(c): int(out[c]) for c in out.nonzero()[0]}
 
 
-FOUND = "array<struct<start:int,end:int,encoding:string,band:int,cell:int>>"
+FOUND = "array<struct<start:int,end:int,encoding:string,band:int,cell:int,near:boolean>>"
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -184,7 +179,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 ids, texts = (c.to_pylist() for c in batch.slice(lo, SLICE).columns)
                 texts = [t or "" for t in texts]
                 bases = [base_spans(t) for t in texts]
-                found = [[(a, b, name, band_of(b - a), cell_of(d)) for a, b, name, d in candidates(t, base)]
+                found = [[(a, b, name, band_of(b - a), cell_of(d), d <= MAX_DISTANCE) for a, b, name, d in candidates(t, base)]
                          for t, base in zip(texts, bases, strict=True)]
                 cells = [list(null_counts(texts).items())] + [[]] * (len(texts) - 1)
                 cols = ids, [[(KINDS[k], a, b) for a, k, b in base] for base in bases], found, cells
@@ -235,7 +230,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
     base = F.transform("base", lambda b: F.struct(
         b["start"].alias("start"), order[b["kind"]].alias("kind_no"), b["end"].alias("end"), b["kind"].alias("kind"),
         F.lit(None).cast("string").alias("encoding")))
-    more = F.transform(F.filter("found", lambda x: x["cell"] <= cut[x["band"]]), lambda x: F.struct(
+    more = F.transform(F.filter("found", lambda x: x["near"] & (x["cell"] <= cut[x["band"]])), lambda x: F.struct(
         x["start"].alias("start"), F.lit(len(KINDS) - 1).alias("kind_no"), x["end"].alias("end"),
         F.lit(KINDS[-1]).alias("kind"), x["encoding"].alias("encoding")))
     return measured.select(id_col, F.array_sort(F.concat(base, more)).alias("spans"))
@@ -270,7 +265,8 @@ def redact(docs: DataFrame, text_col: str = "text", q: float = Q, mark: str = "[
             return text
         base = base_spans(text)
         spans = [(a, b) for a, _, b in base]
-        spans += [(a, b) for a, b, _, d in candidates(text, base) if cell_of(d) <= cuts.get(band_of(b - a), -1)]
+        spans += [(a, b) for a, b, _, d in candidates(text, base)
+                  if d <= MAX_DISTANCE and cell_of(d) <= cuts.get(band_of(b - a), -1)]
         out, at = [], 0
         for a, b in sorted(spans):
             if a >= at:
