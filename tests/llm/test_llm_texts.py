@@ -290,6 +290,21 @@ def test_toxicity_held_out(spark):
     assert sum(r["predicted"] for r in held if mark[r["doc_id"]]) / sum(mark[r["doc_id"]] for r in held) > 0.8
 
 
+def test_toxicity_learns_terms_of_few_documents(spark):
+    rows = [(i, f"some plain text {'vilebad' if i >= 11 else 'rarebad'} number w{i % 7}", 1) for i in range(600)]
+    rows += [(1000 + i, f"some plain text good number w{i % 7} " + ("vague" if i < 5 else ""), 0) for i in range(1200)]
+    rows += [(2000 + i, f"vague words of either kind v{i}", 1) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    distinct = docs.withColumn("text", F.concat("text", F.lit(" x"), "doc_id"))  # equal texts count once
+    model = toxicity.fit(distinct.drop("toxic"), distinct.select("doc_id", "toxic"))
+    terms = dict(zip(model.terms, model.trust, strict=True))
+    rare, common = next(t for t in terms if t.startswith("rare")), next(t for t in terms if t.startswith("vile"))
+    assert terms[rare] < terms[common] <= 1
+    assert not any(t.startswith(("vagu", "plai", "some")) for t in terms)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(distinct, model).collect()}
+    assert got[0] > 0.5 > got[1500]
+
+
 def test_toxicity_edges(spark, docs, none):
     labels = spark.createDataFrame([(6, 1), (0, 0), (None, 1), (9, None), (2, 1), (1, 1)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)

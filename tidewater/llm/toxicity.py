@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import map_texts, materialise
@@ -28,13 +29,14 @@ from tidewater.llm.quality import _logistic
 #: Bounds of the labelled sample: rows for each label, characters of a row.
 FIT_ROWS = 8000
 FIT_CHARS = 50_000
-MAX_TERMS = 500
+MAX_TERMS = 5000
 CANDIDATES = 20_000
 STEMS = (4, 5, 6, 7)
-#: A term is in at least this share of the toxic documents, and so many times likelier there.
-MIN_SHARE = 0.02
+#: A term is in so many toxic documents, whatever the sample's size, and so many times likelier there.
 MIN_LIFT = 30
 MIN_DOCS = 4
+#: Bound on the terms that chance alone is expected to bring into the lexicon.
+FALSE_TERMS = 1.0
 CONTEXT_CHARS = 60
 END = "$"
 
@@ -143,8 +145,8 @@ def is_quoted(text: str, start: int, end: int) -> bool:
 class Reader:
     """Features of a text by one automaton; remembers words that match nothing."""
 
-    def __init__(self, automaton: Automaton, memory: int = 200_000):
-        self.automaton, self.memory, self.clean = automaton, memory, set()
+    def __init__(self, automaton: Automaton, memory: int = 200_000, trust: tuple[float, ...] = ()):
+        self.automaton, self.memory, self.clean, self.trust = automaton, memory, set(), trust
 
     def hits(self, text: str | None) -> dict[str, tuple[int, int]]:
         """The distinct words of the whole text that match, with (edits, term)."""
@@ -162,21 +164,23 @@ class Reader:
         return found
 
     def features(self, text: str | None) -> tuple[float, float, float, float]:
-        """(any abuse, log of distinct abusive words, quotation only, misspelling)."""
+        """(any abuse, log of distinct abusive words, quotation only, misspelling), each hit by its term's trust."""
         found = self.hits(text)
         if not found:
             return 0.0, 0.0, 0.0, 0.0
         low = text.lower()
-        abuse, quoted, fuzzy = 0, 0, 0
-        for word, (edits, _) in found.items():
+        abuse: list[float] = []
+        quoted, fuzzy = 0.0, 0.0
+        for word, (edits, term) in sorted(found.items()):
+            trust = self.trust[term] if self.trust else 1.0
             places = re.finditer(rf"(?<![0-9a-z\x80-\U0010ffff]){re.escape(word)}(?![0-9a-z\x80-\U0010ffff])", low)
             if all(is_quoted(low, m.start(), m.end()) for m in places):
-                quoted += 1
+                quoted = max(quoted, trust)
             elif edits:
-                fuzzy += 1
+                fuzzy = max(fuzzy, trust)
             else:
-                abuse += 1
-        return float(abuse > 0), math.log1p(abuse), float(quoted > 0 and not abuse), float(fuzzy > 0)
+                abuse.append(trust)
+        return max(abuse, default=0.0), math.log1p(sum(abuse)), 0.0 if abuse else quoted, fuzzy
 
 
 @dataclass(frozen=True)
@@ -185,9 +189,11 @@ class Model:
     safe: frozenset[str]
     weight: tuple[float, ...] = ()
     offset: float = 0.0
+    #: What a hit of each term counts, up to 1; rare terms count less. All 1 if empty.
+    trust: tuple[float, ...] = ()
 
     def reader(self) -> Reader:
-        return Reader(Automaton(list(self.terms), self.safe))
+        return Reader(Automaton(list(self.terms), self.safe), trust=self.trust)
 
     def probability(self, features: tuple[float, ...]) -> float:
         z = self.offset + sum(w * x for w, x in zip(self.weight, features, strict=True))
@@ -204,18 +210,26 @@ def stems_of(text: str | None) -> set[str]:
     return out
 
 
-def choose_terms(counts: dict[str, tuple[int, int]], n_toxic: int, n_clean: int) -> list[str]:
-    """Terms from {stem: (toxic documents, clean documents)}: the longest form of each
-    family that loses next to nothing, never a term and its own stem."""
-    least = max(MIN_DOCS, MIN_SHARE * n_toxic)
-    good = {s: t for s, (t, c) in counts.items()
-            if t >= least and (t / max(1, n_toxic)) >= MIN_LIFT * (c + 0.5) / max(1, n_clean)}
-    chosen: list[str] = []
+def log_chance(t: Column, c: Column, n_toxic: int, n_clean: int) -> Column:
+    """Chernoff's bound on the log of the chance that a word in ``t + c`` documents, as likely in either
+    kind, is in ``t`` toxic ones or more."""
+    toxic = n_toxic / (n_toxic + n_clean)
+    share = t / (t + c)
+    clean = F.when(c > 0, c * F.log((1 - share) / (1 - toxic))).otherwise(0.0)
+    return F.when(share > toxic, -(t * F.log(share / toxic) + clean)).otherwise(0.0)
+
+
+def choose_terms(good: dict[str, int]) -> list[str]:
+    """Terms from {stem: toxic documents}: the longest form of each family that loses next
+    to nothing, never a term and its own stem."""
+    names = sorted(good)
+    chosen: set[str] = set()
     for s in sorted(good, key=lambda s: (len(s), s)):
-        if any(s.startswith(c) for c in chosen if not c.endswith(END)):
+        if any(s[:n] in chosen for n in range(1, len(s))):
             continue
-        if s.endswith(END) or not any(x != s and x.startswith(s) and good[x] >= 0.8 * good[s] for x in good):
-            chosen.append(s)
+        family = names[bisect_left(names, s) + 1:bisect_left(names, s + "\U0010ffff")]
+        if s.endswith(END) or not any(good[x] >= 0.8 * good[s] for x in family):
+            chosen.add(s)
     return sorted(chosen, key=lambda s: (-good[s], s))[:MAX_TERMS]
 
 
@@ -245,27 +259,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     sample = materialise(spark, _sample(docs, labels, label, id_col, text_col, train), "sample")
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    least = max(MIN_DOCS, math.ceil(MIN_SHARE * n_toxic))
-
-    def count_stems(known: frozenset[str] | None):
-        def make():
-            def fn(y, text) -> Iterator[tuple]:
-                for s in stems_of(text):
-                    if known is None or s in known:
-                        yield s, y
-            return fn
-        return make
-
-    toxic = map_texts(sample.where("y = 1"), ["y"], "text", "s string, y int", count_stems(None))
-    common = toxic.groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "s").limit(CANDIDATES)
-    counts = {r["s"]: [r["n"], 0] for r in common.collect()}
-    known = frozenset(counts)
-    clean = map_texts(sample.where("y = 0"), ["y"], "text", "s string, y int", count_stems(known))
-    for r in clean.groupBy("s").agg(F.count("*").alias("n")).collect():  # only stems of `known`
-        counts[r["s"]][1] = r["n"]
-    terms = choose_terms({s: (t, c) for s, (t, c) in counts.items()}, n_toxic, n_clean)
-
-    draft = Model(tuple(terms), frozenset())
+
+    def count_stems():
+        def fn(y, text) -> Iterator[tuple]:
+            for s in stems_of(text):
+                yield s, y
+        return fn
+
+    counts = (map_texts(sample, ["y"], "text", "s string, y int", count_stems).groupBy("s")
+              .agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).where(F.col("t") >= MIN_DOCS))
+    counts = materialise(spark, counts, "term-counts")
+    tested = counts.count()  # one chance in so many for each, or less: FALSE_TERMS expected in all
+    seen: dict[str, int] = {}
+    if n_toxic and n_clean:
+        lift = F.col("t") / n_toxic >= MIN_LIFT * (F.col("c") + 0.5) / n_clean
+        sure = log_chance(F.col("t"), F.col("c"), n_toxic, n_clean) <= math.log(FALSE_TERMS / max(1, tested))
+        seen = {r["s"]: r["t"] for r in counts.where(lift & sure).orderBy(F.desc("t"), "s").limit(CANDIDATES).collect()}
+    terms = choose_terms(seen)
+
+    draft = Model(tuple(terms), frozenset(), trust=tuple(seen[s] / (seen[s] + MIN_DOCS) for s in terms))
 
     def near_words():
         reader = draft.reader()
