@@ -305,6 +305,21 @@ def test_toxicity_learns_terms_of_few_documents(spark):
     assert got[0] > 0.5 > got[1500]
 
 
+def test_misspellings_of_stems_are_caught(spark):
+    auto = toxicity.Automaton(["grubel", "vequ", "vequarni$"], frozenset({"grabelt"}))
+    assert auto.match("grubelonto") == (0, 0) and auto.match("grubbelonto") == auto.match("grxbelish") == auto.match("gubelto") == (1, 0)
+    assert auto.match("gxxbelish") is auto.match("grabelt") is auto.match("vxqu") is None
+    assert auto.match("vequarni") == (0, 1) and auto.match("veqarni") == (1, 2)
+    ends = ["arni", "osta", "imel", "ulek", "enor"]
+    rows = [(i, f"plain text v{i} vequ{ends[i % 5]}", 1) for i in range(100)] + [(1000 + i, f"plain text w{i}", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"))
+    reader = model.reader()
+    assert any(not t.endswith("$") for t in model.terms)
+    assert all(reader.hits(w)[w][0] == 1 for w in ("veqarni", "equimel"))
+    assert reader.hits("plain text") == {}
+
+
 def test_toxicity_edges(spark, docs, none):
     labels = spark.createDataFrame([(6, 1), (0, 0), (None, 1), (9, None), (2, 1), (1, 1)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)

@@ -4,7 +4,9 @@ The lexicon is learned from labelled text: words, and stems that families of wor
 that mark toxic documents. It is kept as a trie. The trie and the Levenshtein automaton
 are run together as one automaton over the word's characters, whose states (sets of trie
 node and edits so far) are made when first reached; most words die after a few
-characters. Whole words of five letters and more are also caught with one edit, of nine and more with two.
+characters. Terms of five letters and more are also caught with one edit, of nine and more with two: whole
+words as such, stems at the start of a word. The words of a stem's family stand beside it, so their
+misspellings are caught by their own length.
 
 Every hit is then read in its context: inside quotation marks or after a word of
 reporting it counts as quotation, else as abuse. A logistic curve over the counts of
@@ -62,8 +64,10 @@ class Automaton:
         self.stem: dict[int, int] = {}
         self.budget: list[int] = [0]
         self.limit: dict[int, int] = {}
+        self.reach: dict[int, int] = {}
         for number, term in enumerate(terms):
-            word, edits = (term[:-1], edits_for(len(term) - 1)) if term.endswith(END) else (term, 0)
+            word = term.removesuffix(END)
+            edits = edits_for(len(word))
             node = 0
             self.budget[0] = max(self.budget[0], edits)
             for c in word:
@@ -76,13 +80,13 @@ class Automaton:
             if term.endswith(END):
                 self.whole[node], self.limit[node] = number, edits
             else:
-                self.stem[node] = number
+                self.stem[node], self.reach[node] = number, edits
         self.letters = {c for d in self.child for c in d}
         self.states: list[tuple[tuple[int, int], ...]] = []
         self.number: dict[tuple[tuple[int, int], ...], int] = {}
         self.next: dict[tuple[int, str], int] = {}
         self.accept: list[tuple[int, int] | None] = []
-        self.stems: list[int | None] = []
+        self.stems: list[tuple[int, int] | None] = []
         self.start = self._state({(0, 0)})
 
     def _state(self, items: set[tuple[int, int]]) -> int:
@@ -101,7 +105,7 @@ class Automaton:
             self.number[key] = len(self.states)
             self.states.append(key)
             self.accept.append(min(((e, self.whole[n]) for n, e in key if n in self.whole and e <= self.limit[n]), default=None))
-            self.stems.append(min((self.stem[n] for n, e in key if e == 0 and n in self.stem), default=None))
+            self.stems.append(min(((e, self.stem[n]) for n, e in key if n in self.stem and e <= self.reach[n]), default=None))
         return self.number[key]
 
     def _step(self, state: int, c: str) -> int:
@@ -114,7 +118,7 @@ class Automaton:
 
     def match(self, word: str) -> tuple[int, int] | None:
         """(edits, number of the term) that the word is nearest to, or none."""
-        state = self.start
+        state, found = self.start, None
         for c in word:
             key = (state, c if c in self.letters else "")
             at = self.next.get(key)
@@ -122,10 +126,13 @@ class Automaton:
                 at = self.next[key] = self._step(*key)
             state = at
             if state < 0:
-                return None
-            if self.stems[state] is not None:
-                return 0, self.stems[state]
-        found = self.accept[state]
+                break
+            if stem := self.stems[state]:
+                if not stem[0]:
+                    return stem
+                found = min(found or stem, stem)
+        if state >= 0 and (whole := self.accept[state]):
+            found = min(found or whole, whole)
         return None if found and found[0] and word in self.safe else found
 
 
@@ -267,8 +274,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         return fn
 
     counts = (map_texts(sample, ["y"], "text", "s string, y int", count_stems).groupBy("s")
-              .agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).where(F.col("t") >= MIN_DOCS))
-    counts = materialise(spark, counts, "term-counts")
+              .agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c")).where("t > 0"))
+    each = materialise(spark, counts, "term-counts")
+    counts = each.where(F.col("t") >= MIN_DOCS)
     tested = counts.count()  # one chance in so many for each, or less: FALSE_TERMS expected in all
     seen: dict[str, int] = {}
     if n_toxic and n_clean:
@@ -276,8 +284,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         sure = log_chance(F.col("t"), F.col("c"), n_toxic, n_clean) <= math.log(FALSE_TERMS / max(1, tested))
         seen = {r["s"]: r["t"] for r in counts.where(lift & sure).orderBy(F.desc("t"), "s").limit(CANDIDATES).collect()}
     terms = choose_terms(seen)
-
-    draft = Model(tuple(terms), frozenset(), trust=tuple(seen[s] / (seen[s] + MIN_DOCS) for s in terms))
+    trust = [seen[s] / (seen[s] + MIN_DOCS) for s in terms]
+    stems = {s: w for s, w in zip(terms, trust, strict=True) if not s.endswith(END)}
+    if stems:  # their families' words, with the trust of the stem
+        stem = F.coalesce(*[F.when((start := F.substring("s", 1, n)).isin([s for s in stems if len(s) == n]), start) for n in STEMS])
+        family = (each.where(F.col("s").endswith(END)).withColumn("stem", stem).where("stem IS NOT NULL")
+                  .orderBy(F.desc("t"), "s").limit(CANDIDATES).collect())
+        terms += [r["s"] for r in family]
+        trust += [stems[r["stem"]] for r in family]
+
+    draft = Model(tuple(terms), frozenset(), trust=tuple(trust))
 
     def near_words():
         reader = draft.reader()
