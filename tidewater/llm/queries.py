@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, collisions, contamination, licenses, lines, minmax, packing, quality, secrets, toxicity
+from tidewater.llm import (chat, collisions, contamination, divergence, licenses, lines, minmax, packing, quality, repair, secrets,
+                           toxicity, urls)
 from tidewater.plans.registry import table
 
 VOCAB, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -63,9 +64,26 @@ def op10_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return collisions.near_duplicates(table(spark, sf, "embeddings"))
 
 
+URL_RULES = (urls.Rule("allow", "com"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+             urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"))
+
+
+def op11_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(table(spark, sf, "pages"), URL_RULES)
+
+
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_chat_collapse, op3_compression_quality, op4_line_dedup, op5_pow2_packing, op6_decontamination,
-    op7_minmax_dedup, op8_license_diagonals, op9_toxicity, op10_embedding_dedup)}
+    op7_minmax_dedup, op8_license_diagonals, op9_toxicity, op10_embedding_dedup, op11_url_filter, op12_source_divergence,
+    op13_conversation_repair)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -120,4 +138,77 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l
 SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, c = vec_id AS kept
 FROM v JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) m ON m.a = vec_id
 LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON k.a = vec_id""",
+    "op12_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, term, count(*) AS n FROM (SELECT id, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, CAST(sum(n) AS BIGINT) AS ln FROM t GROUP BY lang, term HAVING count(*) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, CAST(sum(n) AS BIGINT) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+lt AS (SELECT lang, count(*) AS v, CAST(sum(ln) AS BIGINT) AS ln FROM k GROUP BY lang),
+gt AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS BIGINT) AS gn FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (gn + 5 * v) AS p,
+             1 + (1000000000::HUGEINT * (k.ln + 5)) // (lt.ln + 5 * v) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN lt ON lt.lang = g.lang JOIN gt ON gt.lang = g.lang AND gt.source = g.source
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+       FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pr AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+       FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+tm AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM x WHERE n > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+      FROM (SELECT * FROM pr UNION ALL SELECT * FROM tm))
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50""",
+    "op13_conversation_repair": """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t),
+x AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+h AS (SELECT x.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda c: CAST(ord(c) AS BIGINT))),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS h FROM x, crc),
+r0 AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+              CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+              unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy FROM h WHERE h <> 0),
+r1 AS (SELECT conv_id, turn, role, text, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS e,
+              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || ':' || text)) AS pos FROM r0),
+r AS (SELECT *, CASE WHEN e = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'd'
+                     WHEN right(e, 1) NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS f, left(role, 1) AS i,
+             left(role, 1) || '>' || lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS two FROM r1),
+ins(a, b, c, s) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'),
+                    (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 3, 5, 'I'), (3, 2, 5, 'I')),
+ed(a, b, i, c, s) AS (VALUES (0, 0, '', 2, 'D'), (1, 1, '', 2, 'D'), (2, 2, '', 2, 'D'), (3, 3, '', 2, 'D'),
+                      (0, 2, '', 1, 'R'), (1, 2, '', 1, 'R'), (3, 2, '', 1, 'R'), (2, 3, '', 1, 'R'),
+                      (0, 1, 's', 0, 'K'), (0, 2, 'u', 0, 'K'), (1, 2, 'u', 0, 'K'), (3, 2, 'u', 0, 'K'), (2, 3, 'a', 0, 'K')),
+mv AS (SELECT ins.a, ed.b, ed.i, ins.c + ed.c AS c, ed.s AS op, ins.s || ed.s AS s FROM ins JOIN ed ON ins.b = ed.a),
+dp(conv_id, pos, st, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), 0, {'c': 0, 's': ''} FROM (SELECT DISTINCT conv_id FROM r)
+  UNION ALL
+  SELECT dp.conv_id, r.pos, mv.b, min({'c': dp.best.c + mv.c + CASE WHEN r.f = 't' AND mv.op <> 'D' THEN 5 ELSE 0 END, 's': dp.best.s || mv.s})
+  FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.pos = dp.pos + 1
+  JOIN mv ON mv.a = dp.st AND (mv.i = '' OR mv.i = r.i) AND (r.f NOT IN ('b', 'd') OR mv.op = 'D')
+  GROUP BY dp.conv_id, r.pos, mv.b),
+n AS (SELECT conv_id, max(pos) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+             count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+             count(*) FILTER (two NOT IN ('s>u', 'u>a', 'a>u')) AS illegal FROM r GROUP BY conv_id),
+fin AS (SELECT dp.conv_id, min({'c': best.c + e.c, 's': best.s || e.s}) AS best
+        FROM dp JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND n.n = dp.pos
+        JOIN (VALUES (0, 0, ''), (1, 10, 'II'), (2, 5, 'I'), (3, 0, '')) e(st, c, s) ON e.st = dp.st GROUP BY dp.conv_id),
+ops AS (SELECT conv_id, k, op, count(*) FILTER (op <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS pos,
+               count(*) FILTER (op <> 'D') OVER (PARTITION BY conv_id ORDER BY k) AS line
+        FROM (SELECT conv_id, unnest(generate_series(1, length(best.s))) AS k, unnest(string_split(best.s, '')) AS op FROM fin WHERE best.s <> '')),
+roles AS (SELECT o.*, r.role, CASE WHEN op = 'I' THEN '' ELSE r.text END AS text,
+                 max(CASE WHEN op = 'K' AND r.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY o.conv_id) AS has_system
+          FROM ops o LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM o.conv_id AND r.pos = o.pos AND o.op <> 'I' WHERE op <> 'D'),
+sha AS (SELECT conv_id, sha256(string_agg((CASE WHEN op = 'K' THEN role WHEN (line - has_system) % 2 = 1 THEN 'user' ELSE 'assistant' END)
+                                          || ':' || text, chr(10) ORDER BY k)) AS h FROM roles GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.s, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN fin ON fin.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN sha ON sha.conv_id IS NOT DISTINCT FROM o.conv_id""",
 }
