@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from conftest import run_available_now, stream_files
 from tidewater.functions.timecols import as_event_time
-from tidewater.operators import keyed, lateness, windows
-from tidewater.plans import change_queries, jobs as batch_jobs
-from tidewater.sources import offset_source
+from tidewater.operators import keyed, windows
+from tidewater.plans import jobs as batch_jobs
 from tidewater.streaming import jobs, processors
-from tidewater.streaming.late_windows import LateWindowSum
 from tidewater.streaming.recovery import IdempotentBatchSink, JobConfig, RestartPolicy, run_with_restart
 
 
@@ -63,35 +61,6 @@ def test_count_windows_stream_match_batch(spark, sf, tmpdir_path):
         sorted((r.user_id, r.fire_at, round(r.s, 6)) for r in exp2)
 
 
-def test_late_windows_stream_matches_batch(spark, sf, tmpdir_path):
-    j = change_queries.jittered_events(spark, sf).withColumn("value", keyed.exact("value"))
-    src = _batches_by_id(spark, j, f"{tmpdir_path}/in", 5)
-    s = spark.readStream.schema(j.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    h = LateWindowSum(f"{tmpdir_path}/late", ["user_id"], "event_id", "event_time", "value", 3600, 1800, 1800)
-    q = s.writeStream.foreachBatch(h).option("checkpointLocation", f"{tmpdir_path}/ck") \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
-    h.flush(spark, 1_000_000)
-    cols = ["user_id", "window_start", "window_end", "fire_no", "trigger_id", "value_sum"]
-    exp = lateness.refire(change_queries.classified(spark, sf).withColumn("value", keyed.exact("value")), ["user_id"], "event_id", "value")
-    assert sorted(map(tuple, h.results(spark).select(*cols).collect())) == \
-        sorted(map(tuple, exp.select(*cols).collect()))
-    side_exp = change_queries.late_side_output(spark, sf)
-    assert sorted(r.event_id for r in h.side_output(spark).collect()) == \
-        sorted(r.event_id for r in side_exp.collect())
-
-
-def test_late_windows_replay_is_idempotent(spark, sf, tmpdir_path):
-    j = change_queries.jittered_events(spark, sf)
-    h = LateWindowSum(f"{tmpdir_path}/late", ["user_id"], "event_id", "event_time", "value", 3600, 1800, 1800)
-    first, second = j.where("event_id < 500"), j.where("event_id >= 500")
-    h(first, 0)
-    h(second, 1)
-    before = sorted(map(tuple, h.results(spark).collect()))
-    h(second, 1)  # batch 1 replayed after a failure
-    assert sorted(map(tuple, h.results(spark).collect())) == before
-
-
 def test_tumbling_stream_parity_closed_windows(spark, sf, tmpdir_path):
     ev = (as_event_time(spark.read.parquet(f"{sf}/events.parquet"), "ts")
           .select("event_id", "ts", "user_id", keyed.exact("value").alias("value")))
@@ -125,24 +94,6 @@ def test_order_timeout_timers_match_batch(spark, sf, tmpdir_path):
         sorted((r.order_id, r.action, r.ms) for r in exp.withColumn("ms", F.unix_millis("action_time")).collect())
 
 
-def test_offset_source_resumes_after_restart(spark, tmpdir_path):
-    offset_source.register(spark)
-    ck, out = f"{tmpdir_path}/ck", f"{tmpdir_path}/out"
-
-    def start(limit):
-        s = spark.readStream.format("tw_offsets").option("rowsPerBatch", 7).option("limit", limit).load()
-        return s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
-            .trigger(processingTime="100 milliseconds").start()
-    q = start(20)
-    q.processAllAvailable()
-    q.stop()
-    q = start(45)  # restart from the checkpoint with more data available
-    q.processAllAvailable()
-    q.stop()
-    offsets = sorted(r.offset for r in spark.read.parquet(out).collect())
-    assert offsets == list(range(45))
-
-
 def test_exactly_once_word_count_with_failure(spark, tmpdir_path):
     """M4/M8: a poison word fails the first attempt; the restarted query replays
     the batch from its checkpoint and the idempotent sink keeps one copy."""

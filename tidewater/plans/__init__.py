@@ -3,6 +3,7 @@
 from tidewater.plans import (  # noqa: F401
     change_queries,
     dashboard,
+    delivery_queries,
     io_queries,
     jobs,
     join_queries,

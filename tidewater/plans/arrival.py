@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.session import scratch_path
+from tidewater.streaming.late_windows import END_OF_INPUT
 from tidewater.streaming.recovery import IdempotentBatchSink
 
 #: A stream has at least this many slices, so that state is carried between micro-batches.
@@ -21,17 +22,17 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def write_slices(df: DataFrame, path: str, seq: str, rows_per_slice: int = ROWS_PER_SLICE,
-                 rows_per_file: int = ROWS_PER_FILE) -> int:
+                 rows_per_file: int = ROWS_PER_FILE, min_slices: int = MIN_SLICES) -> int:
     """Write ``df`` as it would arrive: consecutive ranges of ``seq``, one after the other.
 
-    The number of slices and of files in a slice follow from the number of rows. Returns the
+    The number of slices (``min_slices`` at least) and of files in a slice follow from the number of rows. Returns the
     files of a slice: read with ``maxFilesPerTrigger`` at that, a micro-batch is one slice.
     """
     lo, hi, n = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
     if n == 0:
         df.write.mode("overwrite").parquet(f"{path}/slice=000000")
         return 1
-    slices = max(MIN_SLICES, -(-n // rows_per_slice))
+    slices = max(min_slices, -(-n // rows_per_slice))
     files = max(1, -(-n // (slices * rows_per_file)))
     step = (hi - lo) // slices + 1
     for i in range(slices):
@@ -53,14 +54,28 @@ def arriving_by(spark: SparkSession, rows: DataFrame, slice_of: Column, name: st
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/*")
 
 
-def arriving(spark: SparkSession, rows: DataFrame, seq: str, name: str) -> Callable[[], DataFrame]:
-    """``rows`` staged in order of ``seq``; every call gives a stream over all of them."""
+def arriving(spark: SparkSession, rows: DataFrame, seq: str, name: str, min_slices: int = MIN_SLICES,
+             ends: str | None = None) -> Callable[[], DataFrame]:
+    """``rows`` staged in order of ``seq``; every call gives a stream over all of them.
+
+    ``ends`` names the event-time column of a bounded input: after the last slice comes one
+    row with :data:`END_OF_INPUT` there and nulls elsewhere, which moves the watermark past all windows."""
     path = scratch_path(spark, f"{name}-in")
-    files = write_slices(rows, path, seq)
+    files = write_slices(rows, path, seq, min_slices=min_slices)
+    if ends is not None:
+        last = spark.range(1).select(*[(F.lit(END_OF_INPUT) if f.name == ends else F.lit(None)).cast(f.dataType).alias(f.name)
+                                       for f in rows.schema])
+        last.write.mode("overwrite").parquet(f"{path}/slice=end")
     return lambda: (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files)
                     .parquet(f"{path}/*"))
 
 
+def until_end(watermarked: DataFrame, event_time: str) -> DataFrame:
+    """The rows before :data:`END_OF_INPUT`. The condition names the event time, so Spark keeps it
+    above the watermark, where the last row has counted already."""
+    return watermarked.where(F.col(event_time) < F.lit(END_OF_INPUT).cast("timestamp"))
+
+
 def run_batches(spark: SparkSession, stream: DataFrame, handler: Callable[[DataFrame, int], None],
                 name: str, mode: str = "append") -> None:
     """Drive ``stream`` into ``handler`` until all that has arrived is read."""
@@ -80,8 +95,8 @@ def run_batches(spark: SparkSession, stream: DataFrame, handler: Callable[[DataF
 
 
 def run_stream(spark: SparkSession, rows: DataFrame, seq: str, make: Callable[[DataFrame], DataFrame],
-               name: str) -> DataFrame:
-    """What ``make(stream)`` puts out over ``rows`` arriving in order of ``seq``."""
+               name: str, **staging) -> DataFrame:
+    """What ``make(stream)`` puts out over ``rows`` arriving in order of ``seq`` (see :func:`arriving`)."""
     sink = IdempotentBatchSink(scratch_path(spark, f"{name}-out"))
-    run_batches(spark, make(arriving(spark, rows, seq, name)()), sink, name)
+    run_batches(spark, make(arriving(spark, rows, seq, name, **staging)()), sink, name)
     return sink.read(spark).drop("batch")

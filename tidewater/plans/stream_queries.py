@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import as_event_time, as_ntz
 from tidewater.operators import keyed, routing
-from tidewater.plans.arrival import arriving, run_batches, run_stream
+from tidewater.plans.arrival import arriving, run_batches, run_stream, until_end
 from tidewater.plans.registry import query, table
 from tidewater.session import scratch_path
 from tidewater.streaming import jobs, processors
@@ -93,16 +93,17 @@ def stream_count_sliding(spark, sf):
 with w as (select time_bucket(interval '1 hour', ts, timestamp '1970-01-01') as window_start, event_type,
                   cast(sum(cast(value as decimal(18,2))) as double) as value_sum
            from events group by 1, 2)
-select window_start, window_start + interval '1 hour' as window_end, event_type, value_sum
-from w where window_start + interval '1 hour' <= (select max(ts) from events) - interval '2 hours'
+select window_start, window_start + interval '1 hour' as window_end, event_type, value_sum from w
 """)
 def stream_tumbling(spark, sf):
     """Hourly sums per event type with a watermark of two hours; rows arrive up to an
-    hour out of order. A window comes out when the watermark passes its end."""
+    hour out of order. A window comes out when the watermark passes its end, the last ones at
+    the end of the input."""
     ev = as_event_time(table(spark, sf, "events"), "ts").select("event_id", "ts", "event_type", "value")
     late = (F.unix_micros("ts") / F.lit(60_000_000)).cast("long") + F.pmod(F.col("event_id") * 7919, F.lit(60))
     out = run_stream(spark, ev.withColumn("arrival", late), "arrival",
-                     lambda s: jobs.windowed_sum_stream(_cents(s), "ts", "1 hour", "2 hours", "event_type", "value"), "tumbling")
+                     lambda s: jobs.windowed_sum_stream(_cents(s), "ts", "1 hour", "2 hours", "event_type", "value",
+                                                       keep=lambda w: until_end(w, "ts")), "tumbling", ends="ts")
     return as_ntz(out, "window_start", "window_end")
 
 

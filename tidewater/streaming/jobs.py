@@ -28,10 +28,11 @@ def word_count_lines(counts: DataFrame, sep: str = ":::") -> DataFrame:
 
 
 def windowed_sum_stream(events: DataFrame, ts: str, size: str, delay: str, keys, value: str,
-                        slide: str | None = None) -> DataFrame:
+                        slide: str | None = None, keep: Callable[[DataFrame], DataFrame] = lambda w: w) -> DataFrame:
     """Event-time tumbling/sliding sums with a watermark (W1, W2, W6); append mode
-    emits each window once the watermark passes its end."""
-    wm = events.withWatermark(ts, delay)
+    emits each window once the watermark passes its end. ``keep`` filters the rows the
+    watermark has seen."""
+    wm = keep(events.withWatermark(ts, delay))
     agg = [F.sum(value).cast("double").alias("value_sum")]
     if slide:
         return windows.sliding(wm, ts, size, slide, keys, agg)

@@ -1,174 +1,151 @@
-"""Keyed tumbling event-time sums with allowed lateness and a late side output,
-for Structured Streaming (E4, E5 in streams).
-
-Spark's ``withWatermark`` cannot re-fire a window for a late row and drops
-too-late rows silently, one batch late. This ``foreachBatch`` handler applies
-the reference's rule instead (:mod:`tidewater.operators.lateness`):
-
-1. read the running max event time persisted for the previous batch;
-2. classify the batch's rows (running max carried in, arrival = ``seq``);
-3. re-fire windows for accepted late rows, with the updated sum;
-4. fire windows whose end the new watermark passed (first firing);
-5. drop windows older than watermark + lateness from the state;
-6. write outputs, state and the new max under ``batch=<id>``.
-
-Everything a batch writes is a function of the previous batch's state and the
-batch itself, and each folder is overwritten as a whole, so a replayed batch
-(after a failure) gives the same result: exactly once. The state holds only
-windows inside the lateness horizon, so it is bounded by time, not history.
-All folders live under a root in the shared checkpoint directory. Values are summed
-as they are: give decimals for sums exact to the cent.
+"""Keyed tumbling event-time sums with allowed lateness and a late side output.
+
+One ``transformWithState`` keyed by the keys. Spark's watermark is the clock: it moves
+between micro-batches, timers fire by it, and state, timers and offsets live in the query's
+checkpoint. A window
+
+* fires when the watermark passes its end, with the sum of its rows so far (``fire_no`` 0);
+* fires again for each row that comes after that, with the updated sum (``fire_no`` 1, 2, ...),
+  until the watermark is ``lateness`` past its end, when its state goes;
+* sends rows that come later still to the side output, as they are.
+
+``withWatermark`` alone would drop late rows before the processor sees them: Spark filters
+rows whose *event-time column* lies behind the watermark. The rows go in with their event
+time as a plain number, so nothing is filtered and the watermark still drives the timers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
-from tidewater.functions.timecols import seconds
-from tidewater.operators import lateness, scan
+from tidewater.functions.timecols import MICROS
 from tidewater.streaming.processors import sum_type, type_of
-from tidewater.streaming.recovery import first_read
-
-
-class LateWindowSum:
-    def __init__(self, root: str, keys: Sequence[str], seq: str, event_time: str, value: str,
-                 window_seconds: int, delay_seconds: int, lateness_seconds: int,
-                 block_size: int | None = scan.DEFAULT_BLOCK):
-        self.root = root.rstrip("/")
-        self.keys, self.seq, self.et, self.value = list(keys), seq, event_time, value
-        self.window_s, self.delay_s, self.lateness_s = window_seconds, delay_seconds, lateness_seconds
-        self.block_size = block_size
-        self.wkeys = [*self.keys, "window_start", "window_end"]
-        self._last: tuple[int, object] | None = None  # (batch id, max event time) written last
-
-    @property
-    def last_batch(self) -> int:
-        """Id of the batch written last by this process, -1 before the first."""
-        return -1 if self._last is None else self._last[0]
-
-    # ------------------------------------------------------------------ storage
-    def _path(self, kind: str, batch_id: int | None = None) -> str:
-        return f"{self.root}/{kind}" + ("" if batch_id is None else f"/batch={batch_id}")
-
-    def _previous(self, spark: SparkSession, batch_id: int) -> int | None:
-        """Latest batch strictly before ``batch_id`` that wrote a watermark."""
-        marks = first_read(lambda: spark.read.parquet(self._path("wm")))
-        if marks is None:
-            return None
-        row = marks.where(F.col("batch") < batch_id).agg(F.max("batch").alias("b")).first()
-        return None if row is None or row["b"] is None else int(row["b"])
-
-    def _state(self, spark: SparkSession, prev: int | None, template: DataFrame) -> DataFrame:
-        if prev is None:
-            return template.limit(0)
-        return spark.read.parquet(self._path("state", prev)).select(*template.columns)
-
-    # ------------------------------------------------------------------ batch
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self._last is not None and self._last[0] == batch_id - 1:
-            prev, prior_max = self._last  # same process, next batch: skip re-reading the marker
-        else:  # first batch of this process (start or restart): read what was persisted
-            prev = self._previous(spark, batch_id)
-            prior_max = None
-            if prev is not None:
-                prior_max = spark.read.parquet(self._path("wm", prev)).first()["m"]
-        rows = batch.select(*self.keys, self.seq, self.et, F.col(self.value).alias("_v")).persist()
-        try:
-            self._process(spark, rows, batch_id, prev, prior_max)
-        finally:
-            rows.unpersist()
-
-    def _process(self, spark, rows, batch_id, prev, prior_max):
-        et_type = rows.schema[self.et].dataType
-        # one micro-batch is bounded: cache its classified rows for the four outputs
-        cls = lateness.classify(rows, self.seq, self.et, self.window_s, self.delay_s, self.lateness_s,
-                                prior_max=prior_max, block_size=self.block_size).persist()
-        try:
-            self._emit(spark, rows, cls, batch_id, prev, prior_max, et_type)
-        finally:
-            cls.unpersist()
-
-    def _emit(self, spark, rows, cls, batch_id, prev, prior_max, et_type):
-        total = sum_type(type_of(rows, "_v"))
-        on = cls.where(F.col("lateness") == lateness.ON_TIME)
-        late = cls.where(F.col("lateness") == lateness.LATE)
-        side = cls.where(F.col("lateness") == lateness.TOO_LATE)
-
-        batch_on = on.groupBy(*self.wkeys).agg(F.sum("_v").alias("b_on_sum"), F.count(F.lit(1)).alias("b_on_cnt"))
-        batch_late = late.groupBy(*self.wkeys).agg(F.sum("_v").alias("b_late_sum"),
-                                                   F.count(F.lit(1)).alias("b_n_late"))
-        template = (batch_on.select(*self.wkeys, F.col("b_on_sum").cast(total).alias("on_sum"),
-                                    F.col("b_on_cnt").alias("on_cnt"),
-                                    F.col("b_on_sum").cast(total).alias("late_sum"),
-                                    F.col("b_on_cnt").alias("n_late"), F.lit(False).alias("fired")))
-        state = self._state(spark, prev, template)
-
-        # re-firings for accepted late rows
-        run = scan.running_many(late, [*self.keys, "window_start"], [self.seq],
-                                [("_v", "sum", "_cs"), (None, "count", "_k")], block_size=self.block_size)
-        refire = (run.join(state, self.wkeys, "left").join(batch_on, self.wkeys, "left")
-                  .select(*self.wkeys,
-                          (F.coalesce("n_late", F.lit(0)) + F.col("_k")).cast("long").alias("fire_no"),
-                          F.col(self.seq).cast("long").alias("trigger_id"),
-                          (F.coalesce("on_sum", F.lit(0)) + F.coalesce("b_on_sum", F.lit(0))
-                           + F.coalesce("late_sum", F.lit(0)) + F.col("_cs")).cast("double").alias("value_sum")))
-
-        merged = (state.join(batch_on, self.wkeys, "full").join(batch_late, self.wkeys, "full")
-                  .select(*self.wkeys,
-                          (F.coalesce("on_sum", F.lit(0)) + F.coalesce("b_on_sum", F.lit(0)))
-                          .cast(total).alias("on_sum"),
-                          (F.coalesce("on_cnt", F.lit(0)) + F.coalesce("b_on_cnt", F.lit(0)))
-                          .cast("long").alias("on_cnt"),
-                          (F.coalesce("late_sum", F.lit(0)) + F.coalesce("b_late_sum", F.lit(0)))
-                          .cast(total).alias("late_sum"),
-                          (F.coalesce("n_late", F.lit(0)) + F.coalesce("b_n_late", F.lit(0)))
-                          .cast("long").alias("n_late"),
-                          F.coalesce("fired", F.lit(False)).alias("fired")))
-
-        bmax = rows.agg(F.max(self.et).alias("m")).first()["m"]
-        new_max = max([x for x in (prior_max, bmax) if x is not None], default=None)
-        if new_max is None:
-            mark_passed = F.lit(False)
-            keep = F.lit(True)
-        else:
-            mark = F.lit(new_max).cast(et_type) - seconds(self.delay_s)
-            mark_passed = mark >= F.col("window_end")
-            keep = mark < F.col("window_end") + seconds(self.lateness_s)
-        fires_now = (~F.col("fired")) & (F.col("on_cnt") > 0) & mark_passed
-        first = merged.where(fires_now).select(
-            *self.wkeys, F.lit(0).cast("long").alias("fire_no"), F.lit(None).cast("long").alias("trigger_id"),
-            F.col("on_sum").cast("double").alias("value_sum"))
-        new_state = merged.withColumn("fired", F.col("fired") | fires_now).where(keep)
-        merged.persist()
-
-        first.unionByName(refire).write.mode("overwrite").parquet(self._path("out", batch_id))
-        side.select(*self.keys, self.seq, self.et, F.col("_v").alias(self.value)) \
-            .write.mode("overwrite").parquet(self._path("side", batch_id))
-        new_state.write.mode("overwrite").parquet(self._path("state", batch_id))
-        spark.createDataFrame([(new_max,)], f"m {et_type.simpleString()}") \
-            .write.mode("overwrite").parquet(self._path("wm", batch_id))
-        merged.unpersist()
-        self._last = (batch_id, new_max)
-
-    # ------------------------------------------------------------------ end of input
-    def flush(self, spark: SparkSession, final_batch_id: int) -> None:
-        """End of a bounded input (watermark -> +inf): fire every open window that
-        has on-time rows and never fired. Idempotent for the same id."""
-        prev = self._previous(spark, final_batch_id)
-        if prev is None:
-            return
-        st = spark.read.parquet(self._path("state", prev))
-        first = st.where((~F.col("fired")) & (F.col("on_cnt") > 0)).select(
-            *self.wkeys, F.lit(0).cast("long").alias("fire_no"), F.lit(None).cast("long").alias("trigger_id"),
-            F.col("on_sum").cast("double").alias("value_sum"))
-        first.write.mode("overwrite").parquet(self._path("out", final_batch_id))
-
-    def results(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self._path("out")).drop("batch")
-
-    def side_output(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self._path("side")).drop("batch")
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+FIRE, SIDE = "fire", "late_side"
+#: A row of this event time or later tells the end of a bounded input: it only moves the watermark.
+END_OF_INPUT = "9000-01-01"
+
+
+class LateWindows(StatefulProcessor):
+    """The open windows of a key: end, sum, rows on time, late rows, fired already.
+
+    A key's open windows are few (those the watermark has not left ``lateness`` behind), so they are
+    one value, read and written once a batch, with one timer at the time the next of them is due:
+    a state call costs far more than a row. The key's last part is a block of window ends, so that
+    a replay of months spreads a hot key over tasks.
+
+    Output: ``tag, keys..., window_end_ms, fire_no, trigger, total`` for firings and
+    ``seq, value, at`` (event time in microseconds) for the side output; the other part is null.
+    Rows of a micro-batch are taken in the order of ``seq``. Null values add nothing.
+    """
+
+    def __init__(self, keys: Sequence[str], lateness_ms: int, total_type: str):
+        self.keys, self.lateness, self.total_type = list(keys), lateness_ms, total_type
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", (
+            f"due bigint, windows array<struct<end:bigint,total:{self.total_type},n_on:bigint,n_late:bigint,fired:boolean>>"))
+
+    def _out(self, key, tag: str, end: int, fire_no=None, trigger=None, total=None, seq=None, value=None, at=None) -> Row:
+        named = dict(zip(self.keys, key[:-1], strict=True))
+        return Row(tag=tag, **named, window_end_ms=end, fire_no=fire_no, trigger=trigger, total=total, seq=seq, value=value, at=at)
+
+    def _load(self) -> tuple[int | None, dict[int, list]]:
+        known = self.open.get()
+        return (None, {}) if known is None else (known[0], {w[0]: list(w) for w in known[1]})
+
+    def _store(self, due: int | None, windows: dict[int, list]) -> None:
+        if not windows:
+            return self.open.clear()
+        # a timer fires once the watermark is past it; a window's last millisecond is ``end - 1``
+        soonest = min((w[0] if w[2] and not w[4] else w[0] + self.lateness) - 1 for w in windows.values())
+        if due is None or soonest < due:
+            self.handle.registerTimer(soonest)
+            due = soonest
+        self.open.update((due, [tuple(w) for w in windows.values()]))
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        due, windows = self._load()
+        changed = False
+        for r in sorted(rows, key=lambda r: r["_seq"]):
+            end, v = r["_end"], r["_value"]
+            if end + self.lateness <= mark:
+                yield self._out(key, SIDE, end, seq=r["_seq"], value=v, at=r["_at"])
+                continue
+            changed = True
+            w = windows.setdefault(end, [end, None, 0, 0, False])
+            late = end <= mark
+            if late and w[2] and not w[4]:  # this batch's timers come after its rows: fire first
+                yield self._out(key, FIRE, end, fire_no=0, total=w[1])
+                w[4] = True
+            w[1] = v if w[1] is None else w[1] if v is None else w[1] + v
+            if late:
+                w[3] += 1
+                yield self._out(key, FIRE, end, fire_no=w[3], trigger=r["_seq"], total=w[1])
+            else:
+                w[2] += 1
+        if changed:
+            self._store(due, windows)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        due, windows = self._load()
+        if due is None or due > expiredTimerInfo.getExpiryTimeInMs():
+            return  # served by another timer of this batch
+        for end in sorted(windows):
+            w = windows[end]
+            if end <= mark and w[2] and not w[4]:
+                yield self._out(key, FIRE, end, fire_no=0, total=w[1])
+                w[4] = True
+            if end + self.lateness <= mark:
+                del windows[end]
+        self._store(None, windows)
+
+    def close(self) -> None:
+        pass
+
+
+def late_windows(stream: DataFrame, keys: Sequence[str], seq: str, event_time: str, value: str, window_seconds: int,
+                 delay_seconds: int, lateness_seconds: int, block_windows: int = 168) -> DataFrame:
+    """The tagged output of :class:`LateWindows` over ``stream`` (output mode ``append``).
+
+    ``event_time`` is a ``timestamp``. Sums have the input's type, decimals the widest: give
+    decimals for sums exact to the cent. A row at :data:`END_OF_INPUT` closes all windows.
+    """
+    size = window_seconds * MICROS
+    micros = F.unix_micros(event_time)
+    end = ((micros - F.pmod(micros, F.lit(size)) + size) / F.lit(1000)).cast("long")
+    # The filter names the event time, so Spark can't move it below the watermark: the row that ends the input counts there.
+    rows = (stream.withWatermark(event_time, f"{delay_seconds} seconds").where(F.col(event_time) < F.lit(END_OF_INPUT).cast("timestamp"))
+            .select(*keys, end.alias("_end"), F.floor(end / F.lit(window_seconds * 1000 * block_windows)).alias("_block"), F.col(seq).cast("long").alias("_seq"), F.col(value).alias("_value"), micros.alias("_at")))
+    v, total = type_of(stream, value), sum_type(type_of(stream, value))
+    schema = ("tag string, " + ", ".join(f"{k} {type_of(stream, k)}" for k in keys)
+              + f", window_end_ms bigint, fire_no bigint, trigger bigint, total {total}, seq bigint, value {v}, at bigint")
+    return rows.groupBy(*keys, "_block").transformWithState(
+        LateWindows(keys, lateness_seconds * 1000, total), schema, "Append", "EventTime")
+
+
+def firings(out: DataFrame, keys: Sequence[str], window_seconds: int) -> DataFrame:
+    """``keys, window_start, window_end, fire_no, trigger_id, value_sum`` of all firings."""
+    end = F.timestamp_millis("window_end_ms")
+    start = F.timestamp_millis(F.col("window_end_ms") - window_seconds * 1000)
+    return out.where(F.col("tag") == FIRE).select(
+        *keys, start.cast("timestamp_ntz").alias("window_start"), end.cast("timestamp_ntz").alias("window_end"), "fire_no",
+        F.col("trigger").alias("trigger_id"), F.col("total").cast("double").alias("value_sum"))
+
+
+def side_output(out: DataFrame, keys: Sequence[str], seq: str, event_time: str, value: str) -> DataFrame:
+    """Rows that came too late for their window, under their own names."""
+    return out.where(F.col("tag") == SIDE).select(
+        *keys, F.col("seq").alias(seq), F.timestamp_micros("at").cast("timestamp_ntz").alias(event_time), F.col("value").alias(value))
