@@ -1,6 +1,5 @@
 """Nothing is lost in silence: unreadable state, failing lookups, hung calls, days of one batch."""
 
-import datetime as dt
 import time
 
 import pytest
@@ -8,22 +7,10 @@ from pyspark.sql import Row
 
 from tidewater import session
 from tidewater.operators.lookup import remote_lookup
-from tidewater.streaming.dashboard_stream import DashboardStream
 from tidewater.streaming.processors import RunningAggregate, _names, _row
 from tidewater.streaming.recovery import RestartPolicy, first_read, run_with_restart
 
 
-def test_dashboard_tells_every_day_of_a_batch(spark, tmpdir_path):
-    at = lambda d, h: dt.datetime(2024, 1, d, h)
-    h = DashboardStream(f"{tmpdir_path}/dash", "ts", "category", "price")
-    h(spark.createDataFrame([(at(1, 10), "a", 5.0), (at(1, 12), "a", 7.0), (at(1, 17), "a", 1.0)], "ts timestamp_ntz, category string, price double"), 0)
-    h(spark.createDataFrame([(at(2, 18), "b", 2.0), (at(1, 11), "a", 4.0)], "ts timestamp_ntz, category string, price double"), 1)
-    got = sorted((r["day_start"], r["tick"], r["category"], r["total"]) for r in h.read(spark, "totals").collect())
-    first, second, third = dt.datetime(2023, 12, 31, 16), at(1, 16), at(2, 16)
-    assert got == [(first, second, "a", 12.0), (first, second, "a", 16.0), (second, at(1, 18), "a", 1.0), (second, third, "a", 1.0),
-                   (third, at(2, 19), "b", 2.0)]
-
-
 def test_only_a_missing_folder_is_a_fresh_start(spark, tmpdir_path):
     assert first_read(lambda: spark.read.parquet(f"{tmpdir_path}/none")) is None
     with open(f"{tmpdir_path}/part.parquet", "w") as f:

@@ -162,41 +162,6 @@ def test_enrich_reads_dimension_every_batch(spark, tmpdir_path):
     assert got == [("user_1", "张三"), ("user_2", "李四")]
 
 
-def test_dashboard_stream_matches_batch_ticks(spark, sf, tmpdir_path):
-    from tidewater.functions.timecols import bucket_end
-    from tidewater.plans import dashboard
-    from tidewater.streaming.dashboard_stream import DashboardStream
-    ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "event_type", keyed.exact("value").alias("value"))
-    # batches end on hour boundaries, so a tick has seen every row of its hour
-    part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / (80 * 3600))
-    parts = sorted(r[0] for r in ev.select(part).distinct().collect())
-    src = f"{tmpdir_path}/in"
-    for i, p in enumerate(parts):
-        ev.where(part == p).coalesce(1).write.parquet(f"{src}/b{i:03d}")
-    s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/*")
-    h = DashboardStream(f"{tmpdir_path}/dash", "ts", "event_type", "value")
-    s.writeStream.foreachBatch(h).option("checkpointLocation", f"{tmpdir_path}/ck") \
-        .trigger(availableNow=True).start().awaitTermination()
-    got = h.read(spark, "totals")
-    ticks = [r.tick for r in ev.groupBy(part).agg(bucket_end(F.max("ts"), 3600).alias("tick")).collect()]
-    assert len(set(ticks)) == len(parts)
-    totals = dashboard.category_totals(ev)
-    cols = ["day_start", "tick", "category", "total"]
-    # the grid at the batches' ticks, and the closing total of every day but the newest
-    newest = totals.agg(F.max("day_start")).first()[0]
-    closing = (totals.where(F.col("day_start") < F.lit(newest)).groupBy("day_start", "category")
-               .agg(F.max_by("total", "tick").alias("total"))
-               .withColumn("tick", F.col("day_start") + F.expr("INTERVAL 1 DAY")))
-    exp = totals.where(F.col("tick").isin(ticks)).select(*cols).union(closing.select(*cols)).distinct()
-    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, exp.select(*cols).collect()))
-    top_exp = dashboard.top3(exp).select("tick", "rank", "category").collect()
-    assert sorted(map(tuple, h.read(spark, "top").select("tick", "rank", "category").collect())) == \
-        sorted(map(tuple, top_exp))
-    g_exp = dashboard.grand_totals(exp).select("tick", "grand_total").collect()
-    assert sorted(map(tuple, h.read(spark, "grand").select("tick", "grand_total").collect())) == \
-        sorted(map(tuple, g_exp))
-
-
 def test_running_sum_stream_exact_matches_batch(spark, sf, tmpdir_path):
     ev = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "event_type", "value")
     src = _batches_by_id(spark, ev, f"{tmpdir_path}/in", 3)

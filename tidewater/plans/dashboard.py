@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import formats
 from tidewater.operators import keyed, ranking, windows
-from tidewater.plans.arrival import arriving_by, run_batches
+from tidewater.plans.arrival import run_stream
 from tidewater.plans.registry import query, table
-from tidewater.session import scratch_path
-from tidewater.streaming.dashboard_stream import DashboardStream
+from tidewater.streaming import dashboard_stream
 from tidewater.plans.window_queries import DAY_TO_DATE_SQL
 
 TOP_K = 3
@@ -74,33 +73,44 @@ def dashboard_totals(spark, sf):
 
 
 @query("dashboard_top3", _TOP_SQL + """
-select tick, string_agg('分类:' || category || ' 金额:' || cast(total as varchar), chr(10) order by rank) as top3
+select tick, 'top3: ' || chr(10) || string_agg('分类:' || category || ' 金额:' || cast(total as varchar), chr(10) order by rank) as top3
 from ranked where rank <= 3 group by tick
 """)
 def dashboard_top3(spark, sf):
     t = top3(category_totals(table(spark, sf, "events")))
     text = F.format_string(formats.DASHBOARD_TOP_FORMAT, F.col("category"), F.col("total").cast("string"))
-    return ranking.ranked_text(t, "tick", "rank", text, "top3")
+    told = ranking.ranked_text(t, "tick", "rank", text, "top3")
+    return told.withColumn("top3", F.concat(F.lit(formats.DASHBOARD_TOP_HEADER), "top3"))
 
 
-SLICE_SECONDS = 10 * 86400  # arrival slices of ten days, cut on hour boundaries
+def _live(spark, sf, name: str, summary: bool) -> DataFrame:
+    """The chained operators over ``events`` as they arrive, to the end of the input."""
+    ev = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", keyed.exact("value").alias("value"))
 
+    def make(stream):
+        totals = dashboard_stream.day_totals(stream, "ts", "event_type", "value")
+        return dashboard_stream.tick_summary(totals, TOP_K) if summary else totals
+    out = run_stream(spark, ev, "event_id", make, name, ends="ts")
+    times = {c: F.timestamp_millis(c).cast("timestamp_ntz") for c in ("day", "tick")}
+    return out.withColumns(times).withColumnRenamed("day", "day_start")
 
-@query("stream_dashboard", _TOTALS + f"""
-select day_start, tick, category, total from dd
-where tick in (
-  select time_bucket(interval '1 hour', max(ts), timestamp '1970-01-01') + interval '1 hour'
-  from events group by floor(epoch(ts) / {SLICE_SECONDS}))
-union
-select day_start, day_start + interval '1 day' as tick, category, arg_max(total, tick) as total
-from dd where day_start < (select max(day_start) from dd) group by day_start, category
-""")
+
+@query("stream_dashboard", DAY_TO_DATE_SQL)
 def stream_dashboard(spark, sf):
-    """The live dashboard handler (:class:`DashboardStream`, one call per
-    micro-batch) over a stream of ``events`` in arrival slices; each batch is one tick. Its
-    output is the batch day-to-date grid at those ticks, and every day's closing total."""
-    ev = table(spark, sf, "events").select("ts", "event_type", keyed.exact("value").alias("value"))
-    part = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / SLICE_SECONDS)
-    handler = DashboardStream(scratch_path(spark, "dashboard"), "ts", "event_type", "value")
-    run_batches(spark, arriving_by(spark, ev, part, "dashboard"), handler, "dashboard")
-    return handler.read(spark, "totals").select("day_start", "tick", "category", "total")
+    """The live dashboard: day-to-date totals of every category at every hourly tick of every day, as the
+    batch grid has them, from windowed sums feeding keyed state."""
+    out = _live(spark, sf, "dashboard", summary=False)
+    return out.select("day_start", "tick", "category", F.col("total").cast("double").alias("total"))
+
+
+@query("stream_dashboard_summary", _GRAND_SQL + """,
+r as (select day_start, tick, category, total,
+             row_number() over (partition by tick order by total desc, category) as rank from dd)
+select day_start, tick, cast(rank as integer) as rank, category, total from r where rank <= 3
+union all
+select day_start, tick, cast(0 as integer), null, grand_total from gt
+""")
+def stream_dashboard_summary(spark, sf):
+    """Top-3 categories (ranks 1 to 3) and grand total (rank 0) of every tick, from a third
+    stateful operator behind the day totals."""
+    return _live(spark, sf, "dashboard-summary", summary=True).select("day_start", "tick", "rank", "category", "total")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import formats
-from tidewater.operators import joins, routing
+from tidewater.operators import joins, routing, scan, versions
 from tidewater.functions.timecols import as_event_time
 from tidewater.plans.registry import query, table
 from tidewater.plans.arrival import arriving, run_batches
@@ -68,6 +68,21 @@ def broadcast_enrich(spark, sf):
     return joins.enrich(orders, cust, "o_custkey", "inner")
 
 
+@query("enrich_as_of", """
+with v as (select user_id, ts, event_id as purchase_id, value as purchase_value from events where event_type = 'purchase'),
+f as (select event_id, user_id, ts, event_type from events where event_type <> 'purchase')
+select f.event_id, f.user_id, f.ts, f.event_type, v.purchase_id, v.purchase_value
+from f asof join v on f.user_id = v.user_id and f.ts >= v.ts
+""")
+def enrich_as_of(spark, sf):
+    """Versioned broadcast state: every event with its user's newest purchase at that time;
+    events before a user's first purchase are dropped."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    bought = F.col("event_type") == "purchase"
+    return versions.enrich_as_of(ev.where(~bought).drop("value"), ev.where(bought), ["user_id"], "ts", "ts",
+                                 {"purchase_id": "event_id", "purchase_value": "value"}, block_size=scan.plan_blocks(ev, "ts"))
+
+
 @query("lookup_enrich_default", """
 select d.doc_id, coalesce(l.label, '未知') as label
 from documents d

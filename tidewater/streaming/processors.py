@@ -8,6 +8,7 @@ provider, set in :mod:`tidewater.session`) and is checkpointed with the query.
 
 from __future__ import annotations
 
+import bisect
 import re
 import sys
 from collections.abc import Iterator
@@ -162,44 +163,116 @@ def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int
         CountWindow(seq, value, size, slide, schema, value_type), schema, "Append", "None")
 
 
-class OrderTimeout(StatefulProcessor):
-    """Auto positive review (M2): map state ``order -> (created, reviewed)``
-    and one timer per order at ``created + interval``.
+#: Pending orders kept in one state value; a user with more keeps the rest in runs of this length.
+RUN_ORDERS = 512
+
 
-    On any timer of a user, every pending order is checked: reviewed orders
-    are cleared (``already_reviewed``), unreviewed ones past their interval get
-    ``auto_good``. In event-time mode the timer's expiry is the clock.
-    Output: ``user_id, order_id, action, action_ms``.
+class OrderTimeout(StatefulProcessor):
+    """Auto positive review (M2): every order has a deadline at ``created + interval``.
+
+    At a deadline of a user, that user's reviewed orders placed by then are cleared
+    (``already_reviewed``) and unreviewed ones whose deadline it is get ``auto_good``. The
+    deadline of a cleared order still counts as one. In event-time mode the watermark is the clock.
+    Output: ``user_id, order_id, action, action_ms`` (the deadline).
+
+    State: one value with the next deadline, up to ``RUN_ORDERS`` pending orders, and an index of the runs;
+    the runs are map state, each sorted by deadline. One timer stands at the next deadline, and
+    what is due is served by whichever timer of a batch comes first. A run is read when
+    its first deadline has come, or a reviewed order in it can be cleared: each order
+    is read a bounded number of times, however many the user has.
     """
 
-    def __init__(self, order: str, created_ms: str, reviewed: str, interval_ms: int, order_type: str = "string"):
+    def __init__(self, order: str, created_ms: str, reviewed: str, interval_ms: int, order_type: str = "string", event_time: bool = True):
         self.order, self.created, self.reviewed, self.interval = order, created_ms, reviewed, interval_ms
-        self.order_type = order_type
+        self.order_type, self.event_time = order_type, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", f"order_id {self.order_type}", "created bigint, reviewed boolean")
+        # an order: (id, created, reviewed, cleared); a run: (number, first deadline, first reviewed order's creation)
+        orders = f"array<struct<id:{self.order_type},created:bigint,reviewed:boolean,cleared:boolean>>"
+        self.head = handle.getValueState("head", (
+            f"due bigint, orders {orders}, runs array<struct<run:bigint,first:bigint,reviewed:bigint>>, next bigint"))
+        self.runs = handle.getMapState("runs", "run bigint", f"orders {orders}")
+
+    def _load(self) -> list:
+        known = self.head.get()
+        return [None, [], [], 0] if known is None else [known[0], [tuple(o) for o in known[1]], [tuple(r) for r in known[2]], known[3]]
+
+    def _run(self, number: int, orders: list[tuple]) -> tuple:
+        self.runs.updateValue((number,), (orders,))
+        return number, orders[0][1] + self.interval, min((o[1] for o in orders if o[2] and not o[3]), default=None)
+
+    def _store(self, head: list) -> None:
+        due, orders, runs, number = head
+        if len(orders) > RUN_ORDERS:
+            orders.sort(key=lambda o: o[1])
+            for lo in range(0, len(orders), RUN_ORDERS):
+                runs.append(self._run(number, orders[lo:lo + RUN_ORDERS]))
+                number += 1
+            orders = []
+        soonest = min([o[1] + self.interval for o in orders] + [r[1] for r in runs], default=None)
+        if soonest is None:
+            return self.head.clear()
+        if due is None or soonest < due:
+            self.handle.registerTimer(soonest)
+            due = soonest
+        self.head.update((due, orders, runs, number))
+
+    def _now(self, timerValues: TimerValues) -> int:
+        return timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        for r in rows:
-            self.pending.updateValue((r[self.order],), (r[self.created], bool(r[self.reviewed])))
-            self.handle.registerTimer(r[self.created] + self.interval)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues,
-                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        done = []
-        for (order_id,), (created, reviewed) in self.pending.iterator():
-            if created > now:
-                continue  # not placed yet at this timer's time (rows of one batch arrive together)
-            if reviewed:
-                done.append((order_id, "already_reviewed"))
-            elif now - created >= self.interval:
-                done.append((order_id, "auto_good"))
-        for order_id, action in sorted(done):
-            self.pending.removeKey((order_id,))
-            yield Row(user_id=key[0], order_id=order_id, action=action, action_ms=now)
+        head, now = self._load(), self._now(timerValues)
+        head[1] += [(r[self.order], r[self.created], bool(r[self.reviewed]), False) for r in rows]
+        if head[0] is not None and head[0] <= now:  # serve the timer of this batch here: one visit fewer
+            self.handle.deleteTimer(head[0])
+            yield from self._advance(key, head, now)
+        self._store(head)
+
+    def _serve(self, orders: list[tuple], times: list[int], now: int) -> tuple[list[tuple], list[tuple]]:
+        """(orders that stay, actions) at the deadlines ``times``, all of them up to ``now``."""
+        stay, done = [], []
+        for o in orders:
+            order_id, created, reviewed, cleared = o
+            deadline = created + self.interval
+            if reviewed and not cleared:
+                at = bisect.bisect_left(times, created)  # placed by then
+                if at < len(times):
+                    done.append((order_id, "already_reviewed", times[at]))
+                    o = (order_id, created, True, True)
+            if deadline > now:
+                stay.append(o)
+            elif not reviewed:
+                done.append((order_id, "auto_good", deadline))
+        return stay, done
+
+    def _advance(self, key, head: list, now: int) -> list[Row]:
+        """Serve all deadlines up to ``now``; ``head`` then has no timer."""
+        _, orders, runs, _ = head
+        read = {r[0]: [tuple(o) for o in self.runs.getValue((r[0],))[0]] for r in runs if r[1] <= now}
+        times = sorted(t for part in (orders, *read.values()) for t in (o[1] + self.interval for o in part) if t <= now)
+        head[1], done = self._serve(orders, times, now)
+        kept = []
+        for r in runs:
+            if r[0] not in read and (r[2] is None or not times or r[2] > times[-1]):
+                kept.append(r)
+                continue
+            stay, more = self._serve(read.get(r[0]) or [tuple(o) for o in self.runs.getValue((r[0],))[0]], times, now)
+            done += more
+            if stay:
+                kept.append(self._run(r[0], stay))
+            else:
+                self.runs.removeKey((r[0],))
+        head[0], head[2] = None, kept
+        return [Row(user_id=key[0], order_id=order_id, action=action, action_ms=at)
+                for order_id, action, at in sorted(done, key=lambda d: (d[2], d[0]))]
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        head, expiry = self._load(), expiredTimerInfo.getExpiryTimeInMs()
+        if head[0] is None or head[0] > expiry:
+            return  # served already
+        yield from self._advance(key, head, max(expiry, self._now(timerValues)))
+        self._store(head)
 
     def close(self) -> None:
         pass
@@ -210,6 +283,6 @@ def order_timeout_stream(df: DataFrame, user: str, order: str, created_ms: str,
     """Event-time timers (input must carry ``withWatermark``), else processing time."""
     order_type = type_of(df, order)
     schema = f"user_id {type_of(df, user)}, order_id {order_type}, action string, action_ms bigint"
-    proc = OrderTimeout(order, created_ms, reviewed, interval_ms, order_type)
+    proc = OrderTimeout(order, created_ms, reviewed, interval_ms, order_type, event_time)
     mode = "EventTime" if event_time else "ProcessingTime"
     return df.groupBy(user).transformWithState(proc, schema, "Append", mode)
