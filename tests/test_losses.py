@@ -7,7 +7,7 @@ from pyspark.sql import Row
 
 from tidewater import session
 from tidewater.operators.lookup import remote_lookup
-from tidewater.streaming.processors import RunningAggregate, _names, _row
+from tidewater.streaming.processors import _merge, _names, _row
 from tidewater.streaming.recovery import RestartPolicy, first_read, run_with_restart
 
 
@@ -68,23 +68,11 @@ def test_a_cluster_needs_a_shared_folder():
         session.checkpoint_root(Session())
 
 
-def test_running_aggregate_takes_nulls_and_decimal_columns():
+def test_names_and_parts_take_nulls_and_decimal_columns():
     assert _row(_names("k string, total decimal(18,2), m map<string,int>"), "a", 1, 2) == Row(k="a", total=1, m=2)
-
-    class State:
-        value = None
-
-        def exists(self):
-            return self.value is not None
-
-        def get(self):
-            return self.value
-
-        def update(self, v):
-            self.value = v
-
-    for how, want in (("sum", [None, 2.0, 2.0, 5.0]), ("max", [None, 2.0, 2.0, 3.0])):
-        p = RunningAggregate("k", "seq", "v", how, schema="k string, seq long, value double, result double")
-        p.acc = State()
-        rows = [Row(seq=i, v=v) for i, v in enumerate([None, 2.0, None, 3.0])]
-        assert [r["result"] for r in p.handleInputRows(("a",), rows, None)] == want
+    for how, want in (("sum", [None, 2.0, 2.0, 5.0]), ("max", [None, 2.0, 2.0, 3.0]), ("min", [None, 2.0, 2.0, 2.0])):
+        now, got = None, []
+        for v in (None, 2.0, None, 3.0):
+            now = _merge(how, now, v)
+            got.append(now)
+        assert got == want

@@ -159,3 +159,38 @@ def test_enrich_as_of_against_brute_force(spark, block):
     whole = versions.enrich_as_of(f, v.drop("k"), [], "t", "since", {"value": "value"}, block_size=blocks)
     assert {(r["id"], r["value"]) for r in whole.collect()} == {(i, newest(None, t, False)[1]) for i, _, t, _ in facts if newest(None, t, False)}
     assert versions.enrich_as_of(f, v.limit(0), ["k"], "t", "since", {"value": "value"}).count() == 0
+
+
+# --- hot keys ---
+
+def test_hot_key_spreads_over_tasks(spark, tmpdir_path):
+    """A third of the rows have one key: no task sees more than twice the median, and every result is right."""
+    rng = random.Random(4)
+    rows = [(i, "hot" if i % 3 == 0 else f"k{rng.randrange(400)}", rng.choice([None, 1, 2, 5])) for i in range(12_000)]
+    for b in range(3):
+        spark.createDataFrame(rows[b * 4000:(b + 1) * 4000], "id long, k string, v long").repartition(3).write.parquet(f"{tmpdir_path}/in/{b}")
+    s = spark.readStream.schema("id long, k string, v long").option("maxFilesPerTrigger", 3).parquet(f"{tmpdir_path}/in/*")
+
+    def run(df, name):
+        from pyspark.sql import functions as F
+        tagged = df.withColumn("task", F.spark_partition_id())
+        q = (tagged.writeStream.format("parquet").option("path", f"{tmpdir_path}/{name}").option("checkpointLocation", f"{tmpdir_path}/{name}-ck")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return spark.read.parquet(f"{tmpdir_path}/{name}").collect()
+    out = run(processors.running_stream(s, "k", "id", "v", "sum", block=64), "sum")
+    now, want = {}, {}
+    for i, k, v in rows:
+        now[k] = processors._merge("sum", now.get(k), v)
+        want[i] = now[k]
+    assert {r["id"]: r["result"] for r in out} == want
+    tasks = sorted(sum(r["task"] == t for r in out) for t in {r["task"] for r in out})
+    assert len(tasks) >= 4 and tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    out = run(processors.count_window_stream(s, "k", "id", "v", 7, 3, block=64), "slide")
+    seen, want = {}, set()
+    for _, k, v in rows:
+        seen.setdefault(k, []).append(v)
+        if len(seen[k]) % 3 == 0:
+            known = [x for x in seen[k][-7:] if x is not None]
+            want.add((k, len(seen[k]), sum(known) if known else None))
+    assert {(r["k"], r["fire_at"], r["value_sum"]) for r in out} == want

@@ -1,8 +1,8 @@
 """Keyed state and timers for streams (E6, E7, E10; A2, A5, C1, W4, W5, M2).
 
 ``transformWithState`` processors, one instance per key group. Rows of one
-micro-batch reach a key in no fixed order, so each handler sorts its rows by
-the sequence column first. State lives in the session's state store (RocksDB
+micro-batch reach a key in no fixed order; where order matters they are sorted by the
+sequence column first. State lives in the session's state store (RocksDB
 provider, set in :mod:`tidewater.session`) and is checkpointed with the query.
 """
 
@@ -13,19 +13,19 @@ import re
 import sys
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.sql.types import _parse_datatype_string
 
 # Workers need no copy of this module: the processors travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _sorted(rows, seq: str):
-    return sorted(rows, key=lambda r: r[seq])
-
-
 def _names(schema: str) -> tuple[str, ...]:
     """Column names of a schema text; commas inside a type's brackets do not part columns."""
     return tuple(f.strip().split(" ")[0] for f in re.split(r",(?![^(<]*[)>])", schema))
@@ -35,51 +35,6 @@ def _row(names: tuple[str, ...], *values) -> Row:
     return Row(**dict(zip(names, values, strict=True)))
 
 
-class RunningAggregate(StatefulProcessor):
-    """Per-record running ``sum``/``max``/``min``/``count`` of a key (A2, A5), or its
-    retract changelog (C1): ``(false, old)`` then ``(true, new)`` per record.
-
-    The state has the result's type. Null values change nothing, as in the batch form.
-    Output rows: ``key, seq, value, result`` -- or with ``changelog=True``
-    ``seq, change_seq, flag, key, result``.
-    """
-
-    def __init__(self, key: str, seq: str, value: str | None, how: str = "sum", changelog: bool = False,
-                 schema: str = "", state_type: str = "double"):
-        self.key, self.seq, self.value, self.how, self.changelog = key, seq, value, how, changelog
-        self.names, self.state_type = _names(schema), state_type
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", f"acc {self.state_type}")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        cur = self.acc.get()[0] if self.acc.exists() else None
-        for r in _sorted(rows, self.seq):
-            v = 1 if self.how == "count" else r[self.value]
-            old = cur
-            if v is None:
-                pass  # aggregates ignore nulls
-            elif cur is None:
-                cur = v
-            elif self.how == "max":
-                cur = max(cur, v)
-            elif self.how == "min":
-                cur = min(cur, v)
-            else:
-                cur = cur + v
-            if self.changelog:
-                if old is not None:
-                    yield _row(self.names, r[self.seq], 0, False, key[0], old)
-                yield _row(self.names, r[self.seq], 1, True, key[0], cur)
-            else:
-                yield _row(self.names, key[0], r[self.seq], None if self.how == "count" else r[self.value], cur)
-        if cur is not None:
-            self.acc.update((cur,))
-
-    def close(self) -> None:
-        pass
-
-
 def sum_type(value_type: str) -> str:
     """Type a running sum of ``value_type`` is kept in: decimals get the widest precision."""
     scale = re.fullmatch(r"decimal\(\d+,\s*(\d+)\)", value_type)
@@ -92,75 +47,181 @@ def type_of(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
-def running_stream(df: DataFrame, key: str, seq: str, value: str | None, how: str = "sum",
-                   changelog: bool = False) -> DataFrame:
-    """Streaming form of the running aggregates; output mode ``append``. Types follow the
-    input's: cast ``value`` to a decimal beforehand for sums exact to the cent."""
-    value_type = "bigint" if value is None else type_of(df, value)
-    result = {"count": "bigint", "sum": sum_type(value_type)}.get(how, value_type)
-    k, s = f"{key} {type_of(df, key)}", f"{seq} {type_of(df, seq)}"
-    if changelog:
-        schema = f"{s}, change_seq int, flag boolean, {k}, result {result}"
-    else:
-        schema = f"{k}, {s}, value {value_type}, result {result}"
-    return df.groupBy(key).transformWithState(
-        RunningAggregate(key, seq, value, how, changelog, schema, result), schema, "Append", "None")
+#: Values of the sequence column in one block: a key's rows of a micro-batch are dealt to tasks by block.
+BLOCK = 1 << 16
 
 
-class CountWindow(StatefulProcessor):
-    """``countWindow(size)`` and ``countWindow(size, slide)`` per key.
+def _merge(how: str, a, b):
+    """Two parts of an aggregate; null is neutral, as in the batch form."""
+    if a is None or b is None:
+        return b if a is None else a
+    return max(a, b) if how == "max" else min(a, b) if how == "min" else a + b
+
+
+class KeyCarry(StatefulProcessor):
+    """The small second level: what a key has before each of its blocks.
 
-    A counter and the last ``size`` values (list state) per key. Tumbling
-    (``slide is None``): emit when ``size`` rows are collected, then clear.
-    Sliding: on every ``slide``-th row emit the sum of the last up-to-``size`` rows.
-    Null values count as rows and add nothing; a window of nulls alone sums to null.
-    Output: ``key, fire_at (row number), value_sum``.
+    Input: for every part of a block a row with its number of rows ``_n`` and their aggregate ``_acc``, and its last ``keep``
+    rows with :data:`TAIL` as ``_n``. Output: for each block of the batch the same over all rows before
+    it. State: these for the key so far.
     """
 
-    def __init__(self, seq: str, value: str, size: int, slide: int | None = None, schema: str = "",
-                 value_type: str = "double"):
-        self.seq, self.value, self.size, self.slide, self.names = seq, value, size, slide, _names(schema)
-        self.value_type = value_type
+    def __init__(self, how: str, keep: int, state: str):
+        self.how, self.keep, self.state = how, keep, state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n bigint")
-        self.buf = handle.getListState("buf", f"v {self.value_type}")
-
-    @staticmethod
-    def _total(buf):
-        known = [v for v in buf if v is not None]
-        return sum(known[1:], known[0]) if known else None
+        self.before = handle.getValueState("before", self.state)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        n = self.count.get()[0] if self.count.exists() else 0
-        buf = [t[0] for t in self.buf.get()] if self.buf.exists() else []
-        for r in _sorted(rows, self.seq):
-            n += 1
-            buf.append(r[self.value])
-            if self.slide is None:
-                if len(buf) == self.size:
-                    yield _row(self.names, key[0], n, self._total(buf))
-                    buf = []
+        blocks: dict[int, list] = {}
+        for r in rows:
+            part = blocks.setdefault(r["_block"], [0, None, []])
+            if r["_n"] == TAIL:
+                part[2].append((r["_seq"], r["_value"]))
             else:
-                buf = buf[-self.size:]
-                if n % self.slide == 0:
-                    yield _row(self.names, key[0], n, self._total(buf))
-        self.count.update((n,))
-        if buf:
-            self.buf.put([(v,) for v in buf])
-        else:
-            self.buf.clear()  # the state store rejects empty lists
+                part[0] += r["_n"]
+                part[1] = _merge(self.how, part[1], r["_acc"])
+        known = self.before.get()
+        n, acc, tail = (0, None, []) if known is None else (known[0], known[1], [tuple(t) for t in known[2]])
+        for block in sorted(blocks):
+            yield Row(_key=key[0], _block=block, _n=n, _acc=acc, _seq=None, _value=None)
+            for seq, value in tail:
+                yield Row(_key=key[0], _block=block, _n=TAIL, _acc=None, _seq=seq, _value=value)
+            more, part, last = blocks[block]
+            # rows of earlier batches come first, whatever their sequence numbers
+            tail = [*tail, *sorted(last, key=lambda t: t[0])[-self.keep:]][-self.keep:] if self.keep else []
+            n, acc = n + more, _merge(self.how, acc, part)
+        self.before.update((n, acc, tail))
 
     def close(self) -> None:
         pass
 
 
-def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int,
-                        slide: int | None = None) -> DataFrame:
-    value_type = type_of(df, value)
-    schema = f"{key} {type_of(df, key)}, fire_at bigint, value_sum {sum_type(value_type)}"
-    return df.groupBy(key).transformWithState(
-        CountWindow(seq, value, size, slide, schema, value_type), schema, "Append", "None")
+def _two_level(df: DataFrame, key: str, seq: str, value: str | None, how: str, keep: int, block: int, fold, out: str) -> DataFrame:
+    """Rows of ``df`` through ``fold``, in the order of ``seq`` within a key, without a hot task.
+
+    1. Every input task adds up its rows by (key, block of the sequence).
+    2. :class:`KeyCarry`, keyed state, turns these few rows into what each block begins with.
+    3. Rows and carries meet by (key, block): ``fold(key, carry, rows)`` yields output tuples of the
+       schema ``out``. A task holds its share of one micro-batch.
+    """
+    value_type = "bigint" if value is None else type_of(df, value)
+    acc_type = {"count": "bigint", "sum": sum_type(value_type)}.get(how, value_type)
+    base = df.select(F.col(key).alias("_key"), F.floor(F.col(seq) / F.lit(block)).cast("long").alias("_block"), F.col(seq).alias("_seq"),
+                     (F.lit(1).cast("long") if value is None else F.col(value)).alias("_value"))
+    key_type, seq_type = type_of(base, "_key"), type_of(base, "_seq")
+    part = f"_key {key_type}, _block bigint, _n bigint, _acc {acc_type}, _seq {seq_type}, _value {value_type}"
+
+    def partial(batches):
+        parts: dict[tuple, list] = {}
+        for batch in batches:
+            for k, b, s, v in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                p = parts.setdefault((k, b), [0, None, []])
+                p[0] += 1
+                p[1] = _merge(how, p[1], v)
+                if keep:
+                    p[2].append((s, v))
+                    if len(p[2]) > 2 * keep + 64:
+                        p[2] = sorted(p[2], key=lambda t: t[0])[-keep:]
+            if len(parts) > MAX_PARTS:
+                yield _arrow(_part_rows(parts, keep), arrow_part)
+                parts = {}
+        if parts:
+            yield _arrow(_part_rows(parts, keep), arrow_part)
+
+    def finish(batches):
+        groups: dict[tuple, list] = {}
+        for batch in batches:
+            for k, b, n, acc, s, v in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                g = groups.setdefault((k, b), [0, None, [], []])
+                if n is None:
+                    g[3].append((s, v))
+                elif n == TAIL:
+                    g[2].append((s, v))
+                else:
+                    g[0], g[1] = n, acc
+        rows: list[tuple] = []
+        for (k, _), (n, acc, tail, mine) in groups.items():
+            mine.sort(key=lambda r: r[0])
+            rows.extend(fold(k, (n, acc, sorted(tail, key=lambda t: t[0])), mine))
+            if len(rows) > MAX_PARTS:
+                yield _arrow(rows, arrow_out)
+                rows = []
+        if rows:
+            yield _arrow(rows, arrow_out)
+    arrow_part, arrow_out = (to_arrow_schema(_parse_datatype_string(x)) for x in (part, out))
+    parts = base.mapInArrow(partial, part)
+    carries = parts.groupBy("_key").transformWithState(
+        KeyCarry(how, keep, f"n bigint, acc {acc_type}, tail array<struct<seq:{seq_type},value:{value_type}>>"), part, "Append", "None")
+    empty = [F.lit(None).cast(t).alias(c) for c, t in (("_n", "bigint"), ("_acc", acc_type))]
+    both = base.select("_key", "_block", *empty, "_seq", "_value").unionByName(carries)
+    return both.repartition("_key", "_block").mapInArrow(finish, out)
+
+
+def _part_rows(parts: dict, keep: int) -> list[tuple]:
+    out = []
+    for at, (n, acc, tail) in parts.items():
+        out.append((*at, n, acc, None, None))
+        out += [(*at, TAIL, None, *t) for t in (sorted(tail, key=lambda t: t[0])[-keep:] if keep else [])]
+    return out
+
+
+#: Marks a row that is one of a block's last rows, not a part's sum.
+TAIL = -1
+#: Rows a task gathers before it sends them on.
+MAX_PARTS = 1 << 14
+
+
+def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
+def running_stream(df: DataFrame, key: str, seq: str, value: str | None, how: str = "sum",
+                   changelog: bool = False, block: int = BLOCK) -> DataFrame:
+    """Per-record running ``sum``/``max``/``min``/``count`` of a key (A2, A5), or its retract changelog
+    (C1): ``(false, old)`` then ``(true, new)`` per record; output mode ``append``.
+
+    Null values change nothing. Types follow the input's: cast ``value`` to a decimal beforehand for sums exact to
+    the cent. Output rows: ``key, seq, value, result``, or with ``changelog=True`` ``seq, change_seq, flag, key, result``.
+    """
+    value_type = "bigint" if value is None else type_of(df, value)
+    result = {"count": "bigint", "sum": sum_type(value_type)}.get(how, value_type)
+    k, s = f"{key} {type_of(df, key)}", f"{seq} {type_of(df, seq)}"
+
+    def fold(at, carry, rows):
+        cur = carry[1]
+        for n, v in rows:
+            old, cur = cur, _merge(how, cur, v)
+            if not changelog:
+                yield at, n, None if value is None else v, cur
+                continue
+            if old is not None:
+                yield n, 0, False, at, old
+            yield n, 1, True, at, cur
+    out = f"{s}, change_seq int, flag boolean, {k}, result {result}" if changelog else f"{k}, {s}, value {value_type}, result {result}"
+    return _two_level(df, key, seq, value, how, 0, block, fold, out)
+
+
+def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int, slide: int | None = None,
+                        block: int = BLOCK) -> DataFrame:
+    """``countWindow(size)`` and ``countWindow(size, slide)`` per key.
+
+    Tumbling (``slide is None``): a row for every full ``size`` rows. Sliding: on every ``slide``-th row the sum of
+    the last up-to-``size`` rows. Null values count as rows and add nothing; a window of nulls alone sums to null.
+    Output: ``key, fire_at`` (row number)``, value_sum``.
+    """
+    every = slide or size
+
+    def fold(at, carry, rows):
+        n, last = carry[0], [v for _, v in carry[2]]
+        for _, v in rows:
+            n += 1
+            last = [*last, v][-size:]
+            if n % every == 0:
+                known = [x for x in last if x is not None]
+                yield at, n, sum(known[1:], known[0]) if known else None
+    out = f"{key} {type_of(df, key)}, fire_at bigint, value_sum {sum_type(type_of(df, value))}"
+    return _two_level(df, key, seq, value, "sum", size - 1, block, fold, out)
 
 
 #: Pending orders kept in one state value; a user with more keeps the rest in runs of this length.
