@@ -37,16 +37,6 @@ def test_jdbc_append_generated_ids_and_snapshots(spark, tmpdir_path):
     assert snapshot(None, 1).count() == 3
 
 
-def test_keyed_upsert_last_write_wins_and_replay(spark, tmpdir_path):
-    sink = sinks.KeyedUpsertSink(spark, f"{tmpdir_path}/kv", "wcresult")
-    b0 = sources.inline(spark, [("a", 1, 1), ("b", 1, 2), ("a", 2, 3)], "w string, n long, seq long")
-    b1 = sources.inline(spark, [("a", 3, 4)], "w string, n long, seq long")
-    sink.upsert(b0, "w", "n", "seq", 0)
-    sink.upsert(b1, "w", "n", "seq", 1)
-    sink.upsert(b1, "w", "n", "seq", 1)  # replayed batch
-    assert sorted((r.field, r.value) for r in sink.state().collect()) == [("a", "3"), ("b", "1")]
-
-
 def test_text_tuples_and_rolling_files(spark, tmpdir_path):
     df = sources.inline(spark, [("hello", 2), ("world", 1)], "word string, n long")
     sinks.write_tuples(df, ["word", "n"], f"{tmpdir_path}/t", files=2)

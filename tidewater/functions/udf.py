@@ -4,9 +4,8 @@ The slow path, Arrow-batched: rows reach Python through ``mapInPandas`` /
 ``applyInPandas``, never one row per call. Prefer built-in expressions and
 :mod:`tidewater.operators.keyed` whenever a fold is a sum/min/max/count.
 
-Keyed folds run in two phases so no key is gathered in one task:
-1. ``mapInPandas``: each task folds its own rows per key (map-side combine);
-2. ``groupBy(key).applyInPandas``: merges at most one partial per task per key.
+Keyed folds run in two phases (:mod:`tidewater.operators.folds`): tasks combine their rows in a
+bounded number of accumulators, which are then merged in the order of their keys, one at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from tidewater.operators import folds
+
 
 def _names(schema: StructType | str, df: DataFrame) -> list[str]:
     if isinstance(schema, StructType):
@@ -50,28 +51,20 @@ def filter_rows(df: DataFrame, pred: Callable[[dict], bool]) -> DataFrame:
 
 
 def reduce_by_key(df: DataFrame, key: str, fn: Callable[[dict, dict], dict]) -> DataFrame:
-    """``keyBy(key).reduce(fn)`` for an associative ``fn(a, b) -> row``; one row per key.
-    Output schema = input schema."""
-    schema = df.schema
+    """``keyBy(key).reduce(fn)`` for an associative and commutative ``fn(a, b) -> row``; one row per key.
+    Output schema = input schema. A task holds a bounded number of keys (see :func:`folds.keyed_fold`)."""
     cols = df.columns
+    fields = ", ".join(f"_v{i} {f.dataType.simpleString()}" for i, f in enumerate(df.schema))
 
-    def fold(records):
-        acc: dict = {}
-        for rec in records:
-            k = rec[key]
-            acc[k] = rec if k not in acc else fn(acc[k], rec)
-        return list(acc.values())
-
-    def partial(batches):
-        rows = []
-        for pdf in batches:
-            rows.extend(pdf.to_dict("records"))
-        yield pd.DataFrame.from_records(fold(rows), columns=cols)
-
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame.from_records(fold(pdf.to_dict("records")), columns=cols)
+    def join(a: tuple, b: tuple) -> tuple:
+        out = fn(dict(zip(cols, a, strict=True)), dict(zip(cols, b, strict=True)))
+        return tuple(out[c] for c in cols)
 
-    return df.mapInPandas(partial, schema).groupBy(key).applyInPandas(final, schema)
+    def add(state: tuple, rec: dict) -> tuple:
+        row = tuple(rec[c] for c in cols)
+        return join(state, row) if state else row
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return folds.keyed_fold(df, key, tuple, add, join, lambda k, state: state, fields, out)
 
 
 def aggregate_by_key(df: DataFrame, key: str, create: Callable[[], tuple], add: Callable[[tuple, dict], tuple],
@@ -82,24 +75,4 @@ def aggregate_by_key(df: DataFrame, key: str, create: Callable[[], tuple], add:
     ``acc_schema`` types the accumulator tuple that travels between the phases;
     ``result(key, acc)`` returns the output tuple typed by ``out_schema``.
     """
-    key_type = df.schema[key].dataType.simpleString()
-    partial_schema = f"{key} {key_type}, {acc_schema}"
-    acc_names = _names(acc_schema, df)
-    out_names = _names(out_schema, df)
-
-    def partial(batches):
-        accs: dict = {}
-        for pdf in batches:
-            for rec in pdf.to_dict("records"):
-                k = rec[key]
-                accs[k] = add(accs.get(k, create()), rec)
-        yield pd.DataFrame.from_records([(k, *a) for k, a in accs.items()], columns=[key, *acc_names])
-
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = pdf[key].iloc[0]
-        acc = create()
-        for rec in pdf[acc_names].itertuples(index=False, name=None):
-            acc = merge(acc, tuple(rec))
-        return pd.DataFrame.from_records([result(k, acc)], columns=out_names)
-
-    return df.mapInPandas(partial, partial_schema).groupBy(key).applyInPandas(final, out_schema)
+    return folds.keyed_fold(df, key, create, add, merge, result, acc_schema, out_schema)

@@ -20,6 +20,7 @@ from tidewater.operators import keyed, partitioning
 from tidewater.plans.registry import query, table
 from tidewater.session import scratch_path
 from tidewater.sinks import basic as sinks
+from tidewater.sinks.keyed_store import KeyedStore
 from tidewater.sources import basic as sources
 from tidewater.streaming import jobs as stream_jobs
 from tidewater.streaming.recovery import IdempotentBatchSink, JobConfig, latest_per_key
@@ -210,15 +211,18 @@ from events group by user_id
 """)
 def sink_keyed_upsert(spark, sf):
     """Running count per user streamed into ``HSET wcresult <user> <count>``,
-    in two batches (first half of the month, then the rest)."""
+    in two batches (first half of the month, then the rest), with a compaction and a replay between them."""
     ev = table(spark, sf, "events").select("event_id", "ts", "user_id")
     running = keyed.running_sum(ev.withColumn("one", F.lit(1)), "user_id", "event_id", "one",
                                 out="cnt", exact_scale=None)
-    sink = sinks.KeyedUpsertSink(spark, scratch_path(spark, "wcresult"), formats.UPSERT_HASH)
+    store = KeyedStore(spark, scratch_path(spark, "wcresult"), formats.UPSERT_HASH)
     cut = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
-    for batch_id, part in enumerate((running.where(cut), running.where(~cut))):
-        sink.upsert(part, "user_id", "cnt", "event_id", batch_id)
-    return sink.state()
+    first, rest = running.where(cut), running.where(~cut)
+    store.upsert(first, "user_id", "cnt", "event_id", 0)
+    store.compact()
+    store.upsert(first, "user_id", "cnt", "event_id", 0)  # a replay after the compaction
+    store.upsert(rest, "user_id", "cnt", "event_id", 1)
+    return store.state()
 
 
 @query("filter_threshold", "select event_id, value from events where value > 10")

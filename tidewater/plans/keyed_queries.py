@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewater.operators import keyed, partitioning, scan, windows
+from tidewater.operators import folds, keyed, partitioning, scan, windows
 from tidewater.plans.registry import query, table
 
 DEC = "cast({} as decimal(18,2))"
@@ -108,3 +108,28 @@ def partition_skew_report(spark, sf):
     return facts.select(F.inline(F.array(
         F.struct(F.lit("before").alias("phase"), F.col("before").alias("n"), F.lit(None).cast("boolean").alias("even")),
         F.struct(F.lit("after").alias("phase"), F.col("after").alias("n"), F.col("even").alias("even")))))
+
+
+def _streak_add(acc, row):
+    """(rows, streak at the start, at the end, longest) with one row more."""
+    one = (1, 1, 1, 1) if row[0] else (1, 0, 0, 0)
+    return one if acc is None else _streak_merge(acc, one)
+
+
+def _streak_merge(a, b):
+    return (a[0] + b[0], a[1] + b[1] if a[1] == a[0] else a[1], b[2] + a[2] if b[2] == b[0] else b[2], max(a[3], b[3], a[2] + b[1]))
+
+
+@query("ordered_fold", """
+with r as (select event_type, event_id, value > 50 as hit, row_number() over (partition by event_type order by event_id) as n from events),
+g as (select *, n - row_number() over (partition by event_type, hit order by event_id) as island from r),
+s as (select event_type, island, count(*) as len from g where hit group by event_type, island)
+select r.event_type, count(*) as n, coalesce((select max(len) from s where s.event_type = r.event_type), 0) as longest
+from r group by r.event_type
+""")
+def ordered_fold(spark, sf):
+    """A fold that no aggregate expresses and that depends on the order: the longest run of values above 50
+    of an event type. Five hot keys, each folded in many tasks and merged in order."""
+    ev = table(spark, sf, "events").select("event_type", "event_id", (F.col("value") > 50).alias("hit"))
+    return folds.ordered_fold(ev, "event_type", ["event_id"], ["hit"], _streak_add, _streak_merge, lambda a: (a[0], a[3]),
+                              "n long, head long, tail long, best long", "n long, longest long")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions.timecols import as_event_time, as_ntz
-from tidewater.operators import keyed, scan, windows
+from tidewater.operators import folds, keyed, scan, windows
 from tidewater.plans.arrival import run_stream, until_end
 from tidewater.plans.registry import query, table
 
@@ -119,6 +119,34 @@ def window_contents(spark, sf):
     return windows.window_contents(ev, "ts", "5 hours", "user_id", "event_id")
 
 
+def _path(batches):
+    """Rows, first and last id and the sum of steps (cents) of a window's values, read batch by batch."""
+    n, first, last, before, path = 0, None, None, None, 0
+    for batch in batches:
+        for event_id, cents in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            n, first, last = n + 1, event_id if first is None else first, event_id
+            path += 0 if before is None else abs(cents - before)
+            before = cents
+    yield n, first, last, path
+
+
+@query("window_function", """
+with b as (select time_bucket(interval '10 days', ts, timestamp '1970-01-01') as ws, event_type, ts, event_id,
+                  cast(cast(value as decimal(18,2)) * 100 as bigint) as cents from events),
+s as (select *, abs(cents - lag(cents) over (partition by ws, event_type order by ts, event_id)) as step from b)
+select event_type, ws as window_start, ws + interval '10 days' as window_end, count(*) as n,
+       arg_min(event_id, (ts, event_id)) as first_id, arg_max(event_id, (ts, event_id)) as last_id,
+       cast(coalesce(sum(step), 0) as bigint) as path
+from s group by ws, event_type
+""")
+def window_function(spark, sf):
+    """A user's window function over whole windows in order (G6): ten days of an event type come as an
+    iterator of batches of at most 256 rows, several of them in every window."""
+    ev = table(spark, sf, "events").withColumn("cents", (keyed.exact("value") * 100).cast("long"))
+    return folds.apply_window(ev, "ts", "10 days", ["event_type"], ["ts", "event_id"], ["event_id", "cents"], _path,
+                              "n long, first_id long, last_id long, path long", batch_rows=256)
+
+
 @query("day_window_offset", f"""
 select time_bucket(interval '1 day', ts, timestamp '2024-01-01 16:00:00') as window_start,
        time_bucket(interval '1 day', ts, timestamp '2024-01-01 16:00:00') + interval '1 day' as window_end,

@@ -82,47 +82,6 @@ def jdbc_append(df: DataFrame, url: str, table: str, props: dict | None = None,
     df.write.mode("append").jdbc(url, table, properties=opts)
 
 
-class KeyedUpsertSink:
-    """Keyed upsert, last write wins (K6: ``HSET hash field value``).
-
-    Each batch appends its updates under ``batch=<id>`` (overwriting only that
-    folder, so a replayed batch is idempotent). The current state is the
-    latest update per key by ``(batch, seq)`` -- a partial aggregate, so no key
-    is gathered in one task. ``compact`` folds the log into one batch folder.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, hash_name: str):
-        self.spark, self.path, self.hash = spark, path.rstrip("/"), hash_name
-
-    def upsert(self, updates: DataFrame, field: Column | str, value: Column | str, seq: Column | str,
-               batch_id: int) -> None:
-        f = F.col(field) if isinstance(field, str) else field
-        v = F.col(value) if isinstance(value, str) else value
-        s = F.col(seq) if isinstance(seq, str) else seq
-        latest = (updates.select(f.cast("string").alias("field"), v.cast("string").alias("value"),
-                                 s.cast("long").alias("seq"))
-                  .groupBy("field").agg(F.max_by(F.struct("value", "seq"), "seq").alias("_r"))
-                  .select(F.lit(self.hash).alias("hash"), "field", "_r.value", "_r.seq"))
-        latest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-
-    def state(self, since_batch: int | None = None) -> DataFrame:
-        """Current value per field; ``since_batch`` skips batches older than a compaction."""
-        log = self.spark.read.parquet(self.path)
-        if since_batch is not None:
-            log = log.where(F.col("batch") >= since_batch)
-        last = F.max_by(F.col("value"), F.struct("batch", "seq"))
-        return log.groupBy("hash", "field").agg(last.alias("value"))
-
-    def compact(self, batch_id: int) -> None:
-        """Write the full state as batch ``batch_id``; later reads can start there
-        (``state(since_batch=batch_id)``). The full state is cut from the log's
-        lineage by being written out first."""
-        st = self.state().withColumn("seq", F.lit(0).cast("long"))
-        staged = f"{self.path}-staged-{batch_id}"
-        st.write.mode("overwrite").parquet(staged)
-        self.spark.read.parquet(staged).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-
-
 def create_table(df: DataFrame, name: str, path: str) -> None:
     """Catalog table with an explicit location in the shared folder."""
     df.write.mode("overwrite").option("path", path).saveAsTable(name)
