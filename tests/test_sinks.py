@@ -149,3 +149,30 @@ def test_job_config_checkpoint_from_argument(spark, tmpdir_path):
         cfg.apply(spark.readStream.schema("x long").parquet(f"{src}/*").writeStream.foreachBatch(sink)) \
             .start().awaitTermination()
     assert sink.read(spark).count() == 1  # the second run found nothing new to process
+
+
+def test_kafka_options():
+    read = records.kafka_reader_options("b:9092", "in", "earliest", group="g")
+    assert read == {"kafka.bootstrap.servers": "b:9092", "subscribe": "in", "startingOffsets": "earliest", "kafka.group.id": "g"}
+    assert "kafka.group.id" not in records.kafka_reader_options("b:9092", "in")
+    assert records.kafka_writer_options("b:9092", "out") == {"kafka.bootstrap.servers": "b:9092", "topic": "out"}
+
+
+def test_append_only_plans_only_add(spark):
+    from tidewater.operators import changelog
+    assert sorted(map(tuple, changelog.append_only(spark.range(2)).collect())) == [(True, 0), (True, 1)]
+
+
+def test_row_writer_opens_writes_and_closes(spark, tmpdir_path):
+    import os
+    from tidewater.streaming.jobs import RowWriter
+    spark.range(6).repartition(2).write.parquet(f"{tmpdir_path}/in")
+
+    def open_part(partition, epoch):
+        return open(f"{tmpdir_path}/part-{epoch}-{partition}", "a")
+    writer = RowWriter(open_part, lambda f, row: f.write(f"{row['id']}\n"), lambda f, error: f.close())
+    q = (spark.readStream.schema("id long").parquet(f"{tmpdir_path}/in").writeStream.foreach(writer)
+         .option("checkpointLocation", f"{tmpdir_path}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    lines = [line for n in os.listdir(tmpdir_path) if n.startswith("part-") for line in open(f"{tmpdir_path}/{n}").read().split()]
+    assert sorted(lines) == [str(i) for i in range(6)]

@@ -89,11 +89,6 @@ def decode_value(frame: DataFrame, schema: T.StructType | str, keep: Sequence[st
     return frame.select(*keep, parsed.alias("_r")).select(*keep, "_r.*")
 
 
-def value_string(frame: DataFrame) -> DataFrame:
-    """``SimpleStringSchema``: the value as UTF-8 text."""
-    return frame.select(F.col("value").cast("string").alias("value"))
-
-
 def kafka_writer_options(bootstrap: str, topic: str) -> dict:
     """Options for ``df.write.format("kafka")`` / ``writeStream.format("kafka")``.
 

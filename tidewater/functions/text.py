@@ -40,11 +40,6 @@ def tokens(df: DataFrame, col: str = "value", out: str = "word", sep: str = " ")
     return df.select(F.explode(java_split(col, sep)).alias(out))
 
 
-def word_ones(df: DataFrame, col: str = "value", out: str = "word", sep: str = " ") -> DataFrame:
-    """flatMap line -> (word, 1)."""
-    return tokens(df, col, out, sep).withColumn("one", F.lit(1).cast("long"))
-
-
 def tuple_text(*cols: Column | str) -> Column:
     """Tuple rendering ``(a,b)`` as written by ``writeAsText`` (K2)."""
     parts = [_c(c).cast("string") for c in cols]

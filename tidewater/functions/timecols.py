@@ -40,11 +40,6 @@ def bucket_end(c: Column | str, size_seconds: int, offset_seconds: int = 0, ntz:
     return bucket_start(c, size_seconds, offset_seconds, ntz) + seconds(size_seconds)
 
 
-def bucket_id(c: Column | str, size_seconds: int) -> Column:
-    """Integer bucket number of ``c`` (floor division of epoch micros)."""
-    return F.floor(micros_of(c) / F.lit(size_seconds * MICROS)).cast("long")
-
-
 def as_event_time(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """``timestamp_ntz`` -> ``timestamp`` so ``withWatermark`` accepts it."""
     return df.withColumn(out or col, F.col(col).cast("timestamp"))

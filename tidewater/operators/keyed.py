@@ -22,17 +22,6 @@ def exact(c: Column | str, scale: int = 2) -> Column:
     return c.cast(f"decimal(18,{scale})")
 
 
-def keyed_sum(df: DataFrame, keys: Sequence[str] | str, value: str, out: str = "total",
-              exact_scale: int | None = None) -> DataFrame:
-    """``groupBy(k).sum(v)`` -- one final row per key."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    v = exact(value, exact_scale) if exact_scale is not None else F.col(value)
-    s = F.sum(v)
-    if exact_scale is not None:
-        s = s.cast("double")
-    return df.groupBy(*keys).agg(s.alias(out))
-
-
 def keyed_count(df: DataFrame, keys: Sequence[str] | str, out: str = "n") -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
@@ -100,7 +89,7 @@ def aggregate(df: DataFrame, keys: Sequence[str] | str, acc: Accumulator, out: s
 
 
 def price_sum_accumulator(price: str, exact_scale: int | None = None) -> Accumulator:
-    """The dashboard's incremental price sum; ``exact_scale`` as in :func:`keyed_sum`."""
+    """The dashboard's incremental price sum; ``exact_scale``: decimal places summed exactly."""
     v = F.col(price) if exact_scale is None else exact(price, exact_scale)
     return Accumulator({"total": F.sum(v)}, lambda p: p["total"].cast("double"))
 

@@ -75,10 +75,10 @@ def run_batches(spark: SparkSession, stream: DataFrame, handler: Callable[[DataF
     try:
         q = (stream.writeStream.outputMode(mode).foreachBatch(handler)
              .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start())
-        q.awaitTermination()
-    finally:
+    finally:  # the query has its own copy of the settings from its start on
         for k, v in before.items():
             spark.conf.set(k, v)
+    q.awaitTermination()
 
 
 def run_stream(spark: SparkSession, rows: DataFrame, seq: str, make: Callable[[DataFrame], DataFrame],

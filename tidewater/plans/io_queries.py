@@ -53,8 +53,8 @@ def src_kafka_decode(spark, sf):
 def src_kafka_json(spark, sf):
     ev = table(spark, sf, "events")
     frame = records.kafka_frame(ev, F.col("event_id"), F.col("props"), "props")
-    parsed = F.from_json(F.col("value").cast("string"), "k int")
-    return frame.select(F.col("key").cast("string").cast("long").alias("event_id"), parsed.k.alias("k"))
+    decoded = records.decode_value(frame, T.StructType([T.StructField("k", T.IntegerType())]), keep=["key"])
+    return decoded.select(F.col("key").cast("string").cast("long").alias("event_id"), "k")
 
 
 @query("sink_kafka_encode", """
@@ -79,7 +79,8 @@ def sink_kafka_json(spark, sf):
     ev = table(spark, sf, "events").select("user_id", F.col("event_id").alias("page_id"),
                                           F.col("event_type").alias("status"))
     frame = records.kafka_frame(ev, None, records.row_json(ev, sort_keys=False), "output_kafka")
-    return partitioning.rebalance(frame, 4).select(F.col("value").cast("string").alias("value"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return partitioning.rebalance(frame, tasks).select(F.col("value").cast("string").alias("value"))
 
 
 @query("src_generated_orders", """

@@ -82,7 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if sc is not None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        # A Spark Connect session doesn't tell where its executors are: it may be a cluster.
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -95,9 +96,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root (never machine-local on a cluster)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)

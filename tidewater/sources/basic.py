@@ -94,26 +94,33 @@ def jdbc_table(spark: SparkSession, url: str, query: str, props: dict | None = N
     return r.load()
 
 
-def jdbc_snapshots(spark: SparkSession, url: str, query: str, interval: str = "5 seconds",
-                   props: dict | None = None):
+def jdbc_snapshots(spark: SparkSession, url: str, query: str, props: dict | None = None,
+                   partition_column: str | None = None, num_partitions: int = 8):
     """Polling JDBC source (S8): the whole table re-read on every trigger.
 
-    Returns ``(ticks, snapshot)``: a rate stream that ticks every ``interval``
-    and a function to call inside ``foreachBatch`` that reads the full table.
+    Returns ``(ticks, snapshot)``: a rate stream to trigger on
+    and a function to call inside ``foreachBatch`` that reads the full table. With a numeric
+    ``partition_column`` every poll asks for its range and reads in ``num_partitions`` tasks.
     """
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
 
     def snapshot(_batch: DataFrame, batch_id: int) -> DataFrame:
-        return jdbc_table(spark, url, query, props).withColumn("poll", F.lit(batch_id))
+        bounds = None
+        if partition_column is not None:
+            ends = f"select min({partition_column}) as lo, max({partition_column}) as hi from ({query}) b"
+            bounds = tuple(jdbc_table(spark, url, ends, props).first())
+        split = {} if not bounds or bounds[0] is None else {
+            "partition_column": partition_column, "bounds": bounds, "num_partitions": num_partitions}
+        return jdbc_table(spark, url, query, props, **split).withColumn("poll", F.lit(batch_id))
     return ticks, snapshot
 
 
 def poll_jdbc(spark: SparkSession, url: str, query: str, sink, checkpoint: str, interval: str = "5 seconds",
-              props: dict | None = None):
+              props: dict | None = None, partition_column: str | None = None, num_partitions: int = 8):
     """Start the polling JDBC source (S8): every ``interval`` the whole result of
     ``query`` is read and handed to ``sink(snapshot, batch_id)``. Returns the
     running query."""
-    ticks, snapshot = jdbc_snapshots(spark, url, query, interval, props)
+    ticks, snapshot = jdbc_snapshots(spark, url, query, props, partition_column, num_partitions)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         sink(snapshot(batch, batch_id), batch_id)
