@@ -7,7 +7,8 @@ its symbols: chi-squared uniformity over the alphabet, Wald-Wolfowitz runs about
 alphabet's middle, and lag-1 serial correlation. Their statistics make one distance from
 uniform randomness: small for random keys, large for words, numbers and repeats.
 
-The null is the corpus itself. All words of every document are joined and cut into
+The null is the corpus itself without its base spans and candidates. All words of every
+document are joined and cut into
 consecutive strings of each band's length and measured the same way; their distances form
 one histogram for each band (a fixed number of cells, whatever the input). A fixed null,
 worth ``PRIOR`` strings, is added to each, so that small inputs decide by it and large
@@ -141,6 +142,19 @@ _HELD = np.array([sum((chr(b) in letters) << i for i, (_, letters, _) in enumera
 _NUMBERS = [np.array([_INDEX[name].get(chr(b), 0) for b in range(256)], np.int64) for name, _ in ALPHABETS]
 
 
+def outside(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without ``spans``: what secrets are told from must not hold them, or a corpus
+    with many would hide them all."""
+    if not spans:
+        return text
+    out, at = [], 0
+    for a, b in sorted(spans):
+        if a > at:
+            out.append(text[at:a])
+        at = max(at, b)
+    return " ".join([*out, text[at:]])
+
+
 def null_counts(texts: list[str]) -> dict[int, int]:
     """``band * CELLS + cell`` of the strings that the joined words of each whole text are
     cut into, for every band, with their counts. The last string ends where the text does."""
@@ -181,7 +195,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 bases = [base_spans(t) for t in texts]
                 found = [[(a, b, name, band_of(b - a), cell_of(d), d <= MAX_DISTANCE) for a, b, name, d in candidates(t, base)]
                          for t, base in zip(texts, bases, strict=True)]
-                cells = [list(null_counts(texts).items())] + [[]] * (len(texts) - 1)
+                plain = [outside(t, [(a, b) for a, _, b in base] + [f[:2] for f in mine]) for t, base, mine in zip(texts, bases, found, strict=True)]
+                cells = [list(null_counts(plain).items())] + [[]] * (len(texts) - 1)
                 cols = ids, [[(KINDS[k], a, b) for a, k, b in base] for base in bases], found, cells
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
