@@ -259,8 +259,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     At most ``FIT_ROWS`` rows for each label (the first by a hash of the id) of at most
     ``FIT_CHARS`` characters are read; all counting runs on Spark, and at most ``CANDIDATES``
     stems and the sample's features (four numbers a row) come to the driver. Rows with a
-    null id, text or label, or a label other than 0 and 1, teach nothing. Without toxic rows
-    the lexicon is empty and every text scores the same, below one half.
+    null id, text or label, or a label other than 0 and 1, teach nothing. With rows of one
+    kind only, or none, there is nothing to tell apart: the lexicon is empty and every text
+    scores the same, one half at most, so a filter keeps them all.
     """
     spark = docs.sparkSession
     sample = materialise(spark, _sample(docs, labels, label, id_col, text_col, train), "sample")
@@ -319,7 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     rows = (map_texts(sample, ["y"], "text", "y int, a double, b double, c double, d double", measure)
             .groupBy("y", "a", "b", "c", "d").agg(F.count("*").alias("n")).collect())
     if not n_toxic or not n_clean:
-        share = (n_toxic + 1) / (n_toxic + n_clean + 3)
+        share = min(0.5, (n_toxic + 1) / (n_toxic + n_clean + 3))
         return replace(draft, weight=(0.0,) * 4, offset=math.log(share / (1 - share)))
     x = np.array([[r["a"], r["b"], r["c"], r["d"]] for r in rows for _ in range(r["n"])])
     y = np.array([float(r["y"]) for r in rows for _ in range(r["n"])])
