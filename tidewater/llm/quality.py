@@ -108,7 +108,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     At most ``FIT_ROWS`` rows for each label, the first by a hash of the id, are taken;
     each has at most ``FIT_CHARS`` characters. Rows with a null label, id or text, or
     whose label isn't 0 or 1, train nothing; one label alone or none gives a model that
-    answers the share of label 1 for every text. An id that is repeated counts once.
+    answers the share of label 1 for every text. Of the texts of a repeated id the least counts.
     """
     marked = (labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_y"))
               .where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull()))
@@ -119,8 +119,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     few = [marked.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS) for y in (0, 1)]
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
         F.length("_text").between(1, FIT_CHARS))
-    # Bounded by 2 * FIT_ROWS * FIT_CHARS (rows that repeat an id add their own text).
-    rows = texts.join(F.broadcast(few[0].unionAll(few[1])), "_id").dropDuplicates(["_id"]).select("_id", "_y", "_text").collect()
+    # Bounded by 2 * FIT_ROWS * FIT_CHARS: one text of each id, the same one in every run.
+    rows = (texts.join(F.broadcast(few[0].unionAll(few[1])), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
+            .select("_id", "_y", "_text").collect())
     rows.sort(key=lambda r: r["_id"])
     bad, good = ([r["_text"] for r in rows if r["_y"] == y] for y in (0, 1))
     share = (len(good) + 1) / (len(good) + len(bad) + 2)
