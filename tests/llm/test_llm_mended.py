@@ -3,12 +3,14 @@
 import random
 import string
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewater.llm import quality, secrets, toxicity
+from tidewater.llm.common import HashBits
 
 WORDS = ["water", "stone", "river", "under", "garden", "people", "morning", "yellow", "between", "simple", "window", "carry", "letter", "often"]
 
@@ -91,3 +93,12 @@ def test_compression_scores_by_hand(spark):
                 assert r["difference"] == pytest.approx((b - g) / (b + g), abs=0.02)
     scored = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
     assert all((scored[i] > 0.5) == (i < 60) for i in range(120) if i != 3)
+
+
+@pytest.mark.parametrize("n", [1000, 3_000_000])
+def test_bitmaps_grow_with_their_members(spark, n):
+    members = spark.range(n).select(F.xxhash64("id").alias("h"))
+    bits = HashBits.of(members, "h")
+    assert bits.test(np.array([r["h"] for r in members.limit(5000).collect()]).view(np.uint64)).all()
+    others = np.array([r["h"] for r in spark.range(n, n + 20_000).select(F.xxhash64("id").alias("h")).collect()]).view(np.uint64)
+    assert bits.test(others).mean() < 0.1

@@ -45,29 +45,36 @@ def signed(h: np.ndarray) -> np.ndarray:
 
 
 class HashBits:
-    """A bitmap of ``1 << LOG2`` bits over hashes: a filter of fixed size (128 KB) that
-    may go to every task. It lets all members through and, the more members there are,
-    more of the others too; a join afterwards decides."""
+    """A bitmap over hashes, a filter that may go to every task. It lets all members through
+    and, at ``PER_MEMBER`` bits for each, few of the others; a join afterwards decides.
 
-    LOG2 = 20
+    Its size follows from the number of members: 2^20 bits (128 KB) at least, 2^27 (16 MB)
+    at most. Beyond that, 8 million members, it lets more of the others through: results
+    stay right, and what passes grows towards everything.
+    """
+
+    MIN_LOG2, MAX_LOG2, PER_MEMBER = 20, 27, 16
 
     def __init__(self, bits: np.ndarray):
-        self.bits = bits
+        self.bits, self.mask = bits, U64(len(bits) * 8 - 1)
 
     @classmethod
     def of(cls, df: DataFrame, col: str) -> HashBits:
-        # Buckets count from 1 and hold 32,768 positions each: at most 32 rows of 4 KB come back.
-        at = F.pmod(F.col(col), F.lit(1 << cls.LOG2)) + 1
-        rows = (df.where(F.col(col).isNotNull()).select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b"))
+        members = df.where(F.col(col).isNotNull())
+        need = max(1, members.count() * cls.PER_MEMBER - 1).bit_length()
+        log2 = min(cls.MAX_LOG2, max(cls.MIN_LOG2, need))
+        # Buckets count from 1 and hold 32,768 positions each: at most 4,096 rows of 4 KB come back.
+        at = F.pmod(F.col(col), F.lit(1 << log2)) + 1
+        rows = (members.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b"))
                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("m")).collect())
-        bits = np.zeros(1 << cls.LOG2 >> 3, dtype=np.uint8)
+        bits = np.zeros(1 << log2 >> 3, dtype=np.uint8)
         for r in rows:
             lo = (r["b"] - 1) << 12
             bits[lo:lo + 4096] = np.frombuffer(bytes(r["m"]), np.uint8)
         return cls(bits)
 
     def test(self, h: np.ndarray) -> np.ndarray:
-        at = (h & U64((1 << self.LOG2) - 1)).astype(np.int64)
+        at = (h & self.mask).astype(np.int64)
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 

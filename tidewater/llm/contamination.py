@@ -245,7 +245,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def _judge(docs: DataFrame, places: DataFrame, id_col: str, item_kind: str, window: int) -> DataFrame:
-    """``_d, _k, n_hit, items`` of the documents in ``places``. A fixed-size bitmap keeps
+    """``_d, _k, n_hit, items`` of the documents in ``places``. A bitmap sized by them keeps
     most other texts out of the join."""
     keep = HashBits.of(places, "_k")
     kind = docs.schema[id_col].dataType.simpleString()

@@ -88,7 +88,7 @@ def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, set`` of the documents in ``ids``. A fixed-size bitmap drops most others
+    """``id, set`` of the documents in ``ids``. A bitmap sized by them drops most others
     before anything is shuffled, the join drops the rest."""
     h = ids.select("id", F.xxhash64("id").alias("h"))
     keep = HashBits.of(h, "h")
