@@ -88,40 +88,100 @@ LINES = [(1, "The same long line here\nunique one in doc 1"), (2, "the  SAME lon
 
 
 def test_line_repeats_against_brute_force(spark):
-    docs = spark.createDataFrame([(i, t, "s", 1) for i, t in LINES], "doc_id long, text string, whole string, hi long")
+    docs = spark.createDataFrame([(i, t, "s", 1, "x", 2) for i, t in LINES], "doc_id long, text string, whole string, hi long, id string, at long")
     got = sorted((tuple(r) for r in lines.repeats(docs).collect()), key=repr)
     key = lambda p: (p[0] is not None, p[0] or 0, p[1])
     places = collections.defaultdict(list)
     for i, t in LINES:
-        for whole, a, b, u in lines.units_of(t):
-            places[u].append((i, a, b, whole))
+        for m in re.finditer("[^\n]+", t or ""):
+            if len(m[0].split()) >= lines.MIN_LINE_WORDS:
+                places[tuple(m[0].casefold().split())].append((i, m.start(), m.end()))
     want = []
-    gone = {(p[0], p[3]) for u, ps in places.items() if u[0] == " " for p in ps if p[:2] != min(ps, key=key)[:2]}
-    for u, ps in places.items():
+    for ps in places.values():
         first = min(ps, key=key)
-        want += [(p[0], p[1], p[2], u[0] != " ", *first[:2], len(ps)) for p in ps
-                 if p[:2] != first[:2] and (u[0] == " " or (p[0], p[3]) not in gone)]
-    assert got == sorted(want, key=repr) and any(r[3] for r in got)
+        want += [(p[0], p[1], p[2], False, *first[:2], len(ps)) for p in ps if p[:2] != first[:2]]
+    assert got == sorted(want, key=repr) and len(got) == 3
     clean = {r["doc_id"]: r["text"] for r in lines.remove(docs, lines.repeats(docs)).where("doc_id <> 7").collect()}
     assert clean[2] == "\nanother unique line" and clean[9] == "a b c\n" and clean[3] is None and clean[5] == clean[6] == "x y"
-    assert "sentence" not in clean[8] and clean[8].startswith("other start entirely.")
+    # A sentence that two lines share is a phrase, not a passage.
+    assert "A sentence of at least six words here." in clean[8]
     assert lines.repeats(docs.where("false")).collect() == []
-
-
-def test_passages_in_mid_line_are_found(spark):
-    rng = random.Random(8)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9)))
-    text = lambda n: " ".join(word() + ("." if rng.random() < 0.1 else "") for _ in range(n))
-    rows, planted = [], set()
-    for k in range(40):
-        passage = text(60)
-        for c in range(2):
-            rows.append((10 * k + c, f"{text(rng.randint(5, 40))} {passage} {text(rng.randint(5, 40))}"))
-            planted.add(10 * k + c)
-        rows.append((10 * k + 5, text(100)))
+    assert lines.remove(docs, lines.repeats(docs.where("false"))).count() == len(LINES)
+
+
+def _words(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("length", [51, 60, 200])
+def test_passages_are_found_whole(spark, length):
+    """Without punctuation, in mid line, over lines, or as a line of its own."""
+    rng = random.Random(length)
+    rows, want = [], set()
+    for k in range(80):
+        passage = _words(rng, length)
+        for c, gap in enumerate((" ", "\n", "  ")):
+            head, tail = " ".join(_words(rng, rng.randint(1, 40))), " ".join(_words(rng, rng.randint(1, 40)))
+            body = gap.join(passage).upper() if c == 1 else gap.join(passage)
+            cut = "\n" if c == 2 else " "
+            rows.append((10 * k + c, head + cut + body + cut + tail))
+            first = len(head) + 1 if c == 0 else first
+            if c:
+                want.add((10 * k + c, len(head) + 1, len(head) + 1 + len(body), True, 10 * k, first, 3))
+        rows.append((10 * k + 5, " ".join(_words(rng, 100) + passage[:20] + _words(rng, 3) + passage[22:44])))
+    got = {tuple(r) for r in lines.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {g[:4] for g in got} == {w[:4] for w in want}
+    assert got == want
+
+
+def test_passages_against_brute_force(spark):
+    """Every run of 51 words that stands earlier is met; every word that goes is in a passage that stands earlier.
+
+    The passages' parts overlap in many ways, so most have earlier, shorter matches to choose from."""
+    rng = random.Random(5)
+    pool = [_words(rng, rng.choice([15, 30, 51, 70, 130])) for _ in range(25)]
+    texts = [[w for _ in range(rng.randint(0, 5)) for w in rng.choice(pool)[rng.randint(0, 8):][:rng.randint(20, 130)] + _words(rng, rng.randint(0, 6))]
+             for _ in range(120)]
+    texts += [["x"] * 400, ["x"] * 70, ["x", "y"] * 60, _words(rng, 30_000)]
+    texts[-1] += texts[-1][:5000]
+    n, short = lines.MIN_PASSAGE, lines.REACH
+    seen, small = set(), set()
+    must, may, whole = {}, {}, collections.defaultdict(list)
+    for i, t in enumerate(texts):
+        must[i], may[i] = set(), set()
+        for at in range(len(t)):
+            w, s = tuple(t[at:at + n]), tuple(t[at:at + short])
+            if len(w) == n and w in seen:
+                must[i].update(range(at, at + n))
+                whole[i].append(set(range(at, at + n)))
+            if len(s) == short and s in small:
+                may[i].update(range(at, at + short))
+            seen.add(w)
+            small.add(s)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    gone = collections.defaultdict(set)
+    for r in lines.repeats(docs).collect():
+        t = " ".join(texts[r["doc_id"]])
+        lo = len(t[:r["start"]].split())
+        took = set(range(lo, lo + len(t[r["start"]:r["end"]].split())))
+        assert not took & gone[r["doc_id"]]
+        gone[r["doc_id"]] |= took
+    assert sum(map(len, must.values())) > 5000
+    for i in must:
+        assert gone[i] <= may[i] | must[i], i
+        assert all(w & gone[i] for w in whole[i]), i
+    left = sum(len(must[i] - gone[i]) for i in must)
+    assert left <= 0.01 * sum(map(len, must.values())), left
+
+
+def test_a_passage_in_very_many_documents(spark):
+    rng = random.Random(3)
+    passage = " ".join(_words(rng, 55))
+    rows = [(i, " ".join([*_words(rng, 9), f"head{i}", passage, f"tail{i}", *_words(rng, 9)])) for i in range(600)]
     found = lines.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    mentioned = {r["doc_id"] for r in found} | {r["kept_doc_id"] for r in found}
-    assert mentioned <= planted and len(mentioned) >= 0.95 * len(planted)
+    assert len(found) == 599 and all(rows[r["doc_id"]][1][r["start"]:r["end"]] == passage and r["kept_doc_id"] == 0 for r in found)
+    with pytest.raises(ValueError):
+        lines.repeats(spark.createDataFrame(rows[:1], "doc_id long, text string"), min_passage=20)
 
 
 # --- contamination ---

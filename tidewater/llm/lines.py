@@ -1,102 +1,362 @@
 """Line deduplication: equal normalised units across a corpus keep their first occurrence.
 
-Units are lines (or paragraphs) and, inside them, pieces: sentences, cut further after
-words picked by their own hash, so that a passage that stands in the middle of other text gives the same
-pieces wherever it stands. Each unit is normalised (case and white space), hashed to 128
-bits, and the digests are grouped globally; of every digest the occurrence that comes first
-by ``(id, offset)`` stays. Only digests, ids and offsets are shuffled, never text; the
-grouping combines on the map side, so a line that is in every document is one row a task.
+Units are of two kinds. Whole lines (or paragraphs) are equal as they stand. Passages may stand
+anywhere, inside lines or over several: anchors, the words whose hash is the smallest of every
+``WINDOW`` word groups, fall alike wherever the same text stands, and the words from one anchor to
+the first anchor at least ``REACH`` words on are a unit. Each unit is normalised (case and white
+space) and hashed to 128 bits, and the digests are grouped globally; of every digest the
+occurrence that comes first by ``(id, offset)`` stays. Matched units in a row are joined to runs,
+each run is widened word by word to the whole common passage, and passages of fewer than
+``MIN_PASSAGE`` words stay: a common phrase is no copy.
+
+A passage of ``MIN_PASSAGE`` words always holds a unit: its first window has an anchor among its
+first 12 words, and the window 25 words on, which ends within the passage, has one too. Windows
+that reach out of the passage add none between the two.
+
+Only digests, ids and offsets are shuffled for all documents; of documents with a match the text is
+read once more, for the words about the ends of runs. The grouping combines on the map side, so a
+line that is in every document is one row a task.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewater.llm.common import map_texts, materialise
+from tidewater.llm.common import U64, materialise, signed, small_batches
 
 UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+")}
-#: Shorter units always stay.
+#: Shorter lines and passages always stay.
 MIN_LINE_WORDS = 3
-MIN_PIECE_WORDS = 6
-#: One word in so many ends a piece; so does the end of a sentence.
-CUT = 12
+MIN_PASSAGE = 51
+#: Words in a group, groups in a window, words a unit has at least. A passage of
+#: ``REACH + 2 * WINDOW + GROUP - 2`` words, 51, holds a unit.
+GROUP, WINDOW, REACH = 4, 12, 25
+#: Units of one passage follow each other within a window, so they share this many words.
+SHARED = REACH - WINDOW + 1
+#: A run may lack this many words at either end: its passage would else hold one unit more.
+CONTEXT = 2 * WINDOW + GROUP
+#: Rows of units or contexts that leave a Python worker at once.
+OUT_ROWS = 8192
 _WORD = re.compile(r"\S+")
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_MASK = (1 << 64) - 1
+
+
+class _Powers:
+    """Powers of an odd base modulo 2^64 and of its inverse, as many as the longest text needs."""
+
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, 1 << 64)
+        self.up = self.down = np.ones(1, U64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (np.multiply.accumulate(np.concatenate([np.ones(1, U64), np.full(2 * n - 1, b, U64)]))
+                                  for b in self.bases)
+        return self.up[:n], self.down[:n]
+
+
+def words_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the words of ``text``, case-folded for the hash; null has none."""
+    found = [(m.start(), m.end(), xxhash.xxh3_64_intdigest(m[0].casefold().encode("utf-8", "surrogatepass")))
+             for m in _WORD.finditer(text or "")]
+    starts, ends, hashes = zip(*found, strict=True) if found else ((), (), ())
+    return np.array(starts, np.int64), np.array(ends, np.int64), np.array(hashes, U64)
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> U64(31))) * U64(0x7FB5D329728EA185)
+    return h ^ (h >> U64(29))
+
+
+def anchors(hashes: np.ndarray) -> np.ndarray:
+    """Places of the smallest word group of every window, the leftmost of equals."""
+    n = len(hashes) - GROUP + 1
+    if n < WINDOW:
+        return np.zeros(0, np.int64)
+    group = np.zeros(n, U64)
+    for k in range(GROUP):
+        group = _mix(group * U64(_BASES[0]) + hashes[k:k + n])
+    picked = np.lib.stride_tricks.sliding_window_view(group, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
+    return picked[np.diff(picked, prepend=-1) > 0]
+
+
+def spans(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of each passage unit."""
+    a = anchors(hashes)
+    to = np.searchsorted(a, a + REACH)
+    return a[to < len(a)], a[to[to < len(a)]]
+
+
+def _digests(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, powers: list[_Powers]) -> list[np.ndarray]:
+    """Two 64-bit digests of the words ``lo`` to ``hi``, from sums of all words up to each place."""
+    out = []
+    for k, p in enumerate(powers):
+        up, down = p.upto(len(hashes) + 1)
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum((_mix(hashes) if k else hashes) * up[:-1], dtype=U64)])
+        out.append(_mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(U64)))
+    return out
+
+
+def units_of(text: str | None, unit: str = "line", min_words: int = MIN_LINE_WORDS, min_passage: int = MIN_PASSAGE,
+             powers: list[_Powers] | None = None) -> list[np.ndarray]:
+    """Columns ``piece, start, end, at, words, hi, lo`` of the units of one text; ``at`` counts words."""
+    powers = powers or [_Powers(b) for b in _BASES]
+    starts, ends, hashes = words_of(text)
+    lines = np.array([m.span() for m in UNITS[unit].finditer(text or "")], np.int64).reshape(-1, 2)
+    lo, hi = np.searchsorted(starts, lines[:, 0]), np.searchsorted(starts, lines[:, 1])
+    long = hi - lo >= max(1, min_words)
+    lo, hi, lines = lo[long], hi[long], lines[long]
+    a, b = spans(hashes) if len(hashes) >= min_passage else (np.zeros(0, np.int64),) * 2
+    h, g = _digests(hashes, np.concatenate([lo, a]), np.concatenate([hi, b]), powers)
+    piece = np.arange(len(h)) >= len(lo)
+    # A line never equals a passage unit: each kind has its own rule.
+    h = h ^ np.where(piece, U64(0), U64(_BASES[1]))
+    return [piece, np.concatenate([lines[:, 0], starts[a]]), np.concatenate([lines[:, 1], ends[b - 1]]),
+            np.concatenate([lo, a]), np.concatenate([hi - lo, b - a]), signed(h), signed(g)]
+
+
+def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int, min_passage: int) -> DataFrame:
+    """``id, piece, start, end, at, words, hi, lo``: one row per unit."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    out = T.StructType([docs.schema["id"], *T._parse_datatype_string(
+        "piece boolean, start long, end long, at long, words long, hi long, lo long")])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = [_Powers(b) for b in _BASES]
+
+        def table(ids: pa.Array, owners: list, parts: list) -> pa.RecordBatch:
+            cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            ids = ids.take(pa.array(np.repeat(owners, [len(p[0]) for p in parts])))
+            return pa.RecordBatch.from_arrays([ids.cast(arrow[0].type), *map(pa.array, cols)], schema=arrow)
+
+        for batch in batches:
+            owners, parts, rows = [], [], 0
+            for i, text in enumerate(batch.column(1)):
+                cols = units_of(text.as_py(), unit, min_words, min_passage, powers)
+                for at in range(0, len(cols[0]), OUT_ROWS):
+                    parts.append([c[at:at + OUT_ROWS] for c in cols])
+                    owners.append(i)
+                    rows += len(parts[-1][0])
+                    if rows >= OUT_ROWS:
+                        yield table(batch.column(0), owners, parts)
+                        owners, parts, rows = [], [], 0
+            if parts:
+                yield table(batch.column(0), owners, parts)
+
+    return docs.mapInArrow(run, out)
+
+
+def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The words before or after places: ``id, at, after, hashes, edges``.
+
+    ``wanted`` has ``id, at, after``. ``hashes`` goes outward from the place, up to ``CONTEXT``
+    words, ``edges`` holds the offsets that a passage has which ends with each of them. A
+    document's places are at most its own words, and leave in batches."""
+    small_batches(docs.sparkSession)
+    lists = wanted.groupBy("id").agg(F.collect_set(F.when(F.col("after"), F.col("at"))).alias("right"),
+                                     F.collect_set(F.when(~F.col("after"), F.col("at"))).alias("left"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    joined = texts.join(lists, F.col("_id").eqNullSafe(F.col("id"))).select("id", "text", "left", "right")
+    out = T.StructType([wanted.schema["id"], *T._parse_datatype_string(
+        "at long, after boolean, hashes array<long>, edges array<long>")])
+    arrow = to_arrow_schema(out)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
 
-def pieces(words: list[tuple[int, int, str]]) -> Iterator[list[tuple[int, int, str]]]:
-    """``words`` (start, end, case-folded) cut after sentence ends and words picked by their hash."""
-    at = 0
-    for i, (_, _, w) in enumerate(words):
-        if w[-1] in ".!?" or zlib.crc32(w.encode("utf-8", "surrogatepass")) % CUT == 0:
-            yield words[at:i + 1]
-            at = i + 1
-    if at < len(words):
-        yield words[at:]
-
-
-def units_of(text: str | None, unit: str = "line", min_words: int = MIN_LINE_WORDS,
-             min_piece: int = MIN_PIECE_WORDS) -> Iterator[tuple[int, int, int, str]]:
-    """(whole's start, start, end, normalised text) of each unit; wholes have equal starts
-    and are marked by a leading space in their text, so they never equal a piece."""
-    for m in UNITS[unit].finditer(text or ""):
-        words = [(w.start() + m.start(), w.end() + m.start(), w[0].casefold()) for w in _WORD.finditer(m[0])]
-        if len(words) >= min_words:
-            yield m.start(), m.start(), m.end(), " " + " ".join(w[2] for w in words)
-        parts = list(pieces(words)) if len(words) > min_piece else []
-        run: list[tuple[int, int, str]] = []
-        for p in parts if len(parts) > 1 else []:
-            # Short pieces are joined until they are long enough; a long one starts the count anew.
-            run = p if len(p) >= min_piece else run + p
-            if len(run) >= min_piece:
-                yield m.start(), run[0][0], run[-1][1], " ".join(w[2] for w in run)
-                run = []
-
-
-def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int, min_piece: int) -> DataFrame:
-    """``doc_id, whole, start, end, piece, hi, lo``: one row per unit."""
-    def make():
-        def fn(doc_id, text) -> Iterator[tuple]:
-            for whole, start, end, norm in units_of(text, unit, min_words, min_piece):
-                h = xxhash.xxh3_128_intdigest(norm.encode("utf-8", "surrogatepass"))
-                yield doc_id, whole, start, end, norm[0] != " ", (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63)
-        return fn
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, [id_col], text_col,
-                     f"{id_col} {kind}, whole int, start int, end int, piece boolean, hi long, lo long", make)
+            def table(rows: list[tuple]) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+
+            for i, text, left, right in zip(*batch.columns, strict=True):
+                i, (starts, ends, hashes) = i.as_py(), words_of(text.as_py())
+                hashes = signed(hashes)
+                for after, places in ((False, left.as_py()), (True, right.as_py())):
+                    for at in places:
+                        if at > len(hashes):
+                            continue
+                        if after:
+                            rows.append((i, at, after, hashes[at:at + CONTEXT], ends[at:at + CONTEXT]))
+                        else:
+                            lo = max(0, at - CONTEXT)
+                            rows.append((i, at, after, hashes[lo:at][::-1], starts[lo:at][::-1]))
+                        if len(rows) >= OUT_ROWS:
+                            yield table(rows)
+                            rows = []
+            if rows:
+                yield table(rows)
+
+    # Rows of one id with several texts: one answer a place, the same every time.
+    found = joined.mapInArrow(run, out)
+    return found.groupBy("id", "at", "after").agg(F.min(F.struct("hashes", "edges")).alias("c")).select(
+        "id", "at", "after", "c.hashes", "c.edges")
+
+
+def windows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``id, at, to, start, end, hi, lo``: all windows of ``size`` words about the units ``wanted``, ``id, at, to``.
+
+    At most ``size - REACH + 1`` windows a unit."""
+    small_batches(docs.sparkSession)
+    lists = wanted.groupBy("id").agg(F.collect_set(F.struct("at", "to")).alias("units"))
+    lists = lists.select("id", F.transform("units", lambda u: u["at"]).alias("ats"), F.transform("units", lambda u: u["to"]).alias("tos"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    joined = texts.join(lists, F.col("_id").eqNullSafe(F.col("id"))).select("id", "text", "ats", "tos")
+    out = T.StructType([wanted.schema["id"], *T._parse_datatype_string(
+        "at long, to long, start long, end long, hi long, lo long")])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = [_Powers(b) for b in _BASES]
+        for batch in batches:
+            for row, (text, ats, tos) in enumerate(zip(*batch.columns[1:], strict=True)):
+                starts, ends, hashes = words_of(text.as_py())
+                parts = [np.arange(max(0, t - size), min(a, len(hashes) - size) + 1)
+                         for a, t in zip(ats.as_py(), tos.as_py(), strict=True)]
+                at = np.unique(np.concatenate(parts))
+                hi, lo = _digests(hashes, at, at + size, powers)
+                cols = [at, at + size, starts[at], ends[at + size - 1], signed(hi), signed(lo)]
+                for k in range(0, len(at), OUT_ROWS):
+                    part = [pa.array(c[k:k + OUT_ROWS]) for c in cols]
+                    ids = batch.column(0).take(pa.array(np.full(len(part[0]), row))).cast(arrow[0].type)
+                    yield pa.RecordBatch.from_arrays([ids, *part], schema=arrow)
+
+    return joined.mapInArrow(run, out)
+
+
+def later(units: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``units`` that aren't the first of their digest, with the place of that one."""
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("start") == F.col("kept_start"))
+    return units.join(groups, ["hi", "lo"]).where(~same).withColumn("shift", F.col("at") - F.col("kept_at")).drop("kept_at")
+
+
+def firsts(units: DataFrame) -> DataFrame:
+    """Digests that occur more than once, with their first occurrence by (id, start)."""
+    kept = units.groupBy("hi", "lo").agg(F.min(F.struct("id", "start", "at")).alias("kept"), F.count("*").alias("copies"))
+    return kept.where("copies > 1").select("hi", "lo", F.col("kept.id").alias("kept_id"), F.col("kept.start").alias("kept_start"),
+                                           F.col("kept.at").alias("kept_at"), "copies")
+
+
+#: What names one run.
+RUN = ["id", "kept_id", "shift", "run"]
+
+
+def tagged(found: DataFrame) -> DataFrame:
+    """``found`` with ``run``: matched units that overlap on one diagonal share its number."""
+    diagonal = Window.partitionBy("id", "kept_id", "shift").orderBy("at", "to")
+    before = F.max("to").over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
+    t = found.withColumn("opens", F.when(before >= F.col("at"), 0).otherwise(1))
+    return t.withColumn("run", F.sum("opens").over(diagonal.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
+
+
+def runs(tags: DataFrame) -> DataFrame:
+    return tags.groupBy(*RUN).agg(
+        F.min("at").alias("at"), F.max("to").alias("to"), F.min("start").alias("start"), F.max("end").alias("end"),
+        F.min("kept_start").alias("kept_start"), F.max("copies").alias("copies"))
+
+
+def _gain(here: str, there: str) -> Column:
+    """How many words two contexts share from their place on."""
+    n = F.least(F.size(here), F.size(there))
+    equal = F.zip_with(F.slice(here, 1, n), F.slice(there, 1, n), lambda a, b: a == b)
+    stop = F.array_position(equal, False)
+    return F.when(stop > 0, stop - 1).otherwise(n).cast("int")
+
+
+def widened(docs: DataFrame, joined: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Each run grown to its whole common passage, its first and last word in both documents."""
+    spark = docs.sparkSession
+    t = joined.withColumn("kept_at", F.col("at") - F.col("shift")).withColumn("kept_to", F.col("to") - F.col("shift"))
+    ask = [t.select(F.col(i).alias("id"), F.col(at).alias("at"), F.lit(after).alias("after"))
+           for i, at, after in (("id", "at", False), ("kept_id", "kept_at", False), ("id", "to", True), ("kept_id", "kept_to", True))]
+    wanted = ask[0].unionByName(ask[1]).unionByName(ask[2]).unionByName(ask[3]).distinct()
+    seen = materialise(spark, contexts(docs, wanted, id_col, text_col), "contexts")
+    for i, at, after, name in (("id", "at", False, "l"), ("kept_id", "kept_at", False, "kl"), ("id", "to", True, "r"), ("kept_id", "kept_to", True, "kr")):
+        side = seen.where(F.col("after") if after else ~F.col("after")).select(
+            F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("hashes").alias(name), F.col("edges").alias(name + "_edges"))
+        t = t.join(side, F.col(i).eqNullSafe(F.col("_id")) & (F.col(at) == F.col("_at"))).drop("_id", "_at")
+    t = t.withColumn("left", _gain("l", "kl")).withColumn("right", _gain("r", "kr"))
+
+    def edge(edges: str, gain: str, else_: str) -> Column:
+        return F.coalesce(F.get(edges, F.col(gain) - 1), F.col(else_))
+    return t.select(*RUN, (F.col("at") - F.col("left")).alias("at"), (F.col("to") + F.col("right")).alias("to"),
+                    edge("l_edges", "left", "start").alias("start"), edge("r_edges", "right", "end").alias("end"),
+                    edge("kl_edges", "left", "kept_start").alias("kept_start"), "copies")
+
+
+def chained(wide: DataFrame) -> DataFrame:
+    """``wide`` with ``chain`` and its ``length``: passages of one document that overlap as units of one text do."""
+    order = Window.partitionBy("id").orderBy("at", "to")
+    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    t = wide.withColumn("opens", F.when(before - F.col("at") >= F.least(F.lit(SHARED), F.col("to") - F.col("at")), 0).otherwise(1))
+    t = t.withColumn("chain", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
+    one = Window.partitionBy("id", "chain")
+    return t.withColumn("length", F.max("to").over(one) - F.min("at").over(one))
+
+
+def passages(wide: DataFrame, min_passage: int) -> DataFrame:
+    """Chains of ``min_passage`` words or more, with the place that their longest part, the earliest of equals, repeats."""
+    best = F.struct((F.col("at") - F.col("to")).alias("n"), "kept_id", "kept_start", "at")
+    t = chained(wide).where(F.col("length") >= min_passage).groupBy("id", "chain").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min(best).alias("best"), F.max("copies").alias("copies"))
+    return t.select("id", "start", "end", F.lit(True).alias("piece"), F.col("best.kept_id").alias("kept_id"),
+                    F.col("best.kept_start").alias("kept_start"), "copies")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
-            min_words: int = MIN_LINE_WORDS, min_piece: int = MIN_PIECE_WORDS) -> DataFrame:
+            min_words: int = MIN_LINE_WORDS, min_passage: int = MIN_PASSAGE) -> DataFrame:
     """The occurrences to remove: ``doc_id, start, end, piece, kept_doc_id, kept_start, copies``.
 
-    One row for every unit that isn't the first of its digest by (id, start): its place in
-    its own document (code points, end exclusive), the place of the one that stays, and how
-    many times the unit occurs. Pieces of a line that goes whole have no rows of their own, so
-    places never overlap. Wholes of fewer than ``min_words`` words and pieces of fewer than
-    ``min_piece`` always stay. Null and empty texts have no units. Ids order the corpus,
-    null first. Rows that share an id share its places: units at equal offsets of both are
-    one occurrence. An empty table gives no rows. Other columns are ignored.
+    One row for every line that isn't the first of its digest by (id, start), and, with
+    ``piece`` true, for every passage of ``min_passage`` words or more (51 at least) that stands
+    earlier too, whether in a line, a line itself or over several: its place in its own document
+    (code points, end exclusive), the place of the one that stays (of a passage put together from
+    several, of its longest part), and how often the line, or the passage's commonest unit, occurs.
+    What two rows would both cover belongs to the one that starts first, a line before a passage,
+    so places never overlap. Lines of fewer than ``min_words`` words always stay. Null and
+    empty texts have no units. Ids order the corpus, null first. Rows that share an id share
+    its places: units at equal offsets of both are one occurrence. An empty table gives no
+    rows. Other columns are ignored.
+
+    Each unit is compared with its first occurrence. Where that one's common passage is too short,
+    another may share more: then all windows of ``min_passage`` words about all occurrences of the
+    unit are compared, so every passage of that length is found. Of a longer one, words at an end
+    stay if the units there stand still earlier in another passage that stops before them.
     """
-    units = materialise(docs.sparkSession, unit_digests(docs, id_col, text_col, unit, min_words, min_piece), "units")
-    place = F.struct(F.col(id_col), F.col("start"))
-    groups = (units.groupBy("hi", "lo").agg(F.min(place).alias("kept"), F.count("*").alias("copies")).where("copies > 1")
-              .select("hi", "lo", F.col("kept").getField(id_col).alias("kept_doc_id"),
-                      F.col("kept.start").alias("kept_start"), "copies"))
+    if min_passage < MIN_PASSAGE:
+        raise ValueError(f"passages of fewer than {MIN_PASSAGE} words need not hold a unit")
+    spark = docs.sparkSession
+    units = materialise(spark, unit_digests(docs, id_col, text_col, unit, min_words, min_passage), "units")
     # As a table of its own, so that both sides of the join are plain shuffles: digests are unique
     # on the right, a hot digest only lengthens the left side, and Spark splits that.
-    groups = materialise(docs.sparkSession, groups, "groups")
-    same = F.col(id_col).eqNullSafe(F.col("kept_doc_id")) & (F.col("start") == F.col("kept_start"))
-    found = materialise(docs.sparkSession, units.join(groups, ["hi", "lo"]).where(~same).drop("hi", "lo"), "repeats")
-    lines = found.where("NOT piece").select(F.col(id_col).alias("_id"), F.col("whole").alias("_whole")).distinct()
-    inside = found.where("piece").join(lines, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("whole") == F.col("_whole")), "left_anti")
-    return found.where("NOT piece").unionByName(inside).select(id_col, "start", "end", "piece", "kept_doc_id", "kept_start", "copies")
+    groups = materialise(spark, firsts(units), "groups")
+    found = materialise(spark, later(units.withColumn("to", F.col("at") + F.col("words")).drop("words"), groups), "repeats")
+    tags = materialise(spark, tagged(found.where("piece")), "runs")
+    wide = materialise(spark, widened(docs, runs(tags), id_col, text_col), "widened")
+    short = chained(wide).where(F.col("length") < min_passage).select(*[F.col(c).alias(f"_{c}") for c in RUN])
+    open_ = tags.join(short, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in RUN]).select("hi", "lo").distinct()
+    wanted = units.where("piece").join(open_, ["hi", "lo"]).select("id", "at", (F.col("at") + F.col("words")).alias("to")).distinct()
+    exact = materialise(spark, windows(docs, wanted, id_col, text_col, min_passage), "windows")
+    more = runs(tagged(later(exact, firsts(exact))))
+    pieces = passages(wide.unionByName(more.select(wide.columns)), min_passage)
+    both = found.where("NOT piece").select(pieces.columns).unionByName(pieces)
+    order = Window.partitionBy("id").orderBy("start", "piece", "end", "kept_id", "kept_start")
+    both = both.withColumn("cut", F.greatest("start", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), "start")))
+    return both.where("cut < end").select(
+        F.col("id").alias(id_col), F.col("cut").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "piece",
+        F.col("kept_id").alias("kept_doc_id"), (F.col("kept_start") + F.col("cut") - F.col("start")).cast("int").alias("kept_start"), "copies")
 
 
 def without(text: Column, cuts: Column) -> Column:
