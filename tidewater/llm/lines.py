@@ -5,8 +5,8 @@ anywhere, inside lines or over several: anchors, the words whose hash is the sma
 ``WINDOW`` word groups, fall alike wherever the same text stands, and the words from one anchor to
 the first anchor at least ``REACH`` words on are a unit. Each unit is normalised (case and white
 space) and hashed to 128 bits, and the digests are grouped globally; of every digest the
-occurrence that comes first by ``(id, offset)`` stays. Matched units in a row are joined to runs,
-each run is widened word by word to the whole common passage, and passages of fewer than
+occurrence that comes first by ``(id, offset)`` stays. Matched units that overlap are joined to chains,
+each chain is widened word by word to the whole common passage, and passages of fewer than
 ``MIN_PASSAGE`` words stay: a common phrase is no copy.
 
 A passage of ``MIN_PASSAGE`` words always holds a unit: its first window has an anchor among its
@@ -14,7 +14,7 @@ first 12 words, and the window 25 words on, which ends within the passage, has o
 that reach out of the passage add none between the two.
 
 Only digests, ids and offsets are shuffled for all documents; of documents with a match the text is
-read once more, for the words about the ends of runs. The grouping combines on the map side, so a
+read once more, for the words about the ends of chains. The grouping combines on the map side, so a
 line that is in every document is one row a task.
 """
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +41,16 @@ MIN_PASSAGE = 51
 #: Words in a group, groups in a window, words a unit has at least. A passage of
 #: ``REACH + 2 * WINDOW + GROUP - 2`` words, 51, holds a unit.
 GROUP, WINDOW, REACH = 4, 12, 25
-#: Units of one passage follow each other within a window, so they share this many words.
-SHARED = REACH - WINDOW + 1
-#: A run may lack this many words at either end: its passage would else hold one unit more.
+#: Units of one passage start at most ``WINDOW`` words apart, so neighbours share this many words.
+SHARED = REACH - WINDOW
+#: A chain may lack this many words at either end: its passage would else hold one unit more.
 CONTEXT = 2 * WINDOW + GROUP
 #: Rows of units or contexts that leave a Python worker at once.
 OUT_ROWS = 8192
-_WORD = re.compile(r"\S+")
+#: Word hashes that a Python task keeps.
+KEPT_WORDS = 1 << 17
+#: White space by code point; there is none beyond.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
 
@@ -65,12 +69,24 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-def words_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class _Hashes(dict):
+    """Hashes of case-folded words, kept for the words met last."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.casefold().encode("utf-8", "surrogatepass"))
+        return h
+
+
+def words_of(text: str | None, seen: _Hashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, hashes) of the words of ``text``, case-folded for the hash; null has none."""
-    found = [(m.start(), m.end(), xxhash.xxh3_64_intdigest(m[0].casefold().encode("utf-8", "surrogatepass")))
-             for m in _WORD.finditer(text or "")]
-    starts, ends, hashes = zip(*found, strict=True) if found else ((), (), ())
-    return np.array(starts, np.int64), np.array(ends, np.int64), np.array(hashes, U64)
+    words = (text or "").split()
+    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.concatenate([[False], ~_SPACE[np.minimum(points, len(_SPACE) - 1)], [False]]).astype(np.int8)
+    turns = np.diff(inside)
+    look = (_Hashes() if seen is None else seen).__getitem__
+    return np.flatnonzero(turns == 1), np.flatnonzero(turns == -1), np.fromiter(map(look, words), U64, len(words))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -108,10 +124,10 @@ def _digests(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, powers: list[_P
 
 
 def units_of(text: str | None, unit: str = "line", min_words: int = MIN_LINE_WORDS, min_passage: int = MIN_PASSAGE,
-             powers: list[_Powers] | None = None) -> list[np.ndarray]:
+             powers: list[_Powers] | None = None, seen: _Hashes | None = None) -> list[np.ndarray]:
     """Columns ``piece, start, end, at, words, hi, lo`` of the units of one text; ``at`` counts words."""
     powers = powers or [_Powers(b) for b in _BASES]
-    starts, ends, hashes = words_of(text)
+    starts, ends, hashes = words_of(text, seen)
     lines = np.array([m.span() for m in UNITS[unit].finditer(text or "")], np.int64).reshape(-1, 2)
     lo, hi = np.searchsorted(starts, lines[:, 0]), np.searchsorted(starts, lines[:, 1])
     long = hi - lo >= max(1, min_words)
@@ -121,8 +137,9 @@ def units_of(text: str | None, unit: str = "line", min_words: int = MIN_LINE_WOR
     piece = np.arange(len(h)) >= len(lo)
     # A line never equals a passage unit: each kind has its own rule.
     h = h ^ np.where(piece, U64(0), U64(_BASES[1]))
-    return [piece, np.concatenate([lines[:, 0], starts[a]]), np.concatenate([lines[:, 1], ends[b - 1]]),
-            np.concatenate([lo, a]), np.concatenate([hi - lo, b - a]), signed(h), signed(g)]
+    places = [np.concatenate([lines[:, 0], starts[a]]), np.concatenate([lines[:, 1], ends[b - 1]]),
+              np.concatenate([lo, a]), np.concatenate([hi - lo, b - a])]
+    return [piece, *(p.astype(np.int32) for p in places), signed(h), signed(g)]
 
 
 def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int, min_passage: int) -> DataFrame:
@@ -130,11 +147,11 @@ def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_wor
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = T.StructType([docs.schema["id"], *T._parse_datatype_string(
-        "piece boolean, start long, end long, at long, words long, hi long, lo long")])
+        "piece boolean, start int, end int, at int, words int, hi long, lo long")])
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = [_Powers(b) for b in _BASES]
+        powers, seen = [_Powers(b) for b in _BASES], _Hashes()
 
         def table(ids: pa.Array, owners: list, parts: list) -> pa.RecordBatch:
             cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
@@ -144,7 +161,7 @@ def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_wor
         for batch in batches:
             owners, parts, rows = [], [], 0
             for i, text in enumerate(batch.column(1)):
-                cols = units_of(text.as_py(), unit, min_words, min_passage, powers)
+                cols = units_of(text.as_py(), unit, min_words, min_passage, powers, seen)
                 for at in range(0, len(cols[0]), OUT_ROWS):
                     parts.append([c[at:at + OUT_ROWS] for c in cols])
                     owners.append(i)
@@ -159,10 +176,10 @@ def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_wor
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The words before or after places: ``id, at, after, hashes, edges``.
+    """The words before or after places: ``id, at, after, hashes, edges, here``.
 
     ``wanted`` has ``id, at, after``. ``hashes`` goes outward from the place, up to ``CONTEXT``
-    words, ``edges`` holds the offsets that a passage has which ends with each of them. A
+    words in 32 bits each, ``edges`` how many more characters a passage has with each of them, ``here`` is the place's offset. A
     document's places are at most its own words, and leave in batches."""
     small_batches(docs.sparkSession)
     lists = wanted.groupBy("id").agg(F.collect_set(F.when(F.col("after"), F.col("at"))).alias("right"),
@@ -170,10 +187,11 @@ def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     joined = texts.join(lists, F.col("_id").eqNullSafe(F.col("id"))).select("id", "text", "left", "right")
     out = T.StructType([wanted.schema["id"], *T._parse_datatype_string(
-        "at long, after boolean, hashes array<long>, edges array<long>")])
+        "at int, after boolean, hashes array<int>, edges array<int>, here int")])
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Hashes()
         for batch in batches:
             rows: list[tuple] = []
 
@@ -182,17 +200,19 @@ def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
                     [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
             for i, text, left, right in zip(*batch.columns, strict=True):
-                i, (starts, ends, hashes) = i.as_py(), words_of(text.as_py())
-                hashes = signed(hashes)
+                i, (starts, ends, hashes) = i.as_py(), words_of(text.as_py(), seen)
+                hashes = (hashes >> U64(32)).astype(np.uint32).view(np.int32)
+                # Characters from one word's end to the next one's, and from its start to the last one's.
+                more, less = np.diff(ends, prepend=0).astype(np.int32), np.diff(starts, append=0).astype(np.int32)
                 for after, places in ((False, left.as_py()), (True, right.as_py())):
                     for at in places:
-                        if at > len(hashes):
+                        if at > len(hashes) - (not after):
                             continue
                         if after:
-                            rows.append((i, at, after, hashes[at:at + CONTEXT], ends[at:at + CONTEXT]))
+                            rows.append((i, at, after, hashes[at:at + CONTEXT], more[at:at + CONTEXT], int(ends[at - 1])))
                         else:
                             lo = max(0, at - CONTEXT)
-                            rows.append((i, at, after, hashes[lo:at][::-1], starts[lo:at][::-1]))
+                            rows.append((i, at, after, hashes[lo:at][::-1], less[lo:at][::-1], int(starts[at])))
                         if len(rows) >= OUT_ROWS:
                             yield table(rows)
                             rows = []
@@ -201,8 +221,8 @@ def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
 
     # Rows of one id with several texts: one answer a place, the same every time.
     found = joined.mapInArrow(run, out)
-    return found.groupBy("id", "at", "after").agg(F.min(F.struct("hashes", "edges")).alias("c")).select(
-        "id", "at", "after", "c.hashes", "c.edges")
+    return found.groupBy("id", "at", "after").agg(F.min(F.struct("hashes", "edges", "here")).alias("c")).select(
+        "id", "at", "after", "c.hashes", "c.edges", "c.here")
 
 
 def windows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -215,19 +235,19 @@ def windows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
     joined = texts.join(lists, F.col("_id").eqNullSafe(F.col("id"))).select("id", "text", "ats", "tos")
     out = T.StructType([wanted.schema["id"], *T._parse_datatype_string(
-        "at long, to long, start long, end long, hi long, lo long")])
+        "at int, to int, start int, end int, hi long, lo long")])
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = [_Powers(b) for b in _BASES]
+        powers, seen = [_Powers(b) for b in _BASES], _Hashes()
         for batch in batches:
             for row, (text, ats, tos) in enumerate(zip(*batch.columns[1:], strict=True)):
-                starts, ends, hashes = words_of(text.as_py())
+                starts, ends, hashes = words_of(text.as_py(), seen)
                 parts = [np.arange(max(0, t - size), min(a, len(hashes) - size) + 1)
                          for a, t in zip(ats.as_py(), tos.as_py(), strict=True)]
                 at = np.unique(np.concatenate(parts))
                 hi, lo = _digests(hashes, at, at + size, powers)
-                cols = [at, at + size, starts[at], ends[at + size - 1], signed(hi), signed(lo)]
+                cols = [*(c.astype(np.int32) for c in (at, at + size, starts[at], ends[at + size - 1])), signed(hi), signed(lo)]
                 for k in range(0, len(at), OUT_ROWS):
                     part = [pa.array(c[k:k + OUT_ROWS]) for c in cols]
                     ids = batch.column(0).take(pa.array(np.full(len(part[0]), row))).cast(arrow[0].type)
@@ -249,22 +269,29 @@ def firsts(units: DataFrame) -> DataFrame:
                                            F.col("kept.at").alias("kept_at"), "copies")
 
 
-#: What names one run.
-RUN = ["id", "kept_id", "shift", "run"]
-
-
-def tagged(found: DataFrame) -> DataFrame:
-    """``found`` with ``run``: matched units that overlap on one diagonal share its number."""
-    diagonal = Window.partitionBy("id", "kept_id", "shift").orderBy("at", "to")
-    before = F.max("to").over(diagonal.rowsBetween(Window.unboundedPreceding, -1))
-    t = found.withColumn("opens", F.when(before >= F.col("at"), 0).otherwise(1))
-    return t.withColumn("run", F.sum("opens").over(diagonal.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
-
-
-def runs(tags: DataFrame) -> DataFrame:
-    return tags.groupBy(*RUN).agg(
-        F.min("at").alias("at"), F.max("to").alias("to"), F.min("start").alias("start"), F.max("end").alias("end"),
-        F.min("kept_start").alias("kept_start"), F.max("copies").alias("copies"))
+def chained(found: DataFrame) -> DataFrame:
+    """``found`` with ``chain``: matched units of one document that overlap as units of one text do share its number."""
+    order = Window.partitionBy("id").orderBy("at", "to")
+    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    t = found.withColumn("opens", F.when(before - F.col("at") >= F.least(F.lit(SHARED), F.col("to") - F.col("at")), 0).otherwise(1))
+    return t.withColumn("chain", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
+
+
+def chains(links: DataFrame) -> DataFrame:
+    """One row a chain: its words and offsets, what its first and its last unit repeat, where the earliest
+    document that any of them repeats would have its first word (``early_id, early_at``), and whether all
+    its units repeat one place that nothing else repeats (``settled``)."""
+    left = F.struct("at", "kept_id", (F.col("at") - F.col("shift")).alias("kept_at"))
+    early = F.struct("kept_id", "kept_start", "shift")
+    right = F.struct("to", "kept_id", (F.col("to") - F.col("shift")).alias("kept_to"))
+    place = F.struct("kept_id", "shift")
+    t = links.groupBy("id", "chain").agg(
+        F.min(left).alias("l"), F.max(right).alias("r"), F.min("start").alias("start"), F.max("end").alias("end"),
+        F.min(early).alias("e"), F.max("copies").alias("copies"), (F.min(place) == F.max(place)).alias("one"))
+    return t.select("id", "chain", "l.at", "r.to", "start", "end", F.col("l.kept_id").alias("kept_id"), F.col("e.kept_id").alias("early_id"),
+                    F.greatest(F.col("l.at") - F.col("e.shift"), F.lit(0)).alias("early_at"), F.col("e.kept_start").alias("early_start"),
+                    F.col("l.kept_at").alias("kept_at"), F.col("r.kept_id").alias("last_id"), F.col("r.kept_to").alias("kept_to"),
+                    "copies", (F.coalesce("one", F.lit(False)) & (F.col("copies") == 2)).alias("settled"))
 
 
 def _gain(here: str, there: str) -> Column:
@@ -275,44 +302,33 @@ def _gain(here: str, there: str) -> Column:
     return F.when(stop > 0, stop - 1).otherwise(n).cast("int")
 
 
-def widened(docs: DataFrame, joined: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each run grown to its whole common passage, its first and last word in both documents."""
-    spark = docs.sparkSession
-    t = joined.withColumn("kept_at", F.col("at") - F.col("shift")).withColumn("kept_to", F.col("to") - F.col("shift"))
-    ask = [t.select(F.col(i).alias("id"), F.col(at).alias("at"), F.lit(after).alias("after"))
-           for i, at, after in (("id", "at", False), ("kept_id", "kept_at", False), ("id", "to", True), ("kept_id", "kept_to", True))]
-    wanted = ask[0].unionByName(ask[1]).unionByName(ask[2]).unionByName(ask[3]).distinct()
-    seen = materialise(spark, contexts(docs, wanted, id_col, text_col), "contexts")
-    for i, at, after, name in (("id", "at", False, "l"), ("kept_id", "kept_at", False, "kl"), ("id", "to", True, "r"), ("kept_id", "kept_to", True, "kr")):
-        side = seen.where(F.col("after") if after else ~F.col("after")).select(
-            F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("hashes").alias(name), F.col("edges").alias(name + "_edges"))
-        t = t.join(side, F.col(i).eqNullSafe(F.col("_id")) & (F.col(at) == F.col("_at"))).drop("_id", "_at")
-    t = t.withColumn("left", _gain("l", "kl")).withColumn("right", _gain("r", "kr"))
-
-    def edge(edges: str, gain: str, else_: str) -> Column:
-        return F.coalesce(F.get(edges, F.col(gain) - 1), F.col(else_))
-    return t.select(*RUN, (F.col("at") - F.col("left")).alias("at"), (F.col("to") + F.col("right")).alias("to"),
-                    edge("l_edges", "left", "start").alias("start"), edge("r_edges", "right", "end").alias("end"),
-                    edge("kl_edges", "left", "kept_start").alias("kept_start"), "copies")
-
+def _chars(edges: str, gain: str) -> Column:
+    return F.aggregate(F.slice(edges, F.lit(1), F.col(gain)), F.lit(0), lambda a, b: a + b)
 
-def chained(wide: DataFrame) -> DataFrame:
-    """``wide`` with ``chain`` and its ``length``: passages of one document that overlap as units of one text do."""
-    order = Window.partitionBy("id").orderBy("at", "to")
-    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    t = wide.withColumn("opens", F.when(before - F.col("at") >= F.least(F.lit(SHARED), F.col("to") - F.col("at")), 0).otherwise(1))
-    t = t.withColumn("chain", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
-    one = Window.partitionBy("id", "chain")
-    return t.withColumn("length", F.max("to").over(one) - F.min("at").over(one))
 
-
-def passages(wide: DataFrame, min_passage: int) -> DataFrame:
-    """Chains of ``min_passage`` words or more, with the place that their longest part, the earliest of equals, repeats."""
-    best = F.struct((F.col("at") - F.col("to")).alias("n"), "kept_id", "kept_start", "at")
-    t = chained(wide).where(F.col("length") >= min_passage).groupBy("id", "chain").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.min(best).alias("best"), F.max("copies").alias("copies"))
-    return t.select("id", "start", "end", F.lit(True).alias("piece"), F.col("best.kept_id").alias("kept_id"),
-                    F.col("best.kept_start").alias("kept_start"), "copies")
+def widened(docs: DataFrame, t: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Each chain grown at its two ends as far as the words there are the same in both documents."""
+    sides = (("id", "at", False, "l"), ("kept_id", "kept_at", False, "kl"), ("early_id", "early_at", False, "el"),
+             ("id", "to", True, "r"), ("last_id", "kept_to", True, "kr"))
+    ask = [t.select(F.col(i).alias("id"), F.col(at).alias("at"), F.lit(after).alias("after")) for i, at, after, _ in sides]
+    wanted = reduce(DataFrame.unionByName, ask).distinct()
+    seen = materialise(docs.sparkSession, contexts(docs, wanted, id_col, text_col), "contexts")
+    for i, at, after, name in sides:
+        side = seen.where(F.col("after") if after else ~F.col("after")).select(
+            F.col("id").alias("_id"), F.col("at").alias("_at"), F.col("hashes").alias(name), F.col("edges").alias(name + "_edges"),
+            F.col("here").alias(name + "_here"))
+        side = side.drop("kl_edges", "kr_edges", "el", "l_here", "kl_here", "r_here", "kr_here")
+        # A document of another text under an equal id may lack the earliest place; the unit's own start stands in.
+        t = t.join(side, F.col(i).eqNullSafe(F.col("_id")) & (F.col(at) == F.col("_at")), "left" if name == "el" else "inner").drop("_id", "_at")
+        if name == "kl":
+            t = t.withColumn("left", _gain("l", "kl")).withColumn("down", _chars("l_edges", "left")).drop("l", "kl", "l_edges")
+        if name == "el":
+            begins = F.coalesce(F.col("el_here") - _chars("el_edges", "left"), F.col("early_start"))
+            t = t.withColumn("kept_start", begins).drop("el_here", "el_edges")
+    t = t.withColumn("right", _gain("r", "kr"))
+    return t.select("id", "chain", (F.col("at") - F.col("left")).alias("at"), (F.col("to") + F.col("right")).alias("to"),
+                    (F.col("start") - F.col("down")).alias("start"), (F.col("end") + _chars("r_edges", "right")).alias("end"),
+                    F.col("early_id").alias("kept_id"), "kept_start", "copies", "settled")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line",
@@ -323,16 +339,16 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uni
     ``piece`` true, for every passage of ``min_passage`` words or more (51 at least) that stands
     earlier too, whether in a line, a line itself or over several: its place in its own document
     (code points, end exclusive), the place of the one that stays (of a passage put together from
-    several, of its longest part), and how often the line, or the passage's commonest unit, occurs.
+    several, where its earliest part's document has its first word), and how often the line, or the passage's commonest unit, occurs.
     What two rows would both cover belongs to the one that starts first, a line before a passage,
     so places never overlap. Lines of fewer than ``min_words`` words always stay. Null and
     empty texts have no units. Ids order the corpus, null first. Rows that share an id share
     its places: units at equal offsets of both are one occurrence. An empty table gives no
     rows. Other columns are ignored.
 
-    Each unit is compared with its first occurrence. Where that one's common passage is too short,
+    Each unit is compared with its first occurrence. Where what comes of it is too short,
     another may share more: then all windows of ``min_passage`` words about all occurrences of the
-    unit are compared, so every passage of that length is found. Of a longer one, words at an end
+    units are compared, so every passage of that length is found. Of a longer one, words at an end
     stay if the units there stand still earlier in another passage that stops before them.
     """
     if min_passage < MIN_PASSAGE:
@@ -343,16 +359,18 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uni
     # on the right, a hot digest only lengthens the left side, and Spark splits that.
     groups = materialise(spark, firsts(units), "groups")
     found = materialise(spark, later(units.withColumn("to", F.col("at") + F.col("words")).drop("words"), groups), "repeats")
-    tags = materialise(spark, tagged(found.where("piece")), "runs")
-    wide = materialise(spark, widened(docs, runs(tags), id_col, text_col), "widened")
-    short = chained(wide).where(F.col("length") < min_passage).select(*[F.col(c).alias(f"_{c}") for c in RUN])
-    open_ = tags.join(short, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in RUN]).select("hi", "lo").distinct()
+    links = materialise(spark, chained(found.where("piece")), "links")
+    wide = materialise(spark, widened(docs, chains(links), id_col, text_col), "widened")
+    short = wide.where((F.col("to") - F.col("at") < min_passage) & ~F.col("settled")).select(F.col("id").alias("_id"), F.col("chain").alias("_chain"))
+    open_ = links.join(short, F.col("id").eqNullSafe(F.col("_id")) & (F.col("chain") == F.col("_chain"))).select("hi", "lo").distinct()
     wanted = units.where("piece").join(open_, ["hi", "lo"]).select("id", "at", (F.col("at") + F.col("words")).alias("to")).distinct()
     exact = materialise(spark, windows(docs, wanted, id_col, text_col, min_passage), "windows")
-    more = runs(tagged(later(exact, firsts(exact))))
-    pieces = passages(wide.unionByName(more.select(wide.columns)), min_passage)
+    more = chains(chained(later(exact, firsts(exact))))
+    cols = ["id", "start", "end", F.lit(True).alias("piece"), "kept_id", "kept_start", "copies"]
+    more = more.withColumn("kept_id", F.col("early_id")).withColumn("kept_start", F.col("early_start"))
+    pieces = wide.where(F.col("to") - F.col("at") >= min_passage).select(cols).unionByName(more.select(cols))
     both = found.where("NOT piece").select(pieces.columns).unionByName(pieces)
-    order = Window.partitionBy("id").orderBy("start", "piece", "end", "kept_id", "kept_start")
+    order = Window.partitionBy("id").orderBy("start", "piece", F.desc("end"), "kept_id", "kept_start")
     both = both.withColumn("cut", F.greatest("start", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), "start")))
     return both.where("cut < end").select(
         F.col("id").alias(id_col), F.col("cut").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "piece",
