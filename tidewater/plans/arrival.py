@@ -14,7 +14,7 @@ from tidewater.streaming.recovery import IdempotentBatchSink
 #: A stream has at least this many slices, so that state is carried between micro-batches.
 MIN_SLICES = 4
 ROWS_PER_SLICE = 1_000_000_000
-ROWS_PER_FILE = 2_000_000
+ROWS_PER_FILE = 250_000
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -26,7 +26,7 @@ def write_slices(df: DataFrame, path: str, seq: str, rows_per_slice: int = ROWS_
     """Write ``df`` as it would arrive: consecutive ranges of ``seq``, one after the other.
 
     The number of slices (``min_slices`` at least) and of files in a slice follow from the number of rows. Returns the
-    files of a slice: read with ``maxFilesPerTrigger`` at that, a micro-batch is one slice.
+    files of a slice, the same for all: read with ``maxFilesPerTrigger`` at that, a micro-batch is one slice.
     """
     lo, hi, n = df.agg(F.min(seq), F.max(seq), F.count(F.lit(1))).first()
     if n == 0:
@@ -37,7 +37,11 @@ def write_slices(df: DataFrame, path: str, seq: str, rows_per_slice: int = ROWS_
     step = (hi - lo) // slices + 1
     for i in range(slices):
         part = df.where((F.col(seq) >= lo + i * step) & (F.col(seq) < lo + (i + 1) * step))
-        part.repartition(files).write.mode("overwrite").parquet(f"{path}/slice={i:06d}")
+        to = f"{path}/slice={i:06d}"
+        part.repartition(files).write.mode("overwrite").parquet(to)
+        # a slice with few rows has fewer files: empty ones keep a micro-batch within one slice
+        for _ in range(files - len(df.sparkSession.read.schema(df.schema).parquet(to).inputFiles())):
+            part.limit(0).write.mode("append").parquet(to)
     return files
 
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 import bisect
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -48,7 +49,61 @@ def type_of(df: DataFrame, col: str) -> str:
 
 
 #: Values of the sequence column in one block: a key's rows of a micro-batch are dealt to tasks by block.
-BLOCK = 1 << 16
+BLOCK = 1 << 18
+#: Buckets of keys. A call to the state costs far more than a row, so the keys of a bucket share one state value, one
+#: visit a batch and one packed row in and out. Fixed for the life of a checkpoint.
+BUCKETS = 128
+
+
+def bucket(n: int, *cols: Column | str) -> Column:
+    return F.pmod(F.xxhash64(*cols), F.lit(n))
+
+
+def pack(table: pa.Table) -> bytes:
+    """Rows as one binary value (an Arrow stream)."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
+
+
+def unpack(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def tuples(table: pa.Table) -> Iterator[tuple]:
+    return zip(*[c.to_pylist() for c in table.columns], strict=True)
+
+
+def as_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(_parse_datatype_string(ddl))
+
+
+def packed_by(df: DataFrame, buckets: int, by: Sequence[Column | str]) -> DataFrame:
+    """``_bucket, _rows``: the rows of each bucket of a micro-batch, packed. ``by`` are the columns that deal them."""
+    def one(key: tuple, table: pa.Table) -> pa.Table:
+        rows = pack(table.drop_columns(["_bucket"]))
+        return pa.table({"_bucket": pa.array([key[0].as_py()], pa.int64()), "_rows": pa.array([rows], pa.binary())})
+    return df.withColumn("_bucket", bucket(buckets, *by)).groupBy("_bucket").applyInArrow(one, "_bucket bigint, _rows binary")
+
+
+def unpacked(df: DataFrame, schema: str) -> DataFrame:
+    """The rows packed in ``_rows``, of the columns ``schema``."""
+    def rows(batches):
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                yield from unpack(data).cast(arrow).to_batches(max_chunksize=MAX_ROWS)
+    arrow = arrow_schema(schema)
+    return df.select("_rows").mapInArrow(rows, schema)
+
+
+#: Rows in one Arrow batch of what was packed.
+MAX_ROWS = 1 << 14
 
 
 def _merge(how: str, a, b):
@@ -58,126 +113,93 @@ def _merge(how: str, a, b):
     return max(a, b) if how == "max" else min(a, b) if how == "min" else a + b
 
 
+def _nulls_first(v) -> tuple:
+    return v is not None, v
+
+
 class KeyCarry(StatefulProcessor):
-    """The small second level: what a key has before each of its blocks.
+    """The small second level: what each key of a bucket has before each of its blocks.
 
-    Input: for every part of a block a row with its number of rows ``_n`` and their aggregate ``_acc``, and its last ``keep``
-    rows with :data:`TAIL` as ``_n``. Output: for each block of the batch the same over all rows before
-    it. State: these for the key so far.
+    Input: for every block of the batch one row with what each key has in it, packed: its number of rows, their aggregate
+    and its last ``keep`` rows. Output: for each of these blocks the same over all rows before it. State: these for
+    the bucket's keys so far, packed, read and written once a batch.
     """
 
-    def __init__(self, how: str, keep: int, state: str):
-        self.how, self.keep, self.state = how, keep, state
+    def __init__(self, how: str, keep: int, parts: pa.Schema):
+        self.how, self.keep, self.parts = how, keep, parts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.before = handle.getValueState("before", self.state)
+        self.before = handle.getValueState("before", "keys binary")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
-        blocks: dict[int, list] = {}
-        for r in rows:
-            part = blocks.setdefault(r["_block"], [0, None, []])
-            if r["_n"] == TAIL:
-                part[2].append((r["_seq"], r["_value"]))
-            else:
-                part[0] += r["_n"]
-                part[1] = _merge(self.how, part[1], r["_acc"])
         known = self.before.get()
-        n, acc, tail = (0, None, []) if known is None else (known[0], known[1], [tuple(t) for t in known[2]])
-        for block in sorted(blocks):
-            yield Row(_key=key[0], _block=block, _n=n, _acc=acc, _seq=None, _value=None)
-            for seq, value in tail:
-                yield Row(_key=key[0], _block=block, _n=TAIL, _acc=None, _seq=seq, _value=value)
-            more, part, last = blocks[block]
-            # rows of earlier batches come first, whatever their sequence numbers
-            tail = [*tail, *sorted(last, key=lambda t: t[0])[-self.keep:]][-self.keep:] if self.keep else []
-            n, acc = n + more, _merge(self.how, acc, part)
-        self.before.update((n, acc, tail))
+        before = {} if known is None else {k: (n, acc, tail) for k, n, acc, tail in tuples(unpack(known[0]))}
+        for block, parts in sorted(((r["_block"], r["_carry"]) for r in rows), key=lambda r: _nulls_first(r[0])):
+            carry = []
+            for k, more, part, last in tuples(unpack(parts)):
+                n, acc, tail = before.get(k, (0, None, []))
+                carry.append((k, n, acc, tail))
+                # rows of earlier batches come first, whatever their sequence numbers
+                before[k] = n + more, _merge(self.how, acc, part), [*tail, *last][-self.keep:] if self.keep else []
+            yield Row(_bucket=key[0], _block=block, _carry=pack(as_table(carry, self.parts)))
+        self.before.update((pack(as_table([(k, *b) for k, b in before.items()], self.parts)),))
 
     def close(self) -> None:
         pass
 
 
-def _two_level(df: DataFrame, key: str, seq: str, value: str | None, how: str, keep: int, block: int, fold, out: str) -> DataFrame:
-    """Rows of ``df`` through ``fold``, in the order of ``seq`` within a key, without a hot task.
+def _two_level(df: DataFrame, key: str | None, seq: str, value: str | None, how: str, keep: int, block: int, fold, out: str,
+               also: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+    """Rows of ``df`` through ``fold``, in the order of ``seq`` within a key (None: all rows), without a hot task.
 
-    1. Every input task adds up its rows by (key, block of the sequence).
-    2. :class:`KeyCarry`, keyed state, turns these few rows into what each block begins with.
-    3. Rows and carries meet by (key, block): ``fold(key, carry, rows)`` yields output tuples of the
-       schema ``out``. A task holds its share of one micro-batch.
+    1. Rows meet by (block of the sequence, bucket of the key) and are added up by key.
+    2. :class:`KeyCarry`, keyed state, turns these few parts into what each block begins with.
+    3. Rows and carries meet by (block, bucket): ``fold(key, carry, rows)`` takes rows ``seq, value, *also`` and
+       yields output tuples of the schema ``out``. A task holds the rows of one block and bucket at a time.
     """
     value_type = "bigint" if value is None else type_of(df, value)
     acc_type = {"count": "bigint", "sum": sum_type(value_type)}.get(how, value_type)
-    base = df.select(F.col(key).alias("_key"), F.floor(F.col(seq) / F.lit(block)).cast("long").alias("_block"), F.col(seq).alias("_seq"),
-                     (F.lit(1).cast("long") if value is None else F.col(value)).alias("_value"))
-    key_type, seq_type = type_of(base, "_key"), type_of(base, "_seq")
-    part = f"_key {key_type}, _block bigint, _n bigint, _acc {acc_type}, _seq {seq_type}, _value {value_type}"
-
-    def partial(batches):
-        parts: dict[tuple, list] = {}
-        for batch in batches:
-            for k, b, s, v in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                p = parts.setdefault((k, b), [0, None, []])
-                p[0] += 1
-                p[1] = _merge(how, p[1], v)
-                if keep:
-                    p[2].append((s, v))
-                    if len(p[2]) > 2 * keep + 64:
-                        p[2] = sorted(p[2], key=lambda t: t[0])[-keep:]
-            if len(parts) > MAX_PARTS:
-                yield _arrow(_part_rows(parts, keep), arrow_part)
-                parts = {}
-        if parts:
-            yield _arrow(_part_rows(parts, keep), arrow_part)
-
-    def finish(batches):
-        groups: dict[tuple, list] = {}
-        for batch in batches:
-            for k, b, n, acc, s, v in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                g = groups.setdefault((k, b), [0, None, [], []])
-                if n is None:
-                    g[3].append((s, v))
-                elif n == TAIL:
-                    g[2].append((s, v))
-                else:
-                    g[0], g[1] = n, acc
-        rows: list[tuple] = []
-        for (k, _), (n, acc, tail, mine) in groups.items():
-            mine.sort(key=lambda r: r[0])
-            rows.extend(fold(k, (n, acc, sorted(tail, key=lambda t: t[0])), mine))
-            if len(rows) > MAX_PARTS:
-                yield _arrow(rows, arrow_out)
-                rows = []
-        if rows:
-            yield _arrow(rows, arrow_out)
-    arrow_part, arrow_out = (to_arrow_schema(_parse_datatype_string(x)) for x in (part, out))
-    parts = base.mapInArrow(partial, part)
-    carries = parts.groupBy("_key").transformWithState(
-        KeyCarry(how, keep, f"n bigint, acc {acc_type}, tail array<struct<seq:{seq_type},value:{value_type}>>"), part, "Append", "None")
-    empty = [F.lit(None).cast(t).alias(c) for c, t in (("_n", "bigint"), ("_acc", acc_type))]
-    both = base.select("_key", "_block", *empty, "_seq", "_value").unionByName(carries)
-    return both.repartition("_key", "_block").mapInArrow(finish, out)
-
-
-def _part_rows(parts: dict, keep: int) -> list[tuple]:
-    out = []
-    for at, (n, acc, tail) in parts.items():
-        out.append((*at, n, acc, None, None))
-        out += [(*at, TAIL, None, *t) for t in (sorted(tail, key=lambda t: t[0])[-keep:] if keep else [])]
-    return out
-
-
-#: Marks a row that is one of a block's last rows, not a part's sum.
-TAIL = -1
-#: Rows a task gathers before it sends them on.
-MAX_PARTS = 1 << 14
-
-
-def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    base = df.select((F.lit(0) if key is None else F.col(key)).alias("_key"), F.floor(F.col(seq) / F.lit(block)).cast("long").alias("_block"),
+                     F.col(seq).alias("_seq"), (F.lit(1).cast("long") if value is None else F.col(value)).alias("_value"), *also)
+    base = base.withColumn("_bucket", bucket(buckets, "_key"))
+    parts = (f"key {type_of(base, '_key')}, n bigint, acc {acc_type}, "
+             f"tail array<struct<seq:{type_of(base, '_seq')},value:{value_type}>>")
+    packed = "_bucket bigint, _block bigint, _carry binary"
+
+    def in_order(table: pa.Table) -> pa.Table:
+        return table.take(pc.sort_indices(table, [("_seq", "ascending")], null_placement="at_start"))
+
+    def partial(at: tuple, table: pa.Table) -> pa.Table:
+        found: dict = {}
+        for k, s, v in tuples(in_order(table).select(["_key", "_seq", "_value"])):
+            p = found.get(k)
+            if p is None:
+                p = found[k] = [0, None, []]
+            p[0] += 1
+            p[1] = _merge(how, p[1], v)
+            if keep:
+                p[2].append((s, v))
+        rows = [(k, n, acc, [{"seq": s, "value": v} for s, v in tail[-keep:]] if keep else []) for k, (n, acc, tail) in found.items()]
+        return as_table([(at[1].as_py(), at[0].as_py(), pack(as_table(rows, arrow_parts)))], arrow_packed)
+
+    def finish(table: pa.Table) -> pa.Table:
+        carries, groups = table.filter(pc.is_valid(table["_carry"])), {}
+        for data in carries["_carry"].to_pylist():
+            for k, n, acc, tail in tuples(unpack(data)):
+                groups[k] = (n, acc, [(t["seq"], t["value"]) for t in tail]), []
+        rows = in_order(table.filter(pc.is_null(table["_carry"])))
+        for k, *row in tuples(rows.select(["_key", "_seq", "_value", *also])):
+            groups[k][1].append(row)
+        return as_table([r for k, (carry, mine) in groups.items() for r in fold(k, carry, mine)], arrow_out)
+    arrow_parts, arrow_packed, arrow_out = (arrow_schema(x) for x in (parts, packed, out))
+    sums = base.drop(*also).groupBy("_block", "_bucket").applyInArrow(partial, packed)
+    carries = sums.groupBy("_bucket").transformWithState(KeyCarry(how, keep, arrow_parts), packed, "Append", "None")
+    both = base.withColumn("_carry", F.lit(None).cast("binary")).unionByName(carries, allowMissingColumns=True)
+    return both.groupBy("_block", "_bucket").applyInArrow(finish, out)
 
 
 def running_stream(df: DataFrame, key: str, seq: str, value: str | None, how: str = "sum",
-                   changelog: bool = False, block: int = BLOCK) -> DataFrame:
+                   changelog: bool = False, block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
     """Per-record running ``sum``/``max``/``min``/``count`` of a key (A2, A5), or its retract changelog
     (C1): ``(false, old)`` then ``(true, new)`` per record; output mode ``append``.
 
@@ -199,11 +221,24 @@ def running_stream(df: DataFrame, key: str, seq: str, value: str | None, how: st
                 yield n, 0, False, at, old
             yield n, 1, True, at, cur
     out = f"{s}, change_seq int, flag boolean, {k}, result {result}" if changelog else f"{k}, {s}, value {value_type}, result {result}"
-    return _two_level(df, key, seq, value, how, 0, block, fold, out)
+    return _two_level(df, key, seq, value, how, 0, block, fold, out, buckets=buckets)
+
+
+def running_over_all(df: DataFrame, seq: str, value: str, how: str, out: str, also: Sequence[str] = (), block: int = BLOCK // 4) -> DataFrame:
+    """The running aggregate over all rows of the stream: ``seq, value, out`` and the columns ``also``."""
+    def fold(_, carry, rows):
+        cur = carry[1]
+        for n, v, *rest in rows:
+            cur = _merge(how, cur, v)
+            yield n, v, cur, *rest
+    value_type = type_of(df, value)
+    result = sum_type(value_type) if how == "sum" else value_type
+    schema = ", ".join([f"{seq} {type_of(df, seq)}", f"{value} {value_type}", f"{out} {result}", *(f"{c} {type_of(df, c)}" for c in also)])
+    return _two_level(df.select(seq, value, *also), None, seq, value, how, 0, block, fold, schema, also, buckets=1)
 
 
 def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int, slide: int | None = None,
-                        block: int = BLOCK) -> DataFrame:
+                        block: int = BLOCK, buckets: int = BUCKETS) -> DataFrame:
     """``countWindow(size)`` and ``countWindow(size, slide)`` per key.
 
     Tumbling (``slide is None``): a row for every full ``size`` rows. Sliding: on every ``slide``-th row the sum of
@@ -221,7 +256,7 @@ def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int
                 known = [x for x in last if x is not None]
                 yield at, n, sum(known[1:], known[0]) if known else None
     out = f"{key} {type_of(df, key)}, fire_at bigint, value_sum {sum_type(type_of(df, value))}"
-    return _two_level(df, key, seq, value, "sum", size - 1, block, fold, out)
+    return _two_level(df, key, seq, value, "sum", size - 1, block, fold, out, buckets=buckets)
 
 
 #: Pending orders kept in one state value; a user with more keeps the rest in runs of this length.
