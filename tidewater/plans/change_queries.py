@@ -134,29 +134,9 @@ def late_refire(spark, sf):
     return lateness.refire(rows, ["user_id"], "event_id", "value", block_size=blocks)
 
 
-#: Arrival slices of the late-row streams: the watermark moves once a slice.
+#: Arrival slices of the late-row streams.
 LATE_SLICES = 6
 
-_LATE_STREAM_SQL = f"""
-with j as (
-  select event_id, user_id, cast(value as decimal(18,2)) as v, value,
-         ts - to_minutes(cast(((event_id * 7919) % 20) * 6 as bigint)) as event_time
-  from events),
-b as (select min(event_id) as lo, (max(event_id) - min(event_id)) // {LATE_SLICES} + 1 as step from events),
-s as (select j.*, (event_id - lo) // step as slice, time_bucket(interval '1 hour', event_time, timestamp '1970-01-01') as window_start from j, b),
-m as (select slice, max(max(event_time)) over (order by slice rows between unbounded preceding and 1 preceding) - interval '30 minutes' as mark
-      from s group by slice),
-c as (select s.*, window_start + interval '1 hour' as window_end,
-             case when mark is null or mark < window_start + interval '1 hour' then 'on_time'
-                  when mark < window_start + interval '90 minutes' then 'late' else 'too_late' end as lateness
-      from s join m using (slice)),
-ontime as (select user_id, window_start, window_end, sum(v) as s from c where lateness = 'on_time' group by all),
-late as (
-  select user_id, window_start, window_end, event_id, row_number() over w as fire_no, sum(v) over w as cs
-  from c where lateness = 'late'
-  window w as (partition by user_id, window_start order by event_id rows between unbounded preceding and current row))
-"""
-
 
 def _late_stream(spark, sf, name: str):
     """The disorder fixture through :class:`LateWindows`, to the end of the input: the tagged output."""
@@ -166,22 +146,14 @@ def _late_stream(spark, sf, name: str):
                       name, min_slices=LATE_SLICES, ends="event_time")
 
 
-@query("stream_late_refire", _LATE_STREAM_SQL + """
-select user_id, window_start, window_end, cast(0 as bigint) as fire_no, cast(null as bigint) as trigger_id,
-       cast(s as double) as value_sum from ontime
-union all
-select l.user_id, l.window_start, l.window_end, l.fire_no, l.event_id as trigger_id,
-       cast(coalesce(o.s, 0) + l.cs as double) as value_sum
-from late l left join ontime o on l.user_id = o.user_id and l.window_start = o.window_start
-""")
+@query("stream_late_refire", _LATE_REFIRE_SQL)
 def stream_late_refire(spark, sf):
     """Allowed lateness in a stream: firings and re-firings from keyed state and timers. The
-    watermark is Spark's, which moves between micro-batches, so the SQL takes a row's
-    watermark from the arrival slices before its own."""
+    watermark moves with every row, so the result is the batch query's, however the rows are sliced."""
     return late_windows.firings(_late_stream(spark, sf, "late-windows"), ["user_id"], WINDOW_S)
 
 
-@query("stream_late_side_output", _LATE_STREAM_SQL + """
+@query("stream_late_side_output", JITTER_SQL + """
 select event_id, user_id, event_time, value from c where lateness = 'too_late'
 """)
 def stream_late_side_output(spark, sf):
