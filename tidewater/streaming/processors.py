@@ -9,6 +9,7 @@ provider, set in :mod:`tidewater.session`) and is checkpointed with the query.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 import sys
 from collections.abc import Iterator, Sequence
@@ -259,8 +260,10 @@ def count_window_stream(df: DataFrame, key: str, seq: str, value: str, size: int
     return _two_level(df, key, seq, value, "sum", size - 1, block, fold, out, buckets=buckets)
 
 
-#: Pending orders kept in one state value; a user with more keeps the rest in runs of this length.
+#: Pending orders kept in one state value; a key with more keeps the rest in runs of this length.
 RUN_ORDERS = 512
+#: Buckets of users: their pending orders share one timer, one head and one visit a batch.
+USER_BUCKETS = 1024
 
 
 class OrderTimeout(StatefulProcessor):
@@ -271,21 +274,24 @@ class OrderTimeout(StatefulProcessor):
     deadline of a cleared order still counts as one. In event-time mode the watermark is the clock.
     Output: ``user_id, order_id, action, action_ms`` (the deadline).
 
+    A key is one user, or with ``user`` a bucket of users, whose rows name theirs in that column.
     State: one value with the next deadline, up to ``RUN_ORDERS`` pending orders, and an index of the runs;
     the runs are map state, each sorted by deadline. One timer stands at the next deadline, and
     what is due is served by whichever timer of a batch comes first. A run is read when
-    its first deadline has come, or a reviewed order in it can be cleared: each order
-    is read a bounded number of times, however many the user has.
+    its first deadline has come, or a reviewed order in it may be cleared: each order of a user
+    is read a bounded number of times, however many the user has, and in a bucket once for each of its timers at most.
     """
 
-    def __init__(self, order: str, created_ms: str, reviewed: str, interval_ms: int, order_type: str = "string", event_time: bool = True):
+    def __init__(self, order: str, created_ms: str, reviewed: str, interval_ms: int, order_type: str = "string", event_time: bool = True,
+                 user: str | None = None, user_type: str = "string"):
+        self.user, self.user_type = user, user_type
         self.order, self.created, self.reviewed, self.interval = order, created_ms, reviewed, interval_ms
         self.order_type, self.event_time = order_type, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        # an order: (id, created, reviewed, cleared); a run: (number, first deadline, first reviewed order's creation)
-        orders = f"array<struct<id:{self.order_type},created:bigint,reviewed:boolean,cleared:boolean>>"
+        # an order: (id, created, reviewed, cleared, user); a run: (number, first deadline, first reviewed order's creation)
+        orders = f"array<struct<id:{self.order_type},created:bigint,reviewed:boolean,cleared:boolean,user:{self.user_type}>>"
         self.head = handle.getValueState("head", (
             f"due bigint, orders {orders}, runs array<struct<run:bigint,first:bigint,reviewed:bigint>>, next bigint"))
         self.runs = handle.getMapState("runs", "run bigint", f"orders {orders}")
@@ -319,49 +325,59 @@ class OrderTimeout(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
         head, now = self._load(), self._now(timerValues)
-        head[1] += [(r[self.order], r[self.created], bool(r[self.reviewed]), False) for r in rows]
+        head[1] += [(r[self.order], r[self.created], bool(r[self.reviewed]), False, None if self.user is None else r[self.user]) for r in rows]
         if head[0] is not None and head[0] <= now:  # serve the timer of this batch here: one visit fewer
             self.handle.deleteTimer(head[0])
             yield from self._advance(key, head, now)
         self._store(head)
 
-    def _serve(self, orders: list[tuple], times: list[int], now: int) -> tuple[list[tuple], list[tuple]]:
-        """(orders that stay, actions) at the deadlines ``times``, all of them up to ``now``."""
+    def _serve(self, orders: list[tuple], times: dict, now: int) -> tuple[list[tuple], list[tuple]]:
+        """(orders that stay, actions) at the users' deadlines ``times``, all of them up to ``now``."""
         stay, done = [], []
         for o in orders:
-            order_id, created, reviewed, cleared = o
+            order_id, created, reviewed, cleared, user = o
             deadline = created + self.interval
             if reviewed and not cleared:
-                at = bisect.bisect_left(times, created)  # placed by then
-                if at < len(times):
-                    done.append((order_id, "already_reviewed", times[at]))
-                    o = (order_id, created, True, True)
+                due = times.get(user, ())
+                at = bisect.bisect_left(due, created)  # placed by then
+                if at < len(due):
+                    done.append((order_id, "already_reviewed", due[at], user))
+                    o = (order_id, created, True, True, user)
             if deadline > now:
                 stay.append(o)
             elif not reviewed:
-                done.append((order_id, "auto_good", deadline))
+                done.append((order_id, "auto_good", deadline, user))
         return stay, done
 
     def _advance(self, key, head: list, now: int) -> list[Row]:
         """Serve all deadlines up to ``now``; ``head`` then has no timer."""
         _, orders, runs, _ = head
         read = {r[0]: [tuple(o) for o in self.runs.getValue((r[0],))[0]] for r in runs if r[1] <= now}
-        times = sorted(t for part in (orders, *read.values()) for t in (o[1] + self.interval for o in part) if t <= now)
+        times: dict = {}
+        for o in itertools.chain(orders, *read.values()):
+            if o[1] + self.interval <= now:
+                times.setdefault(o[4], []).append(o[1] + self.interval)
+        for due in times.values():
+            due.sort()
+        newest = max((due[-1] for due in times.values()), default=None)
         head[1], done = self._serve(orders, times, now)
         kept = []
         for r in runs:
-            if r[0] not in read and (r[2] is None or not times or r[2] > times[-1]):
+            if r[0] not in read and (r[2] is None or newest is None or r[2] > newest):
                 kept.append(r)
                 continue
-            stay, more = self._serve(read.get(r[0]) or [tuple(o) for o in self.runs.getValue((r[0],))[0]], times, now)
+            whole = read.get(r[0]) or [tuple(o) for o in self.runs.getValue((r[0],))[0]]
+            stay, more = self._serve(whole, times, now)
             done += more
-            if stay:
+            if not more and len(stay) == len(whole):
+                kept.append(r)
+            elif stay:
                 kept.append(self._run(r[0], stay))
             else:
                 self.runs.removeKey((r[0],))
         head[0], head[2] = None, kept
-        return [Row(user_id=key[0], order_id=order_id, action=action, action_ms=at)
-                for order_id, action, at in sorted(done, key=lambda d: (d[2], d[0]))]
+        return [Row(user_id=key[0] if self.user is None else user, order_id=order_id, action=action, action_ms=at)
+                for order_id, action, at, user in sorted(done, key=lambda d: d[2])]
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         head, expiry = self._load(), expiredTimerInfo.getExpiryTimeInMs()
@@ -374,11 +390,32 @@ class OrderTimeout(StatefulProcessor):
         pass
 
 
+class PackedOrderTimeout(OrderTimeout):
+    """:class:`OrderTimeout` over buckets of users: packed rows in, packed actions out."""
+
+    def __init__(self, out: pa.Schema, *args, **named):
+        super().__init__(*args, **named)
+        self.out = out
+
+    def _packed(self, actions: Iterator[Row]) -> Iterator[Row]:
+        done = [tuple(a) for a in actions]
+        if done:
+            yield Row(_rows=pack(as_table(done, self.out)))
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[Row]:
+        orders = (dict(zip(t.column_names, r, strict=True)) for t in (unpack(p["_rows"]) for p in rows) for r in tuples(t))
+        yield from self._packed(super().handleInputRows(key, orders, timerValues))
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        yield from self._packed(super().handleExpiredTimer(key, timerValues, expiredTimerInfo))
+
+
 def order_timeout_stream(df: DataFrame, user: str, order: str, created_ms: str, reviewed: str,
-                         interval_ms: int, event_time: bool = True) -> DataFrame:
+                         interval_ms: int, event_time: bool = True, buckets: int = USER_BUCKETS) -> DataFrame:
     """Event-time timers (input must carry ``withWatermark``), else processing time."""
-    order_type = type_of(df, order)
-    schema = f"user_id {type_of(df, user)}, order_id {order_type}, action string, action_ms bigint"
-    proc = OrderTimeout(order, created_ms, reviewed, interval_ms, order_type, event_time)
+    order_type, user_type = type_of(df, order), type_of(df, user)
+    schema = f"user_id {user_type}, order_id {order_type}, action string, action_ms bigint"
+    proc = PackedOrderTimeout(arrow_schema(schema), order, created_ms, reviewed, interval_ms, order_type, event_time, user, user_type)
     mode = "EventTime" if event_time else "ProcessingTime"
-    return df.groupBy(user).transformWithState(proc, schema, "Append", mode)
+    rows = packed_by(df.select(user, order, created_ms, reviewed), buckets, [user])
+    return unpacked(rows.groupBy("_bucket").transformWithState(proc, "_rows binary", "Append", mode), schema)
