@@ -46,13 +46,13 @@ def write_slices(df: DataFrame, path: str, seq: str, rows_per_slice: int = ROWS_
 
 
 def arriving(spark: SparkSession, rows: DataFrame, seq: str, name: str, min_slices: int = MIN_SLICES,
-             ends: str | None = None) -> Callable[[], DataFrame]:
+             ends: str | None = None, rows_per_file: int = ROWS_PER_FILE) -> Callable[[], DataFrame]:
     """``rows`` staged in order of ``seq``; every call gives a stream over all of them.
 
     ``ends`` names the event-time column of a bounded input: after the last slice comes one
     row with :data:`END_OF_INPUT` there and nulls elsewhere, which moves the watermark past all windows."""
     path = scratch_path(spark, f"{name}-in")
-    files = write_slices(rows, path, seq, min_slices=min_slices)
+    files = write_slices(rows, path, seq, rows_per_file=rows_per_file, min_slices=min_slices)
     if ends is not None:
         last = spark.range(1).select(*[(F.lit(END_OF_INPUT) if f.name == ends else F.lit(None)).cast(f.dataType).alias(f.name)
                                        for f in rows.schema])

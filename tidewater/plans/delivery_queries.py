@@ -76,6 +76,10 @@ def _until_done(start) -> None:
         raise RuntimeError(f"{restarts} restarts instead of the 2 that were provoked")
 
 
+#: Texts are long: a file of these is a task's work.
+DOCUMENTS_PER_FILE = 10_000
+
+
 @query("etl_exactly_once", """
 with b as (select min(doc_id) as lo, (max(doc_id) - min(doc_id)) // 4 + 1 as step from documents),
 w as (select (doc_id - lo) // step as slice, unnest(string_split(rtrim(text, ' '), ' ')) as word
@@ -89,7 +93,8 @@ def etl_exactly_once(spark, sf):
     tasks and a commit, and between a commit and its files, and restarts from its checkpoint;
     no update is lost or told twice."""
     spark.dataSource.register(CrashingFiles)
-    lines = arriving(spark, table(spark, sf, "documents").select("doc_id", F.col("text").alias("value")), "doc_id", "etl")
+    lines = arriving(spark, table(spark, sf, "documents").select("doc_id", F.col("text").alias("value")), "doc_id", "etl",
+                     rows_per_file=DOCUMENTS_PER_FILE)
     out, checkpoint = scratch_path(spark, "etl-out"), scratch_path(spark, "etl-ckpt")
 
     def start():
