@@ -13,9 +13,10 @@ A passage of ``MIN_PASSAGE`` words always holds a unit: its first window has an
 first 12 words, and the window 25 words on, which ends within the passage, has one too. Windows
 that reach out of the passage add none between the two.
 
-Only digests, ids and offsets are shuffled for all documents; of documents with a match the text is
-read once more, for the words about the ends of chains. The grouping combines on the map side, so a
-line that is in every document is one row a task.
+For all documents only the first half of each digest is shuffled, to count it; units whose half
+occurs once are left out by a filter before their places move. Of documents with a match the text is
+read again, for the words about the ends of chains and for windows. The groupings combine on the map
+side, so a line that is in every document is one row a task.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewater.llm.common import U64, materialise, signed, small_batches
+from tidewater.llm.common import U64, HashBits, materialise, signed, small_batches
 
 UNITS = {"line": re.compile(r"[^\n]+"), "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*\n))+")}
 #: Shorter lines and passages always stay.
@@ -48,9 +49,11 @@ CONTEXT = 2 * WINDOW + GROUP
 #: Rows of units or contexts that leave a Python worker at once.
 OUT_ROWS = 8192
 #: Word hashes that a Python task keeps.
-KEPT_WORDS = 1 << 17
+KEPT_WORDS = 1 << 18
 #: White space by code point; there is none beyond.
 _SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
+#: 1 for every byte of Latin-1 that belongs to a word.
+_LATIN = bytes((~_SPACE[:256]).astype(np.uint8))
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
 
@@ -70,23 +73,28 @@ class _Powers:
 
 
 class _Hashes(dict):
-    """Hashes of case-folded words, kept for the words met last."""
+    """Hashes of words, kept for the words met last."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= KEPT_WORDS:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.casefold().encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h
 
 
 def words_of(text: str | None, seen: _Hashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, hashes) of the words of ``text``, case-folded for the hash; null has none."""
-    words = (text or "").split()
-    points = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
-    inside = np.concatenate([[False], ~_SPACE[np.minimum(points, len(_SPACE) - 1)], [False]]).astype(np.int8)
-    turns = np.diff(inside)
+    text = text or ""
+    # Case folding goes by single characters and makes no white space, so the words stay the same ones.
+    words = text.casefold().split()
+    try:
+        inside = np.frombuffer(b"\0" + text.encode("latin-1").translate(_LATIN) + b"\0", bool)
+    except UnicodeEncodeError:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        inside = np.concatenate([[False], ~_SPACE[np.minimum(points, len(_SPACE) - 1)], [False]])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
     look = (_Hashes() if seen is None else seen).__getitem__
-    return np.flatnonzero(turns == 1), np.flatnonzero(turns == -1), np.fromiter(map(look, words), U64, len(words))
+    return turns[::2], turns[1::2], np.fromiter(map(look, words), U64, len(words))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -103,7 +111,7 @@ def anchors(hashes: np.ndarray) -> np.ndarray:
     for k in range(GROUP):
         group = _mix(group * U64(_BASES[0]) + hashes[k:k + n])
     picked = np.lib.stride_tricks.sliding_window_view(group, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
-    return picked[np.diff(picked, prepend=-1) > 0]
+    return picked[np.concatenate([[True], picked[1:] > picked[:-1]])]
 
 
 def spans(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,6 +183,25 @@ def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_wor
     return docs.mapInArrow(run, out)
 
 
+def within(df: DataFrame, key: Column, members: DataFrame) -> DataFrame:
+    """``df`` without most rows whose ``key`` isn't in ``members``, of one column of longs; no row of a member goes.
+
+    A bitmap of 16 MB at most (:class:`HashBits`) decides, so rows that can't join are never shuffled."""
+    keep = HashBits.of(members, members.columns[0])
+
+    @F.arrow_udf("boolean")
+    def member(h: pa.Array) -> pa.Array:
+        return pa.array(keep.test(h.to_numpy(zero_copy_only=False).view(U64)))
+
+    return df.where(member(key))
+
+
+def _texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id, text`` of the documents whose id is in ``wanted``, and of a few others."""
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    return within(texts, F.xxhash64("_id"), wanted.select("id").distinct().select(F.xxhash64("id").alias("key")))
+
+
 def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The words before or after places: ``id, at, after, hashes, edges, here``.
 
@@ -184,7 +211,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     small_batches(docs.sparkSession)
     lists = wanted.groupBy("id").agg(F.collect_set(F.when(F.col("after"), F.col("at"))).alias("right"),
                                      F.collect_set(F.when(~F.col("after"), F.col("at"))).alias("left"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    texts = _texts_of(docs, wanted, id_col, text_col)
     joined = texts.join(lists, F.col("_id").eqNullSafe(F.col("id"))).select("id", "text", "left", "right")
     out = T.StructType([wanted.schema["id"], *T._parse_datatype_string(
         "at int, after boolean, hashes array<int>, edges array<int>, here int")])
@@ -232,7 +259,7 @@ def windows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size
     small_batches(docs.sparkSession)
     lists = wanted.groupBy("id").agg(F.collect_set(F.struct("at", "to")).alias("units"))
     lists = lists.select("id", F.transform("units", lambda u: u["at"]).alias("ats"), F.transform("units", lambda u: u["to"]).alias("tos"))
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    texts = _texts_of(docs, wanted, id_col, text_col)
     joined = texts.join(lists, F.col("_id").eqNullSafe(F.col("id"))).select("id", "text", "ats", "tos")
     out = T.StructType([wanted.schema["id"], *T._parse_datatype_string(
         "at int, to int, start int, end int, hi long, lo long")])
@@ -269,9 +296,9 @@ def firsts(units: DataFrame) -> DataFrame:
                                            F.col("kept.at").alias("kept_at"), "copies")
 
 
-def chained(found: DataFrame) -> DataFrame:
-    """``found`` with ``chain``: matched units of one document that overlap as units of one text do share its number."""
-    order = Window.partitionBy("id").orderBy("at", "to")
+def chained(found: DataFrame, *kinds: str) -> DataFrame:
+    """``found`` with ``chain``: matched units of one document, and of one of ``kinds``, that overlap as units of one text do share its number."""
+    order = Window.partitionBy("id", *kinds).orderBy("at", "to")
     before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
     t = found.withColumn("opens", F.when(before - F.col("at") >= F.least(F.lit(SHARED), F.col("to") - F.col("at")), 0).otherwise(1))
     return t.withColumn("chain", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
@@ -311,7 +338,7 @@ def widened(docs: DataFrame, t: DataFrame, id_col: str, text_col: str) -> DataFr
     sides = (("id", "at", False, "l"), ("kept_id", "kept_at", False, "kl"), ("early_id", "early_at", False, "el"),
              ("id", "to", True, "r"), ("last_id", "kept_to", True, "kr"))
     ask = [t.select(F.col(i).alias("id"), F.col(at).alias("at"), F.lit(after).alias("after")) for i, at, after, _ in sides]
-    wanted = reduce(DataFrame.unionByName, ask).distinct()
+    wanted = materialise(docs.sparkSession, reduce(DataFrame.unionByName, ask).distinct(), "places")
     seen = materialise(docs.sparkSession, contexts(docs, wanted, id_col, text_col), "contexts")
     for i, at, after, name in sides:
         side = seen.where(F.col("after") if after else ~F.col("after")).select(
@@ -355,22 +382,28 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uni
         raise ValueError(f"passages of fewer than {MIN_PASSAGE} words need not hold a unit")
     spark = docs.sparkSession
     units = materialise(spark, unit_digests(docs, id_col, text_col, unit, min_words, min_passage), "units")
+    # Digests that can repeat, by their first half: a digest that occurs twice is always among them.
+    again = materialise(spark, units.groupBy("hi").count().where("count > 1").select("hi"), "again")
+    units = materialise(spark, within(units, F.col("hi"), again), "candidates")
     # As a table of its own, so that both sides of the join are plain shuffles: digests are unique
     # on the right, a hot digest only lengthens the left side, and Spark splits that.
     groups = materialise(spark, firsts(units), "groups")
-    found = materialise(spark, later(units.withColumn("to", F.col("at") + F.col("words")).drop("words"), groups), "repeats")
-    links = materialise(spark, chained(found.where("piece")), "links")
-    wide = materialise(spark, widened(docs, chains(links), id_col, text_col), "widened")
+    found = later(units.withColumn("to", F.col("at") + F.col("words")).drop("words"), groups)
+    found = materialise(spark, chained(found, "piece"), "repeats")
+    links = found.where("piece")
+    ends = materialise(spark, chains(links), "chains")
+    wide = materialise(spark, widened(docs, ends, id_col, text_col), "widened")
     short = wide.where((F.col("to") - F.col("at") < min_passage) & ~F.col("settled")).select(F.col("id").alias("_id"), F.col("chain").alias("_chain"))
     open_ = links.join(short, F.col("id").eqNullSafe(F.col("_id")) & (F.col("chain") == F.col("_chain"))).select("hi", "lo").distinct()
     wanted = units.where("piece").join(open_, ["hi", "lo"]).select("id", "at", (F.col("at") + F.col("words")).alias("to")).distinct()
+    wanted = materialise(spark, wanted, "wanted")
     exact = materialise(spark, windows(docs, wanted, id_col, text_col, min_passage), "windows")
     more = chains(chained(later(exact, firsts(exact))))
     cols = ["id", "start", "end", F.lit(True).alias("piece"), "kept_id", "kept_start", "copies"]
     more = more.withColumn("kept_id", F.col("early_id")).withColumn("kept_start", F.col("early_start"))
     pieces = wide.where(F.col("to") - F.col("at") >= min_passage).select(cols).unionByName(more.select(cols))
     both = found.where("NOT piece").select(pieces.columns).unionByName(pieces)
-    order = Window.partitionBy("id").orderBy("start", "piece", F.desc("end"), "kept_id", "kept_start")
+    order = Window.partitionBy("id").orderBy("start", "piece", F.desc("end"), "kept_id", "kept_start", F.desc("copies"))
     both = both.withColumn("cut", F.greatest("start", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), "start")))
     return both.where("cut < end").select(
         F.col("id").alias(id_col), F.col("cut").cast("int").alias("start"), F.col("end").cast("int").alias("end"), "piece",
