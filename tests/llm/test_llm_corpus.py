@@ -1,12 +1,15 @@
 """Operators on whole corpora: conversations, lines, contamination, near-duplicates, vectors, the pipeline."""
 
 import collections
+import contextlib
 import random
 import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -203,6 +206,107 @@ def test_only_units_that_can_repeat_are_grouped(spark, monkeypatch):
     assert repeated <= grouped[0] < 1.1 * repeated < 0.1 * units.count()
 
 
+ODD = [None, "", "\n \n", "one two", " tail　wide\x85next\nÀÉ ß ſ İ x", "a b c\n\na b c\n"]
+
+
+def _python_step(monkeypatch, docs, make):
+    """The function that ``make`` hands to ``mapInArrow``."""
+    steps = []
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda df, fn, schema: steps.append(fn) or docs)
+        make()
+    return steps[-1]
+
+
+def _rows(step, rows, schema, size):
+    """Output rows of ``step`` over ``rows``, ``size`` in a batch."""
+    batches = [pa.RecordBatch.from_pylist(rows[k:k + size], schema=schema) for k in range(0, len(rows), size)]
+    return sorted(((tuple(r.values()) for b in step(iter(batches)) for r in b.to_pylist())), key=repr)
+
+
+@pytest.mark.parametrize("unit", ["line", "paragraph"])
+def test_short_texts_share_their_numpy_calls(spark, monkeypatch, unit):
+    """A batch of texts is hashed at once, to the units that each text has by itself."""
+    rng = random.Random(13)
+    texts = [*ODD, *(rng.choice(" \n").join(_words(rng, rng.randint(0, 120))) for _ in range(300)), *ODD]
+    rows = [{"id": i if i % 9 else None, "text": t} for i, t in enumerate(texts)]
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string())])
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    step = _python_step(monkeypatch, docs, lambda: lines.unit_digests(docs, "doc_id", "text", unit, 3, 51))
+    calls, digests = [], lines._digests
+    monkeypatch.setattr(lines, "_digests", lambda *a: calls.append(1) or digests(*a))
+    got = _rows(step, rows, schema, len(rows))
+    assert len(calls) < 10
+    assert got == _rows(step, rows, schema, 1) and len(calls) > len(texts) / 2
+    monkeypatch.setattr(lines, "JOINED", 2000)
+    monkeypatch.setattr(lines, "OUT_ROWS", 7)
+    assert got == _rows(step, rows, schema, 50)
+    whole = {(r[0], texts[r[0]][r[2]:r[3]]) for r in got if r[0] is not None and not r[1]}
+    find = lines.UNITS[unit].finditer
+    assert whole == {(r["id"], m[0]) for r in rows if r["id"] is not None for m in find(r["text"] or "") if len(m[0].split()) >= 3}
+    for i, piece, start, end, at, n, _, _ in got:
+        if i is not None:
+            assert texts[i][:start].split() == texts[i].split()[:at] and texts[i][start:end].split() == texts[i].split()[at:at + n]
+            assert not piece or n >= lines.REACH
+
+
+def test_contexts_and_windows_of_joined_texts(spark, monkeypatch):
+    """Words about places and windows about units, against the words of each text by itself."""
+    rng = random.Random(17)
+    texts = [*ODD, *("  ".join(_words(rng, rng.randint(1, 150))) for _ in range(60)), *ODD]
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    found = [[(m.start(), m.end()) for m in re.finditer(r"\S+", t or "")] for t in texts]
+    rows, want = [], []
+    for i, (t, w) in enumerate(zip(texts, found, strict=True)):
+        # Some places are beyond the text: rows of one id may have several texts.
+        places = sorted({rng.randint(0, len(w) + 3) for _ in range(5)})
+        rows.append({"id": i, "text": t, "left": places, "right": [p for p in places if p]})
+        for p in places:
+            if p < len(w):
+                ws = w[max(0, p - lines.CONTEXT):p]
+                want.append((i, p, False, [t[a:b] for a, b in ws][::-1], w[p][0], ws[0][0] if ws else w[p][0]))
+            if 0 < p <= len(w):
+                ws = w[p:p + lines.CONTEXT]
+                want.append((i, p, True, [t[a:b] for a, b in ws], w[p - 1][1], ws[-1][1] if ws else w[p - 1][1]))
+    ints = pa.list_(pa.int32())
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("left", ints), ("right", ints)])
+    asked = spark.createDataFrame([], "id long, at int, after boolean")
+    monkeypatch.setattr(lines, "within", lambda df, key, members: df)
+    step = _python_step(monkeypatch, docs, lambda: _ignored(lines.contexts, docs, asked, "doc_id", "text"))
+    monkeypatch.setattr(lines, "OUT_ROWS", 7)
+    for size in (1, len(rows)):
+        got = {r[:3]: r[3:] for r in _rows(step, rows, schema, size)}
+        assert set(got) == {w[:3] for w in want} and len(got) > 200
+        hashes = {}
+        for i, at, after, words, here, end in want:
+            h, edges, place = got[i, at, after]
+            assert place == here and len(h) == len(edges) == len(words) and here + sum(edges) * (1 if after else -1) == end
+            for x, word in zip(h, words, strict=True):
+                assert hashes.setdefault(word.casefold(), x) == x
+        assert len(set(hashes.values())) == len(hashes)
+
+    size, rows, want = 51, [], set()
+    for i, (t, w) in enumerate(zip(texts, found, strict=True)):
+        units = [(a, a + rng.randint(25, 60)) for a in (rng.randint(0, 120) for _ in range(4))]
+        units = [(a, b) for a, b in units if b <= len(w)]
+        rows.append({"id": i, "text": t, "ats": [a for a, _ in units], "tos": [b for _, b in units]})
+        for a, b in units:
+            for p in range(max(0, b - size), min(a, len(w) - size) + 1):
+                want.add((i, p, p + size, w[p][0], w[p + size - 1][1]))
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string()), ("ats", ints), ("tos", ints)])
+    asked = spark.createDataFrame([], "id long, at int, to int")
+    step = _python_step(monkeypatch, docs, lambda: lines.windows(docs, asked, "doc_id", "text", size))
+    got = _rows(step, rows, schema, len(rows))
+    assert got == _rows(step, rows, schema, 1)
+    assert {r[:5] for r in got} == want and len(got) == len(want) == len({r[5:] for r in got}) > 100
+
+
+def _ignored(fn, *args):
+    """Calls ``fn``, whose later steps miss columns that the caught one would have made."""
+    with contextlib.suppress(AnalysisException):
+        fn(*args)
+
+
 # --- contamination ---
 
 def brute_contamination(docs, items, window=13):

@@ -16,7 +16,8 @@ that reach out of the passage add none between the two.
 For all documents only the first half of each digest is shuffled, to count it; units whose half
 occurs once are left out by a filter before their places move. Of documents with a match the text is
 read again, for the words about the ends of chains and for windows. The groupings combine on the map
-side, so a line that is in every document is one row a task.
+side, so a line that is in every document is one row a task. Python works on several texts at a time,
+joined: most are short, and a numpy call for each would cost more than their words.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,8 +50,8 @@ SHARED = REACH - WINDOW
 CONTEXT = 2 * WINDOW + GROUP
 #: Rows of units or contexts that leave a Python worker at once.
 OUT_ROWS = 8192
-#: Word hashes that a Python task keeps.
-KEPT_WORDS = 1 << 18
+#: Bytes of texts that are worked on at once; a longer text is by itself.
+JOINED = 1 << 18
 #: White space by code point; there is none beyond.
 _SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 #: 1 for every byte of Latin-1 that belongs to a word.
@@ -72,29 +74,52 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-class _Hashes(dict):
-    """Hashes of words, kept for the words met last."""
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, hashes) of the words of ``texts`` joined by one character, case-folded for the hash."""
+    words, marks = [], []
+    for text in texts:
+        # Case folding goes by single characters and makes no white space, so the words stay the same ones.
+        words += text.casefold().split()
+        try:
+            marks.append(text.encode("latin-1").translate(_LATIN))
+        except UnicodeEncodeError:
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            marks.append((~_SPACE[np.minimum(points, len(_SPACE) - 1)]).tobytes())
+    inside = np.frombuffer(b"\0" + b"\0".join(marks) + b"\0", bool)
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    try:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
+    except UnicodeEncodeError:
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), U64, len(words))
+    return turns[::2], turns[1::2], hashes
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
 
+class _Joined:
+    """The words of several texts, numbered through; null is empty. ``offset`` and ``first`` are each text's
+    first character and word, and behind the last text's; ``text`` is each word's text."""
+
+    def __init__(self, texts: list[str | None]):
+        self.texts = [t or "" for t in texts]
+        self.offset = np.cumsum([0, *(len(t) + 1 for t in self.texts)])
+        self.starts, self.ends, self.hashes = words_of(self.texts)
+        self.first = np.searchsorted(self.starts, self.offset)
+        self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, _Joined]]:
+    """The rows of ``batch`` with their texts, the second column, ``JOINED`` bytes at a time or one longer text."""
+    lo, size = 0, 0
+    for k, n in enumerate([*pc.binary_length(batch.column(1)).fill_null(0).to_pylist(), 0]):
+        if k > lo and size + n > JOINED or k == batch.num_rows > lo:
+            part = batch.slice(lo, k - lo)
+            yield part, _Joined(part.column(1).to_pylist())
+            lo, size = k, 0
+        size += n
 
-def words_of(text: str | None, seen: _Hashes | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, hashes) of the words of ``text``, case-folded for the hash; null has none."""
-    text = text or ""
-    # Case folding goes by single characters and makes no white space, so the words stay the same ones.
-    words = text.casefold().split()
-    try:
-        inside = np.frombuffer(b"\0" + text.encode("latin-1").translate(_LATIN) + b"\0", bool)
-    except UnicodeEncodeError:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = np.concatenate([[False], ~_SPACE[np.minimum(points, len(_SPACE) - 1)], [False]])
-    turns = np.flatnonzero(inside[1:] != inside[:-1])
-    look = (_Hashes() if seen is None else seen).__getitem__
-    return turns[::2], turns[1::2], np.fromiter(map(look, words), U64, len(words))
+
+def _ranges(lo: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``lo, lo + 1, ...`` of each size, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(lo - np.cumsum(sizes) + sizes, sizes)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -102,23 +127,42 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(29))
 
 
-def anchors(hashes: np.ndarray) -> np.ndarray:
-    """Places of the smallest word group of every window, the leftmost of equals."""
-    n = len(hashes) - GROUP + 1
+def anchors(t: _Joined) -> np.ndarray:
+    """Places of the smallest word group of every window within a text, the leftmost of equals."""
+    n = len(t.hashes) - GROUP + 1
     if n < WINDOW:
         return np.zeros(0, np.int64)
-    group = np.zeros(n, U64)
+    least = np.zeros(n, U64)
     for k in range(GROUP):
-        group = _mix(group * U64(_BASES[0]) + hashes[k:k + n])
-    picked = np.lib.stride_tricks.sliding_window_view(group, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
-    return picked[np.concatenate([[True], picked[1:] > picked[:-1]])]
+        least = _mix(least * U64(_BASES[0]) + t.hashes[k:k + n])
+    picked, width = np.arange(n), 1
+    while width < WINDOW:
+        step = min(width, WINDOW - width)
+        picked = np.where(least[step:] < least[:-step], picked[step:], picked[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        width += step
+    picked = picked[t.text[:len(picked)] == t.text[-len(picked):]]
+    return picked[np.diff(picked, prepend=-1) > 0]
+
+
+def spans(t: _Joined, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, word after the last) of each passage unit of the texts of ``min_words`` words or more."""
+    a = anchors(t)
+    a = a[np.diff(t.first)[t.text[a]] >= min_words]
+    to = np.searchsorted(a, a + REACH)
+    a, b = a[to < len(a)], a[to[to < len(a)]]
+    same = t.text[a] == t.text[b]
+    return a[same], b[same]
 
 
-def spans(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, word after the last) of each passage unit."""
-    a = anchors(hashes)
-    to = np.searchsorted(a, a + REACH)
-    return a[to < len(a)], a[to[to < len(a)]]
+def _pieces(t: _Joined, unit: str) -> np.ndarray:
+    """(start, end) of the lines or paragraphs, in the joined texts; some are empty."""
+    if unit == "line":
+        sizes = np.fromiter((len(line) for text in t.texts for line in text.split("\n")), np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        return np.stack([ends - sizes, ends], axis=1)
+    found = [(m.start() + o, m.end() + o) for text, o in zip(t.texts, t.offset.tolist(), strict=False) for m in UNITS[unit].finditer(text)]
+    return np.array(found, np.int64).reshape(-1, 2)
 
 
 def _digests(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, powers: list[_Powers]) -> list[np.ndarray]:
@@ -131,23 +175,27 @@ def _digests(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, powers: list[_P
     return out
 
 
-def units_of(text: str | None, unit: str = "line", min_words: int = MIN_LINE_WORDS, min_passage: int = MIN_PASSAGE,
-             powers: list[_Powers] | None = None, seen: _Hashes | None = None) -> list[np.ndarray]:
-    """Columns ``piece, start, end, at, words, hi, lo`` of the units of one text; ``at`` counts words."""
-    powers = powers or [_Powers(b) for b in _BASES]
-    starts, ends, hashes = words_of(text, seen)
-    lines = np.array([m.span() for m in UNITS[unit].finditer(text or "")], np.int64).reshape(-1, 2)
-    lo, hi = np.searchsorted(starts, lines[:, 0]), np.searchsorted(starts, lines[:, 1])
+def units_of(t: _Joined, unit: str, min_words: int, min_passage: int, powers: list[_Powers]) -> list[np.ndarray]:
+    """Columns ``text, piece, start, end, at, words, hi, lo`` of the units of some texts; ``at`` counts a text's words."""
+    lines = _pieces(t, unit)
+    lo, hi = np.searchsorted(t.starts, lines.T)
     long = hi - lo >= max(1, min_words)
     lo, hi, lines = lo[long], hi[long], lines[long]
-    a, b = spans(hashes) if len(hashes) >= min_passage else (np.zeros(0, np.int64),) * 2
-    h, g = _digests(hashes, np.concatenate([lo, a]), np.concatenate([hi, b]), powers)
-    piece = np.arange(len(h)) >= len(lo)
+    a, b = spans(t, min_passage)
+    first, to = np.concatenate([lo, a]), np.concatenate([hi, b])
+    h, g = _digests(t.hashes, first, to, powers)
+    piece, text = np.arange(len(h)) >= len(lo), t.text[first]
     # A line never equals a passage unit: each kind has its own rule.
     h = h ^ np.where(piece, U64(0), U64(_BASES[1]))
-    places = [np.concatenate([lines[:, 0], starts[a]]), np.concatenate([lines[:, 1], ends[b - 1]]),
-              np.concatenate([lo, a]), np.concatenate([hi - lo, b - a])]
-    return [piece, *(p.astype(np.int32) for p in places), signed(h), signed(g)]
+    start, end = np.concatenate([lines[:, 0], t.starts[a]]), np.concatenate([lines[:, 1], t.ends[b - 1]])
+    places = [start - t.offset[text], end - t.offset[text], first - t.first[text], to - first]
+    return [text, piece, *(p.astype(np.int32) for p in places), signed(h), signed(g)]
+
+
+def _table(batch: pa.RecordBatch, rows: np.ndarray, cols: list, schema: pa.Schema) -> pa.RecordBatch:
+    """The ids, ``batch``'s first column, of ``rows`` beside ``cols``."""
+    ids = batch.column(0).take(pa.array(rows)).cast(schema[0].type)
+    return pa.RecordBatch.from_arrays([ids, *(c if isinstance(c, pa.Array) else pa.array(c) for c in cols)], schema=schema)
 
 
 def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int, min_passage: int) -> DataFrame:
@@ -159,26 +207,12 @@ def unit_digests(docs: DataFrame, id_col: str, text_col: str, unit: str, min_wor
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, seen = [_Powers(b) for b in _BASES], _Hashes()
-
-        def table(ids: pa.Array, owners: list, parts: list) -> pa.RecordBatch:
-            cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            ids = ids.take(pa.array(np.repeat(owners, [len(p[0]) for p in parts])))
-            return pa.RecordBatch.from_arrays([ids.cast(arrow[0].type), *map(pa.array, cols)], schema=arrow)
-
+        powers = [_Powers(b) for b in _BASES]
         for batch in batches:
-            owners, parts, rows = [], [], 0
-            for i, text in enumerate(batch.column(1)):
-                cols = units_of(text.as_py(), unit, min_words, min_passage, powers, seen)
-                for at in range(0, len(cols[0]), OUT_ROWS):
-                    parts.append([c[at:at + OUT_ROWS] for c in cols])
-                    owners.append(i)
-                    rows += len(parts[-1][0])
-                    if rows >= OUT_ROWS:
-                        yield table(batch.column(0), owners, parts)
-                        owners, parts, rows = [], [], 0
-            if parts:
-                yield table(batch.column(0), owners, parts)
+            for part, t in _slices(batch):
+                text, *cols = units_of(t, unit, min_words, min_passage, powers)
+                for k in range(0, len(text), OUT_ROWS):
+                    yield _table(part, text[k:k + OUT_ROWS], [c[k:k + OUT_ROWS] for c in cols], arrow)
 
     return docs.mapInArrow(run, out)
 
@@ -218,33 +252,27 @@ def contexts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = _Hashes()
         for batch in batches:
-            rows: list[tuple] = []
-
-            def table(rows: list[tuple]) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
-
-            for i, text, left, right in zip(*batch.columns, strict=True):
-                i, (starts, ends, hashes) = i.as_py(), words_of(text.as_py(), seen)
-                hashes = (hashes >> U64(32)).astype(np.uint32).view(np.int32)
+            for part, t in _slices(batch):
+                hashes = (t.hashes >> U64(32)).astype(np.uint32).view(np.int32)
                 # Characters from one word's end to the next one's, and from its start to the last one's.
-                more, less = np.diff(ends, prepend=0).astype(np.int32), np.diff(starts, append=0).astype(np.int32)
-                for after, places in ((False, left.as_py()), (True, right.as_py())):
-                    for at in places:
-                        if at > len(hashes) - (not after):
-                            continue
-                        if after:
-                            rows.append((i, at, after, hashes[at:at + CONTEXT], more[at:at + CONTEXT], int(ends[at - 1])))
-                        else:
-                            lo = max(0, at - CONTEXT)
-                            rows.append((i, at, after, hashes[lo:at][::-1], less[lo:at][::-1], int(starts[at])))
-                        if len(rows) >= OUT_ROWS:
-                            yield table(rows)
-                            rows = []
-            if rows:
-                yield table(rows)
+                more, less = np.diff(t.ends, prepend=0).astype(np.int32), np.diff(t.starts, append=0).astype(np.int32)
+                for after, edges, places in ((False, less, part.column(2)), (True, more, part.column(3))):
+                    text = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy(zero_copy_only=False))
+                    at = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                    there = at <= np.diff(t.first)[text] - (not after)
+                    text, at = text[there], at[there]
+                    for k in range(0, len(at), OUT_ROWS):
+                        i, n = text[k:k + OUT_ROWS], at[k:k + OUT_ROWS]
+                        place = n + t.first[i]
+                        sizes = np.minimum(CONTEXT, t.first[i + 1] - place if after else n)
+                        # Words from the place on, or from the one before it back.
+                        words = _ranges(place, sizes) if after else -_ranges(1 - place, sizes)
+                        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                        lists = [pa.ListArray.from_arrays(offsets, pa.array(c[words]), type=arrow.field(name).type)
+                                 for name, c in (("hashes", hashes), ("edges", edges))]
+                        here = (t.ends[place - 1] if after else t.starts[place]) - t.offset[i]
+                        yield _table(part, i, [n.astype(np.int32), np.full(len(n), after), *lists, here.astype(np.int32)], arrow)
 
     # Rows of one id with several texts: one answer a place, the same every time.
     found = joined.mapInArrow(run, out)
@@ -266,19 +294,22 @@ def windows(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size
     arrow = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, seen = [_Powers(b) for b in _BASES], _Hashes()
+        powers = [_Powers(b) for b in _BASES]
         for batch in batches:
-            for row, (text, ats, tos) in enumerate(zip(*batch.columns[1:], strict=True)):
-                starts, ends, hashes = words_of(text.as_py(), seen)
-                parts = [np.arange(max(0, t - size), min(a, len(hashes) - size) + 1)
-                         for a, t in zip(ats.as_py(), tos.as_py(), strict=True)]
-                at = np.unique(np.concatenate(parts))
-                hi, lo = _digests(hashes, at, at + size, powers)
-                cols = [*(c.astype(np.int32) for c in (at, at + size, starts[at], ends[at + size - 1])), signed(hi), signed(lo)]
+            for part, t in _slices(batch):
+                text = np.repeat(np.arange(len(part)), part.column(2).value_lengths().to_numpy(zero_copy_only=False))
+                ats, tos = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in (2, 3))
+                lo = np.maximum(0, tos - size) + t.first[text]
+                hi = np.minimum(ats, np.diff(t.first)[text] - size) + t.first[text] + 1
+                lo, hi = lo[lo < hi], hi[lo < hi]
+                n = len(t.hashes) + 1
+                at = np.flatnonzero(np.cumsum(np.bincount(lo, minlength=n) - np.bincount(hi, minlength=n)))
+                hi, lo = _digests(t.hashes, at, at + size, powers)
+                text = t.text[at]
+                places = at - t.first[text], at + size - t.first[text], t.starts[at] - t.offset[text], t.ends[at + size - 1] - t.offset[text]
+                cols = [*(c.astype(np.int32) for c in places), signed(hi), signed(lo)]
                 for k in range(0, len(at), OUT_ROWS):
-                    part = [pa.array(c[k:k + OUT_ROWS]) for c in cols]
-                    ids = batch.column(0).take(pa.array(np.full(len(part[0]), row))).cast(arrow[0].type)
-                    yield pa.RecordBatch.from_arrays([ids, *part], schema=arrow)
+                    yield _table(part, text[k:k + OUT_ROWS], [c[k:k + OUT_ROWS] for c in cols], arrow)
 
     return joined.mapInArrow(run, out)
 
